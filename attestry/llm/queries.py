@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from attestry.llm import minhash
+from attestry.llm import minhash, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +18,13 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(_table(spark, sf_dir, "documents"), length=50)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_minhash,)}
+    return {f.__name__: f for f in (op4_minhash, op5_substring)}
 
 
 def oracle_sql() -> dict[str, str]:
