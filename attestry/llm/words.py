@@ -71,6 +71,11 @@ def _ranges(values: np.ndarray, base: int, start: np.ndarray, end: np.ndarray) -
     return (sums[end] - sums[start]) * down[start]
 
 
+def byte_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte span."""
+    return mix(_ranges(_BYTE[data], _BASE, start, end) + (end - start).astype(np.uint64) * np.uint64(_LANES[0]))
+
+
 @dataclass
 class Words:
     """Words of consecutive texts: byte spans, the row of each, and each row's first word."""
@@ -89,8 +94,7 @@ class Words:
     def hashes(self, lower: bool = False) -> np.ndarray:
         """A 64-bit hash of each word; ``lower`` folds A-Z first."""
         data = _LOWER[self.data] if lower else self.data
-        h = _ranges(_BYTE[data], _BASE, self.start, self.end)
-        return mix(h + (self.end - self.start).astype(np.uint64) * np.uint64(_LANES[0]))
+        return byte_hash(data, self.start, self.end)
 
     def windows(self, width: int) -> np.ndarray:
         """Indices of the words that begin a window of ``width`` words of one row."""
