@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm import bpe, minhash, quality, substring
+from attestry.llm import bpe, minhash, pii, quality, secrets, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,8 +35,32 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", *base)
 
 
+def _joined(spans: Column) -> Column:
+    """kind:start:end of each span, in order, joined by a comma."""
+    text = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string")))
+    return F.array_join(text, ",")
+
+
+def _counts(spans: Column, kinds: tuple[str, ...]) -> list[Column]:
+    return [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.filter("spans", lambda s: s["base"])
+    return pii.found(_table(spark, sf_dir, "documents")).select(
+        "doc_id", *_counts(base, pii.KINDS), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans")
+    )
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    return secrets.found(_table(spark, sf_dir, "documents")).select(
+        "doc_id", *_counts(base, secrets.BASE_KINDS), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_bpe, op4_minhash, op5_substring, op6_quality)}
+    return {f.__name__: f for f in (op3_bpe, op4_minhash, op5_substring, op6_quality, op9_pii, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
