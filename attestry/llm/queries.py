@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm import bpe, minhash, pii, quality, secrets, substring
+from attestry.llm import bpe, classifier, minhash, pii, quality, secrets, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", *base)
 
 
+def op8_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def _joined(spans: Column) -> Column:
     """kind:start:end of each span, in order, joined by a comma."""
     text = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string")))
@@ -60,7 +64,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_bpe, op4_minhash, op5_substring, op6_quality, op9_pii, op10_secrets)}
+    return {f.__name__: f for f in (op3_bpe, op4_minhash, op5_substring, op6_quality, op8_classifier, op9_pii, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
