@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm import bpe, classifier, minhash, pii, quality, secrets, substring
+from attestry.llm import bpe, classifier, minhash, packing, pii, quality, secrets, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(packing.word_lengths(_table(spark, sf_dir, "documents")))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -64,7 +68,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_bpe, op4_minhash, op5_substring, op6_quality, op8_classifier, op9_pii, op10_secrets)}
+    return {f.__name__: f for f in (op1_packing, op3_bpe, op4_minhash, op5_substring, op6_quality, op8_classifier, op9_pii, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
