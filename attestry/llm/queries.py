@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm import bpe, classifier, minhash, packing, pii, quality, secrets, substring
+from attestry.llm import bpe, classifier, minhash, packing, pii, quality, secrets, substring, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,43 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(packing.word_lengths(_table(spark, sf_dir, "documents")))
 
 
+#: Rules of op2: host, path, verdict.
+URL_RULES = (
+    ("com", "/en/", "block"),
+    ("example.com", "/en/7", "allow"),
+    ("net", "/de/", "block"),
+    ("example.net", "/de/8", "block"),
+    ("org", "/es/", "block"),
+)
+
+
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listing = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
+    return urls.judged(_table(spark, sf_dir, "pages"), listing)
+
+
+OP2_SQL = r"""
+with parsed as (
+  select page_id,
+    coalesce(case when contains(url, '://') then translate(regexp_extract(url, '(?s)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') end, '') as host,
+    coalesce(case when contains(url, '://') then regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) end, '') as path
+  from pages),
+fits as (
+  select *,
+    (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/en/') as com,
+    (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/en/7') as example_com,
+    (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/de/') as net,
+    (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/de/8') as example_net,
+    (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/es/') as org
+  from parsed)
+select page_id, host, path,
+  case when example_com then 'example.com/en/7' when com then 'com/en/' when example_net then 'example.net/de/8'
+       when net then 'net/de/' when org then 'org/es/' end as rule,
+  case when example_com then 'allow' when com or example_net or net or org then 'block' else 'allow' end as verdict
+from fits
+"""
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -68,8 +105,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_bpe, op4_minhash, op5_substring, op6_quality, op8_classifier, op9_pii, op10_secrets)}
+    return {f.__name__: f for f in (op1_packing, op2_urls, op3_bpe, op4_minhash, op5_substring, op6_quality, op8_classifier, op9_pii, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_urls": OP2_SQL}
