@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm import bpe, classifier, minhash, packing, pii, quality, secrets, substring, urls
+from attestry.llm import bpe, classifier, fingerprint, minhash, packing, pii, quality, secrets, substring, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", *base)
 
 
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op8_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -104,8 +108,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_urls, op3_bpe, op4_minhash, op5_substring, op6_quality, op8_classifier, op9_pii, op10_secrets)}
+    return {f.__name__: f for f in (op1_packing, op2_urls, op3_bpe, op4_minhash, op5_substring, op6_quality, op7_fingerprint, op8_classifier, op9_pii, op10_secrets, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
