@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attestry.llm import words as W
 
@@ -112,30 +113,25 @@ def features(words: W.Words) -> dict[str, np.ndarray]:
     }
 
 
-def _measure(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    where = batch.schema.get_field_index("text")
-    for at, to, words in W.blocks(batch.column(where)):
-        part, found = batch.slice(at, to - at), features(words)
-        rest = [part.column(i) for i in range(part.num_columns) if i != where]
-        names = [x for x in part.schema.names if x != "text"]
-        yield pa.record_batch([*rest, *(pa.array(found[f].astype(np.int64)) for f in FEATURES)], names=[*names, *FEATURES])
-
-
-def measured(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
-    """``key`` and FEATURES of every row."""
-    kind = dict(docs.dtypes)[key]
-    schema = ", ".join([f"key {kind}", *(f"{f} long" for f in FEATURES)])
-    texts = docs.select(F.col(key).alias("key"), F.col(text_col).cast("string").alias("text"))
+def measured(docs: DataFrame, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` with FEATURES in a struct ``_features``, and without the text unless asked to keep it."""
+    names = [c for c in docs.columns if keep_text or c != text_col]
+    where = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _measure(batch)
+            for at, to, words in W.blocks(batch.column(where).cast(pa.large_string())):
+                part, found = batch.slice(at, to - at), features(words)
+                struct = pa.StructArray.from_arrays([pa.array(found[f].astype(np.int64)) for f in FEATURES], names=list(FEATURES))
+                columns = [part.column(i) for i, c in enumerate(part.schema.names) if keep_text or i != where]
+                yield pa.record_batch([*columns, struct], names=[*names, "_features"])
 
-    return texts.mapInArrow(run, schema).withColumnRenamed("key", key)
+    schema = T.StructType([f for f in docs.schema if f.name in names])
+    return docs.mapInArrow(run, schema.add("_features", T.StructType([T.StructField(f, T.LongType()) for f in FEATURES])))
 
 
 def _ratio(of: str, by: str) -> Column:
-    return F.col(of) / F.greatest(F.col(by), F.lit(1))
+    return F.col(f"_features.{of}") / F.greatest(F.col(f"_features.{by}"), F.lit(1))
 
 
 #: fault: {rule: (property, at most: good, at least: bad)}, or the reverse where good is higher.
@@ -160,13 +156,12 @@ FAULTS: dict[str, dict[str, tuple[tuple[str, str], float, float]]] = {
 RULES = {name: rule for group in FAULTS.values() for name, rule in group.items()}
 
 
-def votes() -> Column:
-    out = []
-    for (of, by), good, bad in RULES.values():
-        r = _ratio(of, by)
-        up, down = (r <= good, r >= bad) if good < bad else (r >= good, r <= bad)
-        out.append(F.when(up, 1).when(down, -1).otherwise(0).cast("tinyint"))
-    return F.when(F.col("n_words") > 0, F.array(*out)).otherwise(F.array(*[F.lit(0).cast("tinyint")] * len(out)))
+def vote(rule: str) -> Column:
+    """1, -1 or 0; a text without words has no vote."""
+    (of, by), good, bad = RULES[rule]
+    r = _ratio(of, by)
+    up, down = (r <= good, r >= bad) if good < bad else (r >= good, r <= bad)
+    return F.when(F.col("_features.n_words") == 0, 0).when(up, 1).when(down, -1).otherwise(0)
 
 
 def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, prior: float = 0.95) -> tuple[float, np.ndarray]:
@@ -211,27 +206,31 @@ def fit_all(patterns: np.ndarray, counts: np.ndarray) -> list[tuple[slice, float
     return out
 
 
-def judged(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``key``, FEATURES, base_failed, p_good and kept of every row."""
-    rows = measured(docs, key, text_col).withColumn("votes", votes())
-    seen = rows.where("n_words > 0").groupBy("votes").count().collect()  # 3 ** len(RULES) rows at most
-    patterns = np.array([list(r["votes"]) for r in seen], int).reshape(len(seen), len(RULES))
-    good = F.lit(1.0)
-    for own, p, table in fit_all(patterns, np.array([r["count"] for r in seen], float)):
+def _verdict(texts: DataFrame, text_col: str) -> tuple[Column, Column, Column]:
+    """base_failed, p_good and kept as expressions over ``_features``; fits the model on all ``texts``."""
+    rows = measured(texts.select(F.col(text_col).cast("string").alias("text"))).where("_features.n_words > 0")
+    seen = rows.groupBy(*(vote(r).alias(r) for r in RULES)).count().collect()  # 3 ** len(RULES) rows at most
+    patterns = np.array([[x[r] for r in RULES] for x in seen], int).reshape(len(seen), len(RULES))
+    good, names = F.lit(1.0), list(RULES)
+    for own, p, table in fit_all(patterns, np.array([x["count"] for x in seen], float)):
         odds = F.lit(float(np.log(p / (1 - p))))
-        for i in range(own.start, own.stop):
-            ratio = [float(x) for x in np.log(table[1, i - own.start] / table[0, i - own.start])]
-            vote = F.element_at("votes", i + 1)
-            odds = odds + F.when(vote == -1, ratio[0]).when(vote == 0, ratio[1]).otherwise(ratio[2])
+        for i, rule in enumerate(names[own]):
+            bad_, none_, good_ = (float(x) for x in np.log(table[1, i] / table[0, i]))
+            odds = odds + F.when(vote(rule) == 1, good_).when(vote(rule) == -1, bad_).otherwise(none_)
         good = good / (1 + F.exp(-odds))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    rows = rows.withColumns({"base_failed": failed, "p_good": good})
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= 0.5))
+    n_words = F.col("_features.n_words")
+    failed = (n_words < MIN_WORDS) | (100 * F.col("_features.n_repeat_words") > MAX_REPEAT_PERCENT * n_words)
+    return failed, good, ~failed & (good >= 0.5)
+
+
+def judged(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``key``, FEATURES, base_failed, p_good and kept of every row."""
+    failed, good, kept = _verdict(docs, text_col)
+    rows = measured(docs.select(key, F.col(text_col).cast("string").alias("_text")), "_text")
+    return rows.select(key, "_features.*", failed.alias("base_failed"), good.alias("p_good"), kept.alias("kept"))
 
 
-def filtered(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` that are kept, with their own columns; rows are told apart by key and text."""
-    names = docs.columns
-    carried = docs.withColumn("_row", F.struct(*(F.col(f"`{c}`") for c in names)))
-    kept = judged(carried.select("_row", F.col(text_col).alias("_text")), "_row", "_text").where("kept")
-    return kept.select(*(F.col(f"_row.`{c}`").alias(c) for c in names))
+def filtered(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, with their own columns."""
+    _, _, kept = _verdict(docs, text_col)
+    return measured(docs, text_col, keep_text=True).where(kept).drop("_features")

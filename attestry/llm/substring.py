@@ -28,7 +28,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -201,42 +201,61 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(m[:, 0]), pa.array((m[:, 1] >> 32).astype(np.int32)), pa.array((m[:, 1] & 0xFFFFFFFF).astype(np.int32))], names=["id", "tag", "pos"])
 
 
-def _kept(length: int):
+def _kept(length: int, as_is: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts = batch.column(2)
             for at in range(0, batch.num_rows, 256):
                 n_words, n_removed, kept = [], [], []
                 part = batch.slice(at, 256)
                 for text, cut_at in zip(part.column(1), part.column(2), strict=True):
-                    words = (text.as_py() or "").encode().split()
+                    whole = (text.as_py() or "").encode()
+                    words = whole.split()
                     n_words.append(len(words))
                     if cut_at.is_valid and len(cut_at):
                         edge = np.zeros(len(words) + 1, np.int32)
-                        at_ = cut_at.values.to_numpy()
-                        np.add.at(edge, at_, 1)
-                        np.add.at(edge, at_ + length, -1)
+                        begin = cut_at.values.to_numpy()
+                        np.add.at(edge, begin, 1)
+                        np.add.at(edge, begin + length, -1)
                         keep = np.cumsum(edge[:-1]) == 0
                         words = [w for w, k in zip(words, keep.tolist(), strict=True) if k]
                     n_removed.append(n_words[-1] - len(words))
-                    kept.append(b" ".join(words))
-                yield pa.record_batch(
-                    [part.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-                    names=["id", "n_words", "n_removed", "kept_text"],
-                )
-            del starts
+                    kept.append(whole if as_is and not n_removed[-1] else b" ".join(words))
+                columns = [part.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), part.column(3)]
+                yield pa.record_batch(columns, names=["id", "n_words", "n_removed", "kept_text", "rest"])
 
     return run
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
     """``id_col``, n_words, n_removed, kept_text (kept words joined by one space) of every row."""
+    out = _removed(docs, id_col, text_col, length, F.lit(None).cast("boolean"), as_is=False).drop("rest")
+    return out.withColumnRenamed("id", id_col)
+
+
+def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, chars_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the kept words, joined by one space, where some were removed.
+
+    Rows that lose all their words go; a row that loses none is returned as it is, with its
+    white space. Other columns are carried along; ``chars_col`` is counted anew where it
+    exists and words were removed.
+    """
+    others = [c for c in docs.columns if c != text_col]
+    found = _removed(docs, id_col, text_col, length, F.struct(*(F.col(f"`{c}`") for c in others)), as_is=True)
+    changed = F.col("n_removed") > 0
+    out = {c: F.col(f"rest.`{c}`") for c in others}
+    if chars_col in out:
+        out[chars_col] = F.when(changed, F.char_length("kept_text")).otherwise(out[chars_col]).cast(docs.schema[chars_col].dataType)
+    out[text_col] = F.col("kept_text")
+    return found.where("n_removed = 0 or n_removed < n_words").select(*(out[c].alias(c) for c in docs.columns))
+
+
+def _removed(docs: DataFrame, id_col: str, text_col: str, length: int, rest: Column, as_is: bool) -> DataFrame:
     if length < 4:
         raise ValueError("length must be 4 words at least")
     id_, text = F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
     twice = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").limit(1).count()
     tag = F.hash("text").bitwiseAND(0x7FFFFFFF) if twice else F.lit(0)  # tells apart rows that share an id
-    texts = docs.select(id_, text).withColumn("tag", tag.cast("int")).select("id", "tag", "text")
+    texts = docs.select(id_, text, rest.alias("rest")).withColumn("tag", tag.cast("int"))
     named = texts.where("id is not null")
 
     def repeated(level: DataFrame, *keys: str) -> DataFrame:
@@ -244,7 +263,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return level.withColumns({"least": F.min("lo").over(w), "most": F.max("hi").over(w)}).where("least < most")
 
     level = "h long, lo long, hi long, rows binary"
-    one = named.mapInArrow(_level_one(length), level)
+    one = named.select("id", "tag", "text").mapInArrow(_level_one(length), level)
     two = repeated(one, "h").select("rows").mapInArrow(_level_two, level)
     alive = repeated(two, "h").select("rows").mapInArrow(_survivors, "id long, tag int, pos int")
     alive = cut(alive.groupBy("id", "tag").agg(F.collect_set("pos").alias("positions")))
@@ -255,10 +274,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     three = three.mapInArrow(_level_three(length), "h long, g long, lo long, hi long, rows binary")
     gone = repeated(three, "h", "g").select("least", "rows").mapInArrow(_repeated, "id long, tag int, pos int")
     gone = gone.groupBy("id", "tag").agg(F.collect_list("pos").alias("starts"))
-    held = touched.join(gone, ["id", "tag"], "left").select("id", "text", "starts")
-    rest = texts.where("id is null")
+    held = touched.join(gone, ["id", "tag"], "left").select("id", "text", "starts", "rest")
+    others = texts.where("id is null")
     if few:
-        rest = texts.join(hinted(ids, few), "id", "left_anti")
-    held = held.union(rest.select("id", "text", F.lit(None).cast("array<int>")))
-    out = held.mapInArrow(_kept(length), "id long, n_words long, n_removed long, kept_text string")
-    return out.withColumnRenamed("id", id_col)
+        others = texts.join(hinted(ids, few), "id", "left_anti")
+    held = held.union(others.select("id", "text", F.lit(None).cast("array<int>"), "rest"))
+    kind = texts.schema["rest"].dataType.simpleString()
+    return held.mapInArrow(_kept(length, as_is), f"id long, n_words long, n_removed long, kept_text string, rest {kind}")
