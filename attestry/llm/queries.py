@@ -91,7 +91,10 @@ def _joined(spans: Column) -> Column:
 
 
 def _counts(spans: Column, kinds: tuple[str, ...]) -> list[Column]:
-    return [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return [count(k) for k in kinds]
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
