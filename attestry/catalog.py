@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-FLAGSHIP = ""
+from attestry.plans import evidence_queries, verdict_queries
+
+FLAGSHIP = "bitemporal_verdict"
+
+_ALL = verdict_queries.QUERIES | evidence_queries.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: f for name, (f, _) in _ALL.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, (_, sql) in _ALL.items() if sql}

@@ -92,7 +92,7 @@ def first_property(properties: Column, key: str) -> Column:
 
 def split_items(text: Column, separator: str = r"\|") -> Column:
     """Trimmed, non-empty parts in order of first appearance."""
-    return F.array_distinct(F.filter(F.transform(F.split(text, separator), F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(text, separator), lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def unescaped(html: Column) -> Column:
@@ -143,5 +143,3 @@ def template(text: str, fields: dict[str, Column]) -> Column:
     return F.concat(*parts)
 
 
-def contains_all_roots(flags: Column) -> Column:
-    return F.forall(flags, lambda x: x)
