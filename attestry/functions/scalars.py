@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # control characters of Spanish tax ids, and the letters that demand a letter control (fixed values)
 NIF_LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE"
 CIF_LETTERS = "JABCDEFGHI"
-CIF_LETTER_ONLY = "KPQS"
+CIF_LETTER_ONLY = "KPQSNWR"
 
 NAMESPACE_URL = "6ba7b8119dad11d180b400c04fd430c8"
 
