@@ -78,7 +78,7 @@ def features(words: W.Words) -> dict[str, np.ndarray]:
     breaks = np.flatnonzero(data == 10)
     start = np.unique(np.concatenate((offsets[:-1], breaks + 1)))
     start = start[start < len(data)]
-    end = np.append(start[1:], len(data))
+    end = np.append(start[1:], len(data))[: len(start)]
     end -= (data[end - 1] == 10).astype(np.int64) if len(end) else 0
     worded = np.searchsorted(words.start, end) > np.searchsorted(words.start, start)
     start, end = start[worded], end[worded]
