@@ -84,6 +84,7 @@ def _in_order(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, D
     parts = min(MOST_PARTS, 1 + (size["chars"] or 0) // PART_CHARS)
     width = max(1, -(-(hi - lo + 1) // (4 * parts)))
     span = F.when(F.col("at") < lo, 0).otherwise(F.floor((F.col("at").cast("decimal(20,0)") - lo) / width)).cast("long")
+    span = F.coalesce(span, F.lit(0).cast("long"))  # never NULL, so no filter tells the branches apart
     rows = rows.withColumns({"span": span, "tie": F.xxhash64("text")})
     # ranges that have rows, and the range whose first row follows the last of each
     heads = rows.groupBy("span").agg(F.max(F.struct("at", F.col("tie"))).alias("head"))
@@ -102,7 +103,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``id_col``, n_chars, edited_text's sha, fingerprint, edited_fingerprint, near_edited, near_next."""
     rows, order, parts, after = _in_order(docs, id_col, text_col)
     placed = Window.partitionBy("span").orderBy(F.desc("at"), F.desc("tie"))
-    dealt = rows.repartition(parts, "span")
+    # both branches below need the same four columns, so that texts are dealt once for both
+    dealt = rows.select("span", "id", "tie", "text").repartition(parts, "span")
+    dealt = dealt.withColumn("at", F.coalesce(F.col("id").cast("long"), F.lit(-(1 << 63))))
     dealt = dealt.withColumns({"row": F.row_number().over(placed), "following": F.lead("text").over(placed)})
     ends = dealt.join(after, "span", "left")
     base = ends.select("span", "row", "id", "text", edited_text(F.col("text"), F.coalesce("following", "head_text")).alias("edited"))
