@@ -79,7 +79,8 @@ def _in_order(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, D
     rows = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), least).alias("at"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
-    size = rows.where(F.col("at") > least).agg(F.min("at").alias("lo"), F.max("at").alias("hi")).crossJoin(rows.agg(F.sum(F.char_length("text")).alias("chars"))).first()
+    real = F.when(F.col("at") > least, F.col("at"))
+    size = rows.agg(F.min(real).alias("lo"), F.max(real).alias("hi"), F.sum(F.char_length("text")).alias("chars")).first()
     lo, hi = size["lo"] or 0, size["hi"] or 0
     parts = min(MOST_PARTS, 1 + (size["chars"] or 0) // PART_CHARS)
     width = max(1, -(-(hi - lo + 1) // (4 * parts)))
@@ -89,8 +90,8 @@ def _in_order(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, D
     # ranges that have rows, and the range whose first row follows the last of each
     heads = rows.groupBy("span").agg(F.max(F.struct("at", F.col("tie"))).alias("head"))
     every = Window.orderBy(F.desc("span"))
-    top = heads.agg(F.max("span").alias("top"))
-    order = cut(heads.select("span", "head", F.lead("span").over(every).alias("then")).crossJoin(F.broadcast(top)).withColumn("then", F.coalesce("then", "top")))
+    whole = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    order = cut(heads.select("span", "head", F.coalesce(F.lead("span").over(every), F.first("span").over(whole)).alias("then")))
     few = few_ids(order)
     head = order.select("span", F.col("head.at").alias("at"), F.col("head.tie").alias("tie"))
     # text of each range's first row; rows that repeat have one text
