@@ -47,7 +47,9 @@ def levels(length: int) -> tuple[int, int]:
 
 
 def _sliding(values: np.ndarray, width: int, pick: Callable) -> np.ndarray:
-    """pick over values[i:i + width] for each i, in log2(width) passes."""
+    """pick over values[i:i + width] for each i, in log2(width) passes; none where fewer than ``width`` are left."""
+    if len(values) < width:
+        return values[:0]
     have = 1
     while 2 * have <= width:
         values = pick(values[:-have], values[have:])

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from attestry.llm import bpe, classifier, fingerprint, minhash, packing, pii, quality, queries, secrets, substring
+from attestry.llm import words as W
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LABELS = "doc_id long, quality int, toxic int"
@@ -48,6 +51,22 @@ def test_empty_table(spark, name):
     assert OPERATORS[name](spark, spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+@pytest.mark.parametrize("length", [4, 13, 50])
+def test_blocks_of_every_word_count(length):
+    for n in range(2 * length + 1):
+        words = W.split(*W.text_bytes(pa.array([" ".join(f"w{k}" for k in range(n))])))
+        assert (len(substring._anchors(words, length)[0]) > 0) == (n >= length)
+        for width in (1, 2, 3, length - 1, length):
+            want = [min(range(i, i + width)) for i in range(n - width + 1)]
+            assert substring._sliding(np.arange(n, dtype=np.uint64), width, np.minimum).tolist() == want
+
+
+def test_one_short_row_has_no_passage(spark):
+    rows = [(1, " ".join(f"w{k}" for k in range(35)), "en", "s", 1)]
+    got = substring.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [(r.n_words, r.n_removed, r.kept_text) for r in got] == [(35, 0, rows[0][1])]
+
+
 def test_pipeline_stages(spark, tmp_path):
     body = [" ".join(f"w{(i * 37 + k * k) % 5003}" for k in range(120)) for i in range(12)]
     shared = " ".join(f"p{k}" for k in range(60))
