@@ -7,7 +7,8 @@ sequence as one shingle when it has fewer words).  Two texts are linked when
 1. Each set is sketched: one register per bucket, every bucket with a permutation of its
    own, so short texts leave no bucket empty.  A register holds the leading-zero count of
    the bucket's minimum and ten mantissa bits, 16 bits in all.
-2. Texts with equal sets form one class; its smallest id stands for it.
+2. Texts with equal sets form one class, a node of its own; the text of its smallest id
+   stands for it. Classes of one id are linked with each other.
 3. Registers are banded.  In a band's bucket of at most ``SMALL`` classes all pairs are
    candidates; in a larger one each class is paired with the smallest.
 4. Candidates whose sizes or whose collision-corrected Jaccard estimate rule a link out go;
@@ -21,8 +22,9 @@ sequence as one shingle when it has fewer words).  Two texts are linked when
 With 28 bands of 4 registers a link at Jaccard 0.8 misses all bands with probability 4e-7.
 
 Defined cases: a null or empty text has no shingles and is linked with nothing; a null id
-is kept and gets a null component; rows that repeat an id share its component; an empty
-table gives an empty result; other columns are ignored.
+is kept and gets a null component; rows with shingles that repeat an id share its
+component, whatever their texts; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -108,12 +110,13 @@ def _sketch(width: int):
             yield pa.record_batch(
                 [
                     ids.slice(at, to - at),
+                    batch.column(2).slice(at, to - at),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(sums[:, 0].view(np.int64)),
                     pa.array(sums[:, 1].view(np.int64)),
                     pa.array([r.tobytes() for r in reg], pa.binary()),
                 ],
-                names=["id", "n", "set_a", "set_b", "sketch"],
+                names=["id", "tag", "n", "set_a", "set_b", "sketch"],
             )
 
     return run
@@ -150,14 +153,14 @@ def _as_set(width: int):
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for at, to, words in W.blocks(batch.column(1)):
             sets = [s.tobytes() for s in shingle_sets(words, width)]
-            yield pa.record_batch([batch.column(0).slice(at, to - at), pa.array(sets, pa.binary())], names=["id", "members"])
+            yield pa.record_batch([batch.column(0).slice(at, to - at), pa.array(sets, pa.binary())], names=["node", "members"])
 
     return run
 
 
 def _compare(pairs: pa.Table, sets: pa.Table) -> pa.Table:
     """Overlap of each pair; ``bits`` marks which of a's members, in order, b has too."""
-    held = dict(zip(sets["id"].to_pylist(), (np.frombuffer(x, np.uint64) for x in sets["members"].to_pylist()), strict=True))
+    held = dict(zip(sets["node"].to_pylist(), (np.frombuffer(x, np.uint64) for x in sets["members"].to_pylist()), strict=True))
     a, b = pairs["a"].to_pylist(), pairs["b"].to_pylist()
     both, bits = [], []
     for i, j in zip(a, b, strict=True):
@@ -174,24 +177,29 @@ def _sizes_fit(n: Column, m: Column, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def _overlaps(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+def _held(some: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """node and text of each of ``some`` nodes."""
+    wanted = nodes.select("node", "id", "tag").join(hinted(some, few_ids(some)), "node", "left_semi")
+    held = texts.join(hinted(wanted, few_ids(wanted)), ["id", "tag"])
+    return held.groupBy("id", "tag", "node").agg(F.first("text").alias("text")).select("node", "text")  # a repeated row counts once
+
+
+def _overlaps(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """a, b, na, nb, both, bits of each pair, from the full sets of the whole texts.
 
     Each text's set is made once. Sets meet in blocks: a pair goes to the block of its two
-    ids' hashes, a set to the blocks in which it has a pair, so a group holds the sets of two
+    nodes' hashes, a set to the blocks in which it has a pair, so a group holds the sets of two
     hash classes of about BLOCK_SHINGLES shingles each.
     """
     pairs = cut(pairs)
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    held = texts.join(hinted(ids, few_ids(ids)), "id", "left_semi")
-    held = held.groupBy("id").agg(F.first("text").alias("text"))  # a repeated id counts once
-    sets = cut(map_batches(held, _as_set(width), "id long, members binary"))
+    some = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = cut(map_batches(_held(some, nodes, texts), _as_set(width), "node long, members binary"))
     total = sets.agg(F.sum(F.octet_length("members"))).first()[0] or 0
     parts = 1 + total // (8 * BLOCK_SHINGLES)
     cell = [F.pmod(F.xxhash64(c), F.lit(parts)).alias(f"cell_{c}") for c in ("a", "b")]
     placed = pairs.select("a", "b", *cell)
-    needs = placed.select(F.explode(F.array("a", "b")).alias("id"), F.col("cell_a").alias("at_a"), F.col("cell_b").alias("at_b"))
-    needs = needs.distinct().join(sets, "id")
+    needs = placed.select(F.explode(F.array("a", "b")).alias("node"), F.col("cell_a").alias("at_a"), F.col("cell_b").alias("at_b"))
+    needs = needs.distinct().join(sets, "node")
     both = placed.groupBy("cell_a", "cell_b").cogroup(needs.groupBy("at_a", "at_b"))
     return both.applyInArrow(_compare, "a long, b long, na long, nb long, both long, bits array<long>")
 
@@ -210,7 +218,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, per
         .select("a", "b", "na", "nb", "sa", "sb")
     )
     likely = map_batches(both, _likely(percent), "a long, b long")
-    return cut(_linked(_overlaps(likely, texts, width), percent))
+    return cut(_linked(_overlaps(likely, nodes, texts, width), percent))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -252,9 +260,7 @@ def _finish(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Data
         return rows.join(several.select("key", "least"), "key")
 
     open_ = cut(unresolved(large, labels))
-    ids = open_.select(F.col("node").alias("id")).distinct()
-    held = texts.join(hinted(ids, few_ids(ids)), "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
-    grams = map_batches(held, _shingles(width), "shingle long, node long")
+    grams = map_batches(_held(open_.select("node").distinct(), nodes, texts), _shingles(width), "shingle long, node long")
     # of a class's shingles, those that another class of these buckets has too
     alone = grams.groupBy("shingle").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
     alone = cut(alone.groupBy("node").agg(F.count("*").alias("alone")))
@@ -266,7 +272,7 @@ def _finish(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Data
     centre = centre.select("key", (-F.col("c.col2")).alias("centre"), F.col("c.m").alias("m"))
     bound = cut(bound.join(centre, "key"))
     star = bound.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    star = cut(_overlaps(star, texts, width))
+    star = cut(_overlaps(star, nodes, texts, width))
     links = links.union(_linked(star, percent))
     rest = unresolved(bound.where("node != centre").drop("root", "least"), components(links))
     rest = cut(rest.join(star.select(F.col("a").alias("centre"), F.col("b").alias("node"), "both", "bits"), ["centre", "node"]))
@@ -280,15 +286,29 @@ def _finish(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Data
     return links.union(_links(pairs, nodes, texts, width, percent))
 
 
+def _ties(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges between the classes of each id that has several."""
+    sets = rows.where("n > 0 and id is not null").select("id", "set_a", "set_b")
+    pair = F.struct("set_a", "set_b")
+    several = cut(sets.groupBy("id").agg(F.min(pair).alias("lo"), F.max(pair).alias("hi")).where("lo < hi").select("id", "lo"))
+    found = sets.join(hinted(several, few_ids(several)), "id").distinct().where(pair != F.col("lo"))
+    node = classes.select("set_a", "set_b", "node")
+    found = found.join(node.withColumnRenamed("node", "b"), ["set_a", "set_b"]).select("lo.set_a", "lo.set_b", "b")
+    found = found.join(node.withColumnRenamed("node", "a"), ["set_a", "set_b"])
+    return cut(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """``id_col``, n_shingles, component_id, kept for every row of ``docs``."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = cut(map_batches(texts, _sketch(width), "id long, n long, set_a long, set_b long, sketch binary"))
-    classes = rows.where("n > 0 and id is not null").groupBy("set_a", "set_b").agg(F.min("id").alias("node"))
-    classes = cut(classes)
-    named = rows.where("n > 0").join(classes, ["set_a", "set_b"])
-    nodes = cut(named.where("id = node").select("node", "n", "sketch").dropDuplicates(["node"]))
-    banded = map_batches(nodes, _bands, "key long, node long, n long")
+    texts = texts.withColumn("tag", F.xxhash64("text"))  # tells apart rows that share an id
+    rows = cut(map_batches(texts.select("id", "text", "tag"), _sketch(width), "id long, tag long, n long, set_a long, set_b long, sketch binary"))
+    classes = rows.where("n > 0 and id is not null").groupBy("set_a", "set_b").agg(F.min(F.struct("id", "tag")).alias("c"))
+    classes = cut(classes.select("set_a", "set_b", "c.id", "c.tag", F.monotonically_increasing_id().alias("node")))
+    named = rows.where("n > 0").join(classes.withColumnsRenamed({"id": "least_id", "tag": "least_tag"}), ["set_a", "set_b"])
+    nodes = named.where("id = least_id and tag = least_tag").select("node", "id", "tag", "n", "sketch")
+    nodes = cut(nodes.dropDuplicates(["node"]))
+    banded = map_batches(nodes.select("node", "n", "sketch"), _bands, "key long, node long, n long")
     buckets = banded.groupBy("key").agg(F.min(F.struct("node", F.col("n").alias("m"))).alias("c"), F.count("*").alias("size")).where("size > 1")
     members = cut(banded.join(buckets, "key").select("key", "node", "n", F.col("c.node").alias("pivot"), F.col("c.m").alias("m"), "size"))
     star = members.where((F.col("size") > SMALL) & (F.col("node") > F.col("pivot")) & _sizes_fit(F.col("n"), F.col("m"), percent))
@@ -296,11 +316,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other = small.select("key", F.col("node").alias("node_"), F.col("n").alias("n_"))
     full = small.join(other, "key").where((F.col("node") < F.col("node_")) & _sizes_fit(F.col("n"), F.col("n_"), percent))
     pairs = star.select(F.col("pivot").alias("a"), F.col("node").alias("b")).union(full.select("node", "node_")).distinct()
-    links = _links(pairs, nodes, texts, width, percent)
+    links = _links(pairs, nodes, texts, width, percent).union(_ties(rows, classes))
     labels = components(links)
     labels = components(_finish(members, labels, nodes, texts, links, width, percent))
-    roots = classes.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("root", "node").alias("root"))
-    found = rows.drop("sketch").join(roots, ["set_a", "set_b"], "left")
+    labels = cut(labels.join(classes.select("node", "id"), "node"))
+    least = labels.groupBy("root").agg(F.min("id").alias("least"))
+    labels = labels.join(hinted(least, few_ids(least)), "root").select("node", "least")
+    roots = classes.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("least", "id").alias("root"))
+    found = rows.drop("sketch", "tag").join(roots, ["set_a", "set_b"], "left")
     root = F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("id"))
     root = F.when(F.col("id").isNotNull(), root)
     return found.select(

@@ -79,6 +79,35 @@ def test_near_duplicates_equal_brute_force(docs, corpus, width, small, monkeypat
     assert got == components(corpus, width)
 
 
+@pytest.mark.parametrize("small", [12, 2])
+def test_near_duplicates_of_repeated_ids(spark, small, monkeypatch):
+    monkeypatch.setattr(minhash, "SMALL", small)
+    rng = random.Random(8)
+    rows = []
+    for k in range(24):  # id 0 has half of the texts, each text has a near copy under an id of its own
+        w = words(rng, 150, 5000)
+        rows += [(0 if k % 2 else 100 + k // 4, " ".join(w))]
+        for c in range(3):
+            rows += [(1000 + 10 * k + c, " ".join([*w[:-1], f"x{k}y{c}"]))]
+    rows += [(1000, rows[0][1]), (2000, " ".join(words(rng, 90, 5000))), (2000, None), (0, "a b"), (0, "a b")]
+    rng.shuffle(rows)
+    sets, root = [shingles(t, 4) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and (rows[a][0] == rows[b][0] or 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])):
+                root[find(a)] = find(b)
+    want = [(i, len(s), min(rows[b][0] for b in range(len(rows)) if find(b) == find(a))) for a, ((i, _), s) in enumerate(zip(rows, sets, strict=True))]
+    for order in (rows, rows[::-1]):
+        got = minhash.near_duplicates(spark.createDataFrame(order, "doc_id long, text string").repartition(3), width=4).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(want)
+
+
 def test_hyperminhash_estimates_jaccard():
     rng = np.random.Generator(np.random.PCG64(1))
     for want in (0.0, 0.5, 0.9):
