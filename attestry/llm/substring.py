@@ -14,8 +14,10 @@ a part of half its size was found in two documents on the level before.
 3. Survivors are extended to the full length: of each document, the windows whose anchor
    survived. Those that a document with a smaller id has are cut out.
 
-Rows of a level are grouped within a task before they are shuffled, so a passage that a
-third of all documents hold sends one row a task and not one a document.
+Rows of a level are grouped within a task before they are shuffled. Of a passage that many
+documents of a task hold, only the places of the least of them meet those of other tasks; the
+others are known to be repeats and are spread by a salt, so a passage that a third of all
+documents hold is not gathered in one task.
 
 Defined cases: a null text has no words; a null id removes and loses nothing; documents
 that share an id do not count as earlier than each other, each is judged by its own words;
@@ -94,18 +96,30 @@ def _anchors(words: W.Words, length: int) -> tuple[np.ndarray, ...]:
 
 
 def _grouped(keys: list[np.ndarray], doc: np.ndarray, fields: list[np.ndarray]) -> list[pa.Array]:
-    """One row a key: the keys, least and greatest document, and the packed fields of its rows."""
+    """Keys, salt, least and greatest document, and the packed fields of the rows of each key.
+
+    A key has one row with what its least document holds (salt 0, so all such rows of a key
+    meet). What its other documents hold is in a row of its own, which needs to meet no other:
+    that a smaller document has the key is known. Its salt spreads it, so no key that many
+    documents share is gathered in one task.
+    """
     order = np.lexsort((doc, *keys[::-1]))
-    keys = [k[order] for k in keys]
+    keys, doc = [k[order] for k in keys], doc[order]
     new = np.ones(len(order), bool)
     new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    group = np.cumsum(new) - 1
+    lo = doc[np.flatnonzero(new)]
+    hi = doc[np.append(np.flatnonzero(new)[1:], len(order)) - 1]
+    other = doc > lo[group]
+    new[1:] |= other[1:] != other[:-1]
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(order))
-    doc = doc[order]
+    place = W.mix(keys[0].view(np.uint64) ^ W.mix(doc.view(np.uint64) ^ W.mix(fields[1][order].view(np.uint64))))
+    salt = np.where(other[first], (place[first] >> np.uint64(40)).astype(np.int64) + 1, 0)
     packed = np.stack([f[order].view(np.int64) for f in fields], 1).tobytes()
     size = 8 * len(fields)
     payload = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(np.append(first, len(order)) * size), pa.py_buffer(packed)])
-    return [*(pa.array(k[first].view(np.int64)) for k in keys), pa.array(doc[first]), pa.array(doc[last - 1]), payload.cast(pa.binary())]
+    lo, hi = lo[group[first]], hi[group[first]]
+    return [*(pa.array(k[first].view(np.int64)) for k in keys), pa.array(salt), pa.array(lo), pa.array(hi), payload.cast(pa.binary())]
 
 
 def _unpacked(column: pa.Array, fields: int) -> np.ndarray:
@@ -140,7 +154,7 @@ def _level_one(length: int):
                 row = words.row[pos]
                 yield [gram], ids[at + row], [ids[at + row], _place(tags[at + row], pos - words.first[row]), right, left]
 
-    return lambda batches: _gathered(rows(batches), ["h", "lo", "hi", "rows"])
+    return lambda batches: _gathered(rows(batches), ["h", "salt", "lo", "hi", "rows"])
 
 
 def _place(tag: np.ndarray, pos: np.ndarray) -> np.ndarray:
@@ -156,7 +170,7 @@ def _level_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep = key != 0
             yield [key[keep]], doc[keep], [doc[keep], place[keep]]
 
-    return _gathered(rows(), ["h", "lo", "hi", "rows"])
+    return _gathered(rows(), ["h", "salt", "lo", "hi", "rows"])
 
 
 def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +201,7 @@ def _level_three(length: int):
                 yield [a, b >> np.uint64(32)], doc, [doc, _place(tags[at + row], begin - words.first[row])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _gathered(rows(batches), ["h", "g", "lo", "hi", "rows"]):
+        for batch in _gathered(rows(batches), ["h", "g", "salt", "lo", "hi", "rows"]):
             yield batch.set_column(1, "g", batch.column(1).cast(pa.int64()))
 
     return run
@@ -261,10 +275,11 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, length: int, rest: Col
     named = texts.where("id is not null")
 
     def repeated(level: DataFrame, *keys: str) -> DataFrame:
-        w = Window.partitionBy(*keys)
+        # the order makes what a task reads, and so how it groups, the same if it is run again
+        w = Window.partitionBy(*keys, "salt").orderBy("lo", "hi", "rows").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         return level.withColumns({"least": F.min("lo").over(w), "most": F.max("hi").over(w)}).where("least < most")
 
-    level = "h long, lo long, hi long, rows binary"
+    level = "h long, salt long, lo long, hi long, rows binary"
     one = named.select("id", "tag", "text").mapInArrow(_level_one(length), level)
     two = repeated(one, "h").select("rows").mapInArrow(_level_two, level)
     alive = repeated(two, "h").select("rows").mapInArrow(_survivors, "id long, tag int, pos int")
@@ -273,7 +288,7 @@ def _removed(docs: DataFrame, id_col: str, text_col: str, length: int, rest: Col
     few = few_ids(ids)
     touched = named.join(hinted(ids, few), "id", "left_semi") if few else named
     three = touched.join(alive, ["id", "tag"]).select("id", "tag", "text", "positions")
-    three = three.mapInArrow(_level_three(length), "h long, g long, lo long, hi long, rows binary")
+    three = three.mapInArrow(_level_three(length), "h long, g long, salt long, lo long, hi long, rows binary")
     gone = repeated(three, "h", "g").select("least", "rows").mapInArrow(_repeated, "id long, tag int, pos int")
     gone = gone.groupBy("id", "tag").agg(F.collect_list("pos").alias("starts"))
     held = touched.join(gone, ["id", "tag"], "left").select("id", "text", "starts", "rest")
