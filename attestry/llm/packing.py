@@ -9,12 +9,17 @@ length that holds its contents.
 Pieces of one length are interchangeable, so the plan is made from how many there are of
 each length: a table of at most ``max(sizes)`` rows, whatever the input. It gives runs of
 ranks within a length to runs of bins. Ranks are counted in parallel: within a length by
-salted groups, whose offsets are the sums of the groups before, so a length that a third of
-all documents share is not one task's work.
+salted groups of about ``RANKED`` pieces, whose offsets are the sums of the groups before, so
+a length that a third of all documents share is not one task's work.
 
-Defined cases: a null or empty text counts as its closing token alone; equal rows are packed
-each for itself, and which of them takes which place is of no consequence; an empty table
-gives an empty result; other columns are ignored.
+Ties: of bins with equal free space the one opened last is filled first; of permitted lengths
+with equal cost the shorter is opened; pieces of one length are placed by salt, then key, then
+piece, and rows that are equal in all of these take each other's places.
+
+Defined cases: a null or empty text counts as its closing token alone; a text of any length is
+cut into pieces; equal rows are packed each for itself; a null id is packed like any other;
+rows equal in id, piece and length are counted by one task, as a stream; an empty table gives
+an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,8 +38,8 @@ from attestry.llm import words as W
 SIZES = (512, 1024, 2048, 4096)
 #: Tokens that a sequence costs beyond its length, and the length at which attention doubles its cost.
 OVERHEAD, DOUBLES_AT = 16, 16_384
-#: Ranks are counted in this many salted groups a length.
-SALTS = 64
+#: Pieces that one task ranks, in the mean, where many share a length.
+RANKED = 1_000_000
 
 
 def cost(size: int) -> float:
@@ -114,13 +119,22 @@ def packed(lengths: DataFrame, id_col: str = "doc_id", sizes: tuple[int, ...] =
     rows = lengths.select(F.col(id_col).alias("key"), F.col("n_tokens").cast("long").alias("n")).where("n > 0")
     rows = rows.select("key", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / most))).alias("piece"))
     rows = rows.withColumn("tokens", F.least(F.lit(most), F.col("n") - F.col("piece") * most))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("key", "piece"), F.lit(SALTS))).select("key", "piece", "tokens", "salt")
-    groups = rows.groupBy("tokens", "salt").count().toPandas()  # max(sizes) * SALTS rows at most
-    groups = groups.sort_values(["tokens", "salt"])
-    before = groups["count"].groupby(groups["tokens"]).cumsum() - groups["count"]
-    offset = np.zeros((most + 1, SALTS), np.int64)
-    offset[groups["tokens"], groups["salt"]] = before
-    totals = groups.groupby("tokens")["count"].sum()
+    counts = rows.groupBy("tokens").count().toPandas()  # max(sizes) rows at most
+    totals = counts.set_index("tokens")["count"]
+    salts = np.ones(most + 1, np.int64)
+    salts[counts["tokens"].to_numpy(np.int64)] = 1 + counts["count"].to_numpy(np.int64) // RANKED
+    first_salt = np.concatenate(([0], np.cumsum(salts)))  # of each length, in a list of all groups
+    offset = np.zeros(first_salt[-1], np.int64)
+    if (many := np.flatnonzero(salts > 1)).size:
+        several = lengths.sparkSession.createDataFrame(list(zip(many.tolist(), salts[many].tolist(), strict=True)), "tokens long, salts long")
+        rows = rows.join(F.broadcast(several), "tokens", "left")  # max(sizes) rows at most
+        rows = rows.select("key", "piece", "tokens", F.coalesce(F.pmod(F.xxhash64("key", "piece", "n"), "salts"), F.lit(0)).cast("long").alias("salt"))
+        groups = rows.where(F.col("tokens").isin(many.tolist())).groupBy("tokens", "salt").count().toPandas()  # a row for RANKED pieces
+        groups = groups.sort_values(["tokens", "salt"])
+        before = groups["count"].groupby(groups["tokens"]).cumsum() - groups["count"]
+        offset[first_salt[groups["tokens"].to_numpy(np.int64)] + groups["salt"].to_numpy(np.int64)] = before
+    else:
+        rows = rows.select("key", "piece", "tokens", F.lit(0).cast("long").alias("salt"))
     runs, bins = plan({int(k): int(v) for k, v in totals.items()}, sizes)
     own = Window.partitionBy("tokens", "salt").orderBy("key", "piece")
     ranked = rows.withColumn("rank", F.row_number().over(own) - 1).select("key", "piece", "tokens", "salt", "rank")
@@ -132,7 +146,7 @@ def packed(lengths: DataFrame, id_col: str = "doc_id", sizes: tuple[int, ...] =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, piece, tokens, salt, rank = batch.columns
-            tokens, rank = tokens.to_numpy(), rank.to_numpy() + offset[tokens.to_numpy(), salt.to_numpy()]
+            tokens, rank = tokens.to_numpy(), rank.to_numpy() + offset[first_salt[tokens.to_numpy()] + salt.to_numpy()]
             if place is not None:
                 at = np.searchsorted(place, tokens * span + rank, "right") - 1
             else:
