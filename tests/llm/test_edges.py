@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from attestry.llm import bpe, classifier, fingerprint, minhash, packing, pii, quality, queries, secrets, substring
+from attestry.llm import bpe, classifier, fingerprint, minhash, packing, pii, quality, queries, secrets, substring, urls
 from attestry.llm import words as W
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -23,6 +23,7 @@ def _bpe(d):
 
 
 OPERATORS = {
+    "urls": lambda s, d: urls.judged(d.withColumnRenamed("text", "url"), s.createDataFrame(queries.URL_RULES, "host string, path string, verdict string"), id_col="doc_id"),
     "packing": lambda s, d: packing.packed(packing.word_lengths(d)),
     "bpe": lambda s, d: _bpe(d),
     "minhash": lambda s, d: minhash.near_duplicates(d),
