@@ -17,14 +17,19 @@ sequence as one shingle when it has fewer words).  Two texts are linked when
    other class of those buckets has bound every overlap from above, which removes classes
    that can have no link; the class with the fewest such shingles becomes the second centre.
    Which of the centre's shingles two classes share, as bit sets, bounds the overlap of any
-   pair across components; the pairs that this leaves are confirmed one by one.
+   pair across components; the pairs that this leaves are confirmed one by one. Bounds are
+   compared in blocks of classes of a bucket, each a key of its own, so a bucket is the work
+   of as many tasks as it has pairs of blocks.
+
+Joins whose key may be hot (buckets, centres, roots, sets of exact copies) split such keys.
 
 With 28 bands of 4 registers a link at Jaccard 0.8 misses all bands with probability 4e-7.
 
 Defined cases: a null or empty text has no shingles and is linked with nothing; a null id
 is kept and gets a null component; rows with shingles that repeat an id share its
-component, whatever their texts; an empty table gives an empty result; other columns are
-ignored.
+component, whatever their texts, and each text keeps links of its own; a component is named by
+its least id, so ties do not matter; texts of any length are taken whole; an empty table gives
+an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestry.llm import words as W
-from attestry.llm.spark import cut, few_ids, hinted, map_batches
+from attestry.llm.spark import cut, few_ids, hinted, map_batches, split_join, stored
 
 BANDS, ROWS = 28, 4
 REGISTERS = BANDS * ROWS
@@ -46,6 +51,8 @@ MANTISSA = 10
 BLOCK_SHINGLES = 500_000
 #: Classes of a bucket up to which all its pairs are candidates.
 SMALL = 12
+#: Classes of one side of a block in which those of a large bucket are compared.
+BLOCK_CLASSES = 1000
 #: Five standard errors of a Jaccard estimate at 0.8 from REGISTERS registers.
 MARGIN = 5 * (0.8 * 0.2 / REGISTERS) ** 0.5
 
@@ -211,12 +218,11 @@ def _linked(overlaps: DataFrame, percent: int) -> DataFrame:
 
 def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The linked ones of candidate pairs: estimate first, then the full sets."""
+    pairs = cut(pairs)
     sketch = nodes.select("node", "n", "sketch")
-    both = (
-        pairs.join(sketch.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
-        .join(sketch.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
-        .select("a", "b", "na", "nb", "sa", "sb")
-    )
+    both = split_join(pairs, sketch.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), ["a"])
+    other = sketch.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    both = split_join(both, other, ["b"], counts=pairs.groupBy("b").count()).select("a", "b", "na", "nb", "sa", "sb")
     likely = map_batches(both, _likely(percent), "a long, b long")
     return cut(_linked(_overlaps(likely, nodes, texts, width), percent))
 
@@ -227,13 +233,14 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the least label among a node and its neighbours and then the label of
     that label, so paths shorten by more than half; rounds end when no label changes.
     """
-    pairs = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = cut(pairs.groupBy("a").agg(F.min("b").alias("l")).select(F.col("a").alias("node"), F.least("a", "l").alias("root")))
+    pairs = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    labels = stored(pairs.groupBy("a").agg(F.min("b").alias("l")).select(F.col("a").alias("node"), F.least("a", "l").alias("root")))
+    hubs = cut(pairs.groupBy("b").count())
     while True:
-        near = pairs.join(labels, pairs.b == labels.node).groupBy("a").agg(F.min("root").alias("near"))
-        step = labels.join(near, labels.node == near.a).select("node", "root", F.least("root", "near").alias("new"))
+        near = split_join(pairs, labels.select(F.col("node").alias("b"), "root"), ["b"], counts=hubs).groupBy("a").agg(F.min("root").alias("near"))
+        step = cut(labels.join(near, labels.node == near.a).select("node", "root", F.least("root", "near").alias("new")))
         jump = labels.select(F.col("node").alias("new"), F.col("root").alias("far"))
-        step = cut(step.join(jump, "new", "left").select("node", "root", F.least("new", "far").alias("new")))
+        step = stored(split_join(step, jump, ["new"], "left").select("node", "root", F.least("new", "far").alias("new")))
         changed = step.where("new < root").limit(1).count()
         labels = step.select("node", F.col("new").alias("root"))
         if not changed:
@@ -255,9 +262,9 @@ def _finish(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Data
     large = members.where(F.col("size") > SMALL).select("key", "node", "n")
 
     def unresolved(rows: DataFrame, labels: DataFrame) -> DataFrame:
-        rows = rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rows = cut(rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")))
         several = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least")).where("lo < hi")
-        return rows.join(several.select("key", "least"), "key")
+        return split_join(rows, cut(several.select("key", "least")), ["key"])
 
     open_ = cut(unresolved(large, labels))
     grams = map_batches(_held(open_.select("node").distinct(), nodes, texts), _shingles(width), "shingle long, node long")
@@ -270,19 +277,25 @@ def _finish(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Data
     bound = cut(bound.where(fits & (100 * F.col("shared") >= percent * F.col("n"))).select("key", "node", "n", "root", "shared"))
     centre = bound.groupBy("key").agg(F.max(F.struct(F.col("shared") / F.col("n"), -F.col("node"), F.col("n").alias("m"))).alias("c"))
     centre = centre.select("key", (-F.col("c.col2")).alias("centre"), F.col("c.m").alias("m"))
-    bound = cut(bound.join(centre, "key"))
+    bound = cut(split_join(bound, centre, ["key"]))
     star = bound.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     star = cut(_overlaps(star, nodes, texts, width))
     links = links.union(_linked(star, percent))
     rest = unresolved(bound.where("node != centre").drop("root", "least"), components(links))
     rest = cut(rest.join(star.select(F.col("a").alias("centre"), F.col("b").alias("node"), "both", "bits"), ["centre", "node"]))
     rest = rest.withColumn("apart", F.col("shared") - F.col("both"))
-    other = rest.select("key", *(F.col(c).alias(f"{c}_") for c in ("node", "n", "root", "bits", "apart")))
+    rest = split_join(rest, rest.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_CLASSES).cast("int").alias("blocks")), ["key"])
+    rest = cut(rest.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")))
+    # a block meets itself and each later one once
+    left = rest.withColumn("lo", F.col("own")).withColumn("hi", F.explode(F.sequence("own", F.col("blocks") - 1)))
+    other = rest.withColumn("hi", F.col("own")).withColumn("lo", F.explode(F.sequence(F.lit(0), "own")))
+    other = other.select("key", "lo", "hi", *(F.col(c).alias(f"{c}_") for c in ("node", "n", "root", "bits", "apart")))
     inside = F.aggregate(F.zip_with("bits", "bits_", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda x, y: x + y)
     overlap = (100 + percent) * (inside + F.least("apart", "apart_")) >= percent * (F.col("n") + F.col("n_"))
-    across = (F.col("node") < F.col("node_")) & (F.col("root") != F.col("root_")) & _sizes_fit(F.col("n"), F.col("n_"), percent)
-    pairs = rest.join(other, "key").where(across & overlap)
-    pairs = pairs.select(F.col("node").alias("a"), F.col("node_").alias("b")).distinct()
+    once = (F.col("node") < F.col("node_")) | (F.col("lo") < F.col("hi"))
+    across = once & (F.col("root") != F.col("root_")) & _sizes_fit(F.col("n"), F.col("n_"), percent)
+    pairs = left.join(other, ["key", "lo", "hi"]).where(across & overlap)
+    pairs = pairs.select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
     return links.union(_links(pairs, nodes, texts, width, percent))
 
 
@@ -291,10 +304,10 @@ def _ties(rows: DataFrame, classes: DataFrame) -> DataFrame:
     sets = rows.where("n > 0 and id is not null").select("id", "set_a", "set_b")
     pair = F.struct("set_a", "set_b")
     several = cut(sets.groupBy("id").agg(F.min(pair).alias("lo"), F.max(pair).alias("hi")).where("lo < hi").select("id", "lo"))
-    found = sets.join(hinted(several, few_ids(several)), "id").distinct().where(pair != F.col("lo"))
+    found = split_join(sets, several, ["id"]).distinct().where(pair != F.col("lo"))
     node = classes.select("set_a", "set_b", "node")
-    found = found.join(node.withColumnRenamed("node", "b"), ["set_a", "set_b"]).select("lo.set_a", "lo.set_b", "b")
-    found = found.join(node.withColumnRenamed("node", "a"), ["set_a", "set_b"])
+    found = cut(found.join(node.withColumnRenamed("node", "b"), ["set_a", "set_b"]).select("lo.set_a", "lo.set_b", "b"))
+    found = split_join(found, node.withColumnRenamed("node", "a"), ["set_a", "set_b"])
     return cut(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
@@ -303,14 +316,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.withColumn("tag", F.xxhash64("text"))  # tells apart rows that share an id
     rows = cut(map_batches(texts.select("id", "text", "tag"), _sketch(width), "id long, tag long, n long, set_a long, set_b long, sketch binary"))
-    classes = rows.where("n > 0 and id is not null").groupBy("set_a", "set_b").agg(F.min(F.struct("id", "tag")).alias("c"))
-    classes = cut(classes.select("set_a", "set_b", "c.id", "c.tag", F.monotonically_increasing_id().alias("node")))
-    named = rows.where("n > 0").join(classes.withColumnsRenamed({"id": "least_id", "tag": "least_tag"}), ["set_a", "set_b"])
-    nodes = named.where("id = least_id and tag = least_tag").select("node", "id", "tag", "n", "sketch")
-    nodes = cut(nodes.dropDuplicates(["node"]))
+    classes = rows.where("n > 0 and id is not null").groupBy("set_a", "set_b").agg(F.min(F.struct("id", "tag", "n", "sketch")).alias("c"))
+    classes = cut(classes.select("set_a", "set_b", "c.*", F.monotonically_increasing_id().alias("node")))
+    nodes = classes.select("node", "id", "tag", "n", "sketch")
     banded = map_batches(nodes.select("node", "n", "sketch"), _bands, "key long, node long, n long")
     buckets = banded.groupBy("key").agg(F.min(F.struct("node", F.col("n").alias("m"))).alias("c"), F.count("*").alias("size")).where("size > 1")
-    members = cut(banded.join(buckets, "key").select("key", "node", "n", F.col("c.node").alias("pivot"), F.col("c.m").alias("m"), "size"))
+    buckets = cut(buckets.select("key", F.col("c.node").alias("pivot"), F.col("c.m").alias("m"), "size"))
+    members = cut(split_join(banded, buckets, ["key"], counts=buckets.select("key", F.col("size").alias("count"))).select("key", "node", "n", "pivot", "m", "size"))
     star = members.where((F.col("size") > SMALL) & (F.col("node") > F.col("pivot")) & _sizes_fit(F.col("n"), F.col("m"), percent))
     small = members.where(F.col("size") <= SMALL).select("key", "node", "n")
     other = small.select("key", F.col("node").alias("node_"), F.col("n").alias("n_"))
@@ -320,10 +332,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = components(links)
     labels = components(_finish(members, labels, nodes, texts, links, width, percent))
     labels = cut(labels.join(classes.select("node", "id"), "node"))
-    least = labels.groupBy("root").agg(F.min("id").alias("least"))
-    labels = labels.join(hinted(least, few_ids(least)), "root").select("node", "least")
+    labels = split_join(labels, labels.groupBy("root").agg(F.min("id").alias("least")), ["root"]).select("node", "least")
     roots = classes.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("least", "id").alias("root"))
-    found = rows.drop("sketch", "tag").join(roots, ["set_a", "set_b"], "left")
+    found = split_join(rows.drop("sketch", "tag"), roots, ["set_a", "set_b"], "left")
     root = F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("id"))
     root = F.when(F.col("id").isNotNull(), root)
     return found.select(

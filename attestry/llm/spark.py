@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,22 +12,43 @@ from pyspark.sql import functions as F
 
 #: Most ids that are broadcast (about 16 MB as a hash table); more are joined by a shuffle.
 BROADCAST_IDS = 500_000
+#: Rows of one key that one task joins before the key is split.
+HOT = 1000
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage.
+    """Materialise ``df`` in the shared checkpoint folder and drop its lineage."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again.
 
-    The folder is the one the session names in spark.checkpoint.dir; only where that is
-    unset, as in tests, a local one is set.
+    In loops this stands for ``cut``: a checkpoint keeps the estimated size of its plan, which
+    joins of joins multiply from round to round; a table has the size of its files.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not _has_checkpoint_dir(spark):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="attestry-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/attestry-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for tables between steps: the one that the session names in spark.checkpoint.dir.
 
-def _has_checkpoint_dir(spark: SparkSession) -> bool:
-    return bool(spark.sparkContext.getCheckpointDir())
+    Where it is unset a local one is made, which only a local session can use; any other
+    session is refused.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    have = spark.sparkContext.getCheckpointDir()
+    if named or have:
+        if not have:
+            spark.sparkContext.setCheckpointDir(named)
+        return (named or have).rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="attestry-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def few_ids(ids: DataFrame, limit: int = BROADCAST_IDS) -> bool:
@@ -38,6 +60,31 @@ def hinted(ids: DataFrame, few: bool) -> DataFrame:
     return F.broadcast(ids) if few else ids
 
 
+def split_join(many: DataFrame, few: DataFrame, keys: list[str], how: str = "inner", counts: DataFrame | None = None) -> DataFrame:
+    """``many`` joined to ``few``, which has a key once at most; a key with many rows is split.
+
+    Rows of a key that ``many`` has more than ``limit`` times are dealt to several tasks by a
+    hash of the row, and the key's row of ``few`` goes to each. The limit grows with ``many``,
+    so that at most BROADCAST_IDS keys can exceed it and their table may be broadcast.
+    ``many`` is read twice, so it should be a table or a checkpoint; ``counts`` (the keys and
+    ``count``) spares the first time. ``how`` is inner or left.
+    """
+    counts = many.groupBy(*keys).count() if counts is None else counts
+    rows = counts.agg(F.sum("count")).first()[0] or 0
+    limit = max(HOT, rows // BROADCAST_IDS)
+    if rows <= limit:
+        return many.join(few, keys, how)
+    hot = cut(counts.where(F.col("count") > limit).select(*keys, F.ceil(F.col("count") / limit).cast("int").alias("_parts")))
+    if not hot.limit(1).count():
+        return many.join(few, keys, how)
+    hot = F.broadcast(hot)
+    part = F.coalesce(F.pmod(F.xxhash64(*many.columns), F.col("_parts")), F.lit(0)).cast("int")
+    dealt = many.join(hot, keys, "left").select(*many.columns, part.alias("_part"))
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    copies = few.join(hot, keys, "left").select(*few.columns, every.alias("_part"))
+    return dealt.join(copies, [*keys, "_part"], how).drop("_part")
+
+
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``df`` through a function of one Arrow batch that yields Arrow batches."""
 
