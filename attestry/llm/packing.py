@@ -9,7 +9,7 @@ length that holds its contents.
 Pieces of one length are interchangeable, so the plan is made from how many there are of
 each length: a table of at most ``max(sizes)`` rows, whatever the input. It gives runs of
 ranks within a length to runs of bins. Ranks are counted in parallel: within a length by
-salted groups of about ``RANKED`` pieces, whose offsets are the sums of the groups before, so
+salted groups of about ``RANKED`` pieces (more where that gives over ``GROUPS`` groups), whose offsets are the sums of the groups before, so
 a length that a third of all documents share is not one task's work.
 
 Ties: of bins with equal free space the one opened last is filled first; of permitted lengths
@@ -38,8 +38,8 @@ from attestry.llm import words as W
 SIZES = (512, 1024, 2048, 4096)
 #: Tokens that a sequence costs beyond its length, and the length at which attention doubles its cost.
 OVERHEAD, DOUBLES_AT = 16, 16_384
-#: Pieces that one task ranks, in the mean, where many share a length.
-RANKED = 1_000_000
+#: Pieces of one length that are ranked together, and the most groups of them.
+RANKED, GROUPS = 1000, 100_000
 
 
 def cost(size: int) -> float:
@@ -122,14 +122,14 @@ def packed(lengths: DataFrame, id_col: str = "doc_id", sizes: tuple[int, ...] =
     counts = rows.groupBy("tokens").count().toPandas()  # max(sizes) rows at most
     totals = counts.set_index("tokens")["count"]
     salts = np.ones(most + 1, np.int64)
-    salts[counts["tokens"].to_numpy(np.int64)] = 1 + counts["count"].to_numpy(np.int64) // RANKED
+    salts[counts["tokens"].to_numpy(np.int64)] = 1 + counts["count"].to_numpy(np.int64) // max(RANKED, int(counts["count"].sum()) // GROUPS)
     first_salt = np.concatenate(([0], np.cumsum(salts)))  # of each length, in a list of all groups
     offset = np.zeros(first_salt[-1], np.int64)
     if (many := np.flatnonzero(salts > 1)).size:
         several = lengths.sparkSession.createDataFrame(list(zip(many.tolist(), salts[many].tolist(), strict=True)), "tokens long, salts long")
         rows = rows.join(F.broadcast(several), "tokens", "left")  # max(sizes) rows at most
         rows = rows.select("key", "piece", "tokens", F.coalesce(F.pmod(F.xxhash64("key", "piece", "n"), "salts"), F.lit(0)).cast("long").alias("salt"))
-        groups = rows.where(F.col("tokens").isin(many.tolist())).groupBy("tokens", "salt").count().toPandas()  # a row for RANKED pieces
+        groups = rows.where(F.col("tokens").isin(many.tolist())).groupBy("tokens", "salt").count().toPandas()  # GROUPS and one for each length at most
         groups = groups.sort_values(["tokens", "salt"])
         before = groups["count"].groupby(groups["tokens"]).cumsum() - groups["count"]
         offset[first_salt[groups["tokens"].to_numpy(np.int64)] + groups["salt"].to_numpy(np.int64)] = before
