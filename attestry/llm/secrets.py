@@ -5,19 +5,26 @@ hexadecimal runs; matches are leftmost and do not overlap within a kind, and tho
 their length are dropped.
 
 The method adds spans that a pattern alone would not justify. A base64 or hexadecimal
-candidate is decoded and reported only if its structure holds: a PEM block or a bare blob
-whose DER lengths nest exactly (kind ``key``), an OpenSSH private key with its magic and
-length-prefixed fields (``key``), or a dotted token whose header is a JSON object that names
-a signing algorithm and whose payload is a JSON object (``token``).
+candidate is decoded and reported only if its structure holds (kind ``key``): the DER encoding
+of a private key, with its version, algorithm and key fields (PKCS #8 plain or encrypted, RSA,
+DSA, elliptic curves), or an OpenSSH private key with its magic and length-prefixed fields.
+Public keys and certificates have other fields and are not reported. A bare candidate is any
+base64 or hexadecimal run that begins like one of these; the length that it states says how
+far it goes, over line breaks too. A PEM block with encryption headers must name a cipher and
+hold whole cipher blocks. A dotted token (``token``) must have a header that is a JSON object
+with a signing algorithm and a payload that is a JSON object.
 
 Defined cases: a null text counts as empty; spans count code points, the end is exclusive;
-an empty table gives an empty result; other columns are ignored.
+spans of two kinds may overlap, those of equal start are ordered by kind; rows that repeat get
+equal spans, each for itself; texts of any length are taken whole; an empty table gives an
+empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import json
 import re
 from collections.abc import Iterator
@@ -36,10 +43,22 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # a run of 32 or more; runs are maximal, so shorter ones need not be looked at
 _HEX = re.compile(r"[0-9a-f]{32}[0-9a-f]*")
 
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s\\]+?)-----END \1-----")
-_BLOB = re.compile(r"(?<![A-Za-z0-9+/_-])(?:MI[A-Za-z0-9+/]{62,}={0,2}|b3BlbnNzaC1rZXktdjE[A-Za-z0-9+/]{40,}={0,2}|30[0-9a-fA-F]{94,})")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]{8,})\.(eyJ[A-Za-z0-9_-]*)\.([A-Za-z0-9_-]{16,})(?![A-Za-z0-9_-])")
+_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
+_HEADERS = re.compile(r"(?:\s|\\[nr])*Proc-Type: ?4,ENCRYPTED(?:\s|\\[nr])+DEK-Info: ?([A-Z0-9-]+),([0-9A-Fa-f]+)(?=[\s\\])")
+_BREAK = re.compile(r"\\[nr]|\s|\\")
+# first characters of base64 that decode to a DER sequence, and to the magic of OpenSSH keys
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-P]|b3BlbnNzaC1rZXktdjEA)[A-Za-z0-9+/_-]{2}")
+_HEX_RUN = re.compile(r"(?<![0-9a-fA-F])(?:30[0-9a-fA-F]{62}|6f70656e7373682d6b65792d7631)[0-9a-fA-F]*")
+_PART = re.compile(r"(?!-----)([A-Za-z0-9+/_-]+)|[\x20\t]*(?:\\r|\\n|\r|\n)(?:\\r|\\n|\s)*")
+_TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])(e[w-z0-9_-][A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]{16,})(?![A-Za-z0-9_-])")
 _OPENSSH = b"openssh-key-v1\x00"
+#: The shortest key encoding, and the longest that is looked for, in bytes.
+LEAST, MOST = 32, 1 << 16
+
+# DER tags and object identifiers (fixed values)
+_INTEGER, _BITS, _OCTETS, _OID, _SEQUENCE = 0x02, 0x03, 0x04, 0x06, 0x30
+_RSA, _DSA, _EC = (bytes.fromhex(x) for x in ("2a864886f70d010101", "2a8648ce380401", "2a8648ce3d0201"))
+_EDWARDS = {bytes.fromhex("2b65" + x): n for x, n in (("6e", 32), ("6f", 56), ("70", 32), ("71", 57))}
 
 
 def _from_base64(text: str) -> bytes | None:
@@ -49,63 +68,169 @@ def _from_base64(text: str) -> bytes | None:
         return None
 
 
-def der_nests(data: bytes, depth: int = 0) -> bool:
-    """Whether ``data`` is one DER sequence whose nested lengths fill each other exactly."""
-
-    def items(part: bytes) -> list[tuple[int, bytes]] | None:
-        out, at = [], 0
-        while at < len(part):
-            if at + 2 > len(part):
-                return None
-            tag, size, at = part[at], part[at + 1], at + 2
-            if size & 0x80:
-                n = size & 0x7F
-                if not 1 <= n <= 4 or at + n > len(part) or part[at] == 0:
-                    return None
-                size, at = int.from_bytes(part[at : at + n], "big"), at + n
-                if size < 0x80:
-                    return None
-            if at + size > len(part):
-                return None
-            out.append((tag, part[at : at + size]))
-            at += size
-        return out
-
-    def nests(part: bytes, depth: int) -> bool:
-        found = items(part)
-        if not found or depth > 12:
-            return False
-        return all(tag & 0x20 == 0 or nests(body, depth + 1) for tag, body in found if body or tag & 0x20)
+def der_size(data: bytes) -> int:
+    """Bytes of the DER item that ``data`` begins with, its head included; 0 if the head is none."""
+    if len(data) < 2:
+        return 0
+    first = data[1]
+    if first < 0x80:
+        return 2 + first
+    n = first & 0x7F
+    size = int.from_bytes(data[2 : 2 + n], "big")
+    if not 1 <= n <= 4 or len(data) < 2 + n or data[2] == 0 or size < 0x80:
+        return 0
+    return 2 + n + size
+
+
+def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
+    """(tag, body) of the items that fill ``data``; None where their lengths do not."""
+    out, at = [], 0
+    while at < len(data):
+        size = der_size(data[at : at + 6])
+        if not size or at + size > len(data):
+            return None
+        head = 2 if data[at + 1] < 0x80 else 2 + (data[at + 1] & 0x7F)
+        out.append((data[at], data[at + head : at + size]))
+        at += size
+    return out
+
+
+def _algorithm(body: bytes) -> bytes | None:
+    """The identifier that an algorithm sequence names."""
+    found = der_items(body)
+    return found[0][1] if found and len(found) <= 2 and found[0][0] == _OID and len(found[0][1]) >= 3 else None
+
 
-    found = items(data)
-    if not found or len(found) != 1 or found[0][0] != 0x30:
+def _integers(found: list[tuple[int, bytes]]) -> bool:
+    return all(tag == _INTEGER and body for tag, body in found)
+
+
+def private_key_holds(data: bytes) -> bool:
+    """Whether ``data`` is the DER encoding of a private key, to its last byte."""
+    outer = der_items(data)
+    if not outer or len(outer) != 1 or outer[0][0] != _SEQUENCE:
+        return False
+    found = der_items(outer[0][1])
+    if not found or len(found) < 2:
+        return False
+    tags = [t for t, _ in found]
+    if tags == [_SEQUENCE, _OCTETS]:  # encrypted: the cipher's identifier, then whole blocks
+        return _algorithm(found[0][1]) is not None and len(found[1][1]) >= 16 and len(found[1][1]) % 8 == 0
+    if tags[0] != _INTEGER or found[0][1] not in (b"\x00", b"\x01"):
         return False
-    inside = items(found[0][1])
-    # keys begin with a version number; private and public ones have a second field at least
-    return bool(inside) and len(inside) >= 2 and inside[0][0] in (0x02, 0x30) and nests(data, depth)
+    if tags[1:3] == [_SEQUENCE, _OCTETS] and all(t in (0xA0, 0x81, 0xA1) for t in tags[3:]):
+        name, inner = _algorithm(found[1][1]), found[2][1]
+        if name in (_RSA, _EC):
+            return private_key_holds(inner)
+        if name in _EDWARDS:
+            held = der_items(inner)
+            return bool(held) and len(held) == 1 and held[0][0] == _OCTETS and len(held[0][1]) == _EDWARDS[name]
+        if name == _DSA:
+            held = der_items(inner)
+            return bool(held) and len(held) == 1 and _integers(held)
+        return name is not None and bool(inner)
+    if _integers(found):  # RSA: nine numbers, more with further primes; DSA: six
+        return found[0][1] == b"\x00" and len(found) in (6, 9) or found[0][1] == b"\x01" and len(found) > 9
+    # elliptic curves: a number of one of the usual sizes, then tagged fields
+    return found[0][1] == b"\x01" and tags[1] == _OCTETS and 20 <= len(found[1][1]) <= 72 and all(t in (0xA0, 0xA1) and der_items(b) for t, b in found[2:])
 
 
-def openssh_holds(data: bytes) -> bool:
-    """Magic, then three length-prefixed names, a count of keys, and as many public blobs."""
+def openssh_size(data: bytes) -> int:
+    """Bytes of the OpenSSH private key that ``data`` begins with; 0 if its fields don't hold."""
     if not data.startswith(_OPENSSH):
-        return False
+        return 0
     at = len(_OPENSSH)
-    for _ in range(3):
-        if at + 4 > len(data):
-            return False
-        at += 4 + int.from_bytes(data[at : at + 4], "big")
-    return at + 8 <= len(data) and 1 <= int.from_bytes(data[at : at + 4], "big") <= 8 and at + 8 + int.from_bytes(data[at + 4 : at + 8], "big") <= len(data)
+
+    def field() -> bytes | None:
+        nonlocal at
+        size = int.from_bytes(data[at : at + 4], "big")
+        if at + 4 + size > len(data):
+            return None
+        at += 4 + size
+        return data[at - size : at]
+
+    cipher, method, options = field(), field(), field()
+    if not cipher or not method or options is None or not (cipher + method).isascii():
+        return 0
+    count, at = int.from_bytes(data[at : at + 4], "big"), at + 4
+    blobs = [field() for _ in range(count)] if 1 <= count <= 8 else [None]
+    private = field()
+    return at if all(blobs) and private and len(private) % 8 == 0 else 0
+
+
+def key_size(data: bytes) -> int:
+    """Bytes of the private key encoding that ``data`` begins with; 0 if there is none."""
+    size = openssh_size(data) or der_size(data)
+    if not LEAST <= size <= min(MOST, len(data)):
+        return 0
+    return size if data.startswith(_OPENSSH) or private_key_holds(data[:size]) else 0
 
 
 def key_holds(text: str) -> bool:
-    """Whether a base64 or hexadecimal candidate decodes to a key encoding."""
-    text = re.sub(r"\\[nr]|\s|\\", "", text)
-    found = []
-    if re.fullmatch(r"(?:[0-9a-fA-F]{2})+", text):
-        found.append(bytes.fromhex(text))
-    if (raw := _from_base64(text)) is not None:
-        found.append(raw)
-    return any(len(x) >= 32 and (openssh_holds(x) or der_nests(x)) for x in found)
+    """Whether base64 text, white space aside, is a private key encoding and nothing else."""
+    raw = _from_base64(_BREAK.sub("", text))
+    return raw is not None and len(raw) > 0 and key_size(raw) == len(raw)
+
+
+def pem_holds(body: str) -> bool:
+    """Whether the body of a private key block is a key, or an encrypted one with its headers."""
+    if m := _HEADERS.match(body):
+        raw = _from_base64(_BREAK.sub("", body[m.end() :]))
+        block = 8 if "DES" in m[1] else 16
+        return len(m[2]) == 2 * block and raw is not None and len(raw) >= LEAST and len(raw) % block == 0
+    return key_holds(body)
+
+
+def _pem_blocks(text: str) -> Iterator[tuple[int, int]]:
+    begins = [(m.start(), m.end(), m[1]) for m in _BEGIN.finditer(text)]
+    for k, (start, after, label) in enumerate(begins):
+        last = begins[k + 1][0] if k + 1 < len(begins) else min(len(text), after + 4 * MOST)
+        end = text.find(f"-----END {label}-----", after, last)
+        if end >= 0 and pem_holds(text[after:end]):
+            yield start, end + len(label) + 14
+
+
+def _gathered(text: str, start: int, need: int) -> tuple[str, int]:
+    """``need`` base64 characters from ``start`` on, over line breaks, and where they end."""
+    got, size, at = [], 0, start
+    while size < need and (m := _PART.match(text, at)):
+        if m[1]:
+            got.append(m[1][: need - size])
+            size += len(got[-1])
+            at += len(got[-1])
+        else:
+            at = m.end()
+    return "".join(got), at
+
+
+def _bare_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Places of key encodings in base64 outside of blocks; their own lengths say where they end."""
+    for m in _RUN.finditer(text):
+        at = m.start()
+        if text.startswith("b3Blbn", at):
+            need = len(_gathered(text, at, 2 * MOST)[0])
+            need -= need % 4 == 1  # no base64 text has such a length
+        else:
+            head = _from_base64(_gathered(text, at, 8)[0])
+            size = der_size(head) if head else 0
+            need = -(-size * 4 // 3) if LEAST <= size <= MOST else 0
+        if not need:
+            continue
+        got, end = _gathered(text, at, need)
+        raw = _from_base64(got) if len(got) == need else None
+        size = key_size(raw) if raw else 0
+        if size and -(-size * 4 // 3) <= need:
+            got, end = _gathered(text, at, -(-size * 4 // 3))
+            while end < len(text) and text[end] == "=":
+                end += 1
+            if end == len(text) or not (text[end].isascii() and (text[end].isalnum() or text[end] in "+/")):
+                yield at, end
+
+
+def _hex_keys(text: str) -> Iterator[tuple[int, int]]:
+    for m in _HEX_RUN.finditer(text):
+        if len(m[0]) % 2 == 0 and len(m[0]) <= 2 * MOST and key_size(raw := bytes.fromhex(m[0])) == len(raw):
+            yield m.span()
 
 
 def token_holds(header: str, payload: str) -> bool:
@@ -129,13 +254,14 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     if "AKIA" in text:
         out += [("access", m.start(), m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 16]
     out += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
-    if "PRIVATE KEY-----" in text:
-        out += [("key", m.start(), m.end()) for m in _PEM.finditer(text) if key_holds(m[2])]
-    inside = [(a, b) for k, a, b in out if k == "key"]
-    for m in _BLOB.finditer(text):
-        if not any(a <= m.start() and m.end() <= b for a, b in inside) and key_holds(m[0]):
-            out.append(("key", m.start(), m.end()))
-    if "eyJ" in text:
+    keys = list(_pem_blocks(text)) if "PRIVATE KEY-----" in text else []
+    starts = [a for a, _ in keys]
+    for a, b in sorted({*_bare_keys(text), *_hex_keys(text)}):
+        k = bisect.bisect(starts, a) - 1
+        if k < 0 or keys[k][1] < b:
+            out.append(("key", a, b))
+    out += [("key", a, b) for a, b in keys]
+    if "." in text:
         out += [("token", m.start(), m.end()) for m in _TOKEN.finditer(text) if token_holds(m[1], m[2])]
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
