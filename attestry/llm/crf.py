@@ -15,8 +15,8 @@ import numpy as np
 PIECE = re.compile(r"[^\W\d_]+|[0-9]+|[^\s]")
 #: Words whose own text is a feature; all others count by shape alone.
 CUES = frozenset(
-    "tel phone call mobile fax cell contact ring whatsapp email mail e at dot com org net write ip host address server card visa mastercard credit number no pay "
-    "telefon handy anrufen téléphone appelez teléfono móvil llame correo courriel tarjeta carte karte".split()
+    "tel phone call calls mobile fax cell contact contacto ring reach whatsapp number email mail write send e at dot com org net de ip host server ping connect address from card visa mastercard credit charged pay "
+    "telefon handy tfno anrufen appelez téléphone teléfono móvil llame correo courriel tarjeta carte karte serial code id isbn order invoice account lot version build section".split()
 )
 
 
@@ -116,19 +116,26 @@ def train(table: list[list[tuple[str, bool, str]]], labels: list[str], rounds: i
         rows.append([[index.setdefault(f, len(index)) for f in x] for x in fs])
         gold.append([known[y] for _, _, y in sequence])
     n, steps, k = len(rows), max(map(len, rows)), len(labels)
-    x = np.zeros((n, steps, len(index)), np.float32)
+    none = len(index)  # a feature of weight zero fills the rows up
+    x = np.full((n, steps, max(len(f) for fs in rows for f in fs)), none)
     y, live = np.zeros((n, steps), np.int64), np.zeros((n, steps), bool)
     for i, (fs, ys) in enumerate(zip(rows, gold, strict=True)):
         for t, (f, c) in enumerate(zip(fs, ys, strict=True)):
-            x[i, t, f], y[i, t], live[i, t] = 1, c, True
-    flat = x.reshape(-1, len(index))
-    onehot = np.eye(k, dtype=np.float32)[y] * live[:, :, None]
-    want_emit = flat.T @ onehot.reshape(-1, k)
+            x[i, t, : len(f)], y[i, t], live[i, t] = f, c, True
+    flat = x.reshape(n * steps, -1)
+
+    def by_feature(values: np.ndarray) -> np.ndarray:
+        """Sums of [place, label] values over the places that have each feature."""
+        out = [np.bincount(flat.ravel(), np.repeat(values[:, c], flat.shape[1]), none + 1)[:none] for c in range(k)]
+        return np.stack(out, 1)
+
+    onehot = np.eye(k)[y] * live[:, :, None]
+    want_emit = by_feature(onehot.reshape(-1, k))
     want_move = np.einsum("ntj,ntk->jk", onehot[:, :-1], onehot[:, 1:])
     emit, move = np.zeros((len(index), k)), np.zeros((k, k))
     speed = [np.zeros_like(emit), np.zeros_like(move)]
     for r in range(rounds):
-        score = (flat @ emit.astype(np.float32)).reshape(n, steps, k).astype(float)
+        score = np.vstack((emit, np.zeros(k)))[flat].sum(1).reshape(n, steps, k)
         alpha, beta = np.zeros((n, steps, k)), np.zeros((n, steps, k))
         alpha[:, 0] = score[:, 0]
         for t in range(1, steps):
@@ -140,7 +147,7 @@ def train(table: list[list[tuple[str, bool, str]]], labels: list[str], rounds: i
         total = np.logaddexp.reduce(alpha[:, -1], 1)[:, None, None]
         node = np.exp(alpha + beta - total) * live[:, :, None]
         pair = np.exp(alpha[:, :-1, :, None] + move + (score[:, 1:] + beta[:, 1:])[:, :, None] - total[..., None]) * live[:, 1:, None, None]
-        grads = [want_emit - flat.T @ node.reshape(-1, k).astype(np.float32) - ridge * emit, want_move - pair.sum((0, 1)) - ridge * move]
+        grads = [want_emit - by_feature(node.reshape(-1, k)) - ridge * emit, want_move - pair.sum((0, 1)) - ridge * move]
         for w, g, v in zip((emit, move), grads, speed, strict=True):
             v[:] = 0.9 * v + 0.1 * g * g
             w += 0.1 * (0.98**r) * g / (np.sqrt(v) + 1e-6)

@@ -4,17 +4,22 @@ Base kinds (email, ip, card, phone) are exact patterns whose matches are leftmos
 overlap within a kind; matches that fail their check are dropped. A linear-chain CRF over
 word shapes, trained here from a small labelled table, adds spans in other forms: numbers
 written without a plus, spelled-out addresses, spaced or bracketed separators. It looks at
-every place of a text that has a digit, an at sign or a spelled-out one, with the pieces
-around it; elsewhere all labels are O. What it adds must hold the structure of its kind and
-not touch a base span.
+every place of a text that has a digit, an at sign or a spelled-out at or dot, with the pieces
+around it, and further while a span reaches the place's edge; elsewhere all labels are O. What
+it adds covers whole numbers and words, must hold the structure of its kind and not overlap a
+base span.
 
 Defined cases: a null text counts as empty and stays null when masked; spans count code
-points, the end is exclusive; an empty table gives an empty result; other columns are
-ignored by ``found`` and kept by ``masked``.
+points, the end is exclusive; base spans of two kinds over one place are both reported, of
+added ones the first; rows that repeat get equal spans, each for itself; texts of any length
+are taken whole, a few megabytes of them at a time; an empty table gives an empty result;
+other columns are ignored by ``found`` and kept by ``masked``, whatever their names.
 """
 
 from __future__ import annotations
 
+import bisect
+import functools
 import re
 from collections.abc import Iterator
 
@@ -74,40 +79,48 @@ def base(text: str) -> list[tuple[str, int, int]]:
 
 LABELS = ["O", *(f"{b}-{k}" for k in KINDS for b in "BI")]
 
-#: The labelled table: spans in {kind:...}; words outside are O.
-TABLE = """
-Please call {phone:(555) 123-4567} before noon .
-Call me at {phone:555-123-4567} tomorrow .
-My phone is {phone:555.123.4567} or {phone:555 123 4567} .
-Tel : {phone:030 1234567} and fax {phone:030-7654321}
-Telefon {phone:089/123456} , Handy {phone:0171 2345678}
-Appelez le {phone:01 23 45 67 89} avant midi
-Llame al {phone:912 345 678} o {phone:91-234-5678}
-mobile : {phone:(0)171-2345678} please
-contact {phone:(212) 555-0199} or {phone:+1 (212) 555-0198} today
-whatsapp {phone:+44 7700 900123} now
-the number {phone:(988) 555-2485} is mine
-ring {phone:+49 30 123456} in the evening
-write to {email:jane.doe@example.com} today
-mail {email:jane [at] example [dot] com} please
-email {email:john.smith (at) example.org} soon
-reach me : {email:info [at] mail.example.net} .
-send it to {email:jane . doe @ example . com} please
-e-mail {email:bob_42 [at] example dot org} now
-correo {email:ana (at) ejemplo (dot) com} gracias
-courriel : {email:luc[at]exemple.org} merci
-the host {ip:10.0.0.1} answered
-server {ip:192 . 168 . 1 . 20} is down
-address {ip:172[.]16[.]0[.]5} was blocked
-ip {ip:8 . 8 . 4 . 4} replied
-from {ip:42.144.35.254} to {ip:10[.]1[.]2[.]3} in ms
-card {card:4111 1111 1111 1111} was charged
-visa {card:4111-1111-1111-1111} expires soon
-pay with {card:4111.1111.1111.1111} today
-card number {card:5500 0000 0000 0004} please
-tarjeta {card:3400 0000 0000 009} de credito
-Karte {card:4111111111111111} gültig
-carte {card:4111 / 1111 / 1111 / 1111} merci
+#: The labelled table: values of each kind in sentences about them, and sentences without any.
+#: A ``_`` is the value's place; every value stands in several sentences.
+VALUES = {
+    "phone": (
+        "(555) 123-4567", "555-123-4567", "555.123.4567", "555 123 4567", "030 1234567", "030-7654321", "089/123456", "0171 2345678",
+        "0171/2345678", "01 23 45 67 89", "01.23.45.67.89", "912 345 678", "91-234-5678", "(0)171-2345678", "(212) 555-0199", "+1 (212) 555-0198",
+        "+44 7700 900123", "(020) 7946 0958", "(0161) 496 0123", "020 7946 0000", "07700 900 123", "07700 900123", "0049 30 901820", "0049-171-5550123",
+        "001 212 555 0147", "1-800-555-0100", "1 800 555 0100", "(01) 4567 8901", "06 12 34 56 78", "06-12-34-56-78", "93 123 45 67", "(93) 123 45 67",
+        "0221 / 99 88 77", "0221 99887766", "555 0142", "555-0142", "(312) 555 0147", "(040)5550199", "0033 1 42 68 53 00", "0044 161 496 0000", "0034 912 345 678", "611 222 333", "2125550143", "01712345678", "912345678", "5551234567",
+    ),
+    "email": (
+        "jane [at] example [dot] com", "john.smith (at) example.org", "info [at] mail.example.net", "jane . doe @ example . com", "bob_42 [at] example dot org",
+        "ana (at) ejemplo (dot) com", "luc[at]exemple.org", "jane at example dot com", "john dot smith at example dot com", "mary at mail dot example dot org",
+        "sales(at)firm(dot)de", "support [AT] example [DOT] net", "peter@example dot com", "k.lee at example.com", "anna-maria at post dot example dot de",
+        "team {at} example {dot} org", "otto @ beispiel . de", "p dot jones [at] example.co.uk",
+    ),
+    "ip": (
+        "10.0.0.1", "192 . 168 . 1 . 20", "172[.]16[.]0[.]5", "8 . 8 . 4 . 4", "42.144.35.254", "10[.]1[.]2[.]3", "203[.]0[.]113[.]77", "198 . 51 . 100 . 9",
+        "127[.]0[.]0[.]1", "192[.]168[.]10[.]200", "100.64.3.2", "172 . 20 . 11 . 250",
+    ),
+    "card": (
+        "4111 1111 1111 1111", "4111-1111-1111-1111", "4111.1111.1111.1111", "5500 0000 0000 0004", "3400 0000 0000 009", "4111111111111111", "4111 / 1111 / 1111 / 1111",
+        "5500.0000.0000.0004", "3782 822463 10005", "3782-822463-10005", "378282246310005", "5105/1051/0510/5100", "4012.8888.8888.1881", "6011 1111 1111 1117", "3400.0000.0000.009", "3400-0000-0000-009", "6011.1111.1111.1117", "5500/0000/0000/0004",
+    ),
+}
+SENTENCES = {
+    "phone": (
+        "Please call _ before noon .", "Tel : _", "Tel. _ , please", "My phone is _ today", "Contact : _ .", "mobile _ and fax", "Telefon _ bitte", "Handy : _ .", "Appelez le _ avant midi",
+        "Llame al _ por favor", "You can ring me on _ in the evening .", "whatsapp _ now", "the number is _ .", "phone _", "Reach us at _ or write", "Tfno. _ ;", "call me at _ thanks !",
+        "Contacto : _ ( mañanas )", "Contact: _. Thanks", "call _, please", "on _; it is free", "Tel: _.", "ring _ today!", "Tel _", "tel _ please", "Phone : _ ,", "_", "_ or later", "see you soon , _ .",
+    ),
+    "email": (
+        "write to _ today", "mail _ please", "email _ soon", "reach me : _ .", "send it to _ please", "e-mail : _ now", "correo _ gracias", "courriel : _ merci", "Contact _ for details .", "my address is _ ,",
+        "ask _ about it", "E-Mail _ .",
+    ),
+    "ip": ("the host _ answered", "server _ is down", "address _ was blocked", "ip _ replied", "from _ to the other in ms", "ping _ .", "connect to _ now", "IP : _ ,"),
+    "card": (
+        "card _ was charged", "visa _ expires soon", "pay with _ today", "card number _ please", "tarjeta _ de credito", "Karte _ bitte", "carte _ merci", "mastercard : _ .", "charged to _ yesterday",
+        "credit card _ , thanks",
+    ),
+}
+NONE = """
 In 1999 the 20 members met on 12-05-2001 again .
 Version 4.0. and 2.0. of the licence , section 3.
 It cost 1,234.50 dollars or 99 cents , up 12 % .
@@ -126,14 +139,84 @@ we ( at 5 pm ) go home with 2 dogs
 order 55-1234 and item 77-9 shipped on 2021-03-04
 1 2 3 4 5 6 7 8 9 10
 2019 2020 2021 2022 2023
+1 000 000 people and 2 500 000 more in 2015
 x = 3.14159 and y = 2.71828
 build 1.2.3 of 2022-01-05 , release 10.4
 room 101 , floor 2 , house 15 a
 the score was 3-2 ( 1-0 ) in 1998
 @ home we have 4 cats
 price @ 20 each , 5 in all
+from 1914-1918 and 1939-1945 wars were fought
+on 04/07/1776 and 14.07.1789 it began
+lat 48.8566 , lon 2.3522 , height 35 m
+serial 12345678 of lot 87654321 , box 9
+invoice 2021-000123 of 31.12.2021 , total 4.500,00
+the dot at the end of line 3 is red
+a polka dot dress at home , a dot on the map
+they met at the dot com office at noon
+look at example.com for more
+see it at www.example.org or at home
+he was at work at 9 and at home at 5
+version 10.0.19045 build 2 , 64 bit
+section 3.2.1.4 of the report , table 5.6.7
+SELECT 42 , 1000000 , 7 FROM t WHERE x = 12345
+ratio 16 : 9 , 1920 x 1080 , 60 Hz
+population 83 190 556 in 2020
+account 0012345 holds 250.00 since 2018
+0x1F40 and 4096 bytes at 0x7FFF
+code 1234567 , code 7654321 , code 123456789
+the year 2001 , pages 1234-1300 , nr 12345
+article 12 (3) of directive 2015/2366 applies
+temperature -12.5 to +30 at 1013 hPa
+phone calls rose 12 % in 2020 to 1 200 000
+call 3 friends at 8 or write 2 letters
+the card game has 52 cards , 4 suits , 13 ranks
+numbers 100 200 300 400 500 600 were drawn
+12345678 items were sold
+99887766 rows read
+1234567 of 7654321 done
+2023-01-05 12:30:11 error 500
+2019-11-30 08:15 start , 2019-12-01 09:45:10 end
+05.01.2023 12:30 Uhr , 06.01.2023 14:00 Uhr
+ratio of 11/12/2019 10 to 1
+it took 20 30 or 40 minutes
+in 2001. Then 2002. And 2003 .
+the years 1999, 2000, 2001 and 2002.
+sum 100200300 + 200300400
 """
 
+
+#: Lengths of the digit groups in which phone numbers are written, for more values of that kind.
+GROUPS = ((2, 2, 2, 2, 2), (3, 3, 3), (3, 3, 4), (3, 4, 4), (4, 6), (4, 3, 3), (4, 2, 2, 3), (4, 2, 2, 2), (5, 3, 3), (3, 2, 2, 2), (4, 2, 4, 4), (4, 3, 2, 2, 2), (2, 3, 2, 2))
+
+
+def _grouped_phones() -> list[str]:
+    out = []
+    for i, lengths in enumerate(GROUPS):
+        for k, separator in enumerate((" ", "-", ".", " / ")):
+            groups = [str(10**n + (7919 * (i + 3 * k + j)) % (9 * 10 ** (n - 1)))[-n:] for j, n in enumerate(lengths)]
+            first = "0" + groups[0][1:]
+            if k < 3:
+                out.append(separator.join([first, *groups[1:]]))
+            else:
+                out += [first + separator + " ".join(groups[1:]), f"({first}) " + " ".join(groups[1:])]
+    return out
+
+
+def labelled_lines() -> list[str]:
+    """Lines of text with their values in {kind:...}."""
+    out = []
+    for kind, values in VALUES.items():
+        sentences = SENTENCES[kind]
+        values = [*values, *_grouped_phones()] if kind == "phone" else values
+        for i, value in enumerate(values):
+            bare = kind == "phone" and value.isdigit()  # such a run is a phone number where the sentence says so
+            for k in range(4):
+                sentence = sentences[(4 * i + k + i // 3) % (len(sentences) - 3 * bare)]
+                out.append(sentence.replace("_", "{" + kind + ":" + value.replace("{", "(").replace("}", ")") + "}"))
+    return out + NONE.strip().splitlines()
+
+
 _MARK = re.compile(r"\{(\w+):([^}]*)\}")
 
 
@@ -143,9 +226,10 @@ def pieces_of(text: str, start: int = 0, end: int | None = None) -> list[tuple[s
     return [(m[0], m.start() == 0 or text[m.start() - 1].isspace(), m.start()) for m in crf.PIECE.finditer(text, start, end)]
 
 
-def labelled(table: str = TABLE) -> list[list[tuple[str, bool, str]]]:
+def labelled(lines: list[str] | None = None) -> list[list[tuple[str, bool, str]]]:
+    """Pieces of each line with their labels."""
     out = []
-    for line in table.strip().splitlines():
+    for line in labelled_lines() if lines is None else lines:
         text, spans, at = "", [], 0
         for m in _MARK.finditer(line):
             text += line[at : m.start()]
@@ -161,34 +245,44 @@ def labelled(table: str = TABLE) -> list[list[tuple[str, bool, str]]]:
     return out
 
 
+@functools.cache
 def trained() -> crf.Model:
     return crf.train(labelled(), LABELS)
 
 
-_TRIGGER = re.compile(r"[0-9@]|[\[(]\s?(?:at|dot)\s?[\])]", re.IGNORECASE)
-#: Code points to either side of a trigger that are decoded with it.
+_TRIGGER = re.compile(r"[0-9@]|[\[({]\s?(?:at|dot)\s?[\])}]|\bdot\b|\bat\s[\w-]+\.\w", re.IGNORECASE)
+#: Code points to either side of a trigger that are decoded with it at first.
 AROUND = 48
 
 
+def _widened(text: str, a: int, b: int) -> tuple[int, int]:
+    """The stretch from ``a`` to ``b``, to white space on either side, AROUND further at most."""
+    a, b, low, high = max(0, a), min(len(text), b), max(0, a - AROUND), min(len(text), b + AROUND)
+    while a > low and not text[a - 1].isspace():
+        a -= 1
+    while b < high and not text[b].isspace():
+        b += 1
+    return a, b
+
+
 def _places(text: str) -> list[tuple[int, int]]:
-    """Stretches around triggers, cut at white space; they do not overlap."""
+    """Stretches around triggers; they do not overlap."""
     out: list[list[int]] = []
     for m in _TRIGGER.finditer(text):
         if out and m.start() - AROUND <= out[-1][1]:
             out[-1][1] = m.end() + AROUND
         else:
-            out.append([max(0, m.start() - AROUND), m.end() + AROUND])
-    places = []
+            out.append([m.start() - AROUND, m.end() + AROUND])
+    places: list[tuple[int, int]] = []
     for a, b in out:
-        b, low = min(b, len(text)), a - AROUND
-        while a > max(0, low) and not text[a - 1].isspace():
-            a -= 1
+        a, b = _widened(text, a, b)
         places.append((max(a, places[-1][1] if places else 0), b))
-    return places
+    return [p for p in places if p[0] < p[1]]
 
 
-_AT = re.compile(r"@|[\[(]\s*at\s*[\])]", re.IGNORECASE)
-_DOT = re.compile(r"\.|[\[(]\s*dot\s*[\])]|\bdot\b", re.IGNORECASE)
+_AT = re.compile(r"@|[\[({]\s*at\s*[\])}]|\bat\b", re.IGNORECASE)
+_DOT = re.compile(r"\.|[\[({]\s*dot\s*[\])}]|\bdot\b", re.IGNORECASE)
+_DATE = re.compile(r"(?:[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{2,4}|[0-9]{4}-[0-9]{4})")
 
 
 def holds(kind: str, span: str) -> bool:
@@ -197,41 +291,60 @@ def holds(kind: str, span: str) -> bool:
     digits = "".join(numbers)
     if kind == "email":
         at = _AT.search(span)
-        return bool(at and re.search(r"\w", span[: at.start()]) and _DOT.search(span[at.end() :]))
+        return bool(at and re.search(r"\w", span[: at.start()]) and (dot := _DOT.search(span, at.end())) and re.search(r"\w", span[dot.end() :]))
     if kind == "ip":
         return len(numbers) == 4 and all(map(_short, numbers)) and len(re.sub(r"[0-9.\[\]\s]", "", span)) == 0 and span.count(".") == 3
     if kind == "card":
         return 15 <= len(digits) <= 19 and luhn(digits) and not re.search(r"[^0-9\s./-]", span)
-    grouped = len(numbers) >= 2 and not re.fullmatch(r"(?:19|20)?[0-9]{2}[-/.][0-9]{1,2}[-/.][0-9]{1,4}", span)
-    return 7 <= len(digits) <= 15 and grouped and not re.search(r"[^0-9\s()+./-]", span)
+    return 7 <= len(digits) <= 15 and not _DATE.fullmatch(span) and not re.search(r"[^0-9\s()+./-]", span)
+
+
+def _whole(text: str, a: int, b: int) -> tuple[int, int]:
+    """The span with all of the words and numbers that it begins or ends in."""
+    while a > 0 and text[a - 1].isalnum() and text[a].isalnum():
+        a -= 1
+    while b < len(text) and text[b].isalnum() and text[b - 1].isalnum():
+        b += 1
+    return a, b
+
+
+def _decoded(texts: list[str], model: crf.Model) -> Iterator[tuple[int, str, int, int]]:
+    """(text, kind, start, end) of what the model labels; a place grows while a span reaches its edge."""
+    todo = [(i, a, b) for i, text in enumerate(texts) for a, b in _places(text)]
+    while todo:
+        pieces = [pieces_of(texts[i], a, b) for i, a, b in todo]
+        again = []
+        for (i, a, b), row, labels in zip(todo, pieces, model.decode([[(p, g) for p, g, _ in row] for row in pieces]), strict=True):
+            if not row:
+                continue
+            left, right = labels[0] != "O" and a > 0, labels[-1] != "O" and b < len(texts[i])
+            grown = _widened(texts[i], a - AROUND * left, b + AROUND * right)
+            if (left or right) and grown != (a, b) and b - a < 40 * AROUND:
+                again.append((i, *grown))
+                continue
+            open_: list = []
+            for (piece, _, at), label in zip([*row, ("", False, -1)], [*labels, "O"], strict=True):
+                if open_ and (label[0] != "I" or label[2:] != open_[0]):
+                    yield (i, open_[0], *_whole(texts[i], *open_[1:]))
+                    open_ = []
+                if label[0] == "B":
+                    open_ = [label[2:], at, at + len(piece)]
+                elif open_:
+                    open_[2] = at + len(piece)
+        todo = again
 
 
 def spans_of(texts: list[str], model: crf.Model) -> list[list[tuple[str, int, int]]]:
     """All spans of each text, by kind as listed and then start."""
-    out, where, sequences = [base(t) for t in texts], [], []
-    for i, text in enumerate(texts):
-        for a, b in _places(text):
-            pieces = pieces_of(text, a, b)
-            where.append((i, pieces))
-            sequences.append([(p, g) for p, g, _ in pieces])
-    added: dict[int, list[tuple[str, int, int]]] = {}
-    for (i, pieces), labels in zip(where, model.decode(sequences), strict=True):
-        open_: list = []
-        for (piece, _, at), label in zip([*pieces, ("", False, -1)], [*labels, "O"], strict=True):
-            if open_ and (label[0] != "I" or label[2:] != open_[0]):
-                added.setdefault(i, []).append(tuple(open_))
-                open_ = []
-            if label[0] == "B":
-                open_ = [label[2:], at, at + len(piece)]
-            elif open_:
-                open_[2] = at + len(piece)
-    for i, found_ in added.items():
-        text = texts[i]
-        edges = sorted((a, b) for _, a, b in out[i])
-        for kind, a, b in found_:
-            if holds(kind, text[a:b]) and not any(x < b and a < y for x, y in edges):
+    out = [base(t) for t in texts]
+    taken = [sorted((a, b) for _, a, b in spans) for spans in out]
+    for i, kind, a, b in sorted(_decoded(texts, model)):
+        if holds(kind, texts[i][a:b]):
+            at = bisect.bisect(taken[i], (a, b))
+            if not any(x < b and a < y for x, y in taken[i][max(0, at - 2) : at + 2]):
                 out[i].append((kind, a, b))
-    return [sorted(s, key=lambda x: (KINDS.index(x[0]), x[1], x[2])) for s in out]
+                taken[i].insert(at, (a, b))
+    return [sorted(set(s), key=lambda x: (KINDS.index(x[0]), x[1], x[2])) for s in out]
 
 
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("base", pa.bool_())]))
