@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestry.llm import words as W
-from attestry.llm.spark import cut, few_ids, hinted, map_batches, split_join, stored
+from attestry.llm.spark import cut, few_ids, hinted, hot_keys, map_batches, split_join, stored
 
 BANDS, ROWS = 28, 4
 REGISTERS = BANDS * ROWS
@@ -236,11 +236,15 @@ def components(edges: DataFrame) -> DataFrame:
     pairs = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     labels = stored(pairs.groupBy("a").agg(F.min("b").alias("l")).select(F.col("a").alias("node"), F.least("a", "l").alias("root")))
     hubs = cut(pairs.groupBy("b").count())
+    hot = hot_keys(hubs, ["b"])
     while True:
-        near = split_join(pairs, labels.select(F.col("node").alias("b"), "root"), ["b"], counts=hubs).groupBy("a").agg(F.min("root").alias("near"))
+        near = split_join(pairs, labels.select(F.col("node").alias("b"), "root"), ["b"], hot=hot).groupBy("a").agg(F.min("root").alias("near"))
         step = cut(labels.join(near, labels.node == near.a).select("node", "root", F.least("root", "near").alias("new")))
-        jump = labels.select(F.col("node").alias("new"), F.col("root").alias("far"))
-        step = stored(split_join(step, jump, ["new"], "left").select("node", "root", F.least("new", "far").alias("new")))
+        # labels of labels; only of those that change, which are few in all but huge graphs
+        jump = labels.where("root < node").select(F.col("node").alias("new"), F.col("root").alias("far"))
+        far = cut(step.select("new").distinct().join(jump, "new"))
+        step = step.join(F.broadcast(far), "new", "left") if few_ids(far) else split_join(step, far, ["new"], "left")
+        step = stored(step.select("node", "root", F.least("new", "far").alias("new")))
         changed = step.where("new < root").limit(1).count()
         labels = step.select("node", F.col("new").alias("root"))
         if not changed:
@@ -258,7 +262,7 @@ def _shingles(width: int):
 
 
 def _finish(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: DataFrame, links: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links that the stars of the larger buckets may have left out, without loss."""
+    """``labels`` with links that the stars of the larger buckets may have left out, without loss."""
     large = members.where(F.col("size") > SMALL).select("key", "node", "n")
 
     def unresolved(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -267,6 +271,8 @@ def _finish(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Data
         return split_join(rows, cut(several.select("key", "least")), ["key"])
 
     open_ = cut(unresolved(large, labels))
+    if not open_.limit(1).count():
+        return labels
     grams = map_batches(_held(open_.select("node").distinct(), nodes, texts), _shingles(width), "shingle long, node long")
     # of a class's shingles, those that another class of these buckets has too
     alone = grams.groupBy("shingle").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
@@ -281,7 +287,8 @@ def _finish(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Data
     star = bound.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     star = cut(_overlaps(star, nodes, texts, width))
     links = links.union(_linked(star, percent))
-    rest = unresolved(bound.where("node != centre").drop("root", "least"), components(links))
+    labels = components(links)
+    rest = unresolved(bound.where("node != centre").drop("root", "least"), labels)
     rest = cut(rest.join(star.select(F.col("a").alias("centre"), F.col("b").alias("node"), "both", "bits"), ["centre", "node"]))
     rest = rest.withColumn("apart", F.col("shared") - F.col("both"))
     rest = split_join(rest, rest.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_CLASSES).cast("int").alias("blocks")), ["key"])
@@ -296,7 +303,8 @@ def _finish(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Data
     across = once & (F.col("root") != F.col("root_")) & _sizes_fit(F.col("n"), F.col("n_"), percent)
     pairs = left.join(other, ["key", "lo", "hi"]).where(across & overlap)
     pairs = pairs.select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
-    return links.union(_links(pairs, nodes, texts, width, percent))
+    found = _links(pairs, nodes, texts, width, percent)
+    return components(links.union(found)) if found.limit(1).count() else labels
 
 
 def _ties(rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -330,7 +338,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = star.select(F.col("pivot").alias("a"), F.col("node").alias("b")).union(full.select("node", "node_")).distinct()
     links = _links(pairs, nodes, texts, width, percent).union(_ties(rows, classes))
     labels = components(links)
-    labels = components(_finish(members, labels, nodes, texts, links, width, percent))
+    labels = _finish(members, labels, nodes, texts, links, width, percent)
     labels = cut(labels.join(classes.select("node", "id"), "node"))
     labels = split_join(labels, labels.groupBy("root").agg(F.min("id").alias("least")), ["root"]).select("node", "least")
     roots = classes.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("least", "id").alias("root"))

@@ -60,22 +60,30 @@ def hinted(ids: DataFrame, few: bool) -> DataFrame:
     return F.broadcast(ids) if few else ids
 
 
-def split_join(many: DataFrame, few: DataFrame, keys: list[str], how: str = "inner", counts: DataFrame | None = None) -> DataFrame:
+def hot_keys(counts: DataFrame, keys: list[str]) -> DataFrame | None:
+    """Keys that are to be split and into how many ``_parts``, of a table of ``keys`` and ``count``.
+
+    A key is hot when it has more rows than HOT, or than 1 in BROADCAST_IDS of all, so that at
+    most BROADCAST_IDS keys can be hot and their table may be broadcast. None if no key is.
+    """
+    most, rows = counts.agg(F.max("count"), F.sum("count")).first()
+    limit = max(HOT, (rows or 0) // BROADCAST_IDS)
+    if (most or 0) <= limit:
+        return None
+    return cut(counts.where(F.col("count") > limit).select(*keys, F.ceil(F.col("count") / limit).cast("int").alias("_parts")))
+
+
+def split_join(many: DataFrame, few: DataFrame, keys: list[str], how: str = "inner", counts: DataFrame | None = None, hot: DataFrame | None | bool = True) -> DataFrame:
     """``many`` joined to ``few``, which has a key once at most; a key with many rows is split.
 
-    Rows of a key that ``many`` has more than ``limit`` times are dealt to several tasks by a
-    hash of the row, and the key's row of ``few`` goes to each. The limit grows with ``many``,
-    so that at most BROADCAST_IDS keys can exceed it and their table may be broadcast.
-    ``many`` is read twice, so it should be a table or a checkpoint; ``counts`` (the keys and
-    ``count``) spares the first time. ``how`` is inner or left.
+    Rows of a hot key are dealt to several tasks by a hash of the row, and the key's row of
+    ``few`` goes to each. ``many`` is read twice, so it should be a table or a checkpoint;
+    ``counts`` (the keys and ``count``) or ``hot`` (from ``hot_keys``) spares the first time.
+    ``how`` is inner or left.
     """
-    counts = many.groupBy(*keys).count() if counts is None else counts
-    rows = counts.agg(F.sum("count")).first()[0] or 0
-    limit = max(HOT, rows // BROADCAST_IDS)
-    if rows <= limit:
-        return many.join(few, keys, how)
-    hot = cut(counts.where(F.col("count") > limit).select(*keys, F.ceil(F.col("count") / limit).cast("int").alias("_parts")))
-    if not hot.limit(1).count():
+    if hot is True:
+        hot = hot_keys(many.groupBy(*keys).count() if counts is None else counts, keys)
+    if hot is None:
         return many.join(few, keys, how)
     hot = F.broadcast(hot)
     part = F.coalesce(F.pmod(F.xxhash64(*many.columns), F.col("_parts")), F.lit(0)).cast("int")
