@@ -11,16 +11,23 @@ equal to their generalised Jaccard similarity, sum of min(w, w') over sum of max
 
 Words of a text and of its edited form are counted together, so that the draws for a word
 serve both. All of this happens in the partition that holds the text: texts are dealt once,
-by ranges of ids, and every later grouping is by range and row.
+by ranges of ids between quantiles, and every later grouping is by range and row.
+
+A likeness is a share of ``SLOTS`` slots: its standard error is sqrt(p (1 - p) / SLOTS), 0.1 at
+a half.
 
 Defined cases: a null text counts as empty; an empty text has empty slots, which agree with
 each other only; a null id comes after all others; rows that repeat are documents of their
-own, next to each other; a sole document is its own next; an empty table gives an empty
-result; other columns are ignored.
+own, next to each other, and rows of one id follow each other by a hash of the text; a sole
+document is its own next; texts of any length are taken whole; an empty table gives an empty
+result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,8 +35,11 @@ from pyspark.sql.window import Window
 from attestry.llm.spark import cut, few_ids
 
 SLOTS = 24
-#: Code points of text in a partition, in the mean, and the most partitions.
+#: Code points of text in a partition, in the mean, and the most partitions: beyond 400 GB of
+#: text partitions grow, to 1 GB each at 100 TB, as a shuffle of more is not to be had.
 PART_CHARS, MOST_PARTS = 4_000_000, 100_000
+#: Most quantiles of the ids that bound their ranges; wider ones are cut to equal widths.
+KNOTS, CHUNK = 8192, 90
 _SPACES = r"[\x20\x09-\x0D]+"
 _BITS = 21
 
@@ -73,20 +83,50 @@ def edited_text(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), n - half), F.substring(following, F.lit(1), half))
 
 
+def _range_of(rows: DataFrame, many: int) -> Column:
+    """The range of (at, tie) that a row is in, one of about ``many``; greater ones come later.
+
+    Ranges lie between quantiles of ``at``. An id that spans several quantiles has as many
+    ranges, by ``tie``, so rows without an id are spread too.
+    """
+    knots = min(KNOTS, many)
+    fractions = F.array(*(F.lit(k / knots) for k in range(1, knots))) if knots > 1 else F.array(F.lit(0.5))
+    found = rows.agg(F.percentile_approx("at", fractions, 20 * knots).alias("q")).first()["q"]
+    if not found:
+        return F.coalesce(F.col("at") * 0, F.lit(0)).cast("long")
+    found = sorted(found)
+    chunks = [found[k : k + CHUNK] for k in range(0, len(found), CHUNK)]
+    held = F.from_json(F.lit(json.dumps(chunks)), "array<array<bigint>>")
+    most = F.from_json(F.lit(json.dumps([c[-1] for c in chunks])), "array<bigint>")
+    at = F.col("at")
+
+    def count(below: Callable[[Column], Column]) -> Column:
+        """Quantiles for which ``below`` holds; it holds for the first ones only."""
+        chunk = F.size(F.filter(most, below))
+        inside = F.size(F.filter(F.coalesce(F.get(held, chunk), F.array().cast("array<bigint>")), below))
+        return F.least(chunk * CHUNK + inside, F.lit(len(found)))
+
+    less, upto = count(lambda x: x < at), count(lambda x: x <= at)
+    tie = F.floor((F.col("tie") / float(1 << 64) + 0.5) * (upto - less))
+    wide = -(-many // knots)
+    if wide == 1:
+        return (less + tie).cast("long")
+    flat = F.from_json(F.lit(json.dumps(found)), "array<bigint>")
+    low, high = F.get(flat, upto - 1).cast("double"), F.get(flat, upto).cast("double")
+    inside = F.when(less == upto, F.least(F.lit(wide - 1), F.floor((at - low) / (high - low) * wide)))
+    return ((less + tie) * wide + F.coalesce(inside, F.lit(wide - 1))).cast("long")
+
+
 def _in_order(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, int, DataFrame]:
     """Rows with their range of ids, the order of the ranges, partitions, and the text after each range."""
     least = F.lit(-(1 << 63))
     rows = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), least).alias("at"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
-    real = F.when(F.col("at") > least, F.col("at"))
-    size = rows.agg(F.min(real).alias("lo"), F.max(real).alias("hi"), F.sum(F.char_length("text")).alias("chars")).first()
-    lo, hi = size["lo"] or 0, size["hi"] or 0
-    parts = min(MOST_PARTS, 1 + (size["chars"] or 0) // PART_CHARS)
-    width = max(1, -(-(hi - lo + 1) // (4 * parts)))
-    span = F.when(F.col("at") < lo, 0).otherwise(F.floor((F.col("at").cast("decimal(20,0)") - lo) / width)).cast("long")
-    span = F.coalesce(span, F.lit(0).cast("long"))  # never NULL, so no filter tells the branches apart
-    rows = rows.withColumns({"span": span, "tie": F.xxhash64("text")})
+    chars = rows.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    parts = min(MOST_PARTS, 1 + chars // PART_CHARS)
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    rows = rows.withColumn("span", _range_of(rows, 4 * parts))
     # ranges that have rows, and the range whose first row follows the last of each
     heads = rows.groupBy("span").agg(F.max(F.struct("at", F.col("tie"))).alias("head"))
     every = Window.orderBy(F.desc("span"))
