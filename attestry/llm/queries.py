@@ -73,7 +73,7 @@ def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = ("word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return quality.judged(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", *base)
+    return quality.judged(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", *base, "p_good")
 
 
 def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
