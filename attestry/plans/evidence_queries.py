@@ -320,7 +320,7 @@ def timeline_union(s: SparkSession, d: str) -> DataFrame:
 
 def coverage_denominators(s: SparkSession, d: str) -> DataFrame:
     a = L.assertions(s, d).groupBy("entity_id").agg(
-        F.count_if(F.col("legal_effect") == "ENTITLED").alias("n_entitled"), F.count_if(F.col("blocked")).alias("n_blocked"), F.size(F.collect_set("root_key")).cast("long").alias("n_roots")
+        F.count_if(F.col("legal_effect") == "ENTITLED_TO_PROVIDE").alias("n_entitled"), F.count_if(F.col("blocked")).alias("n_blocked"), F.size(F.collect_set("root_key")).cast("long").alias("n_roots")
     )
     out = L.entities(s, d).select("entity_id").join(a, "entity_id", "left").fillna(0)
     return out.select("*", F.when(F.col("n_entitled") > 0, "COVERED").when(F.col("n_roots") > 0, "PARTIAL").otherwise("UNKNOWN").alias("permissions"))
@@ -417,7 +417,7 @@ b as (select bucket, sha256(string_agg(h, '' order by h)) as h, count(*) as n fr
 select entity_id, string_agg(x, '|' order by x) as terms from t where x <> '' group by entity_id"""),
     "timeline_union": (timeline_union, f"""{L.SQL} select entity_id, effective_from as day, 'STARTED' as kind from assertions union all select entity_id, effective_to, 'ENDED' from assertions where effective_to is not null
 union all select entity_id, effective_from, negative_class from facts where negative_class is not null"""),
-    "coverage_denominators": (coverage_denominators, f"""{L.SQL.rstrip()}, a as (select entity_id, count_if(legal_effect = 'ENTITLED') as n_entitled, count_if(blocked) as n_blocked, count(distinct root_key) as n_roots from assertions group by all),
+    "coverage_denominators": (coverage_denominators, f"""{L.SQL.rstrip()}, a as (select entity_id, count_if(legal_effect = 'ENTITLED_TO_PROVIDE') as n_entitled, count_if(blocked) as n_blocked, count(distinct root_key) as n_roots from assertions group by all),
 x as (select entity_id, cast(coalesce(n_entitled, 0) as bigint) as n_entitled, cast(coalesce(n_blocked, 0) as bigint) as n_blocked, coalesce(n_roots, 0) as n_roots from entities left join a using (entity_id))
 select *, case when n_entitled > 0 then 'COVERED' when n_roots > 0 then 'PARTIAL' else 'UNKNOWN' end as permissions from x"""),
     "orphan_refs": (orphan_refs, f"{L.SQL} select assertion_id from assertions where assertion_id not in (select assertion_id from sources)"),

@@ -15,99 +15,224 @@ _PAIRS = f"""{L.SQL.rstrip()},
 knowledge as (
   select assertion_id, max(retrieved_at) as knowledge_time, max(coalesce(source_as_of, retrieved_at)) as fresh_at, count(*) as n_sources
   from sources group by assertion_id),
+cited as (
+  select assertion_id, register_id as cited, case register_id when 'VIEW0' then 'REG0' else register_id end as governing, max(coalesce(source_as_of, retrieved_at)) as fresh
+  from sources group by all),
 pairs as (
-  select q.*, a.assertion_id, a.legal_effect, a.territorial_basis, a.effective_from, a.effective_to, a.exclusive_end, a.blocked, a.root_key, a.register_id,
-    k.knowledge_time, k.fresh_at,
+  select q.*, a.assertion_id, a.legal_effect, a.territorial_basis, a.effective_from, a.effective_to, a.exclusive_end, a.blocked, a.root_key, a.root_home, a.register_id,
+    a.entity_class, a.principal_id, a.composition, k.knowledge_time, k.fresh_at, k.n_sources,
     case when k.knowledge_time is null then 'untraceable' when k.knowledge_time <= q.known_at then 'usable' else 'after_k' end as bucket
   from questions q join assertions a on q.entity_id = a.entity_id and q.activity = a.activity and q.jurisdiction = a.jurisdiction
   left join knowledge k on a.assertion_id = k.assertion_id
   where q.asked_basis is null or q.asked_basis = a.territorial_basis),
+places as (
+  select distinct register_id, entity_class, activity, jurisdiction, territorial_basis, valid_at from pairs where bucket = 'usable'
+  union
+  select distinct c.governing, p.entity_class, p.activity, p.jurisdiction, p.territorial_basis, p.valid_at
+  from pairs p join cited c on p.assertion_id = c.assertion_id where p.bucket = 'usable' and p.composition = 'ALL_REQUIRED'),
 scopes as (
-  select p.register_id, p.territorial_basis, p.jurisdiction, p.valid_at,
-    min(case when scope = 'OUT' then ordinal end) as out_ord, min(case when scope = 'IN' then ordinal end) as in_ord
-  from (select distinct register_id, territorial_basis, jurisdiction, valid_at from pairs where bucket = 'usable') p
-  left join coverage_rules r on p.register_id = r.register_id
-    and (rule_basis is null or rule_basis = p.territorial_basis) and (rule_jurisdiction is null or rule_jurisdiction = p.jurisdiction)
-    and (valid_from is null or valid_from <= p.valid_at)
+  select p.*, min(r.ordinal) filter (where r.scope = 'OUT') as out_ord, min(r.ordinal) filter (where r.scope = 'IN') as in_ord
+  from places p left join coverage_rules r on p.register_id = r.register_id
+    and (r.rule_class is null or r.rule_class = p.entity_class) and (r.rule_activities is null or list_contains(r.rule_activities, p.activity))
+    and (r.rule_jurisdictions is null or list_contains(r.rule_jurisdictions, p.jurisdiction)) and (r.rule_bases is null or list_contains(r.rule_bases, p.territorial_basis))
+    and (r.valid_from is null or p.valid_at >= r.valid_from) and (r.valid_to is null or p.valid_at <= r.valid_to)
   group by all),
-gated as (
-  select p.*, case when c.complete_enumeration is null then 'NO_CONTRACT'
-      when s.out_ord is not null then 'OUT_OF_SCOPE' when s.in_ord is null then 'SCOPE_UNKNOWN'
-      when not ({_IN_EFFECT.format(at="p.valid_at")}) then 'NOT_IN_EFFECT'
-      when coalesce((p.valid_at - fresh_at) > case when legal_effect = 'NOT_ENTITLED' then negative_days else positive_days end, true) then 'STALE' end as diagnostic
-  from pairs p left join contracts c on p.register_id = c.register_id
-  left join scopes s on p.register_id = s.register_id and p.territorial_basis = s.territorial_basis and p.jurisdiction = s.jurisdiction and p.valid_at = s.valid_at
+decided as (
+  select s.*, c.positive_days, c.negative_days, c.capability,
+    case when out_ord is not null or (without_banks and entity_class = 'BANK') or (without_e_money and activity = 'E_MONEY_ISSUANCE') or (only_j0 and jurisdiction <> 'J0') then 'OUT_OF_SCOPE'
+      when in_ord is not null then 'IN_SCOPE' else 'UNKNOWN' end as status,
+    case when out_ord is not null then 'RULE' || out_ord when without_banks and entity_class = 'BANK' then 'contract-excluded-entity-classes'
+      when without_e_money and activity = 'E_MONEY_ISSUANCE' then 'contract-activities-coverage' when only_j0 and jurisdiction <> 'J0' then 'contract-jurisdiction-coverage'
+      when in_ord is not null then 'RULE' || in_ord end as scope_rule,
+    case when out_ord is not null then 'EXPLICIT_EXCLUSION' when without_banks and entity_class = 'BANK' then 'EXCLUDED_ENTITY_CLASS'
+      when without_e_money and activity = 'E_MONEY_ISSUANCE' then 'ACTIVITY_NOT_COVERED_BY_REGISTER' when only_j0 and jurisdiction <> 'J0' then 'JURISDICTION_NOT_COVERED_BY_REGISTER'
+      when in_ord is not null then 'COVERED_BY_RULE' else 'NO_RULE_MATCHES' end as why
+  from scopes s join contracts c on s.register_id = c.register_id),
+failing as (
+  select p.assertion_id, p.valid_at, p.known_at, c.cited,
+    case when d.status is null then 'no_contract' when d.status = 'OUT_OF_SCOPE' then 'out_of_source_scope'
+      when coalesce((p.valid_at - c.fresh) > case when p.legal_effect = 'NOT_ENTITLED' then d.negative_days else d.positive_days end, true) then 'stale_required_source' end as kind
+  from pairs p join cited c on p.assertion_id = c.assertion_id
+  left join decided d on d.register_id = c.governing and d.entity_class = p.entity_class and d.activity = p.activity and d.jurisdiction = p.jurisdiction
+    and d.territorial_basis = p.territorial_basis and d.valid_at = p.valid_at
+  where p.bucket = 'usable' and p.composition = 'ALL_REQUIRED'),
+failed as (select assertion_id, valid_at, known_at, min(cited) as cited, arg_min(kind, cited) as kind from failing where kind is not null group by all),
+own as (
+  select p.*, case when d.status is null then 'no_contract' when d.status = 'OUT_OF_SCOPE' then 'out_of_source_scope'
+      when d.status = 'UNKNOWN' and coalesce(n_sources, 0) = 0 then 'unknown_scope_no_evidence'
+      when p.entity_class = 'PSP_AGENT' and principal_id is null then 'agent_missing_principal'
+      when not ({_IN_EFFECT.format(at="p.valid_at")}) then 'not_in_effect'
+      when coalesce((p.valid_at - fresh_at) > case when legal_effect = 'NOT_ENTITLED' then negative_days else positive_days end, true) then 'stale_evidence' end as first_gate
+  from pairs p left join decided d on p.register_id = d.register_id and p.entity_class = d.entity_class and p.activity = d.activity and p.jurisdiction = d.jurisdiction
+    and p.territorial_basis = d.territorial_basis and p.valid_at = d.valid_at
   where bucket = 'usable'),
-routes as (
-  select entity_id, activity, jurisdiction, coalesce(asked_basis, '') as asked_basis, valid_at, known_at, root_key, territorial_basis,
-    bool_or(legal_effect = 'ENTITLED') as positive, bool_or(legal_effect = 'NOT_ENTITLED') as negative
-  from gated where diagnostic is null and not blocked group by all),
-fact_rows as (
-  select q.entity_id, q.activity, q.jurisdiction, coalesce(q.asked_basis, '') as asked_basis, q.valid_at, q.known_at, f.root_key,
-    (q.valid_at - f.knowledge_time) <= 1500 as fresh, f.negative_class, f.effective_from, f.span_from, f.span_to
-  from questions q join facts f on q.entity_id = f.entity_id where f.knowledge_time <= q.known_at),
+gated as (
+  select o.*, coalesce(first_gate, f.kind) as diagnostic,
+    case when blocked then 'blocked_evidence:' || o.assertion_id when first_gate = 'no_contract' then 'no_contract:' || register_id
+      when first_gate is not null then first_gate || ':' || o.assertion_id when f.kind = 'no_contract' then 'no_contract:' || f.cited
+      when f.kind is not null then f.kind || ':' || o.assertion_id || ':' || f.cited end as said,
+    case when first_gate = 'no_contract' then 'no_contract:' || register_id
+      when first_gate is not null then first_gate || ':' || o.assertion_id when f.kind = 'no_contract' then 'no_contract:' || f.cited
+      when f.kind is not null then f.kind || ':' || o.assertion_id || ':' || f.cited end as said_unblocked
+  from own o left join failed f on o.assertion_id = f.assertion_id and o.valid_at = f.valid_at and o.known_at = f.known_at),
+asked_facts as (
+  select q.*, f.fact_id, f.rule_id, f.reported_status, f.root_key, f.root_home, f.negative_class, f.effective_from, f.span_from, f.span_to,
+    case when f.knowledge_time is null then 'untraceable' when f.knowledge_time <= q.known_at then 'usable' else 'after_k' end as bucket,
+    coalesce((q.valid_at - f.fresh_at) <= c.negative_days, false) as fresh
+  from questions q join facts f on q.entity_id = f.entity_id left join contracts c on f.register_id = c.register_id),
 root_states as (
-  select entity_id, activity, jurisdiction, asked_basis, valid_at, known_at, root_key,
-    case when min(case when fresh then span_from end) is not null then
-        case when coalesce(bool_or(fresh and span_from is not null and span_from <= valid_at and (span_to is null or valid_at < span_to)), false) then 'OPEN'
-             when valid_at >= min(case when fresh then span_from end) then 'CLOSED' else 'ABSENT' end
+  select {{Q}}, root_key,
+    case when min(span_from) filter (where fresh) is not null then
+        case when coalesce(bool_or(fresh and span_from <= valid_at and (span_to is null or valid_at < span_to)), false) then 'OPEN'
+             when valid_at >= min(span_from) filter (where fresh) then 'CLOSED' else 'ABSENT' end
       when coalesce(bool_or(fresh and negative_class = 'EXPLICIT_WITHDRAWAL' and effective_from <= valid_at), false) then 'CLOSED'
-      when coalesce(bool_or(fresh and negative_class = 'ENTITY_BAJA'), false) then 'UNRESOLVED' else 'OPEN' end as root_state
-  from fact_rows group by entity_id, activity, jurisdiction, asked_basis, valid_at, known_at, root_key)
-"""
+      when coalesce(bool_or(fresh and effective_from is not null and (negative_class in ('ENTITY_BAJA', 'UNRESOLVED_MOTIVO') or (negative_class is null and reported_status = 'WITHDRAWN'))), false) then 'UNRESOLVED'
+      else 'OPEN' end as root_state
+  from asked_facts where bucket = 'usable' and root_key is not null group by {{Q}}, root_key)
+""".replace("{Q}", "entity_id, activity, jurisdiction, asked_basis, valid_at, known_at")
 
 _Q = "entity_id, activity, jurisdiction, asked_basis, valid_at, known_at"
 
-_VERDICT = f"""{_PAIRS.rstrip()},
-usable as (select entity_id, activity, jurisdiction, coalesce(asked_basis, '') as asked_basis, valid_at, known_at, root_key, legal_effect, effective_from, effective_to
-  from pairs where bucket = 'usable'),
-by_question as (select {_Q}, bool_or(positive and not negative) as clean_open, bool_or(positive and negative) as conflict, bool_or(negative) as any_closed from routes group by all),
-blocked as (select entity_id, activity, jurisdiction, coalesce(asked_basis, '') as asked_basis, valid_at, known_at, true as has_blocked from gated where blocked group by all),
-known as (select {_Q}, root_key from usable union select {_Q}, root_key from root_states),
-closed as (select {_Q}, root_key, count(distinct territorial_basis) as n_closed,
-    bool_or(territorial_basis = asked_basis) as asked_closed from routes where negative and not positive group by all),
-roots as (
-  select k.entity_id, k.activity, k.jurisdiction, k.asked_basis, k.valid_at, k.known_at,
-    bool_and(coalesce(s.root_state, 'NONE') = 'CLOSED' or (coalesce(s.root_state, 'NONE') <> 'UNRESOLVED'
-      and case when k.asked_basis = '' then coalesce(c.n_closed, 0) = 3 else coalesce(c.asked_closed, false) end)) as all_closed,
-    bool_and(coalesce(s.root_state, 'NONE') = 'CLOSED') as all_roots_closed
-  from known k left join root_states s using ({_Q}, root_key) left join closed c using ({_Q}, root_key)
-  where s.root_state is null or s.root_state <> 'ABSENT' group by all),
-timing as (
-  select {_Q}, bool_or(effective_from > valid_at) as future, bool_or(coalesce(effective_to <= valid_at, false)) as expired
-  from usable u where legal_effect = 'ENTITLED' and exists (select 1 from root_states s where s.root_state = 'OPEN' and s.entity_id = u.entity_id and s.activity = u.activity
-    and s.jurisdiction = u.jurisdiction and s.asked_basis = u.asked_basis and s.valid_at = u.valid_at and s.known_at = u.known_at and s.root_key = u.root_key) group by all),
-asked as (select entity_id, activity, jurisdiction, coalesce(asked_basis, '') as asked_basis, valid_at, known_at from questions),
+_ROUTES = f"""{_PAIRS.rstrip()},
+exact as (select * from gated where identity_state = 'EXACT'),
+routes as (
+  select {_Q}, coalesce(root_key, 'UNSCOPED|' || register_id) as scope, territorial_basis,
+    count(*) filter (where diagnostic is null and not blocked and legal_effect = 'ENTITLED_TO_PROVIDE') as n_open,
+    count(*) filter (where diagnostic is null and not blocked and legal_effect = 'NOT_ENTITLED') as n_closed
+  from exact group by all)
+"""
+
+_SAME = " and ".join(f"{{a}}.{c} is not distinct from {{b}}.{c}" for c in _Q.split(", "))
+
+_VERDICT = f"""{_ROUTES.rstrip()},
+used as (
+  select g.*, r.n_open > 0 and r.n_closed = 0 and g.diagnostic is null and not blocked and legal_effect = 'ENTITLED_TO_PROVIDE' as in_clean,
+    r.n_open > 0 and r.n_closed > 0 and g.diagnostic is null and not blocked and legal_effect in ('ENTITLED_TO_PROVIDE', 'NOT_ENTITLED') as in_conflict,
+    g.diagnostic is null and not blocked and legal_effect = 'NOT_ENTITLED' as in_closed
+  from exact g join routes r on {_SAME.format(a="g", b="r")} and coalesce(g.root_key, 'UNSCOPED|' || g.register_id) = r.scope and g.territorial_basis = r.territorial_basis),
+roots as (select {_Q}, root_key, min(root_home) as home from (
+    select {_Q}, root_key, root_home from exact where root_key is not null
+    union all select {_Q}, root_key, root_home from asked_facts where bucket = 'usable' and root_key is not null and identity_state = 'EXACT') group by all),
+judged_roots as (
+  select r.*, s.root_state, coalesce(s.root_state, 'NONE') <> 'ABSENT' and case split_part(r.root_key, '|', 2)
+      when 'PSD_AISP' then r.activity = 'ACCOUNT_INFORMATION_SERVICES' when 'PSD_PI' then r.activity <> 'E_MONEY_ISSUANCE' else true end as applies,
+    (select count(distinct t.territorial_basis) from routes t where {_SAME.format(a="t", b="r")} and t.scope = r.root_key and t.n_closed > 0
+      and t.territorial_basis in ('DOMESTIC') and r.home = 'ES') as shut_home,
+    (select count(distinct t.territorial_basis) from routes t where {_SAME.format(a="t", b="r")} and t.scope = r.root_key and t.n_closed > 0
+      and t.territorial_basis in ('BRANCH', 'FREEDOM_TO_PROVIDE_SERVICES') and (r.asked_basis is null or t.territorial_basis = r.asked_basis)) as shut_abroad
+  from roots r left join root_states s on {_SAME.format(a="s", b="r")} and s.root_key = r.root_key),
+closures as (
+  select {_Q},
+    coalesce(bool_and(coalesce(root_state, 'NONE') = 'CLOSED' or (coalesce(root_state, 'NONE') <> 'UNRESOLVED'
+      and case when home is not distinct from 'ES' then (asked_basis is null or asked_basis = 'DOMESTIC') and shut_home = 1
+               else shut_abroad = case when asked_basis is null then 2 when asked_basis = 'DOMESTIC' then 9 else 1 end end)) filter (where applies), false) as all_closed,
+    coalesce(bool_and(coalesce(root_state, 'NONE') = 'CLOSED') filter (where applies), false) as all_withdrawn
+  from judged_roots group by all),
+per_question as (
+  select {_Q}, bool_or(in_clean) as clean, bool_or(in_conflict) as conflict, bool_or(in_closed) as closed, bool_or(blocked) as has_blocked,
+    string_agg(cast(assertion_id as varchar), ',' order by cast(assertion_id as varchar)) filter (where in_clean) as clean_ids,
+    string_agg(cast(assertion_id as varchar), ',' order by cast(assertion_id as varchar)) filter (where in_conflict) as conflict_ids,
+    string_agg(cast(assertion_id as varchar), ',' order by cast(assertion_id as varchar)) filter (where in_closed) as closed_ids,
+    string_agg(cast(assertion_id as varchar), ',' order by cast(assertion_id as varchar)) filter (where blocked) as blocked_ids,
+    min(fresh_at) filter (where in_clean) as clean_fresh, min(fresh_at) filter (where in_conflict) as conflict_fresh,
+    min(fresh_at) filter (where in_closed) as closed_fresh, min(fresh_at) filter (where blocked) as blocked_fresh,
+    bool_or(legal_effect = 'ENTITLED_TO_PROVIDE' and effective_from > valid_at and is_open) as future,
+    bool_or(legal_effect = 'ENTITLED_TO_PROVIDE' and effective_to <= valid_at and is_open) as expired
+  from (select u.*, exists (select 1 from root_states s where {_SAME.format(a="s", b="u")} and s.root_key = u.root_key and s.root_state = 'OPEN') as is_open from used u)
+  group by all),
+said as (select {_Q}, string_agg(what, ',' order by what) as diagnostics from (
+    select {_Q}, said as what from exact where said is not null
+    union all select {_Q}, 'route_conflict:' || scope || ':' || territorial_basis from routes where n_open > 0 and n_closed > 0) group by all),
 flags as (
-  select a.*, coalesce(clean_open, false) as clean_open, coalesce(conflict, false) as conflict, coalesce(any_closed, false) as any_closed,
-    coalesce(has_blocked, false) as has_blocked, coalesce(all_closed, false) as all_closed, coalesce(all_roots_closed, false) as all_roots_closed,
-    coalesce(future, false) as future, coalesce(expired, false) as expired
-  from asked a left join by_question using ({_Q}) left join blocked using ({_Q}) left join roots using ({_Q}) left join timing using ({_Q}))
-select {_Q},
-  case when clean_open then 'CONFIRMED_ENTITLED' when conflict then 'INDETERMINATE' when all_closed then 'CONFIRMED_NOT_ENTITLED'
-    when has_blocked or future then 'INDETERMINATE' when expired then 'NO_ENTITLEMENT_EVIDENCED' when any_closed then 'INDETERMINATE' else 'NO_ENTITLEMENT_EVIDENCED' end as verdict,
-  case when clean_open then 'ACTIVE_ENTITLEMENT_EVIDENCED' when conflict then 'ROUTE_CONFLICT'
-    when all_closed then case when all_roots_closed then 'ROOT_FAMILY_WITHDRAWN' else 'ALL_AVAILABLE_ROUTES_CLOSED' end
-    when has_blocked then 'NEGATIVE_EVIDENCE_BLOCKED' when future then 'TERRITORIAL_ENTITLEMENT_UNRESOLVED' when expired then 'ENTITLEMENT_EXPIRED'
-    when any_closed then 'TERRITORIAL_ENTITLEMENT_UNRESOLVED' else 'NO_ASSERTIONS_IN_SCOPE' end as reason
+  select q.*, p.* exclude ({_Q}), coalesce(c.all_closed, false) as all_closed, coalesce(c.all_withdrawn, false) as all_withdrawn, s.diagnostics,
+    case when q.identity_state <> 'EXACT' then 0 when p.clean then 1 when p.conflict then 2 when c.all_closed then 3 when p.has_blocked then 4
+      when p.future then 5 when p.expired then 6 when p.closed then 7 else 8 end as step
+  from questions q left join per_question p on {_SAME.format(a="p", b="q")} left join closures c on {_SAME.format(a="c", b="q")} left join said s on {_SAME.format(a="s", b="q")})
+select {_Q}, identity_state,
+  case step when 1 then 'CONFIRMED_ENTITLED' when 3 then 'CONFIRMED_NOT_ENTITLED' when 6 then 'NO_ENTITLEMENT_EVIDENCED' when 8 then 'NO_ENTITLEMENT_EVIDENCED' else 'INDETERMINATE' end as verdict,
+  case step when 0 then case identity_state when 'AMBIGUOUS' then 'AMBIGUOUS_IDENTITY' when 'NOT_FOUND' then 'IDENTITY_NOT_FOUND' else identity_state end
+    when 1 then 'ACTIVE_ENTITLEMENT_EVIDENCED' when 2 then 'ROUTE_CONFLICT' when 3 then case when all_withdrawn then 'ROOT_FAMILY_WITHDRAWN' else 'ALL_AVAILABLE_ROUTES_CLOSED' end
+    when 4 then 'NEGATIVE_EVIDENCE_BLOCKED' when 6 then 'ENTITLEMENT_EXPIRED' when 8 then 'NO_ASSERTIONS_IN_SCOPE' else 'TERRITORIAL_ENTITLEMENT_UNRESOLVED' end as reason,
+  coalesce(case step when 1 then clean_ids when 2 then conflict_ids when 3 then closed_ids when 4 then blocked_ids end, '') as used_ids,
+  case step when 1 then clean_fresh when 2 then conflict_fresh when 3 then closed_fresh when 4 then blocked_fresh end as response_freshness,
+  case when step = 0 then 'identity:WHY_' || identity_state else coalesce(diagnostics, '') end as diagnostics
 from flags
 """
 
 
+def _assess_sql(two: bool) -> str:
+    """The ladders without routes, in SQL; ``two`` is V2."""
+    yes, no = ("CONFIRMED_ENTITLED", "CONFIRMED_NOT_ENTITLED") if two else ("CONFIRMED_AUTHORISED", "CONFIRMED_NOT_AUTHORISED")
+    active = "ACTIVE_ENTITLEMENT_EVIDENCED" if two else "SUPPORTED_BY_ACTIVE_ASSERTIONS"
+    ids = "string_agg(cast(assertion_id as varchar), ',' order by cast(assertion_id as varchar)) filter (where diagnostic is null{})"
+    return f"""{_PAIRS.rstrip()},
+e as (
+  select {_Q}, count(*) as n, count(*) filter (where diagnostic is null) as n_sound,
+    count(*) filter (where diagnostic is null and legal_effect = 'ENTITLED_TO_PROVIDE') as n_pos, count(*) filter (where diagnostic is null and legal_effect = 'NOT_ENTITLED') as n_neg,
+    {ids.format("")} as all_ids, {ids.format(" and legal_effect = 'ENTITLED_TO_PROVIDE'")} as pos_ids, {ids.format(" and legal_effect = 'NOT_ENTITLED'")} as neg_ids,
+    {ids.format(" and legal_effect = 'UNKNOWN'")} as unk_ids,
+    min(fresh_at) filter (where diagnostic is null) as all_fresh, min(fresh_at) filter (where diagnostic is null and legal_effect = 'ENTITLED_TO_PROVIDE') as pos_fresh,
+    min(fresh_at) filter (where diagnostic is null and legal_effect = 'NOT_ENTITLED') as neg_fresh, min(fresh_at) filter (where diagnostic is null and legal_effect = 'UNKNOWN') as unk_fresh,
+    bool_and(territorial_basis = 'FREEDOM_TO_PROVIDE_SERVICES') filter (where diagnostic is null and legal_effect = 'UNKNOWN') as only_services,
+    bool_or(diagnostic = 'agent_missing_principal') as d_agent, bool_or(diagnostic = 'out_of_source_scope') as d_out, bool_or(diagnostic = 'not_in_effect') as d_window,
+    bool_or(diagnostic = 'stale_evidence') as d_stale, bool_or(legal_effect = 'ENTITLED_TO_PROVIDE' and effective_to < valid_at) as expired,
+    string_agg(said_unblocked, ',' order by said_unblocked) as diagnostics
+  from gated where identity_state = 'EXACT' group by {_Q}),
+f as (
+  select {_Q}, bool_or(rule_id like '%agent-parent-status%') as f1, bool_or(rule_id like '%limited-lp%') as f2, bool_or(rule_id like '%parent-status%') as f3,
+    bool_or(rule_id like '%insufficient-basis%') as f4, bool_or(reported_status = 'WITHDRAWN') as f5, bool_or(reported_status = 'TERRITORIAL_ENTITLEMENT_DEFERRED') as f6
+  from asked_facts where bucket = 'usable' and identity_state = 'EXACT' group by {_Q}),
+g as (
+  select q.*, e.* exclude ({_Q}), f.* exclude ({_Q}),
+    case when q.identity_state <> 'EXACT' then 0
+      when coalesce(n_sound, 0) = 0 then case when {two} and f1 is not null then 1 when n is null then 2 when d_agent then 3 when d_out then 4 when d_window then 5 when d_stale then 6 else 7 end
+      when n_pos > 0 and n_neg > 0 then 8 when n_neg > 0 then 9 when n_pos > 0 and {two} and f5 then 8 when n_pos > 0 then 10 when {two} and only_services then 11 else 12 end as step
+  from questions q left join e on {_SAME.format(a="e", b="q")} left join f on {_SAME.format(a="f", b="q")})
+select {_Q}, identity_state,
+  case when step = 9 then '{no}' when step = 10 then '{yes}' when step in (2, 4, 5) then 'NO_ENTITLEMENT_EVIDENCED' else 'INDETERMINATE' end as verdict,
+  case step when 0 then case identity_state when 'AMBIGUOUS' then 'AMBIGUOUS_IDENTITY' when 'NOT_FOUND' then 'IDENTITY_NOT_FOUND' else identity_state end
+    when 1 then case when f1 then 'AGENT_DELEGATED_ROUTE_NO_INDEPENDENT_ENTITLEMENT' when f2 then 'TERRITORIAL_ROUTE_UNRESOLVED_LIMITED_LP' when f3 then 'PARENT_STATUS_NOT_CHILD_ENTITLEMENT'
+      when f4 then 'INSUFFICIENT_LEGAL_BASIS' when f5 then 'WITHDRAWAL_SEMANTICS_DEFERRED' when f6 then 'TERRITORIAL_ENTITLEMENT_UNRESOLVED' else 'MALFORMED_STATUS_SEQUENCE' end
+    when 2 then 'NO_ASSERTIONS_IN_SCOPE' when 3 then 'AGENT_ASSERTION_MISSING_PRINCIPAL' when 4 then 'ASSERTION_OUT_OF_SOURCE_SCOPE'
+    when 5 then case when expired then 'ENTITLEMENT_EXPIRED' else 'NO_ASSERTIONS_IN_SCOPE' end when 6 then 'ALL_EVIDENCE_STALE' when 8 then 'CONFLICTING_ASSERTIONS'
+    when 9 then 'EXPLICIT_NEGATIVE_EVIDENCE' when 10 then '{active}' when 11 then 'TERRITORIAL_ENTITLEMENT_UNRESOLVED' else 'UNINTERPRETABLE_EVIDENCE' end as reason,
+  coalesce(case when step = 8 then all_ids when step = 9 then neg_ids when step = 10 then pos_ids when step in (11, 12) then unk_ids end, '') as used_ids,
+  case when step = 8 then all_fresh when step = 9 then neg_fresh when step = 10 then pos_fresh when step in (11, 12) then unk_fresh end as response_freshness,
+  case when step = 0 then 'identity:WHY_' || identity_state else coalesce(diagnostics, '') end as diagnostics
+from g
+"""
+
+
 def _evidence(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return L.questions(s, d), L.assertions(s, d), L.sources(s, d)
 
 
+def _rest(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return L.facts(s, d), L.contracts(s, d), L.coverage_rules(s, d)
+
+
+def _gated(s: SparkSession, d: str) -> DataFrame:
+    return V.gated(V.matched(*_evidence(s, d)), L.contracts(s, d), L.coverage_rules(s, d), L.ALIASES)
+
+
 def bitemporal_verdict(s: SparkSession, d: str) -> DataFrame:
-    return V.verdicts(*_evidence(s, d), L.facts(s, d), L.contracts(s, d), L.coverage_rules(s, d))
+    return V.verdicts(*_evidence(s, d), *_rest(s, d), L.ALIASES)
 
 
 def verdict_simple(s: SparkSession, d: str) -> DataFrame:
-    return V.assess_simple(*_evidence(s, d), L.contracts(s, d), L.coverage_rules(s, d))
+    return V.assess(*_evidence(s, d), *_rest(s, d), "V1", L.ALIASES)
+
+
+def verdict_with_facts(s: SparkSession, d: str) -> DataFrame:
+    return V.assess(*_evidence(s, d), *_rest(s, d), "V2", L.ALIASES)
 
 
 def evidence_audit(s: SparkSession, d: str) -> DataFrame:
-    return V.audit(*_evidence(s, d))
+    return V.audit(*_evidence(s, d), L.facts(s, d), L.contracts(s, d))
+
+
+def assertion_evaluations(s: SparkSession, d: str) -> DataFrame:
+    return V.evaluations(*_evidence(s, d))
 
 
 def visibility_partition(s: SparkSession, d: str) -> DataFrame:
@@ -115,31 +240,38 @@ def visibility_partition(s: SparkSession, d: str) -> DataFrame:
 
 
 def admissibility_first_failure(s: SparkSession, d: str) -> DataFrame:
-    g = V.gated(V.matched(*_evidence(s, d)), L.contracts(s, d), L.coverage_rules(s, d))
-    return g.select("entity_id", "assertion_id", "valid_at", "known_at", F.coalesce("diagnostic", F.lit("ADMISSIBLE")).alias("diagnostic"))
+    return _gated(s, d).select("entity_id", "assertion_id", "valid_at", "known_at", F.coalesce("diagnostic", F.lit("ADMISSIBLE")).alias("diagnostic"), "failed_register")
 
 
 def route_aggregate(s: SparkSession, d: str) -> DataFrame:
-    g = V._keyed(V.gated(V.matched(*_evidence(s, d)), L.contracts(s, d), L.coverage_rules(s, d)))
-    return V.routes(g)
+    none = L.facts(s, d).where("false")
+    rows = V._dealt(L.questions(s, d), _gated(s, d), V.facts_asked(L.questions(s, d), none, L.contracts(s, d)))
+    found = V.routes(rows.where("assertion_id is not null"))
+    return found.select(*V.QUESTION, "scope", "territorial_basis", F.size("open_ids").cast("long").alias("n_open"), F.size("closed_ids").cast("long").alias("n_closed"))
 
 
 def route_conflict(s: SparkSession, d: str) -> DataFrame:
-    return route_aggregate(s, d).where("positive and negative").select(*V.QUESTION, "root_key", "territorial_basis")
+    return route_aggregate(s, d).where("n_open > 0 and n_closed > 0").select(*V.QUESTION, "scope", "territorial_basis")
 
 
 def root_state_at(s: SparkSession, d: str) -> DataFrame:
-    return V.root_states(V._keyed(L.questions(s, d)), L.facts(s, d), 1500)
+    return V.root_states(L.questions(s, d), L.facts(s, d), L.contracts(s, d))
 
 
 def knowledge_time(s: SparkSession, d: str) -> DataFrame:
-    return V.knowledge(L.sources(s, d))
+    return V.knowledge(L.sources(s, d)).drop("registers")
+
+
+def register_freshness(s: SparkSession, d: str) -> DataFrame:
+    """How fresh each register's share of an assertion's evidence is."""
+    k = V.knowledge(L.sources(s, d)).select("assertion_id", F.posexplode("registers").alias("place", "r"))
+    return k.select("assertion_id", F.col("place").cast("long").alias("place"), "r.register", "r.fresh")
 
 
 def effect_at_date(s: SparkSession, d: str) -> DataFrame:
     a, at = L.assertions(s, d), F.lit("1998-06-01").cast("date")
     effect = V.effect_at(at, F.col("legal_effect"), F.col("effective_from"), F.col("effective_to"), F.col("exclusive_end"))
-    return a.select("assertion_id", effect.alias("effect"))
+    return a.select("assertion_id", effect.alias("e")).select("assertion_id", "e.effect", "e.reason")
 
 
 def window_inclusive_exclusive(s: SparkSession, d: str) -> DataFrame:
@@ -155,25 +287,30 @@ def staleness_gate(s: SparkSession, d: str) -> DataFrame:
     return k.select("assertion_id", S.is_stale(at, F.col("fresh_at"), policy).alias("stale"))
 
 
+def _decisions(s: SparkSession, d: str) -> DataFrame:
+    """Each assertion at its first day, with the coverage decision of its register's contract."""
+    held = V.with_rules(L.contracts(s, d), L.coverage_rules(s, d))
+    a = L.assertions(s, d).withColumn("valid_at", F.col("effective_from")).join(F.broadcast(held.select("register_id", "capability", F.struct(*held.columns).alias("contract"))), "register_id")
+    place = [F.col(c) for c in ("entity_class", "activity", "jurisdiction", "territorial_basis", "valid_at")]
+    return a.withColumn("d", V.coverage(F.col("contract"), *place))
+
+
 def coverage_decision(s: SparkSession, d: str) -> DataFrame:
-    a = L.assertions(s, d).withColumn("valid_at", F.col("effective_from"))
-    return V.coverage(a, L.coverage_rules(s, d)).withColumn("scope_rule", F.coalesce("scope_rule", F.lit("")))
+    return _decisions(s, d).select("assertion_id", F.col("d.status").alias("status"), F.coalesce("d.rule_id", F.lit("")).alias("scope_rule"), F.col("d.reason").alias("why"))
 
 
 def enumeration_negative_gate(s: SparkSession, d: str) -> DataFrame:
-    """Five refusals in order before an absence may count as a negative."""
-    a = L.assertions(s, d).withColumn("valid_at", F.col("effective_from"))
-    c = a.join(V.coverage(a, L.coverage_rules(s, d)), ["register_id", "territorial_basis", "jurisdiction", "valid_at"], "left").join(L.contracts(s, d), "register_id", "left")
-    k = F.col("assertion_id")
-    reason = (
-        F.when(k % 13 == 0, "IDENTITY_NOT_EXACT")
-        .when(F.col("scope_status") != "IN_SCOPE", F.concat(F.lit("SCOPE_"), F.col("scope_status")))
-        .when(~F.coalesce("complete_enumeration", F.lit(False)), "SOURCE_CAPABILITY_DOES_NOT_ALLOW_ENUMERATION_NEGATIVE")
-        .when(k % 11 == 0, "MISSING_ENUMERATION_SNAPSHOT")
-        .when(k % 7 == 0, "COVERAGE_RULE_MISMATCH")
-        .otherwise("ENUMERATION_NEGATIVE_ALLOWED")
-    )
-    return c.select("assertion_id", reason.alias("gate"), (reason == "ENUMERATION_NEGATIVE_ALLOWED").alias("allowed"))
+    """Five refusals in order before an absence may count as a negative.
+
+    Identity is the question's own; the snapshot of a register that enumerates was taken under
+    the rule that a branch's assertion of the register's first activity has.
+    """
+    ids = L.questions(s, d).select("entity_id", "identity_state").distinct()
+    rules = L.coverage_rules(s, d).where("scope = 'IN'").groupBy("register_id").agg(F.min_by("rule_id", "ordinal").alias("snapshot_rule"))
+    rules = rules.where("register_id <> 'REG4'")  # one register has no snapshot
+    rows = _decisions(s, d).join(ids, "entity_id").join(F.broadcast(rules), "register_id", "left")
+    gate = V.enumeration_negative(F.col("identity_state"), F.col("d"), F.col("capability"), F.col("snapshot_rule"))
+    return rows.select("assertion_id", gate.alias("gate"), (gate == "ENUMERATION_NEGATIVE_ALLOWED").alias("allowed"))
 
 
 def run_metrics(s: SparkSession, d: str) -> DataFrame:
@@ -184,63 +321,67 @@ def run_metrics(s: SparkSession, d: str) -> DataFrame:
 
 
 def response_freshness(s: SparkSession, d: str) -> DataFrame:
-    """Of each question, the least fresh among its sound rows' freshest dates."""
-    g = V._keyed(V.gated(V.matched(*_evidence(s, d)), L.contracts(s, d), L.coverage_rules(s, d)))
-    return g.where("diagnostic is null").groupBy(*V.QUESTION).agg(F.min("fresh_at").alias("fresh_at"))
+    """The least fresh date of the evidence that each answered question used."""
+    return bitemporal_verdict(s, d).where("response_freshness is not null").select(*V.QUESTION, "response_freshness")
 
 
-_COVERAGE = f"""{L.SQL.rstrip()},
-asked as (select distinct register_id, territorial_basis, jurisdiction, effective_from as valid_at from assertions),
+_DECISIONS = f"""{L.SQL.rstrip()},
+a as (select *, effective_from as valid_at from assertions),
+scopes as (
+  select a.assertion_id, a.entity_id, a.register_id, a.entity_class, a.activity, a.jurisdiction, min(r.ordinal) filter (where r.scope = 'OUT') as out_ord, min(r.ordinal) filter (where r.scope = 'IN') as in_ord
+  from a left join coverage_rules r on a.register_id = r.register_id
+    and (r.rule_class is null or r.rule_class = a.entity_class) and (r.rule_activities is null or list_contains(r.rule_activities, a.activity))
+    and (r.rule_jurisdictions is null or list_contains(r.rule_jurisdictions, a.jurisdiction)) and (r.rule_bases is null or list_contains(r.rule_bases, a.territorial_basis))
+    and (r.valid_from is null or a.valid_at >= r.valid_from) and (r.valid_to is null or a.valid_at <= r.valid_to)
+  group by all),
 decided as (
-  select a.*, min(case when scope = 'OUT' then ordinal end) as out_ord, min(case when scope = 'IN' then ordinal end) as in_ord
-  from asked a left join coverage_rules r on a.register_id = r.register_id
-    and (rule_basis is null or rule_basis = a.territorial_basis) and (rule_jurisdiction is null or rule_jurisdiction = a.jurisdiction)
-    and (valid_from is null or valid_from <= a.valid_at) group by all)
+  select s.*, c.capability, case when out_ord is not null then 1 when without_banks and entity_class = 'BANK' then 2 when without_e_money and activity = 'E_MONEY_ISSUANCE' then 3
+    when only_j0 and jurisdiction <> 'J0' then 4 when in_ord is not null then 5 else 6 end as step from scopes s join contracts c on s.register_id = c.register_id)
 """
 
 QUERIES = {
     "bitemporal_verdict": (bitemporal_verdict, _VERDICT),
-    "verdict_simple": (
-        verdict_simple,
-        f"""{_PAIRS.rstrip()},
-found as (select entity_id, activity, jurisdiction, coalesce(asked_basis, '') as asked_basis, valid_at, known_at, count(*) as n,
-    count_if(diagnostic is null and legal_effect = 'ENTITLED') as entitled, count_if(diagnostic is null and legal_effect = 'NOT_ENTITLED') as not_entitled,
-    count_if(diagnostic is null and legal_effect = 'UNKNOWN') as unknown, count_if(diagnostic = 'OUT_OF_SCOPE') as d_out,
-    count_if(diagnostic = 'NOT_IN_EFFECT') as d_window, count_if(diagnostic = 'STALE') as d_stale from gated group by all),
-asked as (select entity_id, activity, jurisdiction, coalesce(asked_basis, '') as asked_basis, valid_at, known_at from questions),
-f as (select a.*, coalesce(n, 0) as n, coalesce(entitled, 0) as entitled, coalesce(not_entitled, 0) as not_entitled, coalesce(unknown, 0) as unknown,
-    coalesce(d_out, 0) as d_out, coalesce(d_window, 0) as d_window, coalesce(d_stale, 0) as d_stale from asked a left join found using ({_Q}))
-select {_Q}, case when n = 0 then 'NO_ASSERTIONS_IN_SCOPE'
-    when entitled + not_entitled + unknown = 0 then case when d_out > 0 then 'OUT_OF_SCOPE' when d_window > 0 then 'NOT_IN_EFFECT' when d_stale > 0 then 'STALE_EVIDENCE' else 'UNINTERPRETABLE' end
-    when entitled > 0 and not_entitled > 0 then 'CONFLICTING_EVIDENCE' when not_entitled > 0 then 'NEGATIVE_EVIDENCE'
-    when entitled > 0 then 'ACTIVE_ENTITLEMENT_EVIDENCED' else 'EFFECT_UNKNOWN' end as reason,
-  cast(entitled as bigint) as entitled, cast(not_entitled as bigint) as not_entitled, cast(unknown as bigint) as unknown from f""",
-    ),
+    "verdict_simple": (verdict_simple, _assess_sql(False)),
+    "verdict_with_facts": (verdict_with_facts, _assess_sql(True)),
     "evidence_audit": (
         evidence_audit,
-        f"""{_PAIRS} select entity_id, activity, jurisdiction, coalesce(asked_basis, '') as asked_basis, valid_at, known_at,
-  coalesce(string_agg(cast(assertion_id as varchar), ',' order by assertion_id) filter (where bucket = 'usable'), '') as usable_ids,
-  coalesce(string_agg(cast(assertion_id as varchar), ',' order by assertion_id) filter (where bucket = 'after_k'), '') as after_k_ids,
-  coalesce(string_agg(cast(assertion_id as varchar), ',' order by assertion_id) filter (where bucket = 'untraceable'), '') as untraceable_ids
-from pairs group by entity_id, activity, jurisdiction, coalesce(asked_basis, ''), valid_at, known_at""",
+        f"""{_PAIRS.rstrip()}, seen as (
+  select {_Q}, 'a' as kind, bucket, cast(assertion_id as varchar) as id from pairs union all select {_Q}, 'f', bucket, cast(fact_id as varchar) from asked_facts
+  union all select {_Q}, null, null, null from questions)
+select {_Q}, {", ".join(f"coalesce(string_agg(id, ',' order by id) filter (where kind = '{k[0]}' and bucket = '{b}'), '') as {b}_{k}_ids" for k in ("assertion", "fact") for b in ("usable", "after_k", "untraceable"))},
+  coalesce(string_agg('no_source_assertions:' || id, ',' order by id) filter (where bucket = 'untraceable'), '') as diagnostics
+from seen group by {_Q}""",
+    ),
+    "assertion_evaluations": (
+        assertion_evaluations,
+        f"""{_PAIRS} select {_Q}, assertion_id, register_id, legal_effect,
+  case when effective_from > valid_at then 'UNKNOWN' when {_IN_EFFECT.format(at="valid_at")} then legal_effect when legal_effect = 'ENTITLED_TO_PROVIDE' then 'NOT_ENTITLED' else 'UNKNOWN' end as effect_at,
+  case when effective_from > valid_at then 'NOT_YET_EFFECTIVE' when {_IN_EFFECT.format(at="valid_at")} then 'IN_EFFECT' when legal_effect = 'ENTITLED_TO_PROVIDE' then 'ENTITLEMENT_EXPIRED' else 'WINDOW_CLOSED' end as reason
+from pairs where bucket = 'usable'""",
     ),
     "visibility_partition": (visibility_partition, f"{_PAIRS} select valid_at, known_at, bucket, count(*) as n_rows from pairs group by all"),
     "admissibility_first_failure": (
         admissibility_first_failure,
-        f"{_PAIRS} select entity_id, assertion_id, valid_at, known_at, coalesce(diagnostic, 'ADMISSIBLE') as diagnostic from gated",
+        f"""{_PAIRS} select g.entity_id, g.assertion_id, g.valid_at, g.known_at, coalesce(diagnostic, 'ADMISSIBLE') as diagnostic, case when first_gate is null then f.cited end as failed_register
+from gated g left join failed f on g.assertion_id = f.assertion_id and g.valid_at = f.valid_at and g.known_at = f.known_at""",
     ),
-    "route_aggregate": (route_aggregate, f"{_PAIRS} select * from routes"),
-    "route_conflict": (route_conflict, f"{_PAIRS} select {_Q}, root_key, territorial_basis from routes where positive and negative"),
+    "route_aggregate": (route_aggregate, f"{_ROUTES} select * from routes"),
+    "route_conflict": (route_conflict, f"{_ROUTES} select {_Q}, scope, territorial_basis from routes where n_open > 0 and n_closed > 0"),
     "root_state_at": (root_state_at, f"{_PAIRS} select * from root_states"),
     "knowledge_time": (
         knowledge_time,
         f"{L.SQL} select assertion_id, max(retrieved_at) as knowledge_time, max(coalesce(source_as_of, retrieved_at)) as fresh_at, count(*) as n_sources from sources group by all",
     ),
+    "register_freshness": (
+        register_freshness,
+        f"""{L.SQL} select assertion_id, row_number() over (partition by assertion_id order by register_id) - 1 as place, register_id as register, max(coalesce(source_as_of, retrieved_at)) as fresh
+from sources group by assertion_id, register_id""",
+    ),
     "effect_at_date": (
         effect_at_date,
-        f"""{L.SQL} select assertion_id, case when legal_effect = 'UNKNOWN' then 'UNKNOWN' when effective_from > date '1998-06-01' then 'NOT_YET_EFFECTIVE'
-  when not ({_IN_EFFECT.format(at="date '1998-06-01'")}) then case when legal_effect = 'ENTITLED' then 'ENTITLEMENT_EXPIRED' else 'WINDOW_CLOSED' end
-  else 'IN_EFFECT' end as effect from assertions""",
+        f"""{L.SQL.rstrip()}, e as (select assertion_id, legal_effect, case when effective_from > date '1998-06-01' then 'NOT_YET_EFFECTIVE'
+  when {_IN_EFFECT.format(at="date '1998-06-01'")} then 'IN_EFFECT' when legal_effect = 'ENTITLED_TO_PROVIDE' then 'ENTITLEMENT_EXPIRED' else 'WINDOW_CLOSED' end as reason from assertions)
+select assertion_id, case reason when 'IN_EFFECT' then legal_effect when 'ENTITLEMENT_EXPIRED' then 'NOT_ENTITLED' else 'UNKNOWN' end as effect, reason from e""",
     ),
     "window_inclusive_exclusive": (
         window_inclusive_exclusive,
@@ -255,27 +396,24 @@ from k join assertions using (assertion_id) left join contracts using (register_
     ),
     "coverage_decision": (
         coverage_decision,
-        f"""{_COVERAGE} select register_id, territorial_basis, jurisdiction, valid_at,
-  case when out_ord is not null then 'OUT_OF_SCOPE' when in_ord is not null then 'IN_SCOPE' else 'UNKNOWN' end as scope_status,
-  coalesce('RULE' || coalesce(out_ord, in_ord), '') as scope_rule from decided""",
+        f"""{_DECISIONS} select assertion_id, case when step <= 4 then 'OUT_OF_SCOPE' when step = 5 then 'IN_SCOPE' else 'UNKNOWN' end as status,
+  case step when 1 then 'RULE' || out_ord when 2 then 'contract-excluded-entity-classes' when 3 then 'contract-activities-coverage' when 4 then 'contract-jurisdiction-coverage' when 5 then 'RULE' || in_ord else '' end as scope_rule,
+  case step when 1 then 'EXPLICIT_EXCLUSION' when 2 then 'EXCLUDED_ENTITY_CLASS' when 3 then 'ACTIVITY_NOT_COVERED_BY_REGISTER' when 4 then 'JURISDICTION_NOT_COVERED_BY_REGISTER' when 5 then 'COVERED_BY_RULE' else 'NO_RULE_MATCHES' end as why
+from decided""",
     ),
     "enumeration_negative_gate": (
         enumeration_negative_gate,
-        f"""{_COVERAGE.rstrip()}, g as (
-select assertion_id, case when assertion_id % 13 = 0 then 'IDENTITY_NOT_EXACT' when out_ord is not null then 'SCOPE_OUT_OF_SCOPE' when in_ord is null then 'SCOPE_UNKNOWN'
-  when not coalesce(complete_enumeration, false) then 'SOURCE_CAPABILITY_DOES_NOT_ALLOW_ENUMERATION_NEGATIVE' when assertion_id % 11 = 0 then 'MISSING_ENUMERATION_SNAPSHOT'
-  when assertion_id % 7 = 0 then 'COVERAGE_RULE_MISMATCH' else 'ENUMERATION_NEGATIVE_ALLOWED' end as gate
-from assertions a join decided x on a.register_id = x.register_id and a.territorial_basis = x.territorial_basis and a.jurisdiction = x.jurisdiction and a.effective_from = x.valid_at
-left join contracts c on a.register_id = c.register_id)
+        f"""{_DECISIONS.rstrip()}, ids as (select distinct entity_id, identity_state from questions),
+snapshots as (select register_id, 'RULE' || min(ordinal) as snapshot_rule from coverage_rules where scope = 'IN' and register_id <> 'REG4' group by all), g as (
+select assertion_id, case when identity_state <> 'EXACT' then 'IDENTITY_NOT_EXACT' when step <= 4 then 'SCOPE_OUT_OF_SCOPE' when step = 6 then 'SCOPE_UNKNOWN'
+  when capability <> 'COMPLETE_ENUMERATION' then 'SOURCE_CAPABILITY_DOES_NOT_ALLOW_ENUMERATION_NEGATIVE' when snapshot_rule is null then 'MISSING_ENUMERATION_SNAPSHOT'
+  when snapshot_rule <> 'RULE' || in_ord then 'COVERAGE_RULE_MISMATCH' else 'ENUMERATION_NEGATIVE_ALLOWED' end as gate
+from decided d join ids i on d.entity_id = i.entity_id left join snapshots n on d.register_id = n.register_id)
 select assertion_id, gate, gate = 'ENUMERATION_NEGATIVE_ALLOWED' as allowed from g""",
     ),
     "run_metrics": (
         run_metrics,
         f"""select coalesce(verdict, '*') as verdict, coalesce(reason, '*') as reason, count(*) as n_questions from ({_VERDICT}) group by rollup(verdict, reason)""",
     ),
-    "response_freshness": (
-        response_freshness,
-        f"""{_PAIRS} select entity_id, activity, jurisdiction, coalesce(asked_basis, '') as asked_basis, valid_at, known_at, min(fresh_at) as fresh_at
-from gated where diagnostic is null group by entity_id, activity, jurisdiction, coalesce(asked_basis, ''), valid_at, known_at""",
-    ),
+    "response_freshness": (response_freshness, f"select {_Q}, response_freshness from ({_VERDICT}) where response_freshness is not null"),
 }
