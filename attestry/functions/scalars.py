@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -143,3 +145,65 @@ def template(text: str, fields: dict[str, Column]) -> Column:
     return F.concat(*parts)
 
 
+def is_valid_lei(lei: Column) -> Column:
+    return lei_diagnostic(lei) == "VALID"
+
+
+def service_letters(text: Column, letters: str = "abcdefghij") -> Column:
+    """The service letters that a text lists, each a letter with a point after no other letter."""
+    found = F.array_compact(F.array(*(F.when(text.rlike(f"(?<![A-Za-z]){c}\\."), c) for c in letters)))
+    return F.when(F.size(found) > 0, F.array_join(found, "|"))
+
+
+def foreign_countries(text: Column, home: Column) -> Column:
+    """The listed countries but for the home one, in order; NULL if there are none."""
+    every = F.filter(F.transform(F.split(text, r"\|"), lambda x: F.trim(x)), lambda x: (x != "") & ~x.eqNullSafe(home))
+    return F.when(F.size(every) > 0, F.array_join(every, "|"))
+
+
+def lists_country(text: Column, country: str = "ES") -> Column:
+    """TRUE or FALSE as text; NULL for a missing list."""
+    return F.when(text.isNull(), None).when(F.array_contains(split_items(text), country), "TRUE").otherwise("FALSE")
+
+
+def country_services(services: Column, country: str) -> Column:
+    """Distinct codes of a country in an array of maps of lists, in order; NULL if there are none."""
+    every = F.array_distinct(F.flatten(F.transform(services, lambda m: F.coalesce(F.try_element_at(m, F.lit(country)), F.array().cast("array<string>")))))
+    return F.when(F.size(every) > 0, every)
+
+
+def authority_code(entity_code: Column) -> Column:
+    """The authority in a composite code: its first part, or the second after a type (``PSD_``)."""
+    parts = F.split(entity_code, "!")
+    return F.when(entity_code.contains("!"), F.when(F.get(parts, 0).startswith("PSD_"), F.get(parts, 1)).otherwise(F.get(parts, 0)))
+
+
+def territorial_route(category: Column) -> Column:
+    """Route that a register's category names; the limited one is looked for before the full one."""
+    text = F.upper(category)
+    return (
+        F.when(F.coalesce(F.trim(category), F.lit("")) == "", None)
+        .when(text.contains("LIMITED"), "LIMITED_LP")
+        .when(text.contains("SUCURSAL"), "BRANCH")
+        .when(F.replace(text, F.lit("É"), F.lit("E")).contains("REGIMEN DE LP"), "LP")
+        .when(text.isin("PSC (ESPAÑA)", "ENTIDAD DE CRÉDITO (ESPAÑA)"), "DOMESTIC")
+        .otherwise("OTHER")
+    )
+
+
+def closure_kind(closed_on: Column, reason: Column) -> Column:
+    """What a stated closure is: a change of form, a withdrawal, or unresolved; NULL without a date."""
+    text = F.lower(F.coalesce(reason, F.lit("")))
+    has = lambda *parts: reduce(lambda a, b: a | b, (text.contains(p) for p in parts))
+    return F.when(F.coalesce(closed_on, F.lit("")) != "", F.when(has("transformaci", "escisi", "fusi"), "TRANSFORMATION").when(has("renuncia", "revocac", "ce "), "WITHDRAWAL").otherwise("UNRESOLVED_MOTIVO"))
+
+
+def dates_agree(a: Column, b: Column) -> Column:
+    """TRUE or FALSE as text; NULL where one of the dates is missing."""
+    return F.when(a == b, "TRUE").when(a.isNotNull() & b.isNotNull(), "FALSE")
+
+
+def plain_header(text: Column) -> Column:
+    """A header without accents, in lower case, white space collapsed."""
+    accents, plain = "áàâäãåéèêëíìîïóòôöõúùûüñçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇ", "aaaaaaeeeeiiiiooooouuuuncAAAAAAEEEEIIIIOOOOOUUUUNC"
+    return F.trim(F.regexp_replace(F.lower(F.translate(text, accents, plain)), r"\s+", " "))

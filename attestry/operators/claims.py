@@ -23,14 +23,19 @@ def grouped(claims: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def verified(claims: DataFrame, again: DataFrame) -> DataFrame:
-    """The first way in which a claim differs from the claim derived again, or VERIFIED."""
-    pair = claims.join(again.select("claim_id", F.col("raw_value").alias("raw_again"), F.col("normal_value").alias("normal_again")), "claim_id", "left")
-    state = (
-        F.when(F.col("raw_again").isNull() & F.col("normal_again").isNull(), "NO_ATTEMPT")
-        .when(~F.col("raw_value").eqNullSafe(F.col("raw_again")), "RAW_MISMATCH")
-        .when(~F.col("normal_value").eqNullSafe(F.col("normal_again")), "NORMALIZED_MISMATCH")
-        .otherwise("VERIFIED")
-    )
+    """The first way in which a claim differs from the claim derived again, or VERIFIED.
+
+    A claim that was not derived again has NO_ATTEMPT; values may be NULL on both sides. Where
+    both tables have ``raw_sha256``, the hash of the snapshot read, it must be equal first.
+    """
+    hashed = "raw_sha256" in claims.columns and "raw_sha256" in again.columns
+    fields = ["raw_value", "normal_value", *(["raw_sha256"] if hashed else [])]
+    pair = claims.join(again.select("claim_id", *(F.col(f).alias(f"{f}_again") for f in fields), F.lit(True).alias("tried")), "claim_id", "left")
+    differs = lambda f: ~F.col(f).eqNullSafe(F.col(f"{f}_again"))
+    state = F.when(F.col("tried").isNull(), "NO_ATTEMPT")
+    if hashed:
+        state = state.when(differs("raw_sha256"), "RAW_HASH_MISMATCH")
+    state = state.when(differs("raw_value"), "RAW_MISMATCH").when(differs("normal_value"), "NORMALIZED_MISMATCH").otherwise("VERIFIED")
     return pair.select("claim_id", state.alias("state"))
 
 

@@ -12,16 +12,16 @@ from attestry.functions.scalars import normal_identifier, normal_name
 
 
 def _candidates(asked: DataFrame, key: str, matches: DataFrame) -> DataFrame:
-    found = asked.join(matches, key, "left").groupBy("question_id").agg(
-        F.count("entity_id").alias("n_candidates"), F.min("entity_id").alias("first_candidate")
-    )
-    return found
+    """How many entities each question's key has and the least of them; matches are counted by
+    key before they are joined, so a common name is one row."""
+    found = matches.where(F.col(key).isNotNull()).groupBy(key).agg(F.count_distinct("entity_id").alias("n_candidates"), F.min("entity_id").alias("first_candidate"))
+    return asked.select("question_id", key).join(found, key, "left").select("question_id", F.coalesce("n_candidates", F.lit(0)).alias("n_candidates"), "first_candidate")
 
 
 def by_identifier(asked: DataFrame, identifiers: DataFrame) -> DataFrame:
     """asked(question_id, kind, value) against identifiers(entity_id, kind, value)."""
     key = F.concat_ws("|", F.col("kind"), normal_identifier(F.col("value")))
-    found = _candidates(asked.select("question_id", key.alias("key")), "key", identifiers.select("entity_id", key.alias("key")).distinct())
+    found = _candidates(asked.select("question_id", key.alias("key")), "key", identifiers.select("entity_id", key.alias("key")))
     n = F.col("n_candidates")
     return found.select(
         "question_id",
@@ -47,15 +47,12 @@ def by_name(asked: DataFrame, entities: DataFrame) -> DataFrame:
 def adopted(asked: DataFrame, entities: DataFrame, identifiers: DataFrame, kind: str) -> DataFrame:
     """By name among entities that bear an identifier of ``kind``; a sole one is EXACT."""
     bearing = entities.join(identifiers.where(F.col("kind") == kind).select("entity_id").distinct(), "entity_id", "left_semi")
-    found = by_name(asked, bearing).join(
-        asked.select("question_id", normal_name(F.col("name")).alias("key")).join(bearing.select(F.col("entity_id").alias("sole"), normal_name(F.col("legal_name")).alias("key")), "key").groupBy("question_id").agg(F.min("sole").alias("sole")),
-        "question_id",
-        "left",
-    )
-    one = F.col("n_candidates") == 1
+    key = lambda c: normal_name(F.col(c)).alias("key")
+    found = _candidates(asked.select("question_id", key("name")), "key", bearing.select("entity_id", key("legal_name")))
+    n = F.col("n_candidates")
     return found.select(
         "question_id",
-        F.when(one, "EXACT").otherwise(F.col("state")).alias("state"),
-        F.when(one, F.col("sole")).alias("entity_id"),
-        F.when(one, "ADOPTED_FROM_IDENTIFIER_BEARING_SOURCE").otherwise(F.col("reason")).alias("reason"),
+        F.when(n == 1, "EXACT").when(n > 1, "AMBIGUOUS").otherwise("NOT_FOUND").alias("state"),
+        F.when(n == 1, F.col("first_candidate")).alias("entity_id"),
+        F.when(n == 1, "ADOPTED_FROM_IDENTIFIER_BEARING_SOURCE").when(n > 1, "MULTIPLE_NAME_CANDIDATES").otherwise("NO_NAME_MATCH").alias("reason"),
     )

@@ -11,15 +11,23 @@ def row_digest(*columns: str) -> Column:
     return F.sha2(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns)), 256)
 
 
-def table_digest(rows: DataFrame, key: str, columns: list[str], buckets: int = 64) -> DataFrame:
-    """A digest of a table that no order of rows changes, in two levels.
+def table_digest(rows: DataFrame, key: str, columns: list[str], bucket_rows: int = 10_000) -> DataFrame:
+    """A digest of a table that no order of rows changes, in as many levels as its size needs.
 
-    Rows are dealt by key into ``buckets``; each bucket's digest covers its rows' digests in
-    order, the last one covers the buckets'. With more rows take more buckets.
+    Rows are dealt by their digest into buckets of about ``bucket_rows``; a bucket's digest covers
+    its rows' digests in order. Buckets are dealt alike until one is left.
     """
-    dealt = rows.select(F.pmod(F.col(key), F.lit(buckets)).alias("bucket"), row_digest(key, *columns).alias("h"))
-    inner = dealt.groupBy("bucket").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("h"), F.count("*").alias("n"))
-    return inner.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "h"))), lambda x: x["h"]), ""), 256).alias("digest"), F.sum("n").alias("n_rows"))
+    level = rows.select(row_digest(key, *columns).alias("h"), F.lit(1).cast("long").alias("n"))
+    left = rows.count()
+    if not left:
+        return rows.agg(F.count("*").alias("n_rows")).select(F.sha2(F.lit(""), 256).alias("digest"), "n_rows")
+    while True:
+        buckets = -(-left // bucket_rows)
+        own = F.pmod(F.conv(F.substring("h", 1, 8), 16, 10).cast("long"), F.lit(buckets))
+        level = level.groupBy(own.alias("bucket")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("h"), F.sum("n").alias("n"))
+        if buckets == 1:
+            return level.select(F.col("h").alias("digest"), F.col("n").alias("n_rows"))
+        left = buckets
 
 
 def search_terms(entity: str, *terms: str) -> Column:
@@ -39,8 +47,13 @@ def orphan_refs(children: DataFrame, parents: DataFrame, on: str) -> DataFrame:
 
 
 def lineage_events(runs: DataFrame) -> DataFrame:
-    """A START and a COMPLETE event of each run."""
-    return runs.select("*", F.explode(F.array(F.lit("START"), F.lit("COMPLETE"))).alias("event_type"))
+    """A START and a COMPLETE event of each run (run_id, job, at), with run and job in a body."""
+    body = F.to_json(
+        F.named_struct(
+            F.lit("job"), F.named_struct(F.lit("namespace"), F.lit("attestry"), F.lit("name"), F.col("job")), F.lit("run"), F.named_struct(F.lit("runId"), F.col("run_id"))
+        )
+    )
+    return runs.select("*", body.alias("body"), F.explode(F.array(F.lit("START"), F.lit("COMPLETE"))).alias("event_type"))
 
 
 def lineage_edges(jobs: DataFrame) -> DataFrame:
@@ -48,12 +61,22 @@ def lineage_edges(jobs: DataFrame) -> DataFrame:
     return jobs.select("job", F.explode("inputs").alias("input"), "outputs").select("job", "input", F.explode("outputs").alias("output"))
 
 
-def name_mentions(notices: DataFrame, entities: DataFrame, least: int = 5) -> DataFrame:
-    """Notices whose words include an entity's first name token.
+#: Notices that tell of a clone of an entity carry this mark (fixed value) and are no mentions.
+CLONE_MARK, GRAM = "(CLON", 5
 
-    The reference semantics is containment; words of the notice are exploded and joined on
-    equality, so no nested loop is planned.
+
+def name_mentions(notices: DataFrame, entities: DataFrame) -> DataFrame:
+    """Notices that contain an entity's first name token, of five characters or more.
+
+    The token is what stands before the name's first comma and blank. Containment without a
+    nested loop: a token has its first five characters in some word of the notice, so it meets
+    the five-character grams of the notices' words that some token begins with, and ``contains``
+    confirms.
     """
-    words = notices.select("notice_id", F.explode(F.array_distinct(F.split(F.upper("text"), r"[^\p{L}\p{N}]+"))).alias("token"))
-    tokens = entities.select("entity_id", F.upper(F.element_at(F.split("legal_name", r"\s+"), 1)).alias("token")).where(F.length("token") >= least)
-    return words.join(tokens, "token").select("notice_id", "entity_id").distinct()
+    token = F.upper(F.substring_index(F.substring_index("legal_name", ",", 1), " ", 1))
+    tokens = entities.select("entity_id", token.alias("token")).where(F.length("token") >= GRAM).withColumn("gram", F.substring("token", 1, GRAM))
+    words = notices.select("notice_id", F.upper("text").alias("text")).where(~F.contains("text", F.lit(CLONE_MARK)))
+    words = words.select("notice_id", F.explode(F.array_distinct(F.split("text", " "))).alias("word")).where(F.length("word") >= GRAM)
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("word") - GRAM + 1), lambda i: F.substring(F.col("word"), i, F.lit(GRAM))))
+    found = words.select("notice_id", "word", F.explode(grams).alias("gram")).join(tokens, "gram").where(F.contains("word", "token"))
+    return found.select("notice_id", "entity_id").distinct()

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from attestry.functions.conditions import all_of, condition, missing_fields
 from attestry.functions.scalars import spanish_date, split_items, template
@@ -26,6 +27,7 @@ class Iterate:
     separator: str = r"\|"
     universe: tuple[str, ...] = ()
     excludes: tuple[str, ...] = ()
+    excludes_field: str | None = None
 
     def items(self) -> Column:
         col = F.col(self.field)
@@ -34,12 +36,14 @@ class Iterate:
         elif self.mode == "LIST":
             found = col
         elif self.mode == "DICT_KEYS":
-            found = F.map_keys(col)
+            found = F.map_keys(col)  # of one map
         elif self.mode == "ABSENT_FROM_SET":
-            found = F.array_except(F.array(*map(F.lit, self.universe)), F.coalesce(col, F.array().cast("array<string>")))
+            found = F.array_except(F.array(*map(F.lit, self.universe)), col)  # a list that is missing says nothing
         else:
             raise ValueError(f"unknown mode {self.mode}")
         kept = F.filter(found, lambda x: (x != "") & ~x.isin(list(self.excludes)) if self.excludes else x != "")
+        if self.excludes_field:
+            kept = F.filter(kept, lambda x: ~x.eqNullSafe(F.col(self.excludes_field)))
         return F.array_distinct(F.coalesce(kept, F.array().cast("array<string>")))
 
 
@@ -58,20 +62,24 @@ class Rule:
 OUTPUT = ("activity", "legal_effect", "detail")
 
 
-def effective_date(kind: str, of: Column, fallback: Column | None = None) -> Column:
-    """The date derivations: constant null, copy, dd/mm/yyyy, evidence date, last authorisation."""
-    if kind == "CONSTANT_NULL":
-        return F.lit(None).cast("date")
-    if kind in ("FIELD_COPY", "FIELD_COPY_OR_NULL"):
-        return F.try_to_date(of, "yyyy-MM-dd")
-    if kind in ("FIELD_DDMMYYYY", "FIELD_DDMMYYYY_OR_NULL"):
-        return spanish_date(of)
-    if kind == "EVIDENCE_AS_OF":
-        return F.coalesce(of, fallback)
-    if kind == "LAST_AUTHORISATION":
-        n = F.size(of)
-        return F.when(n > 0, F.when(n % 2 == 1, F.get(of, n - 1)).otherwise(F.get(of, n - 2)))
-    raise ValueError(f"unknown derivation {kind}")
+def effective_date(kind: str, of: Column | None = None, evidence_as_of: Column | None = None) -> Column:
+    """A date by one of seven derivations, and whether it is there: a struct of day and ok.
+
+    A rule whose date is not ok yields a finding. The kinds that end in OR_NULL and CONSTANT_NULL
+    are always ok.
+    """
+    day = {
+        "CONSTANT_NULL": lambda: F.lit(None).cast("date"),
+        "EVIDENCE_AS_OF": lambda: evidence_as_of,
+        "FIELD_COPY": lambda: F.try_to_date(of, "yyyy-MM-dd"),
+        "FIELD_DDMMYYYY": lambda: spanish_date(of),
+        "LAST_AUTHORISATION": lambda: F.when(F.size(of) > 0, F.when(F.size(of) % 2 == 1, F.get(of, F.size(of) - 1)).otherwise(F.get(of, F.size(of) - 2))),
+    }
+    name = kind.removesuffix("_OR_NULL")
+    if name not in day or (kind != name and name not in ("FIELD_COPY", "FIELD_DDMMYYYY")):
+        raise ValueError(f"unknown derivation {kind}")
+    found = day[name]()
+    return F.struct(found.alias("day"), (F.lit(True) if kind == "CONSTANT_NULL" or kind != name else found.isNotNull()).alias("ok"))
 
 
 def _value(rule: Rule, name: str, fields: dict[str, Column], item: Column | None) -> Column:
@@ -116,10 +124,10 @@ def derive(groups: DataFrame, rules: list[Rule], key: str) -> DataFrame:
     return groups.select(key, F.explode(fired).alias("r")).select(key, "r.*")
 
 
-def second_pass(derived: DataFrame, key: str, base: dict[str, str], emit: dict[str, str]) -> DataFrame:
-    """Rows derived from emitted rows that equal ``base``, with some columns replaced; each key and activity once."""
+def second_pass(derived: DataFrame, key: str, base: dict[str, str], emit: dict[str, str], once: tuple[str, ...] = ("activity",)) -> DataFrame:
+    """Rows derived from emitted rows that equal ``base``, with some columns replaced; each key and ``once`` once."""
     hit = derived.where(all_of([F.col(c) == v for c, v in base.items()]) & (F.col("kind") != "FINDING"))
-    return hit.withColumns({c: F.lit(v) for c, v in emit.items()}).dropDuplicates([key, "activity"])
+    return hit.withColumns({c: F.lit(v) for c, v in emit.items()}).dropDuplicates([key, *once])
 
 
 def numbered(rows: DataFrame, key: str, spread: int = 64) -> DataFrame:
@@ -127,12 +135,9 @@ def numbered(rows: DataFrame, key: str, spread: int = 64) -> DataFrame:
 
     Rows are dealt by ranges of the key; a range's first number is the count of those before.
     """
-    from pyspark.sql.window import Window
-
-    edges = rows.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    lo, hi = edges["lo"] or 0, edges["hi"] or 0
-    width = max(1, -(-(hi - lo + 1) // spread))
-    part = F.floor((F.col(key) - lo) / width)
+    # bounds between quantiles of the key: at most ``spread`` values
+    bounds = rows.agg(F.percentile_approx(key, F.array(*(F.lit(k / spread) for k in range(1, spread))), 20 * spread)).first()[0] or []
+    part = F.size(F.filter(F.array(*(F.lit(x) for x in sorted(set(bounds)))), lambda x: F.col(key) > x)) if bounds else F.lit(0)
     rows = rows.withColumn("_part", part)
     sizes = rows.groupBy("_part").agg(F.count("*").alias("_n"))  # at most ``spread`` rows
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")

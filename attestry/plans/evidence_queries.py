@@ -95,6 +95,69 @@ def html_title_extract(s: SparkSession, d: str) -> DataFrame:
     return p.select("page_id", F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1).alias("title"), links.cast("long").alias("n_links"))
 
 
+def _register_fields(s: SparkSession, d: str) -> DataFrame:
+    """Parts as register entries with the texts that derived fields are made from."""
+    k = F.col("p_partkey")
+    return _T(s, d, "part").select(
+        "p_partkey",
+        F.when(k % 7 != 0, F.concat(F.lit("a. x; "), F.when(k % 2 == 0, "c. y").otherwise("bc. y"), F.when(k % 3 == 0, " | j.z").otherwise(""))).alias("services"),
+        F.when(k % 5 != 0, F.concat(F.lit("FR| ES|"), F.when(k % 2 == 0, "DE").otherwise("FR"))).alias("countries"),
+        F.when(k % 3 == 0, "FR").when(k % 3 == 1, "ES").alias("home"),
+        F.when(k % 4 == 0, "IE_CBI!C1").when(k % 4 == 1, "PSD_PI!PT_BP!87").when(k % 4 == 2, "plain").alias("code"),
+        F.when(k % 8 == 0, "LIMITED PSC EN REGIMEN DE LP").when(k % 8 == 1, "psc en régimen de lp").when(k % 8 == 2, "PSC a través de sucursal").when(k % 8 == 3, "PSC (España)").when(k % 8 == 4, " ").when(k % 8 == 5, "x").alias("category"),
+        F.when(k % 4 == 1, "Fusión por absorción").when(k % 4 == 2, "Renuncia").when(k % 4 == 3, "otra").alias("reason"),
+        F.when(k % 6 != 0, "01/02/2020").otherwise("").alias("closed_on"),
+        F.when(k % 9 != 0, F.lit("2020-01-01")).cast("date").alias("one"), F.when(k % 2 == 0, F.lit("2020-01-01")).when(k % 11 != 0, F.lit("2020-01-02")).cast("date").alias("other"),
+    )
+
+
+def register_derived_fields(s: SparkSession, d: str) -> DataFrame:
+    c = F.col
+    services = F.array(F.create_map(F.lit("ES"), F.array(F.lit("PS_2"), c("home"))), F.create_map(F.lit("FR"), F.array(F.lit("PS_9"))), F.create_map(F.lit("ES"), F.array(F.lit("PS_1"), F.lit("PS_2"))))
+    return _register_fields(s, d).select(
+        "p_partkey", S.service_letters(c("services")).alias("letters"), S.foreign_countries(c("countries"), c("home")).alias("foreign_list"), S.lists_country(c("countries")).alias("es_listed"),
+        S.authority_code(c("code")).alias("authority"), S.territorial_route(c("category")).alias("route"), S.closure_kind(c("closed_on"), c("reason")).alias("closure"),
+        S.dates_agree(c("one"), c("other")).alias("agree"), F.array_join(F.array_compact(S.country_services(services, "ES")), "|").alias("es_codes"),
+        S.plain_header(F.concat(F.lit("  Código \t De "), "category")).alias("header"), S.is_valid_lei(F.concat(F.lit("529900T8BM49AURSDO5"), (c("p_partkey") % 10).cast("string"))).alias("lei_ok"),
+        S.slug("ES", F.concat(F.lit("A-"), c("p_partkey").cast("string"))).alias("slug"), S.calendar_date(F.concat(c("one").cast("string"), F.lit("T10:00:00Z"))).alias("day"),
+    )
+
+
+_REGISTER_FIELDS = """with r as (select p_partkey as k,
+  case when p_partkey % 5 <> 0 then case when p_partkey % 2 = 0 then ['FR', 'ES', 'DE'] else ['FR', 'ES', 'FR'] end end as countries,
+  case p_partkey % 3 when 0 then 'FR' when 1 then 'ES' end as home,
+  case p_partkey % 8 when 0 then 'LIMITED PSC EN REGIMEN DE LP' when 1 then 'psc en régimen de lp' when 2 then 'PSC a través de sucursal' when 3 then 'PSC (España)' when 4 then ' ' when 5 then 'x' end as category,
+  case when p_partkey % 9 <> 0 then date '2020-01-01' end as one, case when p_partkey % 2 = 0 then date '2020-01-01' when p_partkey % 11 <> 0 then date '2020-01-02' end as other from part)
+select k as p_partkey, case when k % 7 <> 0 then 'a' || case when k % 2 = 0 then '|c' else '' end || case when k % 3 = 0 then '|j' else '' end end as letters,
+  nullif(array_to_string(list_filter(countries, lambda x: x is distinct from home), '|'), '') as foreign_list, case when countries is not null then 'TRUE' end as es_listed,
+  case k % 4 when 0 then 'IE_CBI' when 1 then 'PT_BP' end as authority,
+  case k % 8 when 0 then 'LIMITED_LP' when 1 then 'LP' when 2 then 'BRANCH' when 3 then 'DOMESTIC' when 5 then 'OTHER' end as route,
+  case when k % 6 <> 0 then case k % 4 when 1 then 'TRANSFORMATION' when 2 then 'WITHDRAWAL' else 'UNRESOLVED_MOTIVO' end end as closure,
+  case when one = other then 'TRUE' when one is not null and other is not null then 'FALSE' end as agree,
+  'PS_2' || coalesce('|' || home, '') || '|PS_1' as es_codes,
+  case k % 8 when 0 then 'codigo de limited psc en regimen de lp' when 1 then 'codigo de psc en regimen de lp' when 2 then 'codigo de psc a traves de sucursal' when 3 then 'codigo de psc (espana)' when 4 then 'codigo de' when 5 then 'codigo de x' end as header,
+  k % 10 = 5 as lei_ok, 'ES-a' || k as slug, one as day from r"""
+
+
+def effective_dates(s: SparkSession, d: str) -> DataFrame:
+    """Dates of orders by each derivation, and whether a rule may use them."""
+    k = F.col("o_orderkey")
+    o = _T(s, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    iso, es = F.when(k % 3 != 0, F.col("day").cast("string")), F.when(k % 3 != 1, F.date_format("day", "dd/MM/yyyy")).otherwise("31/02/2020")
+    log = F.slice(F.array("day", F.date_add("day", 1), F.date_add("day", 2)), F.lit(1), (k % 4).cast("int"))
+    kinds = {"CONSTANT_NULL": None, "EVIDENCE_AS_OF": None, "FIELD_COPY": iso, "FIELD_COPY_OR_NULL": iso, "FIELD_DDMMYYYY": es, "FIELD_DDMMYYYY_OR_NULL": es, "LAST_AUTHORISATION": log}
+    each = [F.struct(F.lit(n).alias("kind"), R.effective_date(n, c, F.col("day")).alias("e")) for n, c in kinds.items()]
+    return o.select("o_orderkey", F.explode(F.array(*each)).alias("x")).select("o_orderkey", "x.kind", "x.e.day", "x.e.ok")
+
+
+_EFFECTIVE = """with o as (select o_orderkey as k, cast(o_orderdate as date) as d from orders), e as (
+  select k, 'CONSTANT_NULL' as kind, cast(null as date) as day, true as ok from o union all select k, 'EVIDENCE_AS_OF', d, true from o
+  union all select k, 'FIELD_COPY', case when k % 3 <> 0 then d end, k % 3 <> 0 from o union all select k, 'FIELD_COPY_OR_NULL', case when k % 3 <> 0 then d end, true from o
+  union all select k, 'FIELD_DDMMYYYY', case when k % 3 <> 1 then d end, k % 3 <> 1 from o union all select k, 'FIELD_DDMMYYYY_OR_NULL', case when k % 3 <> 1 then d end, true from o
+  union all select k, 'LAST_AUTHORISATION', case k % 4 when 1 then d when 2 then d when 3 then d + 2 end, k % 4 <> 0 from o)
+select k as o_orderkey, kind, day, ok from e"""
+
+
 def run_uuid(s: SparkSession, d: str) -> DataFrame:
     return _T(s, d, "customer").select("c_custkey", S.uuid5(S.NAMESPACE_URL, F.col("c_name")).alias("run_id"))
 
@@ -225,29 +288,37 @@ r as (
 
 
 def _sides(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    k = F.col("o_orderkey")
-    o = _T(s, d, "orders").select(k.alias("record_key"), F.col("o_orderstatus").alias("status"), F.trim("o_orderpriority").alias("priority"))
-    left = o.where("record_key % 10 <> 0")
-    key = F.col("record_key")
-    right = o.where("record_key % 10 <> 1").withColumns({"status": F.when(key % 7 == 0, "X").otherwise(F.col("status")), "priority": F.when(key % 6 != 0, F.col("priority"))})
-
-    def long(x: DataFrame, drop_null: bool) -> DataFrame:
-        y = x.unpivot(["record_key"], ["status", "priority"], "path", "value")
-        return y.where("not (path = 'priority' and record_key % 12 = 0)") if drop_null else y
-
-    return long(left, False), long(right, True)
-
-
-_SIDES = """with o as (select o_orderkey as record_key, o_orderstatus as status, trim(o_orderpriority) as priority from orders),
-l as (select record_key, 'status' as path, status as value from o where record_key % 10 <> 0 union all select record_key, 'priority', priority from o where record_key % 10 <> 0),
-r as (select record_key, 'status' as path, case when record_key % 7 = 0 then 'X' else status end as value from o where record_key % 10 <> 1
-  union all select record_key, 'priority', case when record_key % 6 <> 0 then priority end from o where record_key % 10 <> 1 and record_key % 12 <> 0),
+    """Orders as records of two snapshots: a name, a set of codes and a log of dates."""
+    k = F.col("record_key")
+    day = lambda n: F.date_add("day", n).cast("string")
+    text = lambda *items: F.to_json(F.array(*items))
+    o = _T(s, d, "orders").select(F.col("o_orderkey").alias("record_key"), F.col("o_orderstatus").alias("name"), F.substring(F.trim("o_orderpriority"), 1, 1).alias("p"), F.to_date("o_orderdate").alias("day"))
+    code = F.concat(F.lit("PS_"), "p")
+    left = o.where(k % 10 != 0).select("record_key", F.col("name").alias("properties.ENT_NAM"), code.alias("services.ES"), text(day(0), day(9)).alias("properties.ENT_AUT"))
+    log = F.when(k % 4 == 1, text(day(0), day(9), day(20))).when(k % 4 == 2, text(day(0), day(9), day(20), day(30))).when(k % 4 == 3, text(day(1), day(9), day(20))).otherwise(text(day(0), day(9)))
+    codes = F.when(k % 6 == 0, text(code, F.lit("PS_9"))).when(k % 6 == 1, F.lit("PS_8")).when(k % 6 != 2, code)
+    right = o.where(k % 10 != 1).select("record_key", F.when(k % 7 == 0, "X").otherwise(F.col("name")).alias("properties.ENT_NAM"), codes.alias("services.ES"), log.alias("properties.ENT_AUT"))
+
+    def long(x: DataFrame) -> DataFrame:
+        return x.unpivot(["record_key"], [F.col(f"`{c}`") for c in x.columns[1:]], "path", "value")
+
+    return long(left), long(right).where("not (path = 'services.ES' and record_key % 12 = 5)")
+
+
+_SIDES = """with o as (select o_orderkey as record_key, o_orderstatus as name, 'PS_' || substr(trim(o_orderpriority), 1, 1) as code, cast(o_orderdate as date) as day from orders),
+n as (select record_key, name, code, day, '["' || day || '","' || (day + 9) || '"' as log from o),
+l as (select record_key, 'properties.ENT_NAM' as path, name as value from n where record_key % 10 <> 0 union all select record_key, 'services.ES', code from n where record_key % 10 <> 0
+  union all select record_key, 'properties.ENT_AUT', log || ']' from n where record_key % 10 <> 0),
+r as (select record_key, 'properties.ENT_NAM' as path, case when record_key % 7 = 0 then 'X' else name end as value from n where record_key % 10 <> 1
+  union all select record_key, 'services.ES', case record_key % 6 when 0 then '["' || code || '","PS_9"]' when 1 then 'PS_8' when 2 then null else code end from n where record_key % 10 <> 1 and record_key % 12 <> 5
+  union all select record_key, 'properties.ENT_AUT', case record_key % 4 when 1 then log || ',"' || (day + 20) || '"]' when 2 then log || ',"' || (day + 20) || '","' || (day + 30) || '"]'
+    when 3 then '["' || (day + 1) || '","' || (day + 9) || '","' || (day + 20) || '"]' else log || ']' end from n where record_key % 10 <> 1),
 rec as (select coalesce(a.record_key, b.record_key) as record_key, a.record_key is not null as in_l, b.record_key is not null as in_r
   from (select distinct record_key from l) a full join (select distinct record_key from r) b on a.record_key = b.record_key),
 ch as (
-  select record_key, case when not in_l then 'added' else 'removed' end as kind, '' as path, cast(null as varchar) as old, cast(null as varchar) as new from rec where not (in_l and in_r)
+  select record_key, case when not in_l then 'added' else 'removed' end as kind, cast(null as varchar) as change, '' as path, cast(null as varchar) as old, cast(null as varchar) as new from rec where not (in_l and in_r)
   union all
-  select coalesce(l.record_key, r.record_key), 'changed', coalesce(l.path, r.path), l.value, r.value
+  select coalesce(l.record_key, r.record_key), 'changed', case when l.record_key is null then 'added' when r.record_key is null then 'removed' else 'changed' end, coalesce(l.path, r.path), l.value, r.value
   from l full join r on l.record_key = r.record_key and l.path = r.path
   where coalesce(l.record_key, r.record_key) in (select record_key from rec where in_l and in_r)
     and (l.record_key is null or r.record_key is null or l.value is distinct from r.value))
@@ -258,9 +329,52 @@ def snapshot_diff(s: SparkSession, d: str) -> DataFrame:
     return LG.structural_diff(*_sides(s, d), "record_key", "path", "value")
 
 
+def _observation_pairs(s: SparkSession, d: str) -> DataFrame:
+    """A pair of observations a nation, in all states that a pair can be in."""
+    k = F.col("n_nationkey")
+    day = F.lit("2024-03-01").cast("date")
+    side = lambda name, **c: [v.alias(f"{name}_{f}") for f, v in c.items()]
+    series = F.when(k % 6 == 5, "other-register|x").otherwise("eba-psd2-register|all")
+    left = side("left", register_id=F.lit("REG"), series_key=series, content_hash=F.sha2(k.cast("string"), 256), retrieved_at=day, source_as_of=F.when(k % 8 != 1, day), completeness=F.lit("complete"), normalization=F.lit("V1"))
+    as_of = F.when(k % 8 == 2, day).when(k % 8 == 3, F.date_sub(day, 5)).when(k % 8 != 4, F.date_add(day, 7))
+    right = side("right", register_id=F.lit("REG"), series_key=F.when(k == 24, "third").otherwise(series), content_hash=F.sha2(F.when(k % 9 == 8, k).otherwise(-k).cast("string"), 256), retrieved_at=F.date_add(day, 9), source_as_of=as_of, completeness=F.when(k % 3 == 0, "partial").otherwise("complete"), normalization=F.when(k % 11 == 10, "V2").otherwise("V1"))
+    return _T(s, d, "nation").select(k.cast("long").alias("pair"), *left, *right)
+
+
+def observation_comparison(s: SparkSession, d: str) -> DataFrame:
+    c = LG.compared(_observation_pairs(s, d))
+    return c.select("pair", "left_observation_id", "right_observation_id", "invocation_error", "succession_state", "comparable", "identical_content", "removal_admissible", F.array_join("findings", ",").alias("findings"))
+
+
+_PAIRED = """k as (select cast(n_nationkey as bigint) as pair, case when n_nationkey % 6 = 5 then 'other-register|x' else 'eba-psd2-register|all' end as series from nation),
+c as (
+  select pair, series, 'REG|2024-03-01|' || substr(sha256(cast(pair as varchar)), 1, 16) as left_observation_id,
+    'REG|2024-03-10|' || substr(sha256(cast(case when pair % 9 = 8 then pair else -pair end as varchar)), 1, 16) as right_observation_id,
+    case when pair = 24 then 'SERIES_DIFFER' end as invocation_error,
+    case when pair % 8 in (1, 4) then 'UNKNOWN_SOURCE_AS_OF' when pair % 8 = 2 then 'SAME_AS_OF_REVISION' when pair % 8 = 3 then 'SOURCE_AS_OF_REGRESSION' else 'NORMAL_SUCCESSION' end as succession_state,
+    pair % 11 <> 10 as comparable, pair % 9 = 8 or pair = 0 as identical_content, pair % 3 <> 0 as removal_admissible from k)
+"""
+
+
 def change_classify(s: SparkSession, d: str) -> DataFrame:
-    c = LG.classified(snapshot_diff(s, d), F.col("record_key") % 2 == 0)
-    return c.select("record_key", "kind", "path", "candidate", "admissibility")
+    changes = snapshot_diff(s, d).withColumn("pair", F.col("record_key") % 25)
+    return LG.classified(changes, LG.compared(_observation_pairs(s, d)), "record_key", "pair")
+
+
+def changes_of_records(s: SparkSession, d: str) -> DataFrame:
+    asked = _T(s, d, "customer").select((F.col("c_custkey") * 4).alias("record_key"))
+    return LG.changes_of(snapshot_diff(s, d), "record_key", asked).select("record_key", "kind", "path")
+
+
+def record_normalise(s: SparkSession, d: str) -> DataFrame:
+    """Suppliers as register records: a name twice in some, lists in any order, an empty service."""
+    k = F.col("s_suppkey")
+    twice = F.when(k % 10 == 0, F.lit(',{"ENT_NAM":"again"}')).otherwise(F.lit(""))
+    text = F.concat(
+        F.lit('{"EntityType":"PSD_PI","EntityCode":"'), (k - F.when(k % 50 == 1, 0).otherwise(0)).cast("string"), F.lit('","CA_OwnerID":'), F.when(k % 3 == 0, F.lit("null")).otherwise(F.lit('"ES_BE"')),
+        F.lit(',"Properties":[{"ENT_NAM":"'), "s_name", F.lit('"}'), twice, F.lit(',{"ENT_TYP":["b","a"]}],"Services":[{"ES":["PS_2","PS_1"]},{"FR":"PS_3"}]}'),
+    )
+    return LG.normalized(_T(s, d, "supplier").select(text.alias("record")))
 
 
 def _logs(s: SparkSession, d: str) -> DataFrame:
@@ -338,13 +452,13 @@ def lineage_edges(s: SparkSession, d: str) -> DataFrame:
 
 
 def lineage_events(s: SparkSession, d: str) -> DataFrame:
-    runs = L.entities(s, d).select("entity_id", S.uuid5(S.NAMESPACE_URL, F.concat(F.lit("run/"), F.col("entity_id").cast("string"))).alias("run_id"))
+    runs = L.entities(s, d).select("entity_id", F.md5(F.concat(F.lit("run/"), F.col("entity_id").cast("string"))).alias("run_id"), F.concat(F.lit("derive-"), "home").alias("job"))
     return P.lineage_events(runs)
 
 
 def name_mentions(s: SparkSession, d: str) -> DataFrame:
     notices = _T(s, d, "documents").select(F.col("doc_id").alias("notice_id"), "text")
-    e = _T(s, d, "benchmark").select(F.col("item_id").alias("entity_id"), F.regexp_replace(F.element_at(F.split("text", " "), 2), r"[^A-Za-z]", "").alias("legal_name"))
+    e = _T(s, d, "benchmark").select(F.col("item_id").alias("entity_id"), F.concat(F.element_at(F.split("text", " "), 2), F.lit(", S.A.")).alias("legal_name"))
     return P.name_mentions(notices, e)
 
 
@@ -368,7 +482,12 @@ QUERIES = {
     "canonical_hash": (canonical_hash, "select doc_id, sha256(text) as sha256 from documents"),
     "json_property": (json_property, "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events"),
     "html_title_extract": (html_title_extract, r"""select page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) as title, cast(len(regexp_extract_all(html, '<a href="[^"]*"')) as bigint) as n_links from pages"""),
-    "run_uuid": (run_uuid, None),
+    "register_derived_fields": (register_derived_fields, _REGISTER_FIELDS),
+    "effective_dates": (effective_dates, _EFFECTIVE),
+    "run_uuid": (run_uuid, """with h as (select c_custkey, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(c_name)) as x from customer)
+select c_custkey, substr(x, 1, 8) || '-' || substr(x, 9, 4) || '-5' || substr(x, 14, 3) || '-'
+  || case when substr(x, 17, 1) in ('0', '4', '8', 'c') then '8' when substr(x, 17, 1) in ('1', '5', '9', 'd') then '9' when substr(x, 17, 1) in ('2', '6', 'a', 'e') then 'a' else 'b' end
+  || substr(x, 18, 3) || '-' || substr(x, 21, 12) as run_id from h"""),
     "identity_by_identifier": (identity_by_identifier, f"""with {_IDS}, q as (select p_partkey as question_id, 'VAT|V' || (p_partkey % 90) as key from part),
 f as (select question_id, count(entity_id) as n, min(entity_id) as e from q left join ids using (key) group by all)
 select question_id, case when n = 1 then 'EXACT' when n > 1 then 'CONFLICTING_IDENTIFIERS' else 'NOT_FOUND' end as state, case when n = 1 then e end as entity_id,
@@ -394,10 +513,31 @@ s as (select g, min(root_key) as root from p group by g having count(*) = 1) sel
     "rule_derivation": (rule_derivation, f"{_GROUPS} select gid, rule_id, item_ord, kind, activity, legal_effect, detail from r"),
     "derived_second_pass": (derived_second_pass, f"{_GROUPS} select distinct gid, activity, 'ENTITLED_ABROAD' as legal_effect from r where rule_id = 'R-OPEN' and kind <> 'FINDING'"),
     "sequential_ids": (sequential_ids, f"{_GROUPS} select gid, rule_id, item_ord, row_number() over (order by gid, rule_ord, item_ord) as seq from r where kind <> 'FINDING'"),
-    "snapshot_diff": (snapshot_diff, f"{_SIDES} select record_key, kind, path, old, new from ch"),
-    "change_classify": (change_classify, f"""{_SIDES.rstrip()}, c as (select record_key, kind, path, case when kind = 'added' then 'RECORD_APPEARED' when kind = 'removed' and record_key % 2 = 0 then 'RECORD_DISAPPEARED'
-  when kind = 'removed' then 'REMOVAL_NOT_ADMISSIBLE' when path = 'status' then 'STATUS_CHANGED' else 'UNCLASSIFIED' end as candidate from ch)
-select *, case when candidate in ('REMOVAL_NOT_ADMISSIBLE', 'UNCLASSIFIED') then 'BLOCKED' else 'SUPPORTED' end as admissibility from c"""),
+    "snapshot_diff": (snapshot_diff, f"{_SIDES} select record_key, kind, change, path, old, new from ch"),
+    "observation_comparison": (observation_comparison, f"""with {_PAIRED} select pair, left_observation_id, right_observation_id, invocation_error, succession_state, comparable, identical_content, removal_admissible,
+  concat_ws(',', case when not comparable then 'NON_COMPARABLE_NORMALIZATION_VERSION' end,
+    case when succession_state = 'SOURCE_AS_OF_REGRESSION' or (succession_state = 'SAME_AS_OF_REVISION' and not identical_content) then succession_state end) as findings from c"""),
+    "changes_of_records": (changes_of_records, f"{_SIDES} select record_key, kind, path from ch where record_key in (select c_custkey * 4 from customer)"),
+    "record_normalise": (record_normalise, """with s as (select 'PSD_PI:' || s_suppkey as record_key, s_suppkey % 10 = 0 as twice, s_suppkey % 3 = 0 as no_owner, s_name from supplier)
+select record_key, 'ca_owner_id' as path, case when not no_owner then 'ES_BE' end as value, cast(null as varchar) as problem from s
+union all select record_key, 'properties.ENT_NAM', case when not twice then s_name end, case when twice then 'DUPLICATE_PROPERTY' end from s
+union all select record_key, 'properties.ENT_TYP', '["a","b"]', null from s union all select record_key, 'services.ES', '["PS_1","PS_2"]', null from s union all select record_key, 'services.FR', 'PS_3', null from s"""),
+    "change_classify": (change_classify, f"""{_SIDES.rstrip()}, {_PAIRED.rstrip()},
+p as (select ch.*, ch.record_key % 25 as pair, c.series, c.removal_admissible, n.day, n.code from ch join c on ch.record_key % 25 = c.pair join n on ch.record_key = n.record_key
+  where comparable and not identical_content and invocation_error is null),
+u as (
+  select record_key, pair, kind, path, 'UNCLASSIFIED_STRUCTURAL_CHANGE' as candidate, 'NO_PREREGISTERED_RULE' as blocker, 'UNKNOWN' as basis, cast(null as varchar) as effective_from, cast(null as bigint) as place, cast(null as varchar) as codes
+    from p where series not like 'eba-psd2-register%' or path = 'properties.ENT_NAM'
+  union all select record_key, pair, kind, path, 'ENTITY_RECORD_APPEARED', null, 'EVIDENCE_AS_OF', null, null, null from p where series like 'eba%' and kind = 'added'
+  union all select record_key, pair, kind, path, 'ENTITY_RECORD_DISAPPEARED', case when not removal_admissible then 'NO_REMOVAL_ADMISSIBLE' end, case when removal_admissible then 'EVIDENCE_AS_OF' else 'UNKNOWN' end, null, null, null
+    from p where series like 'eba%' and kind = 'removed'
+  union all select record_key, pair, kind, path, 'UNCLASSIFIED_STRUCTURAL_CHANGE', 'ENT_AUT_SEQUENCE_REWRITTEN', 'UNKNOWN', null, null, null from p where series like 'eba%' and path = 'properties.ENT_AUT' and record_key % 4 = 3
+  union all select record_key, pair, kind, path, 'ROOT_REAUTHORISATION_CANDIDATE', null, 'SOURCE_DECLARED', cast(day + 20 as varchar), 3, null from p where series like 'eba%' and path = 'properties.ENT_AUT' and record_key % 4 in (1, 2)
+  union all select record_key, pair, kind, path, 'ROOT_WITHDRAWAL_CANDIDATE', null, 'SOURCE_DECLARED', cast(day + 30 as varchar), 4, null from p where series like 'eba%' and path = 'properties.ENT_AUT' and record_key % 4 = 2
+  union all select record_key, pair, kind, path, 'CAPABILITY_APPEARED_CANDIDATE', null, 'EVIDENCE_AS_OF', null, null, case record_key % 6 when 0 then 'PS_9' else 'PS_8' end from p
+    where series like 'eba%' and path = 'services.ES' and record_key % 6 in (0, 1)
+  union all select record_key, pair, kind, path, 'CAPABILITY_DISAPPEARED_CANDIDATE', null, 'EVIDENCE_AS_OF', null, null, code from p where series like 'eba%' and path = 'services.ES' and record_key % 6 <> 0)
+select *, '2024-03-01' as observed_after, '2024-03-10' as observed_by, case when blocker is null then 'SUPPORTED' else 'BLOCKED' end as admissibility from u"""),
     "transition_log_intervals": (transition_log_intervals, f"with {_LOGS} select entity_id, day as valid_from, nxt as valid_to from n where i % 2 = 1"),
     "last_authorisation": (last_authorisation, f"with {_LOGS} select entity_id, max(day) as authorised from n where i % 2 = 1 group by all"),
     "append_only_check": (append_only_check, f"""with {_LOGS}, k as (select *, c - 1 - entity_id % 2 as had from n where c >= 2)
@@ -409,10 +549,12 @@ union all select entity_id, 'CAPABILITY_DISAPPEARED', string_agg(activity, ',' o
     "series_succession": (series_succession, """with o as (select o_custkey as series, o_orderkey as observation_id, cast(o_orderdate as date) as retrieved_at,
   case when o_orderkey % 5 <> 0 then cast(date_trunc('year', o_orderdate) as date) - cast(o_orderkey % 2 * 400 as integer) end as a, o_orderkey % 4 as h from orders),
 p as (select *, lag(a) over w as pa, lag(h) over w as ph, row_number() over w as n from o window w as (partition by series order by retrieved_at, observation_id))
-select series, observation_id, case when a is not distinct from pa then 'SAME_AS_OF_REVISION' when a is null or pa is null then 'SUCCESSION_UNDETERMINED' when a < pa then 'SOURCE_AS_OF_REGRESSION' else 'SUCCESSOR' end as state,
+select series, observation_id, case when a is null or pa is null then 'UNKNOWN_SOURCE_AS_OF' when a = pa then 'SAME_AS_OF_REVISION' when a < pa then 'SOURCE_AS_OF_REGRESSION' else 'NORMAL_SUCCESSION' end as state,
   h <> ph and a is not distinct from pa as suspect_as_of, h = ph as identical from p where n > 1"""),
-    "projection_digest": (projection_digest, f"""{L.SQL.rstrip()}, h as (select assertion_id % 64 as bucket, sha256(assertion_id || '|' || entity_id || '|' || activity || '|' || legal_effect || '|' || coalesce(cast(effective_to as varchar), '~')) as h from assertions),
-b as (select bucket, sha256(string_agg(h, '' order by h)) as h, count(*) as n from h group by bucket) select sha256(string_agg(h, '' order by bucket)) as digest, cast(sum(n) as bigint) as n_rows from b"""),
+    "projection_digest": (projection_digest, f"""{L.SQL.rstrip()}, h as (select sha256(assertion_id || '|' || entity_id || '|' || activity || '|' || legal_effect || '|' || coalesce(cast(effective_to as varchar), '~')) as h from assertions),
+t as (select count(*) as n, (count(*) + 9999) // 10000 as buckets from h),
+b as (select cast('0x' || substr(h, 1, 8) as bigint) % buckets as bucket, sha256(string_agg(h, '' order by h)) as h from h, t group by 1)
+select case when count(*) = 1 and any_value(buckets) = 1 then min(h) else sha256(string_agg(h, '' order by h)) end as digest, any_value(n) as n_rows from b, t"""),
     "search_terms": (search_terms, f"""{L.SQL.rstrip()}, t as (select entity_id, legal_name as x from entities union select entity_id, home from entities where entity_id % 3 = 0 union select entity_id, entity_class from entities)
 select entity_id, string_agg(x, '|' order by x) as terms from t where x <> '' group by entity_id"""),
     "timeline_union": (timeline_union, f"""{L.SQL} select entity_id, effective_from as day, 'STARTED' as kind from assertions union all select entity_id, effective_to, 'ENDED' from assertions where effective_to is not null
@@ -422,8 +564,9 @@ x as (select entity_id, cast(coalesce(n_entitled, 0) as bigint) as n_entitled, c
 select *, case when n_entitled > 0 then 'COVERED' when n_roots > 0 then 'PARTIAL' else 'UNKNOWN' end as permissions from x"""),
     "orphan_refs": (orphan_refs, f"{L.SQL} select assertion_id from assertions where assertion_id not in (select assertion_id from sources)"),
     "lineage_edges": (lineage_edges, f"""{L.SQL} select distinct 'derive-' || a.entity_id as job, a.register_id as input, b.root_key as output from assertions a join assertions b using (entity_id)"""),
-    "lineage_events": (lineage_events, None),
-    "name_mentions": (name_mentions, r"""with w as (select distinct doc_id as notice_id, unnest(regexp_split_to_array(upper(text), '[^\p{L}\p{N}]+')) as token from documents),
-t as (select item_id as entity_id, upper(regexp_replace(split_part(text, ' ', 2), '[^A-Za-z]', '', 'g')) as token from benchmark)
-select distinct notice_id, entity_id from w join t using (token) where length(token) >= 5"""),
+    "lineage_events": (lineage_events, f"""{L.SQL.rstrip()}, r as (select entity_id, md5('run/' || entity_id) as run_id, 'derive-' || home as job from entities)
+select r.*, '{{"job":{{"namespace":"attestry","name":"' || job || '"}},"run":{{"runId":"' || run_id || '"}}}}' as body, event_type from r, (values ('START'), ('COMPLETE')) e(event_type)"""),
+    "name_mentions": (name_mentions, """with t as (select item_id as entity_id, upper(split_part(split_part(text, ' ', 2) || ', S.A.', ',', 1)) as token from benchmark),
+n as (select doc_id as notice_id, upper(text) as text from documents where not contains(upper(text), '(CLON'))
+select distinct notice_id, entity_id from n join t on contains(n.text, t.token) where length(token) >= 5"""),
 }

@@ -66,17 +66,17 @@ def test_rules_items_and_missing(spark):
     ]
     df = spark.createDataFrame([(1, "s", "x", "1", ["q"]), (2, "s", None, "1", ["p"]), (3, "s", "x", "9", None), (4, "other", "x", "1", None)], "id long, source string, must string, code string, seen array<string>")
     got = sorted((r.id, r.rule_id, r.kind, r.activity) for r in R.derive(df, rules, "id").collect())
-    assert got == [(1, "A", "EMIT", "ONE"), (1, "B", "EMIT_PER", "p"), (2, "A", "FINDING", None), (3, "A", "FINDING", None), (3, "B", "EMIT_PER", "p")]
+    assert got == [(1, "A", "EMIT", "ONE"), (1, "B", "EMIT_PER", "p"), (2, "A", "FINDING", None), (3, "A", "FINDING", None)]
 
 
 def test_diff_is_its_own_inverse(spark):
     left = spark.createDataFrame([(1, "a", "x"), (1, "b", None), (2, "a", "y")], "k long, path string, v string")
     right = spark.createDataFrame([(1, "a", "z"), (3, "a", "y")], "k long, path string, v string")
-    there = {(r.k, r.kind, r.path, r.old, r.new) for r in LG.structural_diff(left, right, "k", "path", "v").collect()}
-    back = {(r.k, r.kind, r.path, r.old, r.new) for r in LG.structural_diff(right, left, "k", "path", "v").collect()}
-    swap = {"added": "removed", "removed": "added", "changed": "changed"}
-    assert there == {(1, "changed", "a", "x", "z"), (1, "changed", "b", None, None), (2, "removed", "", None, None), (3, "added", "", None, None)}
-    assert back == {(k, swap[kind], p, new, old) for k, kind, p, old, new in there}
+    there = {(r.k, r.kind, r.change, r.path, r.old, r.new) for r in LG.structural_diff(left, right, "k", "path", "v").collect()}
+    back = {(r.k, r.kind, r.change, r.path, r.old, r.new) for r in LG.structural_diff(right, left, "k", "path", "v").collect()}
+    swap = {"added": "removed", "removed": "added", "changed": "changed", None: None}
+    assert there == {(1, "changed", "changed", "a", "x", "z"), (1, "changed", "removed", "b", None, None), (2, "removed", None, "", None, None), (3, "added", None, "", None, None)}
+    assert back == {(k, swap[kind], swap[c], p, new, old) for k, kind, c, p, old, new in there}
 
 
 def test_csv_and_snapshots(spark, tmp_path):
@@ -127,3 +127,131 @@ def test_arrivals_as_a_stream(spark, tmp_path):
     q.awaitTermination(60)
     want = {tuple(r) for r in observations.arrivals(src, "u", "ts", "2024-01-15").collect()}
     assert {tuple(r) for r in spark.table("arrived").collect()} == want
+
+
+def test_succession_and_observations(spark):
+    d = date(2024, 1, 2)
+    got = values(spark, [(None, None), (d, None), (d, d), (d, date(2024, 1, 1)), (date(2024, 1, 1), d)], "a date, b date", LG.succession_state(F.col("a"), F.col("b")))
+    assert [x for (x,) in got] == ["UNKNOWN_SOURCE_AS_OF", "UNKNOWN_SOURCE_AS_OF", "SAME_AS_OF_REVISION", "NORMAL_SUCCESSION", "SOURCE_AS_OF_REGRESSION"]
+    got = values(spark, [("R|2024-01-02|ab",), ("R|x|2024-01-02|ab",), ("R|2024",), (None,)], "v string", LG.observed_at(F.col("v")))
+    assert [x for (x,) in got] == ["2024-01-02", "2024-01-02", None, None]
+
+
+def test_claims_derived_again_as_null(spark):
+    from attestry.operators import claims
+
+    own = spark.createDataFrame([("a", None, None, "h"), ("b", "x", None, "h"), ("c", "x", "y", "h"), ("d", "x", "y", "h")], "claim_id string, raw_value string, normal_value string, raw_sha256 string")
+    again = spark.createDataFrame([("a", None, None, "h"), ("b", "x", "z", "h"), ("d", "x", "y", "other")], "claim_id string, raw_value string, normal_value string, raw_sha256 string")
+    assert {r.claim_id: r.state for r in claims.verified(own, again).collect()} == {"a": "VERIFIED", "b": "NORMALIZED_MISMATCH", "c": "NO_ATTEMPT", "d": "RAW_HASH_MISMATCH"}
+
+
+def test_mentions_inside_words(spark):
+    from attestry.operators import projection
+
+    notices = spark.createDataFrame([(1, "the etorogroup of x"), (2, "ETORO (CLONE)"), (3, "an E-TORO here"), (4, "nothing"), (5, None)], "notice_id long, text string")
+    names = spark.createDataFrame([(1, "Etoro Ltd"), (2, "E-Toro, S.A."), (3, "Abc Def"), (4, None)], "entity_id long, legal_name string")
+    assert sorted(tuple(r) for r in projection.name_mentions(notices, names).collect()) == [(1, 1), (3, 2)]
+
+
+def test_digest_does_not_depend_on_order_but_on_rows(spark):
+    from attestry.operators import projection
+
+    one = lambda df, n: projection.table_digest(df, "id", ["v"], n).first()
+    df = spark.range(50).select("id", (F.col("id") * 7).alias("v"))
+    for n in (3, 10_000):
+        assert one(df, n) == one(df.orderBy(F.desc("id")).repartition(3), n) and one(df, n).n_rows == 50
+        assert one(df, n).digest != one(df.where("id <> 3"), n).digest
+    assert one(df.where("false"), 3).n_rows == 0
+
+
+QUESTION = "entity_id long, activity string, jurisdiction string, asked_basis string, valid_at date, known_at date, identity_state string, identity_reason string"
+ASSERTION = (
+    "assertion_id long, entity_id long, activity string, jurisdiction string, legal_effect string, territorial_basis string, effective_from date, effective_to date, exclusive_end boolean, "
+    "blocked boolean, root_key string, root_home string, register_id string, entity_class string, principal_id long, composition string"
+)
+FACT = (
+    "fact_id long, entity_id long, rule_id string, reported_status string, register_id string, root_key string, root_home string, negative_class string, effective_from date, "
+    "spans array<struct<from:date,to:date>>, knowledge_time date, fresh_at date"
+)
+CONTRACT = "register_id string, positive_days long, negative_days long, capability string, excluded_classes array<string>, activities array<string>, jurisdictions array<string>"
+RULE = "register_id string, ordinal long, rule_id string, scope string, rule_class string, rule_activities array<string>, rule_jurisdictions array<string>, rule_bases array<string>, valid_from date, valid_to date"
+
+
+@pytest.fixture(scope="module")
+def judged(spark):
+    """Hand-made evidence, one entity a case, and what each version says of it."""
+    yes, no, unknown, fps = "ENTITLED_TO_PROVIDE", "NOT_ENTITLED", "UNKNOWN", "FREEDOM_TO_PROVIDE_SERVICES"
+    day, pay, aisp = date(2024, 1, 1), "PAYMENT_INITIATION_SERVICES", "ACCOUNT_INFORMATION_SERVICES"
+    old, root, other, only = date(2020, 1, 1), "R|PSD_PI|1", "R|PSD_EMI|2", "R|PSD_AISP|3"
+    a, f, q = [], [], []
+
+    def assertion(e, effect=yes, basis=fps, key=root, home="FR", since=date(2023, 1, 1), until=None, register="A", blocked=False, kind="BANK", principal=None, composition=None, exclusive=False):
+        a.append((len(a), e, pay, "ES", effect, basis, since, until, exclusive, blocked, key, home, register, kind, principal, composition))
+
+    def fact(e, negative=None, since=date(2023, 6, 1), key=root, spans=None, status="ACTIVE", rule="x", fresh=date(2023, 12, 1), home="FR", register="A"):
+        f.append((len(f), e, rule, status, register, key, home, negative, since, spans, fresh, fresh))
+
+    def ask(e, basis=None, state="EXACT"):
+        q.append((e, pay, "ES", basis, day, day, state, "WHY"))
+
+    assertion(1)  # an open route
+    assertion(2), assertion(2, no)  # both on one route
+    assertion(3, no), assertion(3, no, "BRANCH")  # a foreign root has two routes, both closed
+    assertion(4, no, "DOMESTIC", home="ES")  # a domestic root has one
+    assertion(5, no), fact(5, "EXPLICIT_WITHDRAWAL", key=root)  # withdrawn
+    assertion(6, no), fact(6, "ENTITY_BAJA")  # a change of form closes nothing
+    assertion(7, no, blocked=True)
+    assertion(8, no), assertion(8, no, "BRANCH"), fact(8, key=only, negative=None)  # a root that can't hold the activity doesn't count
+    assertion(9, no), assertion(9, no, "BRANCH"), fact(9, key=other)  # one that can does
+    assertion(10, since=date(2025, 1, 1)), fact(10)  # in force later, on an open root
+    assertion(11, until=date(2023, 12, 1)), fact(11)
+    assertion(12, no)  # a route of two
+    assertion(13, register="NONE")
+    assertion(14, register="B")  # no rule, but sources
+    assertion(15, composition="ALL_REQUIRED", register="A")  # its second register is stale
+    assertion(16, kind="PSP_AGENT"), assertion(17, kind="PSP_AGENT", principal=5)
+    assertion(18), fact(18, status="WITHDRAWN", key=None)
+    fact(19, rule="ruleset/agent-parent-status", key=None), fact(20, status="WITHDRAWN", key=None)
+    assertion(21, unknown), assertion(22, unknown, "BRANCH")
+    assertion(23, no, key=None), assertion(23, key=None, register="B")  # routes without a root are one a register
+    fact(24, spans=[(old, date(2023, 1, 1))]), fact(25, spans=[(date(2025, 1, 1), None)]), fact(26, "UNRESOLVED_MOTIVO")
+    assertion(27, no, "BRANCH"), ask(27, "BRANCH")
+    ask(28, None, "AMBIGUOUS"), assertion(28)
+    for e in range(1, 27):
+        ask(e)
+    sources = [(i, "A" if r[12] == "NONE" else r[12], date(2023, 12, 1), None) for i, r in enumerate(a)]
+    sources += [(next(i for i, r in enumerate(a) if r[1] == 15), "VIEW", old, None)]
+    contracts = [(r, 365, 300, "COMPLETE_ENUMERATION", [], [pay, aisp], ["EEA"]) for r in ("A", "B", "C")]
+    table = lambda rows, schema: spark.createDataFrame(rows, schema)
+    parts = (
+        table(q, QUESTION), table(a, ASSERTION), table(sources, "assertion_id long, register_id string, retrieved_at date, source_as_of date"), table(f, FACT), table(contracts, CONTRACT),
+        table([("A", 1, "IN1", "IN", None, None, None, None, None, None), ("C", 1, "IN2", "IN", None, None, None, None, None, None)], RULE),
+    )
+    aliases = {"VIEW": "C"}
+    return V.verdicts(*parts, aliases).collect(), V.assess(*parts, "V1", aliases).collect(), V.assess(*parts, "V2", aliases).collect()
+
+
+def test_verdicts_by_routes_and_roots(judged):
+    got = {r.entity_id: (r.verdict.split("_")[0] + ("_NOT" if "CONFIRMED_NOT" in r.verdict else ""), r.reason) for r in judged[0]}
+    shut, withdrawn, unresolved = "ALL_AVAILABLE_ROUTES_CLOSED", "ROOT_FAMILY_WITHDRAWN", "TERRITORIAL_ENTITLEMENT_UNRESOLVED"
+    yes, none = ("CONFIRMED", "ACTIVE_ENTITLEMENT_EVIDENCED"), ("NO", "NO_ASSERTIONS_IN_SCOPE")
+    assert got == {
+        1: yes, 2: ("INDETERMINATE", "ROUTE_CONFLICT"), 3: ("CONFIRMED_NOT", shut), 4: ("CONFIRMED_NOT", shut), 5: ("CONFIRMED_NOT", withdrawn), 6: ("INDETERMINATE", unresolved),
+        7: ("INDETERMINATE", "NEGATIVE_EVIDENCE_BLOCKED"), 8: ("CONFIRMED_NOT", shut), 9: ("INDETERMINATE", unresolved), 10: ("INDETERMINATE", unresolved), 11: ("NO", "ENTITLEMENT_EXPIRED"),
+        12: ("INDETERMINATE", unresolved), 13: none, 14: yes, 15: none, 16: none, 17: yes, 18: yes, 19: none, 20: none, 21: none, 22: none, 23: yes, 24: ("CONFIRMED_NOT", withdrawn), 25: none, 26: none,
+        27: ("CONFIRMED_NOT", shut), 28: ("INDETERMINATE", "AMBIGUOUS_IDENTITY"),
+    }
+    by = {r.entity_id: r for r in judged[0]}
+    assert by[1].used_ids == "0" and by[1].response_freshness == date(2023, 12, 1) and by[28].used_ids == "" and by[28].diagnostics == "identity:WHY"
+    assert by[15].diagnostics.startswith("stale_required_source:") and by[15].diagnostics.endswith(":VIEW") and by[13].diagnostics == "no_contract:NONE"
+    assert "route_conflict:R|PSD_PI|1:FREEDOM_TO_PROVIDE_SERVICES" in by[2].diagnostics and by[7].diagnostics.startswith("blocked_evidence:")
+
+
+def test_verdicts_without_routes(judged):
+    one, two = ({r.entity_id: r.reason for r in rows} for rows in judged[1:])
+    assert {one[e] for e in (1, 17, 18)} == {"SUPPORTED_BY_ACTIVE_ASSERTIONS"} and two[1] == "ACTIVE_ENTITLEMENT_EVIDENCED" and two[18] == "CONFLICTING_ASSERTIONS"
+    assert one[2] == two[2] == "CONFLICTING_ASSERTIONS" and one[3] == "EXPLICIT_NEGATIVE_EVIDENCE" and one[7] == "EXPLICIT_NEGATIVE_EVIDENCE"
+    assert one[10] == "NO_ASSERTIONS_IN_SCOPE" and one[11] == "ENTITLEMENT_EXPIRED" and two[11] == "MALFORMED_STATUS_SEQUENCE"
+    assert one[13] == one[15] == "UNINTERPRETABLE_EVIDENCE" and one[16] == "AGENT_ASSERTION_MISSING_PRINCIPAL"
+    assert one[19] == "NO_ASSERTIONS_IN_SCOPE" and two[19] == "AGENT_DELEGATED_ROUTE_NO_INDEPENDENT_ENTITLEMENT" and two[20] == "WITHDRAWAL_SEMANTICS_DEFERRED"
+    assert one[21] == "UNINTERPRETABLE_EVIDENCE" and two[21] == "TERRITORIAL_ENTITLEMENT_UNRESOLVED" and two[22] == "UNINTERPRETABLE_EVIDENCE"
