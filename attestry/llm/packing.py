@@ -78,7 +78,7 @@ def plan(counts: dict[int, int], sizes: tuple[int, ...] = SIZES) -> tuple[np.nda
             else:
                 fitting = [s for s in sizes if s >= length]
                 size = min(fitting, key=lambda s: (cost(s) / min(s // length, left), s))
-                many = -(-left // (size // length))
+                many = max(1, left // (size // length))  # what is left over chooses anew
                 first, space = next_bin, size
                 next_bin += many
             each = space // length
