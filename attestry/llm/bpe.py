@@ -1,8 +1,8 @@
 """Byte-pair encoding of whole texts: speculate, verify, and merge only what fails.
 
-The vocabulary and merges come from a tokenizer file (a parameter); texts are normalised
-(NFC, one space for white space, lower case character by character) and cut as that file's
-pre-tokenizer says.
+The vocabulary and merges come from a tokenizer file (a parameter). Texts are normalised (NFC,
+one space for white space, lower case character by character) and cut into pieces by one
+pattern; a file that asks for anything else is refused.
 
 1. Greedy longest match proposes tokens for each distinct piece.
 2. A proposal is right exactly when every adjacent pair of its tokens is: both tokens encode
@@ -15,7 +15,9 @@ Equal chunks between white space are encoded once while a task remembers them: i
 ``KEEP`` chunks it met last, at most twice as many, so memory does not follow the input.
 
 Defined cases: a null text counts as empty; empty texts have no tokens and decode to the
-empty string; special tokens in a text are their own ids; other columns are ignored.
+empty string; special tokens in a text are their own ids; equal ranks are merged leftmost
+first; rows that repeat are encoded each for itself; texts of any length are taken whole; an
+empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -67,10 +69,34 @@ def byte_characters() -> list[str]:
     return [chr(b if b in shown else next(spare)) for b in range(256)]
 
 
+#: What a tokenizer file must say of normalising and cutting, for this module does only that (fixed values).
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_CUTS = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def check(spec: dict) -> None:
+    """Refuse a tokenizer file whose rules this module does not follow."""
+    model = spec["model"]
+    wrong = [
+        name
+        for name, ok in {
+            "model": model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges")),
+            "normalizer": spec.get("normalizer") == _NORMALIZER,
+            "pre_tokenizer": spec.get("pre_tokenizer") == {"type": "Sequence", "pretokenizers": [_CUTS, _BYTES]},
+            "decoder": spec.get("decoder") is None,
+            "added_tokens": not any(t.get(k) for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")),
+        }.items()
+        if not ok
+    ]
+    if wrong:
+        raise ValueError(f"tokenizer file with other rules than this module's: {', '.join(wrong)}")
+
+
 class Encoder:
-    def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, text: str) -> None:
+        spec = json.loads(text)
+        check(spec)
         model = spec["model"]
         self.ids: dict[str, int] = dict(model["vocab"])
         self.suffix: str = model.get("end_of_word_suffix") or ""
@@ -247,7 +273,7 @@ class Encoder:
 
     def chunks(self, text: str) -> list[str]:
         """The text's parts between white space, normalised; special tokens stand alone."""
-        parts = self._special_split.split(text) if self._special_split and "<|" in text else [text]
+        parts = self._special_split.split(text) if self._special_split and any(map(text.__contains__, self.special)) else [text]
         out = []
         for k, part in enumerate(parts):
             if k % 2:
@@ -281,10 +307,15 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder a Python worker."""
+def content(path: str) -> str:
+    with open(path, encoding="utf-8") as f:
+        return f.read()
+
+
+def encoder(path: str, text: Callable[[], str] | None = None) -> Encoder:
+    """One encoder a Python process; ``text`` gives the file's content where the file is not."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(text() if text else content(path))
     return _encoders[path]
 
 
@@ -301,10 +332,16 @@ def _groups(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
 
 
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, n_tokens, ids (decimal, joined by a space) and decoded of every row."""
+    """``id_col``, n_tokens, ids (decimal, joined by a space) and decoded of every row.
+
+    The tokenizer file is read by the driver and broadcast (a few megabytes). ``decoded`` is what
+    ``decoded`` gives for the ids, put together from chunks that a task has met before.
+    """
+    spec = docs.sparkSession.sparkContext.broadcast(content(path))
+    check(json.loads(spec.value))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
+        bpe = encoder(path, lambda: spec.value)
         for batch in batches:
             for at, texts in _groups(batch.column(1)):
                 ids, decoded, n = zip(*bpe.encode(texts), strict=True)
@@ -316,3 +353,21 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     kind = dict(docs.dtypes)[id_col]
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     return texts.mapInArrow(run, f"key {kind}, n_tokens long, ids string, decoded string").withColumnRenamed("key", id_col)
+
+
+def decoded(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """``id_col`` and decoded of every row of ids (decimal, joined by a space).
+
+    Special tokens are kept; a null is no ids; an id that no token has is passed over.
+    """
+    spec = tokens.sparkSession.sparkContext.broadcast(content(path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text = encoder(path, lambda: spec.value).text
+        for batch in batches:
+            found = [" ".join([text[i] for i in map(int, (ids.as_py() or "").split()) if i in text]) for ids in batch.column(1)]
+            yield pa.record_batch([batch.column(0), pa.array(found, pa.string())], names=["key", "decoded"])
+
+    kind = dict(tokens.dtypes)[id_col]
+    rows = tokens.select(F.col(id_col).alias("key"), F.col(ids_col).cast("string").alias("ids"))
+    return rows.mapInArrow(run, f"key {kind}, decoded string").withColumnRenamed("key", id_col)
