@@ -1,7 +1,8 @@
 """Quality classifier: random-indexing vectors, pooled per text, and a two-layer network.
 
-1. Every word is two units: a hash class of the lower-cased word, and its shape (case,
-   length, digits, symbols, closing punctuation). Each unit has a sparse ternary index
+1. Every word is two units: a hash class of the lower-cased word (``WORDS`` of them, so words
+   of a large vocabulary share vectors), and its shape (case, length, digits, symbols, closing
+   punctuation). Each unit has a sparse ternary index
    vector drawn from a fixed seed. A unit's word vector is the sum of the index vectors of
    the units beside it, over all texts; tasks add up their own words, Spark adds the tasks.
 2. A text is pooled to the mean vectors of its words and shapes, their norms and its length.
@@ -14,7 +15,10 @@ to tasks, whatever the input.
 
 Defined cases: a null or empty text pools to zeros and is scored like any other; labels that
 are null or without a text are passed over; if the sample has fewer than two classes, all
-scores are its share of ones, or 0.5; an empty table gives an empty result.
+scores are its share of ones, or 0.5; a score of exactly one half predicts 1; texts of any
+length are taken whole; rows that repeat are scored each for itself, and an id that repeats in
+documents or labels counts once in the sample, with its least text and label; an empty table
+gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -177,7 +181,9 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, id_col: str =
     share = min(1.0, sample / max(have, 1))
     rows = rows.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < F.lit(round(share * 1_000_000)))
     # about ``sample`` ids, so they can be broadcast
-    texts = docs.select(id_col, F.col(text_col).cast("string").alias("text")).join(F.broadcast(rows), id_col).select("label", "text")
+    rows = rows.groupBy(id_col).agg(F.min("label").alias("label"))
+    texts = docs.select(id_col, F.col(text_col).cast("string").alias("text")).join(F.broadcast(rows), id_col)
+    texts = texts.groupBy(id_col).agg(F.min("text").alias("text"), F.min("label").alias("label")).select("label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
