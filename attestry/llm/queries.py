@@ -66,6 +66,33 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+OP4_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+s as (
+  select distinct doc_id, array_to_string(ws[i:i + 3], ' ') as g from w, unnest(range(1, len(ws) - 2)) t(i) where len(ws) >= 4
+  union select doc_id, array_to_string(ws, ' ') from w where len(ws) between 1 and 3),
+n as (select doc_id, count(*) as n from s group by doc_id),
+shared as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+e as (select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
+reach as (select a, b from (select a, b from e union all select b, a from e) union select r.a, x.b from reach r join (select a, b from e union all select b, a from e) x on r.b = x.a)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, least(d.doc_id, coalesce(r.m, d.doc_id)) as component_id, r.m is null or r.m >= d.doc_id as kept
+from documents d left join n on d.doc_id = n.doc_id left join (select a, min(b) as m from reach group by a) r on d.doc_id = r.a
+"""
+
+
+OP5_SQL = r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+p as (select doc_id, i, array_to_string(ws[i:i + 49], ' ') as k from w, unnest(range(1, len(ws) - 48)) t(i) where len(ws) >= 50),
+f as (select k, min(doc_id) as first from p group by k),
+gone as (select distinct p.doc_id, i + o as place from p join f using (k), unnest(range(0, 50)) t(o) where first < p.doc_id),
+kept as (
+  select x.doc_id, string_agg(word, ' ' order by x.place) as text, count(*) as n
+  from (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as place from w) x anti join gone using (doc_id, place) group by x.doc_id)
+select w.doc_id, len(ws) as n_words, len(ws) - coalesce(n, 0) as n_removed, sha256(coalesce(text, '')) as kept_sha256 from w left join kept using (doc_id)
+"""
+
+
 def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(_table(spark, sf_dir, "documents"), length=50)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -122,4 +149,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_urls": OP2_SQL}
+    return {"op2_urls": OP2_SQL, "op4_minhash": OP4_SQL, "op5_substring": OP5_SQL}

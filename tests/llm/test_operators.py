@@ -158,7 +158,15 @@ def test_bpe_equals_library(spark, docs, corpus):
     odd = ["<|endoftext|>", "a<|startoftext|>B <|ENDOFTEXT|>", "it's DON'T we'll", "İ ΑΣ\x1dx\x85y", "a" * 3000, "e\u0301 1½ 漢字🙂🙂"]
     odd += ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(0xA0, 0x250), rng.randrange(0x400, 0x500)])) for _ in range(60)) for _ in range(300)]
     df = docs.select("doc_id", "text").union(spark.createDataFrame(list(enumerate(odd, 10_000)), "doc_id long, text string"))
-    for r in bpe.encoded(df, path).collect():
+    found = bpe.encoded(df, path)
+    again = {(r.doc_id, r.decoded) for r in bpe.decoded(found.select("doc_id", "ids"), path).collect()}
+    assert again == {(r.doc_id, r.decoded) for r in found.collect()}
+    assert [r.decoded for r in bpe.decoded(spark.createDataFrame([(1, None), (2, "")], "doc_id long, ids string"), path).collect()] == ["", ""]
+    spec = json.loads(bpe.content(path))
+    for part in ("normalizer", "pre_tokenizer", "decoder"):
+        with pytest.raises(ValueError):
+            bpe.check(spec | {part: {"type": "Other"}})
+    for r in found.collect():
         text = dict(enumerate(odd, 10_000)).get(r.doc_id, dict(corpus).get(r.doc_id)) or ""
         ids = lib.encode(text, add_special_tokens=False).ids
         assert (r.n_tokens, r.ids) == (len(ids), " ".join(map(str, ids)))
@@ -195,17 +203,44 @@ def test_packing_is_whole_and_tight(spark):
     assert pieces.to_dict() == dict(want)
 
 
+def one_by_one(counts, sizes):
+    """(capacity, used) of the bins that best fit leaves, piece by piece, longest first."""
+    bins, clock = [], 0  # [free, when it came to that, size]
+    for length in sorted(counts, reverse=True):
+        for left in range(counts[length], 0, -1):
+            fitting = [b for b in bins if b[0] >= length]
+            if not fitting:
+                size = min((s for s in sizes if s >= length), key=lambda s: (packing.cost(s) / min(s // length, left), s))
+                fitting = [[size, 0, size]]
+                bins += fitting
+            best = min(fitting, key=lambda b: (b[0], -b[1]))
+            clock += 1
+            best[:2] = best[0] - length, clock
+    return sorted((min(s for s in sizes if s >= size - free), size - free) for free, _, size in bins)
+
+
 def test_plan_matches_one_by_one_best_fit():
     rng = random.Random(8)
-    for _ in range(30):
-        counts = collections.Counter(rng.randrange(1, 65) for _ in range(rng.randrange(1, 60)))
-        runs, bins = packing.plan(dict(counts), (16, 32, 64))
-        total = collections.Counter()
-        for length, _, each, first, _ in runs.tolist():
-            total[length] += 0
-            assert any(b <= first < b + m for b, m, _, _ in bins.tolist()) and each >= 1
-        assert set(total) == set(counts)
-        assert sum(m * used for _, m, _, used in bins.tolist()) == sum(k * v for k, v in counts.items())
+    for sizes, most in (((16, 32, 64), 64), ((512, 1024, 2048, 4096), 4096), ((10,), 10)):
+        for _ in range(60):
+            lengths = [rng.randrange(1, most + 1) for _ in range(rng.randrange(1, 8))]
+            counts = collections.Counter(rng.choice(lengths) if rng.random() < 0.7 else rng.randrange(1, most + 1) for _ in range(rng.randrange(1, 90)))
+            runs, bins = packing.plan(dict(counts), sizes)
+            got = sorted((c, used) for _, m, c, used in bins.tolist() for _ in range(m))
+            assert got == one_by_one(counts, sizes)
+            total = collections.Counter()
+            for length, rank, _, _, _ in runs.tolist():
+                total[length] += rank == 0
+            assert set(total) == set(counts) and set(total.values()) == {1}
+
+
+def test_packing_of_one_length(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANKED", 50)
+    rows = [(i, 700) for i in range(900)] + [(None, 700)] * 5 + [(i, 4096 * 3) for i in range(40)]
+    got = packing.packed(spark.createDataFrame(rows, "doc_id long, n_tokens long")).toPandas()
+    assert len(got) == 905 + 120 and not got.duplicated(["bin_id", "bin_offset"]).any()
+    used = got.groupby("bin_id").piece_tokens.sum()
+    assert (used == got.groupby("bin_id").bin_used.first()).all() and (used <= got.groupby("bin_id").bin_size.first()).all()
 
 
 def test_urls_equal_brute_force(spark):
@@ -253,6 +288,37 @@ def test_quality_features_and_verdicts(spark):
     assert sorted(r.doc_id for r in kept.collect()) == list(range(len(good))) and kept.columns == ["doc_id", "text", "n_words"]
 
 
+def test_em_equals_em_over_single_votes():
+    """The fit over counted vote vectors is the one over each text's votes."""
+    rng = np.random.Generator(np.random.PCG64(3))
+    good = rng.random(400) < 0.8
+    right = rng.random((400, 3)) < 0.85
+    votes = np.where(right == good[:, None], 1, -1) * (rng.random((400, 3)) < 0.9)
+    seen, counts = np.unique(votes, axis=0, return_counts=True)
+    p, table = quality.fit(seen, counts.astype(float))
+    q, shape = 0.95, np.array([[0.8, 0.15, 0.05], [0.05, 0.15, 0.8]])
+    start = np.repeat(shape[:, None, :], 3, 1)
+    own = start.copy()
+    for _ in range(200):
+        post = []
+        for v in votes:
+            a, b = q, 1 - q
+            for r, x in enumerate(v):
+                a, b = a * own[1, r, x + 1], b * own[0, r, x + 1]
+            post.append(a / (a + b))
+        new = start.copy()
+        for v, w in zip(votes, post, strict=True):
+            for r, x in enumerate(v):
+                new[1, r, x + 1] += w
+                new[0, r, x + 1] += 1 - w
+        own = new / new.sum(2, keepdims=True)
+        last, q = q, float(np.clip(np.mean(post), 0.5, 0.999))
+        if abs(q - last) < 1e-9:
+            break
+    assert abs(p - q) < 1e-6 and np.allclose(table, own, atol=1e-6)
+    assert np.mean((quality.posterior(votes, p, table) > 0.5) == good) > 0.85
+
+
 def weights(text):
     return collections.Counter(WORD.findall(text))
 
@@ -304,6 +370,33 @@ def test_classifier_on_held_out_rows(spark):
     assert [r.score for r in none] == [1.0]
 
 
+def test_context_sums_and_gradients():
+    import pyarrow as pa
+
+    from attestry.llm import words as W
+
+    texts = ["one TWO three, two", "", "one!", "x one two x one"]
+    w = W.split(*W.text_bytes(pa.array(texts)))
+    index = np.zeros((classifier.UNITS, classifier.DIM))
+    for u in range(classifier.UNITS):
+        for at, sign in zip(classifier._AT[u], classifier._SIGN[u], strict=True):
+            index[u, at] += sign
+    want = np.zeros_like(index)
+    word, shape = classifier.units(w)
+    for i in range(len(word)):
+        for j in (i - 1, i + 1):
+            if 0 <= j < len(word) and w.row[i] == w.row[j]:
+                for target in (word[i], shape[i]):
+                    want[target] += index[word[j]] + index[shape[j]]
+    assert np.allclose(classifier.context_sums(w).reshape(want.shape), want)
+    rng = np.random.Generator(np.random.PCG64(1))
+    x = rng.normal(size=(4000, classifier.INPUTS))
+    y = (x[:, 0] + x[:, 1] > 0).astype(float)
+    net = classifier.Network().fit(x, y)
+    fresh = rng.normal(size=(300, classifier.INPUTS))
+    assert np.mean((net.score(fresh) > 0.5) == (fresh[:, 0] + fresh[:, 1] > 0)) > 0.85 and net.temperature > 0
+
+
 def brute_private(x):
     o = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", x)]
     o += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", x) if all(int(p) <= 255 for p in m[0].split("."))]
