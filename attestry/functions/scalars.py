@@ -87,11 +87,6 @@ def valid_tax_id(nif: Column) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def first_property(properties: Column, key: str) -> Column:
-    """Value of the first map of an array that has the key."""
-    return F.get(F.filter(properties, lambda p: F.map_contains_key(p, key)), 0)[key]
-
-
 def split_items(text: Column, separator: str = r"\|") -> Column:
     """Trimmed, non-empty parts in order of first appearance."""
     return F.array_distinct(F.filter(F.transform(F.split(text, separator), lambda x: F.trim(x)), lambda x: x != ""))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestry.functions import scalars as S
+from attestry.operators import operations as O
 from attestry.operators import verdict as V
 from attestry.plans import lens as L
 
@@ -325,6 +326,45 @@ def response_freshness(s: SparkSession, d: str) -> DataFrame:
     return bitemporal_verdict(s, d).where("response_freshness is not null").select(*V.QUESTION, "response_freshness")
 
 
+def _requests(s: SparkSession, d: str) -> DataFrame:
+    """A request a part, well and badly formed."""
+    k = F.col("p_partkey")
+    text = lambda c: c.cast("string")
+    return L.table(s, d, "part").select(
+        k.alias("request_id"),
+        F.when(k % 7 == 0, "delete").when(k % 7 < 3, "assess").when(k % 7 == 3, "assess_bitemporal").when(k % 7 == 4, "explain").when(k % 7 == 5, "evidence").otherwise("changes").alias("operation"),
+        F.when(k % 11 != 0, text(k * 3)).alias("entity_id"), F.when(k % 13 != 0, "PAYMENT_SERVICES").otherwise("").alias("activity"), F.lit("J0").alias("jurisdiction"),
+        F.when(k % 5 == 0, "1998-6-01").otherwise("1998-06-01").alias("valid_at"), F.when(k % 3 != 0, "1999-12-31").alias("known_at"),
+        F.when(k % 2 == 0, text(k)).alias("assertion_id"), F.when(k % 2 == 0, text(k)).alias("record_key"), F.when(k % 3 == 0, text(k)).alias("pair"),
+    )
+
+
+def request_check(s: SparkSession, d: str) -> DataFrame:
+    c = O.checked(_requests(s, d), L.entities(s, d))
+    return c.select("request_id", "operation", "valid_day", "known_day", F.coalesce("error", F.lit("OK")).alias("error"))
+
+
+def explain_verdicts(s: SparkSession, d: str) -> DataFrame:
+    return O.explained(bitemporal_verdict(s, d), assertion_evaluations(s, d))
+
+
+def evidence_lookup(s: SparkSession, d: str) -> DataFrame:
+    return O.evidence_of(L.assertions(s, d).where("blocked"), L.sources(s, d))
+
+
+def run_cases(s: SparkSession, d: str) -> DataFrame:
+    """A run of cases whose expected verdict is the one without routes."""
+    two = verdict_with_facts(s, d).select(*V.QUESTION, F.col("verdict").alias("expected")).withColumn("asked_basis", F.coalesce("asked_basis", F.lit("")))
+    three = bitemporal_verdict(s, d).withColumn("asked_basis", F.coalesce("asked_basis", F.lit("")))
+    return O.run_summary(O.met(three, two, list(V.QUESTION)))
+
+
+def contract_faults(s: SparkSession, d: str) -> DataFrame:
+    """Contracts and rules checked against a vocabulary without banks and with two bases."""
+    contracts = L.contracts(s, d).withColumn("negative_days", F.when(F.col("register_id") == "REG2", 5000).otherwise(F.col("negative_days")))
+    return O.contract_faults(contracts, L.coverage_rules(s, d), ["PSP_AGENT", "PAYMENT_INSTITUTION"], list(L.ACTIVITIES), ["BRANCH", "DOMESTIC"])
+
+
 _DECISIONS = f"""{L.SQL.rstrip()},
 a as (select *, effective_from as valid_at from assertions),
 scopes as (
@@ -340,6 +380,42 @@ decided as (
 """
 
 QUERIES = {
+    "request_check": (
+        request_check,
+        """with r as (select p_partkey as k, case when p_partkey % 11 <> 0 then p_partkey * 3 end as e, p_partkey % 13 <> 0 as has_activity, p_partkey % 5 <> 0 as good_day, p_partkey % 3 <> 0 as has_known,
+  case when p_partkey % 7 = 0 then 'delete' when p_partkey % 7 < 3 then 'assess' when p_partkey % 7 = 3 then 'assess_bitemporal' when p_partkey % 7 = 4 then 'explain' when p_partkey % 7 = 5 then 'evidence' else 'changes' end as operation from part)
+select k as request_id, operation, case when good_day then date '1998-06-01' end as valid_day, case when has_known then date '1999-12-31' end as known_day,
+  case when operation = 'delete' then 'UNKNOWN_OPERATION'
+    when operation in ('assess', 'assess_bitemporal', 'explain') then case when e is null or not has_activity then 'MISSING_ARGUMENT' when not good_day then 'INVALID_DATE'
+      when operation <> 'assess' and not has_known then 'INVALID_DATE' when e not in (select c_custkey from customer) then 'UNKNOWN_ENTITY' else 'OK' end
+    when operation = 'evidence' then case when k % 2 = 1 then 'MISSING_ARGUMENT' else 'OK' end
+    else case when (k % 2 = 0) = (k % 3 = 0) then 'EXACTLY_ONE_SELECTOR' else 'OK' end end as error from r""",
+    ),
+    "explain_verdicts": (
+        explain_verdicts,
+        f"""with v as ({_VERDICT}), u as (select * exclude (used_ids), unnest(string_split(used_ids, ',')) as assertion_id from v where used_ids <> ''),
+a as (select cast(assertion_id as varchar) as assertion_id, register_id, legal_effect, effective_from, effective_to, exclusive_end from ({L.SQL} select * from assertions))
+select u.assertion_id, u.entity_id, u.activity, u.jurisdiction, u.asked_basis, u.valid_at, u.known_at, u.verdict, u.reason, a.register_id,
+  case when effective_from > valid_at then 'UNKNOWN' when {_IN_EFFECT.format(at="valid_at")} then legal_effect when legal_effect = 'ENTITLED_TO_PROVIDE' then 'NOT_ENTITLED' else 'UNKNOWN' end as effect_at,
+  case when effective_from > valid_at then 'NOT_YET_EFFECTIVE' when {_IN_EFFECT.format(at="valid_at")} then 'IN_EFFECT' when legal_effect = 'ENTITLED_TO_PROVIDE' then 'ENTITLEMENT_EXPIRED' else 'WINDOW_CLOSED' end as effect_reason
+from u join a on u.assertion_id = a.assertion_id""",
+    ),
+    "evidence_lookup": (
+        evidence_lookup,
+        f"""{L.SQL} select assertion_id, register_id, min(retrieved_at) as first_seen, max(retrieved_at) as last_seen,
+  count(distinct cast(retrieved_at as varchar) || coalesce(cast(source_as_of as varchar), '')) as n_sources from sources where assertion_id in (select assertion_id from assertions where blocked) group by all""",
+    ),
+    "run_cases": (
+        run_cases,
+        f"""with a as ({_assess_sql(True)}), b as ({_VERDICT}), m as (select a.verdict as expected, a.verdict = b.verdict as ok from a join b on {_SAME.format(a="a", b="b")})
+select coalesce(expected, '*') as expected, count(*) as n_cases, count_if(ok) as n_match, count_if(not ok) as n_mismatch from m group by rollup(expected)""",
+    ),
+    "contract_faults": (
+        contract_faults,
+        """select 'REG' || r_regionkey as register_id, 'UNKNOWN_CLASS' as fault from region where r_regionkey = 1
+union all select 'REG' || r_regionkey, 'NEGATIVE_OUTLASTS_POSITIVE' from region where r_regionkey = 2
+union all select 'REG' || n_regionkey, 'UNKNOWN_RULE_BASIS' from nation where n_nationkey % 4 = 2""",
+    ),
     "bitemporal_verdict": (bitemporal_verdict, _VERDICT),
     "verdict_simple": (verdict_simple, _assess_sql(False)),
     "verdict_with_facts": (verdict_with_facts, _assess_sql(True)),

@@ -1,34 +1,51 @@
-"""Archives as Python data sources: JSON registers in a zip, and spreadsheets.
+"""Archives: JSON registers in a zip, and spreadsheets.
 
-A zip member can't be split, so a file is one partition; many files are read in parallel.
-Records are yielded one by one, so memory follows one record and not the file.
+Files come through Spark's ``binaryFile`` reader, so they may lie in any store; a zip member
+can't be split, so a file is one row and many files are read in parallel. Records are yielded in
+batches, so memory follows the file and not what it unpacks to.
 """
 
 from __future__ import annotations
 
-import glob
 import io
 import json
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from attestry.functions.scalars import plain_header
 
-class FilePartition(InputPartition):
-    def __init__(self, path: str) -> None:
-        self.path = path
+#: Rows of one batch that an archive is unpacked to.
+BATCH = 10_000
 
 
-class _Files(DataSourceReader):
-    def __init__(self, options: dict) -> None:
-        self.paths = sorted(glob.glob(options["path"]))
+def _unpacked(spark: SparkSession, path: str, rows_of: Callable[[bytes], Iterator[tuple]], schema: str, types: list) -> DataFrame:
+    """Rows that ``rows_of`` yields for each file under ``path``, with the file's name."""
+    names = ["file", *(part.split()[0] for part in schema.split(", "))]
 
-    def partitions(self) -> list[InputPartition]:
-        return [FilePartition(p) for p in self.paths] or [FilePartition("")]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(name: str, held: list[tuple]) -> pa.RecordBatch:
+            columns = [pa.array([name] * len(held), pa.string()), *(pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True))]
+            return pa.record_batch(columns, names=names)
+
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held: list[tuple] = []
+                for row in rows_of(content.as_py()):
+                    held.append(row)
+                    if len(held) >= BATCH:
+                        yield batch_of(name, held)
+                        held = []
+                if held:
+                    yield batch_of(name, held)
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, f"file string, {schema}")
 
 
 def array_items(stream: io.TextIOBase, depth: int = 2, size: int = 1 << 16) -> Iterator[object]:
@@ -70,90 +87,86 @@ def array_items(stream: io.TextIOBase, depth: int = 2, size: int = 1 << 16) -> I
         held += piece
 
 
-class ZipJson(DataSource):
-    """Format ``register_zip``: each record of the only JSON member of each zip, as JSON text."""
+def _zip_rows(content: bytes) -> Iterator[tuple]:
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        members = [n for n in z.namelist() if n.lower().endswith(".json")]
+        if len(members) != 1:
+            raise ValueError(f"{len(members)} JSON members in a zip, not one")
+        with z.open(members[0]) as raw:
+            for k, item in enumerate(array_items(io.TextIOWrapper(raw, "utf-8-sig"))):
+                yield k, json.dumps(item, ensure_ascii=False, sort_keys=True)
+
 
-    @classmethod
-    def name(cls) -> str:
-        return "register_zip"
+def zip_records(spark: SparkSession, path: str, needs: tuple[str, ...] = ()) -> DataFrame:
+    """file, ordinal and record (JSON text) of every item in the sections of the JSON member of each zip.
 
-    def schema(self) -> str:
-        return "file string, ordinal long, record string"
+    ``needs`` keeps only records with one of these keys, which leaves editorial sections out.
+    """
+    found = _unpacked(spark, path, _zip_rows, "ordinal long, record string", [pa.int64(), pa.string()])
+    if not needs:
+        return found
+    has = [F.try_variant_get("v", f"$['{key}']", "variant").isNotNull() for key in needs]
+    kept = has[0]
+    for other in has[1:]:
+        kept = kept | other
+    return found.withColumn("v", F.parse_json("record")).where(kept).drop("v")
 
-    def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
-        return _ZipReader(self.options)
 
+_MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
-class _ZipReader(_Files):
-    def read(self, partition: FilePartition) -> Iterator[tuple]:
-        if not partition.path:
-            return
-        with zipfile.ZipFile(partition.path) as z:
-            members = [n for n in z.namelist() if n.lower().endswith(".json")]
-            if len(members) != 1:
-                raise ValueError(f"{partition.path}: {len(members)} JSON members, not one")
-            with z.open(members[0]) as raw:
-                k = 0
-                for item in array_items(io.TextIOWrapper(raw, "utf-8-sig")):
-                    if isinstance(item, dict) and ("EntityCode" in item or "Properties" in item):
-                        yield partition.path, k, json.dumps(item, ensure_ascii=False, sort_keys=True)
-                        k += 1
+
+def _text(element: ElementTree.Element) -> str:
+    return "".join(t.text or "" for t in element.iter(f"{_MAIN}t"))
 
 
-_NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
-_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+def _each(stream: io.IOBase, tag: str) -> Iterator[ElementTree.Element]:
+    """The elements of a tag, each let go of before the next."""
+    for _, element in ElementTree.iterparse(stream):
+        if element.tag == tag:
+            yield element
+            element.clear()
 
 
-class Xlsx(DataSource):
-    """Format ``xlsx_cells``: the filled cells of every sheet, in the workbook's order."""
+def _place(reference: str) -> int:
+    """Column number, from 0, of a cell reference."""
+    n = 0
+    for letter in re.match(r"[A-Z]+", reference)[0]:
+        n = n * 26 + ord(letter) - 64
+    return n - 1
 
-    @classmethod
-    def name(cls) -> str:
-        return "xlsx_cells"
 
-    def schema(self) -> str:
-        return "file string, sheet string, sheet_no int, row_no long, column_no int, value string"
+def _sheet_rows(content: bytes) -> Iterator[tuple]:
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        members = set(z.namelist())
+        strings = [_text(e) for e in _each(z.open("xl/sharedStrings.xml"), f"{_MAIN}si")] if "xl/sharedStrings.xml" in members else []
+        target = {r.get("Id"): r.get("Target").lstrip("/") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
+        read = {
+            "s": lambda c, v: strings[int(v)] if v is not None else None,
+            "inlineStr": lambda c, v: _text(c),
+        }
+        for number, sheet in enumerate(ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{_MAIN}sheet")):
+            name = target[sheet.get(_LINK)]
+            for row in _each(z.open(name if name in members else f"xl/{name}"), f"{_MAIN}row"):
+                for cell in row.iter(f"{_MAIN}c"):
+                    value = read.get(cell.get("t"), lambda c, v: v)(cell, cell.findtext(f"{_MAIN}v"))
+                    if value is not None:
+                        yield sheet.get("name"), number, int(row.get("r")), _place(cell.get("r")), value
 
-    def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
-        return _XlsxReader(self.options)
 
+def sheet_cells(spark: SparkSession, path: str) -> DataFrame:
+    """file, sheet, sheet_no, row_no, column_no and value of the filled cells of every sheet."""
+    types = [pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.string()]
+    return _unpacked(spark, path, _sheet_rows, "sheet string, sheet_no int, row_no long, column_no int, value string", types)
 
-def _column(reference: str) -> int:
-    n = 0
-    for c in re.match(r"[A-Z]+", reference)[0]:
-        n = n * 26 + ord(c) - 64
-    return n - 1
 
+def with_header(cells: DataFrame, label: str) -> DataFrame:
+    """Cells under the header of their sheet: the first row that has ``label``, accents aside.
 
-class _XlsxReader(_Files):
-    def read(self, partition: FilePartition) -> Iterator[tuple]:
-        if not partition.path:
-            return
-        with zipfile.ZipFile(partition.path) as z:
-            shared: list[str] = []
-            if "xl/sharedStrings.xml" in z.namelist():
-                for si in ElementTree.parse(z.open("xl/sharedStrings.xml")).getroot().findall("m:si", _NS):
-                    shared.append("".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")))
-            links = {r.get("Id"): r.get("Target") for r in ElementTree.parse(z.open("xl/_rels/workbook.xml.rels")).getroot()}
-            sheets = ElementTree.parse(z.open("xl/workbook.xml")).getroot().find("m:sheets", _NS)
-            for k, sheet in enumerate(sheets):
-                target = links[sheet.get(_REL)].lstrip("/")
-                with z.open(target if target.startswith("xl/") else f"xl/{target}") as raw:
-                    for _, row in ElementTree.iterparse(raw):
-                        if row.tag != f"{{{_NS['m']}}}row":
-                            continue
-                        for cell in row.findall("m:c", _NS):
-                            kind, v = cell.get("t"), cell.find("m:v", _NS)
-                            if kind == "inlineStr":
-                                value = "".join(t.text or "" for t in cell.iter(f"{{{_NS['m']}}}t"))
-                            elif v is None or v.text is None:
-                                continue
-                            else:
-                                value = shared[int(v.text)] if kind == "s" else v.text
-                            yield partition.path, sheet.get("name"), k, int(row.get("r")), _column(cell.get("r")), value
-                        row.clear()
-
-
-def register(spark: SparkSession) -> None:
-    for source in (ZipJson, Xlsx):
-        spark.dataSource.register(source)
+    Gives file, sheet, row_no, header and value; sheets without the label give none.
+    """
+    text: Column = plain_header(F.col("value"))
+    sheet = Window.partitionBy("file", "sheet")
+    marked = cells.withColumn("top", F.min(F.when(text == label, F.col("row_no"))).over(sheet)).where("row_no >= top")
+    heads = marked.where("row_no = top").select("file", "sheet", "column_no", text.alias("header"))
+    return marked.where("row_no > top").join(heads, ["file", "sheet", "column_no"]).select("file", "sheet", "row_no", "header", "value")

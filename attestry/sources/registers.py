@@ -8,25 +8,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from attestry.functions.scalars import cell_text
 
 
-def register_csv(spark: SparkSession, path: str, required: list[str], empty_to_null: tuple[str, ...] = (), separator: str = ",") -> DataFrame:
-    """A delimited register: byte-order mark dropped, header checked, empty cells kept as ''."""
+def register_csv(
+    spark: SparkSession, path: str, required: list[str], empty_to_null: tuple[str, ...] = (), separator: str = ",", renamed: dict[str, str] | None = None, targets: tuple[str, list[str]] | None = None
+) -> DataFrame:
+    """A delimited register: byte-order mark dropped, header checked, empty cells kept as ''.
+
+    ``renamed`` keeps these columns under new names; ``targets`` keeps the rows whose column
+    (by its old name) is one of the values.
+    """
     df = spark.read.csv(path, header=True, multiLine=True, sep=separator, escape='"', encoding="UTF-8")
     df = df.select(*(F.col(f"`{c}`").alias(c.lstrip("﻿").strip()) for c in df.columns))
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"columns missing in {path}: {', '.join(missing)}")
-    named = [c for c in df.columns if c and not c.startswith("_c")]
-    return df.select(*(F.col(f"`{c}`") if c in empty_to_null else F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in named))
-
-
-def json_documents(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """One document a file, with a fixed schema."""
-    return spark.read.schema(schema).json(path, multiLine=True)
+    if targets:
+        df = df.where(F.col(f"`{targets[0]}`").isin(targets[1]))
+    named = [c for c in df.columns if c and not c.startswith("_c") and (renamed is None or c in renamed)]
+    new = renamed or {}
+    return df.select(*((F.col(f"`{c}`") if c in empty_to_null else F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(new.get(c, c)) for c in named))
 
 
 def strict_json(text: Column) -> Column:
@@ -39,12 +42,6 @@ def strict_json(text: Column) -> Column:
     return F.when(~outside.rlike(r"[0-9](?:\.[0-9]|[eE])|NaN|Infinity"), F.try_parse_json(text))
 
 
-def json_array_records(spark: SparkSession, path: str, element: str, skip: int = 1) -> DataFrame:
-    """Records of files that hold an array whose item ``skip`` is the array of records."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.explode(F.variant_get(F.parse_json("value"), f"$[{skip}]", f"array<{element}>")).alias("r")).select("r.*")
-
-
 def verified_snapshots(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
     """Each listed file with how fetching it went: present, of the size and hash of the manifest."""
     files = spark.read.format("binaryFile").load(path).select(

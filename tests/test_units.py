@@ -84,6 +84,8 @@ def test_csv_and_snapshots(spark, tmp_path):
     f.write_text('﻿name,lei,end,\nA,X1,,\n"B, b",,01/02/2020,\n', encoding="utf-8")
     got = registers.register_csv(spark, str(f), ["name", "lei"], ("end",)).collect()
     assert [tuple(r) for r in got] == [("A", "X1", None), ("B, b", "", "01/02/2020")]
+    some = registers.register_csv(spark, str(f), ["name"], renamed={"lei": "id"}, targets=("name", ["B, b"])).collect()
+    assert [r.asDict() for r in some] == [{"id": ""}]
     with pytest.raises(ValueError):
         registers.register_csv(spark, str(f), ["absent"])
     manifest = spark.createDataFrame([("reg.csv", 1, "0"), ("gone.csv", 1, "0")], "snapshot_file string, bytes long, sha256 string")
@@ -98,11 +100,10 @@ def test_strict_json(spark):
 
 
 def test_zip_and_xlsx(spark, tmp_path):
-    archives.register(spark)
     records = [{"EntityCode": f"E{i}", "Properties": [{"ENT_NAM": "Ñ" * 9}]} for i in range(300)]
     with zipfile.ZipFile(tmp_path / "r.zip", "w") as z:
         z.writestr("r.json", json.dumps([[{"disclaimer": "no"}], records]))
-    got = spark.read.format("register_zip").load(str(tmp_path / "r.zip")).orderBy("ordinal").collect()
+    got = archives.zip_records(spark, str(tmp_path / "r.zip"), ("EntityCode", "Properties")).orderBy("ordinal").collect()
     assert [json.loads(r.record) for r in got] == records
     main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
     rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -111,8 +112,13 @@ def test_zip_and_xlsx(spark, tmp_path):
         z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/s1.xml"/></Relationships>')
         z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}"><si><t>code</t></si></sst>')
         z.writestr("xl/worksheets/s1.xml", f'<worksheet xmlns="{main}"><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="AB1"><v>7</v></c></row><row r="3"><c r="B3" t="inlineStr"><is><t>hi</t></is></c></row></sheetData></worksheet>')
-    got = spark.read.format("xlsx_cells").load(str(tmp_path / "b.xlsx")).collect()
+    got = archives.sheet_cells(spark, str(tmp_path / "b.xlsx")).collect()
     assert [(r.sheet, r.row_no, r.column_no, r.value) for r in got] == [("One", 1, 0, "code"), ("One", 1, 27, "7"), ("One", 3, 1, "hi")]
+    assert archives.zip_records(spark, str(tmp_path / "r.zip")).count() == 301
+    under = archives.with_header(archives.sheet_cells(spark, str(tmp_path / "b.xlsx")), "code").collect()
+    assert [(r.header, r.row_no, r.value) for r in under] == []
+    cells = spark.createDataFrame([("f", "S", 1, 0, "title"), ("f", "S", 2, 0, " Código "), ("f", "S", 2, 1, "Name"), ("f", "S", 3, 0, "7"), ("f", "S", 3, 1, "A"), ("f", "T", 1, 0, "x")], "file string, sheet string, row_no long, column_no int, value string")
+    assert sorted((r.row_no, r.header, r.value) for r in archives.with_header(cells, "codigo").collect()) == [(3, "codigo", "7"), (3, "name", "A")]
     with pytest.raises(ValueError):
         list(archives.array_items(__import__("io").StringIO("[[1.5]]")))
 
