@@ -563,7 +563,7 @@ union all select entity_id, effective_from, negative_class from facts where nega
 x as (select entity_id, cast(coalesce(n_entitled, 0) as bigint) as n_entitled, cast(coalesce(n_blocked, 0) as bigint) as n_blocked, coalesce(n_roots, 0) as n_roots from entities left join a using (entity_id))
 select *, case when n_entitled > 0 then 'COVERED' when n_roots > 0 then 'PARTIAL' else 'UNKNOWN' end as permissions from x"""),
     "orphan_refs": (orphan_refs, f"{L.SQL} select assertion_id from assertions where assertion_id not in (select assertion_id from sources)"),
-    "lineage_edges": (lineage_edges, f"""{L.SQL} select distinct 'derive-' || a.entity_id as job, a.register_id as input, b.root_key as output from assertions a join assertions b using (entity_id)"""),
+    "lineage_edges": (lineage_edges, f"""{L.SQL} select distinct 'derive-' || a.entity_id as job, a.register_id as input, b.root_key as output from assertions a join assertions b using (entity_id) where b.root_key is not null"""),
     "lineage_events": (lineage_events, f"""{L.SQL.rstrip()}, r as (select entity_id, md5('run/' || entity_id) as run_id, 'derive-' || home as job from entities)
 select r.*, '{{"job":{{"namespace":"attestry","name":"' || job || '"}},"run":{{"runId":"' || run_id || '"}}}}' as body, event_type from r, (values ('START'), ('COMPLETE')) e(event_type)"""),
     "name_mentions": (name_mentions, """with t as (select item_id as entity_id, upper(split_part(split_part(text, ' ', 2) || ', S.A.', ',', 1)) as token from benchmark),
