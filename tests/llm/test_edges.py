@@ -101,3 +101,42 @@ def test_registered_queries(spark):
     for name in ("op1_packing", "op2_urls", "op9_pii", "op10_secrets"):
         df = found[name](spark, SF)
         assert df.count() > 0
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_on_odd_tables(spark, name, stage):
+    last = name == corpus_pipeline.STAGES[-1][0]
+    columns = "doc_id long, text string, _features string, id string, rest map<string, int>"
+    assert stage(spark, spark.createDataFrame([], columns), "").collect() == []
+    body = " ".join(f"w{k * k % 977}" for k in range(90))
+    rows = [(1, body, "a", "b", {"k": 1}), (1, body, "a", "b", {"k": 1}), (None, body, None, None, None), (3, body + " more here.", "a", None, None), (4, None, "a", "b", None)]
+    got = stage(spark, spark.createDataFrame(rows, columns), "")
+    if last:
+        assert got.where("bin_offset + piece_tokens > bin_used").count() == 0 and got.count() == len(rows)
+        return
+    assert got.columns == ["doc_id", "text", "_features", "id", "rest"]
+    ids = sorted(str(r.doc_id) for r in got.collect())
+    assert ids == {
+        "quality_rules": ["1", "1", "3", "None"],
+        "near_dedup": ["1", "4", "None"],
+        "substring_dedup": ["1", "1", "3", "4", "None"],
+        "pii": ["1", "1", "3", "4", "None"],
+    }[name]
+
+
+def test_one_outlying_id_leaves_ranges_even(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "PART_CHARS", 2000)
+    base = [(i, f"text {i} " * 5) for i in range(2000)]
+    for rows in (base, [*base, (2**62, "x"), (-(2**62), "y")], [(None, t) for _, t in base], [(7 if i % 3 == 0 else i, t) for i, t in base]):
+        for knots in (8192, 16):
+            monkeypatch.setattr(fingerprint, "KNOTS", knots)
+            dealt, *_ = fingerprint._in_order(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+            spans = dealt.groupBy("span").agg(F.count("*").alias("n"), F.min(F.struct("at", "tie")).alias("lo"), F.max(F.struct("at", "tie")).alias("hi")).orderBy("span").collect()
+            assert all(tuple(a.hi) < tuple(b.lo) for a, b in zip(spans, spans[1:], strict=False))
+            assert max(r.n for r in spans) <= (40 if knots > 16 else 300)
+
+
+def test_long_host_and_url(spark):
+    long = "http://" + ".".join(["a"] * 10_000) + ".example.com/en/7" + "x" * 100_000
+    got = urls.judged(spark.createDataFrame([(1, long)], "page_id long, url string"), spark.createDataFrame(queries.URL_RULES, "host string, path string, verdict string")).first()
+    assert (got.rule, got.verdict) == ("example.com/en/7", "allow")
