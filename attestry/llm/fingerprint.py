@@ -126,7 +126,8 @@ def _in_order(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, D
     chars = rows.agg(F.sum(F.char_length("text"))).first()[0] or 0
     parts = min(MOST_PARTS, 1 + chars // PART_CHARS)
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    rows = rows.withColumn("span", _range_of(rows, 4 * parts))
+    # never NULL, so no filter tells the branches apart and texts are dealt once for both
+    rows = rows.withColumn("span", F.coalesce(_range_of(rows, 4 * parts), F.lit(0).cast("long")))
     # ranges that have rows, and the range whose first row follows the last of each
     heads = rows.groupBy("span").agg(F.max(F.struct("at", F.col("tie"))).alias("head"))
     every = Window.orderBy(F.desc("span"))
