@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm import bpe, classifier, fingerprint, minhash, packing, pii, quality, secrets, substring, token_files, urls
+from attestry.llm import bpe, classifier, fingerprint, minhash, packing, pii, quality, repair, secrets, substring, token_files, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -149,6 +149,89 @@ def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.documents(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults that follow from their ids and turns; ``present`` is false for a row that is gone."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat_ws(":", text("conv_id"), text("turn"))) % 20
+    rows = turns.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), kind.alias("kind"))
+    return rows.select(
+        "conv_id", "turn",
+        F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        (F.col("kind") != 0).alias("present"),
+        F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repair.repaired(damaged(_table(spark, sf_dir, "conversations")), present_col="present")
+    lines = F.transform("repaired", lambda r: F.concat(r["role"], F.lit(":"), r["text"]))
+    return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", F.sha2(F.array_join(lines, "\n"), 256).alias("repaired_sha256"))
+
+
+_CRC = "xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({}, ''), lambda c: ord(c)::bigint)), lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))), 4294967295)"
+OP13_SQL = (
+    r"""
+with recursive kinds as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, """
+    + _CRC.format("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")
+    + r""" % 20 as kind from conversations),
+rows as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+  from (select *, unnest(range(case when kind = 3 then 2 else 1 end)) from kinds where kind <> 0)),
+ends as (
+  select *, right(rtrim(text, e' 	
+
+'), 1) as last, row_number() over w as i, lag(left(role, 1)) over w || left(role, 1) as pair
+  from rows window w as (partition by conv_id order by turn nulls first, role, text)),
+x as (
+  select conv_id, i, turn, role, text, last = '' as blank, last <> '' and again as twice, last not in ('', '.', '!', '?') and not again as cut,
+    coalesce(pair not in ('su', 'ua', 'au'), false) as illegal, case left(role, 1) when 's' then 1 when 'u' then 2 when 'a' then 3 else 0 end as kind
+  from (select *, row_number() over (partition by conv_id, role, text order by i) > 1 as again from ends)),
+n as (select conv_id, max(i) as n from x group by conv_id),
+v as (
+  select conv_id, n + 1 as i, 0 as v0, 6 as v1, 3 as v2, 0 as v3 from n
+  union all
+  select conv_id, i, least(b0, 3 + least(b2, 3 + b3)) as v0, least(b1, 3 + least(b2, 3 + b3)) as v1, least(b2, 3 + b3) as v2, least(b3, 3 + least(b2, 3 + b3)) as v3
+  from (
+    select v.conv_id, x.i,
+      least(4 + v0, case when blank or twice then 1000000000 else e + least(3 + v2, case kind when 1 then v1 when 2 then v2 else 1000000000 end) end) as b0,
+      least(4 + v1, case when blank or twice then 1000000000 else e + least(3 + v2, case kind when 2 then v2 else 1000000000 end) end) as b1,
+      least(4 + v2, case when blank or twice then 1000000000 else e + least(3 + v3, case kind when 3 then v3 else 1000000000 end) end) as b2,
+      least(4 + v3, case when blank or twice then 1000000000 else e + least(3 + v2, case kind when 2 then v2 else 1000000000 end) end) as b3
+    from v join (select *, case when cut then 3 else 0 end as e from x) x on x.conv_id is not distinct from v.conv_id and x.i = v.i - 1)),
+here as (
+  select v.conv_id, v.i, [v0, v1, v2, v3] as togo, lead([v0, v1, v2, v3]) over (partition by v.conv_id order by v.i) as later,
+    kind, blank or twice as bad, case when cut then 3 else 0 end as e, role, text
+  from v left join x on x.conv_id is not distinct from v.conv_id and x.i = v.i),
+walk as (
+  select conv_id, 1 as i, 0 as s, '' as audit, []::varchar[] as done from n
+  union all
+  select conv_id, case when step = 'I' then i else i + 1 end,
+    case step when 'D' then s when 'K' then kind else f end, audit || step,
+    case step when 'D' then done when 'I' then list_append(done, fr || ':') when 'K' then list_append(done, role || ':' || text) else list_append(done, fr || ':' || text) end
+  from (
+    select w.*, h.kind, h.role, h.text, case when s = 2 then 3 else 2 end as f, case when s = 2 then 'assistant' else 'user' end as fr,
+      case when later is not null and togo[s + 1] = 4 + later[s + 1] then 'D'
+           when togo[s + 1] = 3 + togo[case when s = 2 then 4 else 3 end] then 'I'
+           when later is null then null
+           when not bad and ((kind = 1 and s = 0) or (kind = 2 and s <> 2) or (kind = 3 and s = 2)) and togo[s + 1] = e + later[kind + 1] then 'K' else 'R' end as step
+    from walk w join here h on h.conv_id is not distinct from w.conv_id and h.i = w.i)
+  where step is not null),
+final as (select conv_id, arg_max(audit, length(audit)) as audit, arg_max(done, length(audit)) as done from walk group by conv_id),
+faults as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank, count(*) filter (twice) as duplicate,
+    count(*) filter (cut) as truncated, count(*) filter (illegal) as illegal
+  from x group by conv_id)
+select a.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, coalesce(v0, 0)::bigint as cost, coalesce(audit, '') as audit, sha256(coalesce(array_to_string(done, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) a left join faults f on f.conv_id is not distinct from a.conv_id
+  left join final l on l.conv_id is not distinct from a.conv_id left join v on v.conv_id is not distinct from a.conv_id and v.i = 1
+"""
+)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -156,8 +239,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_urls, op3_bpe, op4_minhash, op5_substring, op6_quality, op7_fingerprint, op8_classifier, op9_pii, op10_secrets, op11_tokens, pipeline)}
+    return {f.__name__: f for f in (op1_packing, op2_urls, op3_bpe, op4_minhash, op5_substring, op6_quality, op7_fingerprint, op8_classifier, op9_pii, op10_secrets, op11_tokens, op13_repair, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_urls": OP2_SQL, "op4_minhash": OP4_SQL, "op5_substring": OP5_SQL}
+    return {"op2_urls": OP2_SQL, "op4_minhash": OP4_SQL, "op5_substring": OP5_SQL, "op13_repair": OP13_SQL}
