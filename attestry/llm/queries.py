@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm import bpe, classifier, fingerprint, minhash, packing, pii, quality, repair, secrets, substring, token_files, urls
+from attestry.llm import bpe, classifier, fingerprint, minhash, packing, pii, quality, repair, secrets, substring, token_files, trie, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -149,6 +149,19 @@ def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.documents(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def rebuilt(convs: DataFrame) -> DataFrame:
+    """Conversations (as of ``trie.sequences``) that share first turns with the first of their five ids."""
+    heads = convs.select(F.col("conv_id").alias("head"), F.slice("keys", 1, 8).alias("first_keys"), F.slice("sizes", 1, 8).alias("first_sizes"))
+    h = (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int")
+    some = lambda first, own: F.concat(F.coalesce(F.slice(first, F.lit(1), h), F.slice(own, F.lit(1), F.lit(0))), F.slice(own, h + 1, F.size(own)))
+    joined = convs.join(heads, F.col("conv_id") - F.col("conv_id") % 5 == F.col("head"), "left")
+    return joined.select("conv_id", some("first_keys", "keys").alias("keys"), some("first_sizes", "sizes").alias("sizes"))
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(rebuilt(trie.sequences(_table(spark, sf_dir, "conversations"))))
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """Conversations with faults that follow from their ids and turns; ``present`` is false for a row that is gone."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
@@ -170,6 +183,37 @@ def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CRC = "xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({}, ''), lambda c: ord(c)::bigint)), lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))), 4294967295)"
+OP12_SQL = (
+    r"""
+with h as (select distinct conv_id as c, """
+    + _CRC.format("conv_id::varchar")
+    + r""" % 9 as h from conversations where conv_id is not null),
+t as (
+  select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, md5(concat(strlen(coalesce(role, '')), ':', role, text))) as pos,
+    md5(concat(strlen(coalesce(role, '')), ':', role, text)) as k, strlen(coalesce(text, '')) as bytes
+  from conversations where conv_id is not null),
+n as (select c, count(*) as n from t group by c),
+built as (
+  select h.c, t.pos, t.k, t.bytes from h join t on t.c = h.c - h.c % 5 and t.pos <= h.h
+  union all
+  select h.c, least(h.h, coalesce(n.n, 0)) + t.pos - h.h, t.k, t.bytes from h join t on t.c = h.c and t.pos > h.h left join n on n.c = h.c - h.c % 5),
+member as (
+  select c, pos as d, bytes, string_agg(k, '') over (partition by c order by pos) as p from built
+  union all select c, 0, 0, '' from h),
+node as (select d, p, min(c) as conv_id, count(*) as n_convs, max(bytes) as bytes from member group by d, p),
+steps as (select m.c, m.d, n.conv_id from member m join node n using (d, p)),
+lasts as (select conv_id, d, string_agg(c::varchar, ',' order by c) as ids from (select c, max(d) as d from member group by c) join steps using (c, d) group by conv_id, d),
+up as (select n.conv_id, n.d, s.conv_id as parent_conv_id from node n left join steps s on s.c = n.conv_id and s.d = n.d - 1),
+kids as (select parent_conv_id as conv_id, d - 1 as d, count(*) as n_children from up where d > 0 group by all),
+under as (
+  select s.conv_id, s.d, count(*) filter (k.n_children is null) as n_leaves, sum((n.n_convs - 1) * n.bytes) as saved_tokens
+  from node n join steps s on s.c = n.conv_id and s.d <= n.d left join kids k on k.conv_id = n.conv_id and k.d = n.d group by s.conv_id, s.d)
+select n.conv_id, n.d::bigint as depth, u.parent_conv_id, n.n_convs, coalesce(k.n_children, 0) as n_children, x.n_leaves, x.saved_tokens::bigint as saved_tokens,
+  sha256(coalesce(l.ids, '')) as ends_sha256
+from node n join up u on u.conv_id = n.conv_id and u.d = n.d join under x on x.conv_id = n.conv_id and x.d = n.d
+  left join kids k on k.conv_id = n.conv_id and k.d = n.d left join lasts l on l.conv_id = n.conv_id and l.d = n.d
+"""
+)
 OP13_SQL = (
     r"""
 with recursive kinds as (
@@ -239,8 +283,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_urls, op3_bpe, op4_minhash, op5_substring, op6_quality, op7_fingerprint, op8_classifier, op9_pii, op10_secrets, op11_tokens, op13_repair, pipeline)}
+    return {f.__name__: f for f in (op1_packing, op2_urls, op3_bpe, op4_minhash, op5_substring, op6_quality, op7_fingerprint, op8_classifier, op9_pii, op10_secrets, op11_tokens, op12_trie, op13_repair, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_urls": OP2_SQL, "op4_minhash": OP4_SQL, "op5_substring": OP5_SQL, "op13_repair": OP13_SQL}
+    return {"op2_urls": OP2_SQL, "op4_minhash": OP4_SQL, "op5_substring": OP5_SQL, "op12_trie": OP12_SQL, "op13_repair": OP13_SQL}
