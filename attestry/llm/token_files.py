@@ -43,8 +43,8 @@ BATCH = 64
 #: Ids after which a task starts another part.
 PART_IDS = 1 << 28
 #: Bytes of texts that are encoded together, and pieces that a task remembers.
-GROUP = 1 << 23
-MEMO = 3 << 19
+GROUP = 1 << 22
+MEMO = 1 << 20
 _WHITE = re.compile(r"[\s\u180e]").search
 #: Bytes after which a text may be cut, if they come before a space, and that may follow it.
 _GRAPHIC = np.zeros(256, dtype=bool)
