@@ -110,14 +110,14 @@ def edits(code: np.ndarray, bad: np.ndarray, truncated: np.ndarray, lengths: np.
     return costs[first, START, each].astype(np.int64), letters, states
 
 
-def _conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Sorted rows as tables of whole conversations, of CHUNK rows or one conversation."""
+def _conversations(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Table]:
+    """Sorted rows as tables of whole conversations, of about ``chunk`` rows or one conversation."""
     held, rows, last = [], 0, None
     for batch in batches:
         if not batch.num_rows:
             continue
         ends = batch.column(0).slice(batch.num_rows - 1, 1)
-        if rows >= CHUNK and not (batch.column(0).slice(0, 1).equals(last) and ends.equals(last)):
+        if rows >= chunk and not (batch.column(0).slice(0, 1).equals(last) and ends.equals(last)):
             keys = batch.column(0).dictionary_encode(null_encoding="encode").indices.to_numpy()
             same = int(np.argmax(keys != keys[0])) if (keys != keys[0]).any() else len(keys)
             if not batch.column(0).slice(0, 1).equals(last):
@@ -189,7 +189,7 @@ def _repair(table: pa.Table) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(columns, names=["key", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired"])
 
 
-def repaired(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", present_col: str | None = None) -> DataFrame:
+def repaired(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", present_col: str | None = None, chunk: int = CHUNK) -> DataFrame:
     """One row a conversation: its faults, the cost and letters of its cheapest edits, and its turns after them.
 
     Columns: ``conv_col``, gaps (turn numbers that are missing between the least and the
@@ -218,7 +218,7 @@ def repaired(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     dealt = rows.repartition("key").sortWithinPartitions("key", "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _conversations(batches):
+        for table in _conversations(batches, chunk):
             yield from _repair(table)
 
     return dealt.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, {RESULT}").withColumnRenamed("key", conv_col)

@@ -274,22 +274,22 @@ class Sequences:
         return found[0] if len(found) == 1 else np.concatenate([np.empty(0, "<u2"), *found])
 
 
-def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Rows of a batch in groups of about GROUP bytes of text."""
+def _groups(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in groups of about ``most`` bytes of text."""
     size = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + GROUP, side="right")))
+        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, side="right")))
         yield batch.slice(at, to - at)
         at = to
 
 
-def written(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> str:
+def written(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, length: int = LENGTH, part_ids: int = PART_IDS, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Writes the ids of all texts in ascending order of ``id_col`` and gives the dataset's folder.
 
     ``folder`` must be one that driver and executors share, of a kind that pyarrow opens (file,
     hdfs, s3, gs); where it is not given, a new one in the shared folder is taken. ``end_id``
-    follows every document. Documents are dealt by range, so each text is shuffled once, and a
+    follows every document; a task begins another part after ``part_ids`` ids. Documents are dealt by range, so each text is shuffled once, and a
     part's file is written by the task that encodes it; memory is a group of texts and a batch.
 
     Defined cases: a null text counts as empty, an empty one gives its end id alone. Rows without
@@ -312,12 +312,12 @@ def written(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = N
             rows.append((part, len(rows), out.path, out.docs_path, out.n_docs, out.n_tokens, out.n_sequences))
 
         for batch in batches:
-            for group in _groups(batch):
+            for group in _groups(batch, min(GROUP, part_ids)):
                 if out is None:
                     name = f"part-{part:06d}-{len(rows):04d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
                     out = Writer(f"{folder}/parts", name, coder.dtype, length, group.column(0).type)
                 out.add(group.column(0), *coder.encode(group.column(1), end_id))
-                if out.n_tokens >= PART_IDS:
+                if out.n_tokens >= part_ids:
                     done()
                     out = None
         if out is not None:
