@@ -97,7 +97,7 @@ def test_pipeline_stages(spark, tmp_path):
 
 def test_registered_queries(spark):
     found = queries.queries()
-    assert {re.match(r"op(\d+)_", n)[1] for n in found if n.startswith("op")} == {str(k) for k in range(1, 11)} and "pipeline" in found
+    assert {re.match(r"op(\d+)_", n)[1] for n in found if n.startswith("op")} == {str(k) for k in range(1, 14)} and "pipeline" in found
     for name in ("op1_packing", "op2_urls", "op9_pii", "op10_secrets"):
         df = found[name](spark, SF)
         assert df.count() > 0
