@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from attestry.llm.spark import few_ids, hinted, split_join, stored
 
 #: Turns left in a class that one task refines.
-LOCAL = 4096
+LOCAL = 512
 #: Copies of a conversation whose ids are put in order together; more are dealt by range.
 COPIES = 1000
 NOTHING = hashlib.sha256(b"").hexdigest()
