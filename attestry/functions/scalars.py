@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -128,16 +128,13 @@ def canonical_json(*columns: str) -> Column:
 
 
 def template(text: str, fields: dict[str, Column]) -> Column:
-    """``text`` with {field} filled in; NULL when a field is NULL or empty."""
+    """``text`` with {field} filled in; NULL when a field is NULL or empty. Braces round anything but a field's name stay."""
     parts, at = [], 0
-    while (start := text.find("{", at)) >= 0:
-        end = text.index("}", start)
-        parts.append(F.lit(text[at:start]))
-        field = fields[text[start + 1 : end]].cast("string")
-        parts.append(F.when(field != "", field))
-        at = end + 1
-    parts.append(F.lit(text[at:]))
-    return F.concat(*parts)
+    for found in re.finditer(r"\{([a-z_][a-z0-9_]*)\}", text):
+        field = fields[found[1]].cast("string")
+        parts += [F.lit(text[at : found.start()]), F.when(field != "", field)]
+        at = found.end()
+    return F.concat(*parts, F.lit(text[at:]))
 
 
 def is_valid_lei(lei: Column) -> Column:
@@ -167,30 +164,73 @@ def country_services(services: Column, country: str) -> Column:
     return F.when(F.size(every) > 0, every)
 
 
+def country_services_json(services: Column, country: str) -> Column:
+    """The same of a JSON text, in which a country has a list of codes or a single one as text."""
+    at = lambda kind: F.from_json(services, f"array<map<string,{kind}>>")
+    lists = F.transform(at("string"), lambda m: F.try_element_at(m, F.lit(country)))
+    codes = F.flatten(F.transform(F.array_compact(lists), lambda v: F.when(v.startswith("["), F.from_json(v, "array<string>")).otherwise(F.array(v))))
+    every = F.array_distinct(F.array_compact(codes))
+    return F.when(F.size(every) > 0, every)
+
+
+def first_match(text: Column, table: tuple[tuple[str, str | None], ...]) -> Column:
+    """The outcome of the first pattern of ``table`` that is found in the text; NULL if none is."""
+    return F.coalesce(*(F.when(text.rlike(pattern), F.struct(F.lit(outcome).cast("string").alias("v"))) for pattern, outcome in table), F.struct(F.lit(None).cast("string").alias("v")))["v"]
+
+
+# what registers' texts say, first match first (fixed values); (?i) where capitals do not count
+ROUTES = ((r"^\s*$", None), ("(?i)LIMITED", "LIMITED_LP"), ("(?i)SUCURSAL", "BRANCH"), ("(?iu)R[EÉ]GIMEN DE LP", "LP"), ("(?iu)^(PSC|ENTIDAD DE CRÉDITO) \\(ESPAÑA\\)$", "DOMESTIC"), ("", "OTHER"))
+ROUTE_LABELS = {"LP": "LP", "BRANCH": "sucursal", "LIMITED_LP": "LP limitada", "DOMESTIC": "domestica"}
+CLOSURES = (("(?i)transformaci|escisi|fusi", "TRANSFORMATION"), ("(?i)renuncia|revocac|ce ", "WITHDRAWAL"), ("", "UNRESOLVED_MOTIVO"))
+FAMILIES = (("(?i)sucursal", "BRANCH"), ("(?i)dinero electr", "PSD_EMI"), ("(?i)informaci|cuentas", "PSD_AISP"), ("(?i)pago", "PSD_PI"))
+CHILD_STATES = (("^Active$", "ACTIVE"), ("^(Removed|Withdrawn)$", "WITHDRAWN"), (".", "UNKNOWN"))
+CLASS_LABELS = {"PSD_PI": "PI", "PSD_EMI": "EMI"}
+
+
+def labelled(value: Column, labels: dict[str, str]) -> Column:
+    return F.try_element_at(F.create_map(*(F.lit(x) for kv in labels.items() for x in kv)), value)
+
+
 def authority_code(entity_code: Column) -> Column:
     """The authority in a composite code: its first part, or the second after a type (``PSD_``)."""
     parts = F.split(entity_code, "!")
-    return F.when(entity_code.contains("!"), F.when(F.get(parts, 0).startswith("PSD_"), F.get(parts, 1)).otherwise(F.get(parts, 0)))
+    return F.when(F.size(parts) > 1, F.get(parts, F.when(entity_code.startswith("PSD_"), 1).otherwise(0)))
+
+
+def code_core(entity_type: Column, entity_code: Column) -> Column:
+    """A composite code without its own type in front; NULL for an empty one."""
+    front = F.concat(entity_type, F.lit("!"))
+    has = F.coalesce(F.startswith(entity_code, front), F.lit(False))
+    return F.when(entity_code != "", F.when(has, F.substr(entity_code, F.length(front) + 1)).otherwise(entity_code))
+
+
+def home_country(core: Column) -> Column:
+    """The country of the first part of a code that reads ``CC_...``."""
+    return F.substring(F.get(F.filter(F.split(core, "!"), lambda p: p.rlike("^\\p{L}{2}_")), F.lit(0)), 1, 2)
 
 
 def territorial_route(category: Column) -> Column:
     """Route that a register's category names; the limited one is looked for before the full one."""
-    text = F.upper(category)
-    return (
-        F.when(F.coalesce(F.trim(category), F.lit("")) == "", None)
-        .when(text.contains("LIMITED"), "LIMITED_LP")
-        .when(text.contains("SUCURSAL"), "BRANCH")
-        .when(F.replace(text, F.lit("É"), F.lit("E")).contains("REGIMEN DE LP"), "LP")
-        .when(text.isin("PSC (ESPAÑA)", "ENTIDAD DE CRÉDITO (ESPAÑA)"), "DOMESTIC")
-        .otherwise("OTHER")
-    )
+    return first_match(category, ROUTES)
 
 
 def closure_kind(closed_on: Column, reason: Column) -> Column:
     """What a stated closure is: a change of form, a withdrawal, or unresolved; NULL without a date."""
-    text = F.lower(F.coalesce(reason, F.lit("")))
-    has = lambda *parts: reduce(lambda a, b: a | b, (text.contains(p) for p in parts))
-    return F.when(F.coalesce(closed_on, F.lit("")) != "", F.when(has("transformaci", "escisi", "fusi"), "TRANSFORMATION").when(has("renuncia", "revocac", "ce "), "WITHDRAWAL").otherwise("UNRESOLVED_MOTIVO"))
+    return F.when(closed_on != "", first_match(F.coalesce(reason, F.lit("")), CLOSURES))
+
+
+def psd_family(entity_kind: Column) -> Column:
+    """The family of a register's kind of entity."""
+    return first_match(entity_kind, FAMILIES)
+
+
+def child_state(text: Column) -> Column:
+    """State of a branch or agent as its register tells it; NULL if it tells nothing."""
+    return first_match(text, CHILD_STATES)
+
+
+def ended(end_date: Column) -> Column:
+    return F.when(F.trim(end_date) != "", "ENDED").otherwise("ACTIVE")
 
 
 def dates_agree(a: Column, b: Column) -> Column:
