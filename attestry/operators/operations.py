@@ -46,11 +46,15 @@ def checked(requests: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def explained(verdicts: DataFrame, evaluations: DataFrame) -> DataFrame:
-    """One row a used assertion of each verdict, with what it says at the question's date."""
+    """One row a used assertion of each verdict, with what it says at the question's date.
+
+    A question is known by all six of its keys, and two that ask nothing of a key ask the same.
+    """
     keys = ["entity_id", "activity", "jurisdiction", "asked_basis", "valid_at", "known_at"]
     used = verdicts.where("used_ids <> ''").select(*keys, "verdict", "reason", F.explode(F.split("used_ids", ",")).alias("assertion_id"))
-    said = evaluations.select(*(F.col(c) for c in ("valid_at", "known_at")), F.col("assertion_id").cast("string").alias("assertion_id"), "register_id", "effect_at", F.col("reason").alias("effect_reason"))
-    return used.join(said, ["assertion_id", "valid_at", "known_at"])
+    said = evaluations.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("assertion_id").cast("string").alias("_id"), "register_id", "effect_at", F.col("reason").alias("effect_reason"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("assertion_id") == F.col("_id")]
+    return used.join(said, same).select("assertion_id", *keys, "verdict", "reason", "register_id", "effect_at", "effect_reason")
 
 
 def evidence_of(assertions: DataFrame, sources: DataFrame) -> DataFrame:
@@ -60,9 +64,12 @@ def evidence_of(assertions: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def met(verdicts: DataFrame, expected: DataFrame, keys: list[str]) -> DataFrame:
-    """Each expected case with whether its verdict is the one found; a case without a verdict is not."""
-    found = verdicts.select(*keys, F.col("verdict").alias("found"))
-    pair = expected.join(found, keys, "left")
+    """Each expected case with whether its verdict is the one found; a case without a verdict is not.
+
+    Keys without a value are equal.
+    """
+    found = verdicts.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("verdict").alias("found"))
+    pair = expected.join(found, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left").drop(*(f"_{k}" for k in keys))
     return pair.withColumn("match", F.coalesce(F.col("expected") == F.col("found"), F.lit(False)))
 
 

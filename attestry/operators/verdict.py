@@ -153,7 +153,9 @@ def gated(pairs: DataFrame, contracts: DataFrame, rules: DataFrame, aliases: dic
     """Usable pairs with the first gate they fail in ``diagnostic``; NULL means admissible.
 
     An assertion that requires all of its registers passes only if each of them, under the
-    contract that governs it (``aliases`` names those of views), covers it and is fresh.
+    contract that governs it (``aliases`` names those of views), covers it and is fresh. An agent is
+    an entity with that class among its own (``entity_classes`` of the question), whatever class
+    the assertion is of.
     """
     held = with_rules(contracts, rules)
     own = _small(held.select("register_id", F.struct(*held.columns).alias("contract")))
@@ -171,7 +173,7 @@ def gated(pairs: DataFrame, contracts: DataFrame, rules: DataFrame, aliases: dic
         F.when(contract.isNull(), "no_contract")
         .when(status == "OUT_OF_SCOPE", "out_of_source_scope")
         .when((status == "UNKNOWN") & (F.coalesce("n_sources", F.lit(0)) == 0), "unknown_scope_no_evidence")
-        .when((F.col("entity_class") == AGENT) & F.col("principal_id").isNull(), "agent_missing_principal")
+        .when(_yes(F.array_contains("entity_classes", AGENT)) & F.col("principal_id").isNull(), "agent_missing_principal")
         .when(~covers(at, F.col("effective_from"), F.col("effective_to"), F.col("exclusive_end")), "not_in_effect")
         .when(is_stale(at, F.col("fresh_at"), policy(contract)), "stale_evidence")
     )
@@ -365,13 +367,14 @@ def _identity_cases() -> list[tuple]:
 
 
 def _climbed(found: DataFrame, ladder: list[tuple]) -> DataFrame:
-    """The first case of the ladder that holds: verdict, reason and the evidence it used."""
+    """The first case of the ladder that holds: verdict, reason, the evidence it used and, where a case has a fifth member, what it adds to the diagnostics."""
 
     def pick(values: list[Column], last: Column) -> Column:
         return reduce(lambda acc, tv: F.when(tv[0], tv[1]).otherwise(acc), list(zip([c[0] for c in ladder], values, strict=True))[::-1], last)
 
     text, day = F.lit(None).cast("string"), F.lit(None).cast("date")
     joined = lambda ids: F.array_join(F.array_sort(ids), ",")
+    added = pick([c[4] if len(c) > 4 else text for c in ladder], text)
     identity = F.when(F.col("identity_state") != "EXACT", F.concat(F.lit("identity:"), "identity_reason"))
     return found.select(
         *QUESTION, "identity_state",
@@ -379,7 +382,7 @@ def _climbed(found: DataFrame, ladder: list[tuple]) -> DataFrame:
         pick([c[2] for c in ladder], text).alias("reason"),
         pick([joined(F.col(f"{c[3]}_ids")) if c[3] else F.lit("") for c in ladder], F.lit("")).alias("used_ids"),
         pick([F.col(f"{c[3]}_fresh") if c[3] else day for c in ladder], day).alias("response_freshness"),
-        F.coalesce(identity, joined(F.col("diagnostics"))).alias("diagnostics"),
+        F.coalesce(identity, joined(F.array_compact(F.array_append("diagnostics", added)))).alias("diagnostics"),
     )
 
 
@@ -406,6 +409,7 @@ def assess(questions: DataFrame, assertions: DataFrame, sources: DataFrame, fact
     judged = gated(matched(questions, assertions, sources), contracts, rules, aliases).withColumn("blocked", F.lit(False))
     usable = facts_asked(questions, facts, contracts).where("bucket = 'usable'")
     rows = _dealt(questions, judged, usable)
+    facts_said = F.concat(F.lit("reported_facts:"), F.array_join(F.array_sort(F.collect_list(F.col("fact_id").cast("string"))), ","))
     pair, sound = F.col("assertion_id").isNotNull(), F.col("assertion_id").isNotNull() & F.col("diagnostic").isNull()
     effect, fresh = F.col("legal_effect"), F.col("fresh_at")
     kinds = {"pos": effect == ENTITLED, "neg": effect == NOT_ENTITLED, "unk": effect == "UNKNOWN"}
@@ -422,7 +426,7 @@ def assess(questions: DataFrame, assertions: DataFrame, sources: DataFrame, fact
         _yes(F.bool_and(F.when(sound & kinds["unk"], F.col("territorial_basis") == SERVICES))).alias("only_services"),
         F.collect_list(_diagnosis()).alias("diagnostics"), F.bool_or(F.col("fact_id").isNotNull()).alias("has_fact"),
         says("agent-parent-status").alias("f_agent"), says("limited-lp").alias("f_limited"), says("parent-status").alias("f_parent"), says("insufficient-basis").alias("f_basis"),
-        status("WITHDRAWN").alias("f_withdrawn"), status("TERRITORIAL_ENTITLEMENT_DEFERRED").alias("f_deferred"),
+        status("WITHDRAWN").alias("f_withdrawn"), status("TERRITORIAL_ENTITLEMENT_DEFERRED").alias("f_deferred"), facts_said.alias("facts_said"),
     )
     two = version == "V2"
     yes, no, open_, nothing = ("CONFIRMED_ENTITLED" if two else "CONFIRMED_AUTHORISED", "CONFIRMED_NOT_ENTITLED" if two else "CONFIRMED_NOT_AUTHORISED", "INDETERMINATE", "NO_ENTITLEMENT_EVIDENCED")
@@ -431,16 +435,16 @@ def assess(questions: DataFrame, assertions: DataFrame, sources: DataFrame, fact
     facts_block, contradicted = F.lit(two) & F.col("has_fact"), F.lit(two) & F.col("f_withdrawn")
     ladder = [
         *_identity_cases(),
-        (none & facts_block, open_, fact_reason(), None),
+        (none & facts_block, open_, fact_reason(), None, F.col("facts_said")),
         (none & ~F.col("matching"), nothing, F.lit("NO_ASSERTIONS_IN_SCOPE"), None),
         (none & F.col("d_agent_missing_principal"), open_, F.lit("AGENT_ASSERTION_MISSING_PRINCIPAL"), None),
         (none & F.col("d_out_of_source_scope"), nothing, F.lit("ASSERTION_OUT_OF_SOURCE_SCOPE"), None),
         (none & F.col("d_not_in_effect"), nothing, F.when(F.col("expired"), "ENTITLEMENT_EXPIRED").otherwise("NO_ASSERTIONS_IN_SCOPE"), None),
         (none & F.col("d_stale_evidence"), open_, F.lit("ALL_EVIDENCE_STALE"), None),
         (none, open_, F.lit("UNINTERPRETABLE_EVIDENCE"), None),
-        (has["pos"] & has["neg"], open_, F.lit("CONFLICTING_ASSERTIONS"), "all"),
+        (has["pos"] & has["neg"], open_, F.lit("CONFLICTING_ASSERTIONS"), "all", F.lit("conflicting_legal_effects")),
         (has["neg"], no, F.lit("EXPLICIT_NEGATIVE_EVIDENCE"), "neg"),
-        (has["pos"] & contradicted, open_, F.lit("CONFLICTING_ASSERTIONS"), "all"),
+        (has["pos"] & contradicted, open_, F.lit("CONFLICTING_ASSERTIONS"), "all", F.lit("conflicting_reported_fact:withdrawn")),
         (has["pos"], yes, F.lit("ACTIVE_ENTITLEMENT_EVIDENCED" if two else "SUPPORTED_BY_ACTIVE_ASSERTIONS"), "pos"),
         (F.lit(two) & F.col("only_services"), open_, F.lit("TERRITORIAL_ENTITLEMENT_UNRESOLVED"), "unk"),
         (F.lit(True), open_, F.lit("UNINTERPRETABLE_EVIDENCE"), "unk"),

@@ -43,10 +43,10 @@ def _activity(priority: Column) -> Column:
     return F.create_map(*(F.lit(x) for kv in ACTIVITY_OF.items() for x in kv))[F.trim(priority)]
 
 
-def _root(k: Column) -> Column:
+def _root(k: Column, e: Column) -> Column:
     kind = (F.floor(k / 5) % 4).cast("int")
     name = F.when(kind == 0, "PSD_PI").when(kind == 1, "PSD_AISP").when(kind == 2, "PSD_EMI").otherwise("OTHER")
-    return F.when(k % 19 != 0, F.concat(F.lit("ROOT|"), name, F.lit("|"), (k % 2).cast("string")))
+    return F.when(e % 10 == 7, "ROOT|OTHER|0").when(k % 19 != 0, F.concat(F.lit("ROOT|"), name, F.lit("|"), (k % 2).cast("string")))
 
 
 def _home(entity: Column) -> Column:
@@ -67,10 +67,10 @@ def assertions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 4 != 0, F.date_add(start, (30 + k % 400).cast("int"))).alias("effective_to"),
         (k % 2 == 0).alias("exclusive_end"),
         (k % 17 == 0).alias("blocked"),
-        _root(k).alias("root_key"),
+        _root(k, F.col("o_custkey")).alias("root_key"),
         _home(e).alias("root_home"),
         F.concat(F.lit("REG"), (k % 6).cast("string")).alias("register_id"),
-        F.when(e % 11 == 0, "PSP_AGENT").when(e % 11 == 1, "BANK").otherwise("PAYMENT_INSTITUTION").alias("entity_class"),
+        F.when((e % 11 == 0) & (k % 3 > 0), "PSP_AGENT").when(e % 11 == 1, "BANK").otherwise("PAYMENT_INSTITUTION").alias("entity_class"),
         F.when(k % 4 == 1, k + 1).alias("principal_id"),
         F.when(k % 3 == 1, "ALL_REQUIRED").alias("composition"),
     )
@@ -97,7 +97,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         rule.alias("rule_id"),
         F.when(k % 7 < 3, "WITHDRAWN").when(k % 7 == 3, "TERRITORIAL_ENTITLEMENT_DEFERRED").otherwise("ACTIVE").alias("reported_status"),
         F.concat(F.lit("REG"), (k % 6).cast("string")).alias("register_id"),
-        _root(k).alias("root_key"),
+        _root(k, F.col("o_custkey")).alias("root_key"),
         _home(F.col("o_custkey")).alias("root_home"),
         F.when(k % 5 == 0, "EXPLICIT_WITHDRAWAL").when(k % 5 == 1, "ENTITY_BAJA").when(k % 5 == 2, "UNRESOLVED_MOTIVO").alias("negative_class"),
         F.when(k % 23 != 0, day).alias("effective_from"),
@@ -140,7 +140,7 @@ def coverage_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every entity and activity at each pair of dates; some ask for one basis only."""
+    """Every entity and activity at each pair of dates; some ask for one basis only, some for each of two."""
     dates = F.array(*(F.struct(F.lit(v).cast("date").alias("valid_at"), F.lit(k).cast("date").alias("known_at")) for v, k in DATES))
     e = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity_id"))
     k = F.col("entity_id")
@@ -150,11 +150,12 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "entity_id",
         "activity",
         F.concat(F.lit("J"), (F.col("entity_id") % 2).cast("string")).alias("jurisdiction"),
-        F.when(F.col("entity_id") % 6 == 0, "BRANCH").alias("asked_basis"),
+        F.explode(F.when(k % 12 == 0, F.array(F.lit("BRANCH"), F.lit("DOMESTIC"))).otherwise(F.array(F.when(k % 6 == 0, "BRANCH")))).alias("asked_basis"),
+        F.when(k % 11 == 0, F.array(F.lit("PAYMENT_INSTITUTION"), F.lit("PSP_AGENT"))).when(k % 11 == 1, F.array(F.lit("BANK"))).otherwise(F.array(F.lit("PAYMENT_INSTITUTION"))).alias("entity_classes"),
         state.alias("identity_state"),
         F.concat(F.lit("WHY_"), state).alias("identity_reason"),
-        F.explode("dates").alias("d"),
-    ).select("*", "d.*").drop("d")
+        "dates",
+    ).select("*", F.inline("dates")).drop("dates")
 
 
 _ACTIVITIES = ", ".join(f"('{a}')" for a in ACTIVITIES)
@@ -162,7 +163,7 @@ _DATES = ", ".join(f"(date '{v}', date '{k}')" for v, k in DATES)
 
 _CASE = "case trim(o_orderpriority) " + " ".join(f"when '{k}' then '{v}'" for k, v in ACTIVITY_OF.items()) + " end"
 _ROOT = (
-    "case when o_orderkey % 19 <> 0 then 'ROOT|' || case (o_orderkey // 5) % 4 when 0 then 'PSD_PI' when 1 then 'PSD_AISP' when 2 then 'PSD_EMI' else 'OTHER' end "
+    "case when o_custkey % 10 = 7 then 'ROOT|OTHER|0' when o_orderkey % 19 <> 0 then 'ROOT|' || case (o_orderkey // 5) % 4 when 0 then 'PSD_PI' when 1 then 'PSD_AISP' when 2 then 'PSD_EMI' else 'OTHER' end "
     "|| '|' || (o_orderkey % 2) end"
 )
 
@@ -177,7 +178,7 @@ assertions as (
     case when o_orderkey % 4 <> 0 then cast(o_orderdate as date) + cast(30 + o_orderkey % 400 as integer) end as effective_to,
     o_orderkey % 2 = 0 as exclusive_end, o_orderkey % 17 = 0 as blocked, {_ROOT} as root_key,
     case o_custkey % 3 when 0 then 'ES' when 1 then 'FR' end as root_home, 'REG' || (o_orderkey % 6) as register_id,
-    case o_custkey % 11 when 0 then 'PSP_AGENT' when 1 then 'BANK' else 'PAYMENT_INSTITUTION' end as entity_class,
+    case when o_custkey % 11 = 0 and o_orderkey % 3 > 0 then 'PSP_AGENT' when o_custkey % 11 = 1 then 'BANK' else 'PAYMENT_INSTITUTION' end as entity_class,
     case when o_orderkey % 4 = 1 then o_orderkey + 1 end as principal_id, case when o_orderkey % 3 = 1 then 'ALL_REQUIRED' end as composition
   from orders),
 sources as (
@@ -215,7 +216,8 @@ coverage_rules as (
   from nation),
 questions as (
   select c_custkey as entity_id, a.activity, 'J' || (c_custkey % 2) as jurisdiction,
-    case when c_custkey % 6 = 0 then 'BRANCH' end as asked_basis, d.valid_at, d.known_at,
+    unnest(case when c_custkey % 12 = 0 then ['BRANCH', 'DOMESTIC'] when c_custkey % 6 = 0 then ['BRANCH'] else [null] end) as asked_basis, d.valid_at, d.known_at,
+    case c_custkey % 11 when 0 then ['PAYMENT_INSTITUTION', 'PSP_AGENT'] when 1 then ['BANK'] else ['PAYMENT_INSTITUTION'] end as entity_classes,
     case when c_custkey % 29 = 0 then 'AMBIGUOUS' when c_custkey % 31 = 0 then 'NOT_FOUND' when c_custkey % 37 = 0 then 'CONFLICTING_IDENTIFIERS' else 'EXACT' end as identity_state
   from customer, (values {_ACTIVITIES}) a(activity), (values {_DATES}) d(valid_at, known_at))
 """

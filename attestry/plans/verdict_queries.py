@@ -61,7 +61,7 @@ failed as (select assertion_id, valid_at, known_at, min(cited) as cited, arg_min
 own as (
   select p.*, case when d.status is null then 'no_contract' when d.status = 'OUT_OF_SCOPE' then 'out_of_source_scope'
       when d.status = 'UNKNOWN' and coalesce(n_sources, 0) = 0 then 'unknown_scope_no_evidence'
-      when p.entity_class = 'PSP_AGENT' and principal_id is null then 'agent_missing_principal'
+      when list_contains(p.entity_classes, 'PSP_AGENT') and principal_id is null then 'agent_missing_principal'
       when not ({_IN_EFFECT.format(at="p.valid_at")}) then 'not_in_effect'
       when coalesce((p.valid_at - fresh_at) > case when legal_effect = 'NOT_ENTITLED' then negative_days else positive_days end, true) then 'stale_evidence' end as first_gate
   from pairs p left join decided d on p.register_id = d.register_id and p.entity_class = d.entity_class and p.activity = d.activity and p.jurisdiction = d.jurisdiction
@@ -177,11 +177,12 @@ e as (
     bool_and(territorial_basis = 'FREEDOM_TO_PROVIDE_SERVICES') filter (where diagnostic is null and legal_effect = 'UNKNOWN') as only_services,
     bool_or(diagnostic = 'agent_missing_principal') as d_agent, bool_or(diagnostic = 'out_of_source_scope') as d_out, bool_or(diagnostic = 'not_in_effect') as d_window,
     bool_or(diagnostic = 'stale_evidence') as d_stale, bool_or(legal_effect = 'ENTITLED_TO_PROVIDE' and effective_to < valid_at) as expired,
-    string_agg(said_unblocked, ',' order by said_unblocked) as diagnostics
+    list(said_unblocked) filter (where said_unblocked is not null) as diagnostics
   from gated where identity_state = 'EXACT' group by {_Q}),
 f as (
   select {_Q}, bool_or(rule_id like '%agent-parent-status%') as f1, bool_or(rule_id like '%limited-lp%') as f2, bool_or(rule_id like '%parent-status%') as f3,
-    bool_or(rule_id like '%insufficient-basis%') as f4, bool_or(reported_status = 'WITHDRAWN') as f5, bool_or(reported_status = 'TERRITORIAL_ENTITLEMENT_DEFERRED') as f6
+    bool_or(rule_id like '%insufficient-basis%') as f4, bool_or(reported_status = 'WITHDRAWN') as f5, bool_or(reported_status = 'TERRITORIAL_ENTITLEMENT_DEFERRED') as f6,
+    'reported_facts:' || string_agg(fact_id::varchar, ',' order by fact_id::varchar) as facts_said
   from asked_facts where bucket = 'usable' and identity_state = 'EXACT' group by {_Q}),
 g as (
   select q.*, e.* exclude ({_Q}), f.* exclude ({_Q}),
@@ -199,7 +200,8 @@ select {_Q}, identity_state,
     when 9 then 'EXPLICIT_NEGATIVE_EVIDENCE' when 10 then '{active}' when 11 then 'TERRITORIAL_ENTITLEMENT_UNRESOLVED' else 'UNINTERPRETABLE_EVIDENCE' end as reason,
   coalesce(case when step = 8 then all_ids when step = 9 then neg_ids when step = 10 then pos_ids when step in (11, 12) then unk_ids end, '') as used_ids,
   case when step = 8 then all_fresh when step = 9 then neg_fresh when step = 10 then pos_fresh when step in (11, 12) then unk_fresh end as response_freshness,
-  case when step = 0 then 'identity:WHY_' || identity_state else coalesce(diagnostics, '') end as diagnostics
+  case when step = 0 then 'identity:WHY_' || identity_state else coalesce(array_to_string(list_sort(list_concat(coalesce(diagnostics, []), case when step = 1 then [facts_said]
+    when step = 8 and n_neg > 0 then ['conflicting_legal_effects'] when step = 8 then ['conflicting_reported_fact:withdrawn'] else [] end)), ','), '') end as diagnostics
 from g
 """
 
@@ -289,11 +291,12 @@ def staleness_gate(s: SparkSession, d: str) -> DataFrame:
 
 
 def _decisions(s: SparkSession, d: str) -> DataFrame:
-    """Each assertion at its first day, with the coverage decision of its register's contract."""
+    """Each assertion at its first day, with the coverage decision of its register's contract, if it has one."""
     held = V.with_rules(L.contracts(s, d), L.coverage_rules(s, d))
-    a = L.assertions(s, d).withColumn("valid_at", F.col("effective_from")).join(F.broadcast(held.select("register_id", "capability", F.struct(*held.columns).alias("contract"))), "register_id")
+    a = L.assertions(s, d).withColumn("valid_at", F.col("effective_from")).join(F.broadcast(held.select("register_id", "capability", F.struct(*held.columns).alias("contract"))), "register_id", "left")
     place = [F.col(c) for c in ("entity_class", "activity", "jurisdiction", "territorial_basis", "valid_at")]
-    return a.withColumn("d", V.coverage(F.col("contract"), *place))
+    none = F.struct(F.lit("NO_CONTRACT").alias("status"), F.lit(None).cast("string").alias("rule_id"), F.lit("NO_CONTRACT").alias("reason"))
+    return a.withColumn("d", F.when(F.col("contract").isNull(), none).otherwise(V.coverage(F.col("contract"), *place)))
 
 
 def coverage_decision(s: SparkSession, d: str) -> DataFrame:
@@ -354,9 +357,8 @@ def evidence_lookup(s: SparkSession, d: str) -> DataFrame:
 
 def run_cases(s: SparkSession, d: str) -> DataFrame:
     """A run of cases whose expected verdict is the one without routes."""
-    two = verdict_with_facts(s, d).select(*V.QUESTION, F.col("verdict").alias("expected")).withColumn("asked_basis", F.coalesce("asked_basis", F.lit("")))
-    three = bitemporal_verdict(s, d).withColumn("asked_basis", F.coalesce("asked_basis", F.lit("")))
-    return O.run_summary(O.met(three, two, list(V.QUESTION)))
+    two = verdict_with_facts(s, d).select(*V.QUESTION, F.col("verdict").alias("expected"))
+    return O.run_summary(O.met(bitemporal_verdict(s, d), two, list(V.QUESTION)))
 
 
 def contract_faults(s: SparkSession, d: str) -> DataFrame:
@@ -376,7 +378,7 @@ scopes as (
   group by all),
 decided as (
   select s.*, c.capability, case when out_ord is not null then 1 when without_banks and entity_class = 'BANK' then 2 when without_e_money and activity = 'E_MONEY_ISSUANCE' then 3
-    when only_j0 and jurisdiction <> 'J0' then 4 when in_ord is not null then 5 else 6 end as step from scopes s join contracts c on s.register_id = c.register_id)
+    when only_j0 and jurisdiction <> 'J0' then 4 when c.register_id is null then 7 when in_ord is not null then 5 else 6 end as step from scopes s left join contracts c on s.register_id = c.register_id)
 """
 
 QUERIES = {
@@ -472,16 +474,16 @@ from k join assertions using (assertion_id) left join contracts using (register_
     ),
     "coverage_decision": (
         coverage_decision,
-        f"""{_DECISIONS} select assertion_id, case when step <= 4 then 'OUT_OF_SCOPE' when step = 5 then 'IN_SCOPE' else 'UNKNOWN' end as status,
+        f"""{_DECISIONS} select assertion_id, case when step <= 4 then 'OUT_OF_SCOPE' when step = 5 then 'IN_SCOPE' when step = 7 then 'NO_CONTRACT' else 'UNKNOWN' end as status,
   case step when 1 then 'RULE' || out_ord when 2 then 'contract-excluded-entity-classes' when 3 then 'contract-activities-coverage' when 4 then 'contract-jurisdiction-coverage' when 5 then 'RULE' || in_ord else '' end as scope_rule,
-  case step when 1 then 'EXPLICIT_EXCLUSION' when 2 then 'EXCLUDED_ENTITY_CLASS' when 3 then 'ACTIVITY_NOT_COVERED_BY_REGISTER' when 4 then 'JURISDICTION_NOT_COVERED_BY_REGISTER' when 5 then 'COVERED_BY_RULE' else 'NO_RULE_MATCHES' end as why
+  case step when 1 then 'EXPLICIT_EXCLUSION' when 2 then 'EXCLUDED_ENTITY_CLASS' when 3 then 'ACTIVITY_NOT_COVERED_BY_REGISTER' when 4 then 'JURISDICTION_NOT_COVERED_BY_REGISTER' when 5 then 'COVERED_BY_RULE' when 7 then 'NO_CONTRACT' else 'NO_RULE_MATCHES' end as why
 from decided""",
     ),
     "enumeration_negative_gate": (
         enumeration_negative_gate,
         f"""{_DECISIONS.rstrip()}, ids as (select distinct entity_id, identity_state from questions),
 snapshots as (select register_id, 'RULE' || min(ordinal) as snapshot_rule from coverage_rules where scope = 'IN' and register_id <> 'REG4' group by all), g as (
-select assertion_id, case when identity_state <> 'EXACT' then 'IDENTITY_NOT_EXACT' when step <= 4 then 'SCOPE_OUT_OF_SCOPE' when step = 6 then 'SCOPE_UNKNOWN'
+select assertion_id, case when identity_state <> 'EXACT' then 'IDENTITY_NOT_EXACT' when step <= 4 then 'SCOPE_OUT_OF_SCOPE' when step = 6 then 'SCOPE_UNKNOWN' when step = 7 then 'SCOPE_NO_CONTRACT'
   when capability <> 'COMPLETE_ENUMERATION' then 'SOURCE_CAPABILITY_DOES_NOT_ALLOW_ENUMERATION_NEGATIVE' when snapshot_rule is null then 'MISSING_ENUMERATION_SNAPSHOT'
   when snapshot_rule <> 'RULE' || in_ord then 'COVERAGE_RULE_MISMATCH' else 'ENUMERATION_NEGATIVE_ALLOWED' end as gate
 from decided d join ids i on d.entity_id = i.entity_id left join snapshots n on d.register_id = n.register_id)

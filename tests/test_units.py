@@ -170,7 +170,7 @@ def test_digest_does_not_depend_on_order_but_on_rows(spark):
     assert one(df.where("false"), 3).n_rows == 0
 
 
-QUESTION = "entity_id long, activity string, jurisdiction string, asked_basis string, valid_at date, known_at date, identity_state string, identity_reason string"
+QUESTION = "entity_id long, activity string, jurisdiction string, asked_basis string, valid_at date, known_at date, identity_state string, identity_reason string, entity_classes array<string>"
 ASSERTION = (
     "assertion_id long, entity_id long, activity string, jurisdiction string, legal_effect string, territorial_basis string, effective_from date, effective_to date, exclusive_end boolean, "
     "blocked boolean, root_key string, root_home string, register_id string, entity_class string, principal_id long, composition string"
@@ -198,7 +198,7 @@ def judged(spark):
         f.append((len(f), e, rule, status, register, key, home, negative, since, spans, fresh, fresh))
 
     def ask(e, basis=None, state="EXACT"):
-        q.append((e, pay, "ES", basis, day, day, state, "WHY"))
+        q.append((e, pay, "ES", basis, day, day, state, "WHY", ["BANK", "PSP_AGENT"] if e in (16, 17, 29) else ["BANK"]))
 
     assertion(1)  # an open route
     assertion(2), assertion(2, no)  # both on one route
@@ -223,7 +223,8 @@ def judged(spark):
     fact(24, spans=[(old, date(2023, 1, 1))]), fact(25, spans=[(date(2025, 1, 1), None)]), fact(26, "UNRESOLVED_MOTIVO")
     assertion(27, no, "BRANCH"), ask(27, "BRANCH")
     ask(28, None, "AMBIGUOUS"), assertion(28)
-    for e in range(1, 27):
+    assertion(29), assertion(29, no)  # an agent's assertions need a principal, whatever their class
+    for e in (*range(1, 27), 29):
         ask(e)
     sources = [(i, "A" if r[12] == "NONE" else r[12], date(2023, 12, 1), None) for i, r in enumerate(a)]
     sources += [(next(i for i, r in enumerate(a) if r[1] == 15), "VIEW", old, None)]
@@ -245,7 +246,7 @@ def test_verdicts_by_routes_and_roots(judged):
         1: yes, 2: ("INDETERMINATE", "ROUTE_CONFLICT"), 3: ("CONFIRMED_NOT", shut), 4: ("CONFIRMED_NOT", shut), 5: ("CONFIRMED_NOT", withdrawn), 6: ("INDETERMINATE", unresolved),
         7: ("INDETERMINATE", "NEGATIVE_EVIDENCE_BLOCKED"), 8: ("CONFIRMED_NOT", shut), 9: ("INDETERMINATE", unresolved), 10: ("INDETERMINATE", unresolved), 11: ("NO", "ENTITLEMENT_EXPIRED"),
         12: ("INDETERMINATE", unresolved), 13: none, 14: yes, 15: none, 16: none, 17: yes, 18: yes, 19: none, 20: none, 21: none, 22: none, 23: yes, 24: ("CONFIRMED_NOT", withdrawn), 25: none, 26: none,
-        27: ("CONFIRMED_NOT", shut), 28: ("INDETERMINATE", "AMBIGUOUS_IDENTITY"),
+        27: ("CONFIRMED_NOT", shut), 28: ("INDETERMINATE", "AMBIGUOUS_IDENTITY"), 29: none,
     }
     by = {r.entity_id: r for r in judged[0]}
     assert by[1].used_ids == "0" and by[1].response_freshness == date(2023, 12, 1) and by[28].used_ids == "" and by[28].diagnostics == "identity:WHY"
@@ -259,5 +260,9 @@ def test_verdicts_without_routes(judged):
     assert one[2] == two[2] == "CONFLICTING_ASSERTIONS" and one[3] == "EXPLICIT_NEGATIVE_EVIDENCE" and one[7] == "EXPLICIT_NEGATIVE_EVIDENCE"
     assert one[10] == "NO_ASSERTIONS_IN_SCOPE" and one[11] == "ENTITLEMENT_EXPIRED" and two[11] == "MALFORMED_STATUS_SEQUENCE"
     assert one[13] == one[15] == "UNINTERPRETABLE_EVIDENCE" and one[16] == "AGENT_ASSERTION_MISSING_PRINCIPAL"
+    assert one[29] == two[29] == "AGENT_ASSERTION_MISSING_PRINCIPAL"
+    one_said, two_said = ({r.entity_id: r.diagnostics for r in rows} for rows in judged[1:])
+    assert one_said[2] == "conflicting_legal_effects" and one_said[18] == "" and two_said[18] == "conflicting_reported_fact:withdrawn"
+    assert two_said[20] == "reported_facts:" + str(next(r.used_ids or 8 for r in judged[2] if r.entity_id == 20)) and one_said[20] == ""
     assert one[19] == "NO_ASSERTIONS_IN_SCOPE" and two[19] == "AGENT_DELEGATED_ROUTE_NO_INDEPENDENT_ENTITLEMENT" and two[20] == "WITHDRAWAL_SEMANTICS_DEFERRED"
     assert one[21] == "UNINTERPRETABLE_EVIDENCE" and two[21] == "TERRITORIAL_ENTITLEMENT_UNRESOLVED" and two[22] == "UNINTERPRETABLE_EVIDENCE"
