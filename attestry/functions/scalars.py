@@ -92,9 +92,26 @@ def split_items(text: Column, separator: str = r"\|") -> Column:
     return F.array_distinct(F.filter(F.transform(F.split(text, separator), lambda x: F.trim(x)), lambda x: x != ""))
 
 
+# named characters of registers' pages (fixed values); & comes last
+ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "aacute": "á", "eacute": "é", "iacute": "í", "oacute": "ó", "uacute": "ú", "ntilde": "ñ", "uuml": "ü", "ccedil": "ç", "Aacute": "Á", "Eacute": "É",
+    "Iacute": "Í", "Oacute": "Ó", "Uacute": "Ú", "Ntilde": "Ñ", "Uuml": "Ü", "Ccedil": "Ç", "ordf": "ª", "ordm": "º", "laquo": "«", "raquo": "»", "iquest": "¿", "iexcl": "¡", "euro": "€", "amp": "&",
+}
+
+
 def unescaped(html: Column) -> Column:
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        html = F.replace(html, F.lit(entity), F.lit(char))
+    """Text with its character references decoded: decimal and hexadecimal ones of the basic plane, and those of ``ENTITIES``."""
+    number = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 4, "0")), "UTF-16BE")
+
+    def part(p: Column, i: Column) -> Column:
+        decimal, hexa = F.regexp_extract(p, "^([0-9]{1,5});", 1), F.regexp_extract(p, "^[xX]([0-9a-fA-F]{1,4});", 1)
+        code = F.coalesce(F.when(decimal != "", decimal.cast("long")), F.when(hexa != "", F.conv(hexa, 16, 10).cast("long")))
+        rest = F.regexp_replace(p, "^[^;]*;", "")
+        return F.when(i == 0, p).when((code > 0) & (code < 65536), F.concat(number(code), rest)).otherwise(F.concat(F.lit("&#"), p))
+
+    html = F.array_join(F.transform(F.split(html, "&#"), part), "")
+    for name, char in ENTITIES.items():
+        html = F.replace(html, F.lit(f"&{name};"), F.lit(char))
     return html
 
 

@@ -6,17 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from attestry.operators.tables import kept
+
 
 def normalized(records: DataFrame, key: str = "record") -> DataFrame:
     """Register records (JSON texts of entity, value pairs and services) as one row a path.
 
     Columns: record_key, path, value, problem. Lists count as sets: their items are sorted. A
     record key that occurs twice, and a property or service that occurs twice in a record, are
-    problems; nothing is made up for what is missing.
+    problems; so is a record without a type or code, whose rows have no key. Nothing is made up
+    for what is missing.
     """
     shape = "EntityType string, EntityCode string, CA_OwnerID variant, Properties array<map<string, variant>>, Services array<map<string, variant>>"
     r = records.select(F.from_json(key, shape).alias("r")).select("r.*")
-    name = F.concat_ws(":", "EntityType", "EntityCode")
+    name = F.concat("EntityType", F.lit(":"), "EntityCode")  # without a code there is no key
     pair = "array<struct<path:string,value:variant>>"
 
     def entries(of: str, prefix: str) -> Column:
@@ -31,7 +34,7 @@ def normalized(records: DataFrame, key: str = "record") -> DataFrame:
     rows = rows.select("record_key", F.col("e.path").alias("path"), value.alias("value"))
     found = rows.groupBy("record_key", "path").agg(F.min("value").alias("value"), F.count("*").alias("n"))
     # each record has one owner entry
-    problem = F.when(F.col("n") > 1, F.when(F.col("path") == "ca_owner_id", "DUPLICATE_RECORD_KEY").otherwise("DUPLICATE_PROPERTY"))
+    problem = F.when(F.col("record_key").isNull(), "NO_RECORD_KEY").when(F.col("n") > 1, F.when(F.col("path") == "ca_owner_id", "DUPLICATE_RECORD_KEY").otherwise("DUPLICATE_PROPERTY"))
     return found.select("record_key", "path", F.when(problem.isNull(), F.col("value")).alias("value"), problem.alias("problem"))
 
 
@@ -59,6 +62,60 @@ def structural_diff(left: DataFrame, right: DataFrame, key: str, path: str, valu
     return maps.select(key, F.explode(found).alias("c")).select(key, "c.*")
 
 
+def typed_diff(left: DataFrame, right: DataFrame, key: str, doc: str) -> DataFrame:
+    """Differences of two sets of documents (VARIANT) at any depth: key, kind, path, old, new.
+
+    Values keep their types: 1 and "1" differ, and a missing field differs from one that is null.
+    Objects are compared field by field, everything else, lists included, as a whole; ``old`` and
+    ``new`` are JSON texts. A document on one side alone is one row with an empty path. Records
+    meet once, in one join; each level of nesting is then taken apart without a shuffle, as many
+    levels as the documents have.
+    """
+    pair = left.select(key, F.col(doc).alias("o"), F.lit(True).alias("has_o")).join(right.select(key, F.col(doc).alias("n"), F.lit(True).alias("has_n")), key, "full")
+    level = kept(pair.select(key, F.array().cast("array<string>").alias("path"), "o", "n", F.coalesce("has_o", F.lit(False)).alias("has_o"), F.coalesce("has_n", F.lit(False)).alias("has_n")))
+    found = None
+    while True:
+        both = F.col("has_o") & F.col("has_n")
+        objects = both & F.coalesce(F.schema_of_variant("o").startswith("OBJECT") & F.schema_of_variant("n").startswith("OBJECT"), F.lit(False))
+        old, new = F.when(F.col("has_o"), F.coalesce(F.to_json("o"), F.lit("null"))), F.when(F.col("has_n"), F.coalesce(F.to_json("n"), F.lit("null")))
+        kind = F.when(~F.col("has_o"), "added").when(~F.col("has_n"), "removed").otherwise("changed")
+        ends = level.where(~objects).select(key, kind.alias("kind"), "path", old.alias("old"), new.alias("new")).where(~F.col("old").eqNullSafe(F.col("new")))
+        found = ends if found is None else found.union(ends)
+        inner = level.where(objects)
+        if inner.isEmpty():
+            return found
+        fields = lambda c: F.try_variant_get(c, "$", "map<string,variant>")
+        maps = inner.select(key, "path", fields("o").alias("mo"), fields("n").alias("mn"))
+        names = F.explode(F.array_union(F.map_keys("mo"), F.map_keys("mn"))).alias("f")
+        step = maps.select("*", names)
+        level = kept(
+            step.select(
+                key, F.array_append("path", F.col("f")).alias("path"), F.try_element_at("mo", F.col("f")).alias("o"), F.try_element_at("mn", F.col("f")).alias("n"),
+                F.map_contains_key("mo", F.col("f")).alias("has_o"), F.map_contains_key("mn", F.col("f")).alias("has_n"),
+            )
+        )
+
+
+def address_changes(states: DataFrame, present: DataFrame, unknown: str = "UNKNOWN") -> DataFrame:
+    """Addresses that an entity had before the one it has, each as the stretch it was seen in.
+
+    ``states`` has entity_id, as_of and address, ``present`` entity_id, address and observed_at. States
+    that follow each other with one address are one stretch: entity_id, address, first_as_of,
+    last_as_of, n_states, next_address and by (when the next one was first seen: the next stretch,
+    else the present observation). An unknown address ends no stretch and is none; a stretch that
+    the present only continues is no change.
+    """
+    at = Window.partitionBy("entity_id").orderBy("as_of", "address")
+    known = states.where(F.col("address").isNotNull() & (F.col("address") != unknown))
+    began = known.withColumn("new", (~F.col("address").eqNullSafe(F.lag("address").over(at))).cast("int"))
+    stretch = began.withColumn("stretch", F.sum("new").over(at)).groupBy("entity_id", "stretch", "address").agg(F.min("as_of").alias("first_as_of"), F.max("as_of").alias("last_as_of"), F.count("*").alias("n_states"))
+    order = Window.partitionBy("entity_id").orderBy("stretch")
+    followed = stretch.withColumns({"_next": F.lead("address").over(order), "_at": F.lead("first_as_of").over(order)})
+    now = present.select("entity_id", F.col("address").alias("_now"), "observed_at")
+    rows = followed.join(now, "entity_id", "left").withColumns({"next_address": F.coalesce("_next", "_now"), "by": F.coalesce("_at", F.when(F.col("_next").isNull(), F.col("observed_at")))})
+    return rows.where(F.col("next_address").isNotNull() & (F.col("next_address") != unknown) & (F.col("next_address") != F.col("address"))).select("entity_id", "address", "first_as_of", "last_as_of", "n_states", "next_address", "by")
+
+
 def succession_state(as_of: Column, previous: Column) -> Column:
     """What a pair's declared dates say; a missing one says nothing."""
     return (

@@ -12,10 +12,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from attestry.functions.conditions import all_of, condition, missing_fields
 from attestry.functions.scalars import spanish_date, split_items, template
+from attestry.operators.tables import ordinal
 
 
 @dataclass(frozen=True)
@@ -125,21 +125,13 @@ def derive(groups: DataFrame, rules: list[Rule], key: str) -> DataFrame:
 
 
 def second_pass(derived: DataFrame, key: str, base: dict[str, str], emit: dict[str, str], once: tuple[str, ...] = ("activity",)) -> DataFrame:
-    """Rows derived from emitted rows that equal ``base``, with some columns replaced; each key and ``once`` once."""
+    """Rows derived from emitted rows that equal ``base``, with some columns replaced: of each key and ``once`` the first emitted."""
     hit = derived.where(all_of([F.col(c) == v for c, v in base.items()]) & (F.col("kind") != "FINDING"))
-    return hit.withColumns({c: F.lit(v) for c, v in emit.items()}).dropDuplicates([key, *once])
+    rows = hit.withColumns({c: F.lit(v) for c, v in emit.items()})
+    first = rows.groupBy(key, *once).agg(F.min_by(F.struct(*rows.columns), F.struct("rule_ord", "item_ord")).alias("_r"))
+    return first.select("_r.*")
 
 
-def numbered(rows: DataFrame, key: str, spread: int = 64) -> DataFrame:
-    """Ids by (key, rule_ord, item_ord) in one sequence, without one task for all rows.
-
-    Rows are dealt by ranges of the key; a range's first number is the count of those before.
-    """
-    # bounds between quantiles of the key: at most ``spread`` values
-    bounds = rows.agg(F.percentile_approx(key, F.array(*(F.lit(k / spread) for k in range(1, spread))), 20 * spread)).first()[0] or []
-    part = F.size(F.filter(F.array(*(F.lit(x) for x in sorted(set(bounds)))), lambda x: F.col(key) > x)) if bounds else F.lit(0)
-    rows = rows.withColumn("_part", part)
-    sizes = rows.groupBy("_part").agg(F.count("*").alias("_n"))  # at most ``spread`` rows
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    own = F.row_number().over(Window.partitionBy("_part").orderBy(key, "rule_ord", "item_ord"))
-    return rows.join(F.broadcast(starts), "_part").withColumn("seq", (own + F.col("_start")).cast("long")).drop("_part", "_start")
+def numbered(rows: DataFrame, key: str) -> DataFrame:
+    """Ids by (key, rule_ord, item_ord) in one sequence, without one task for all rows."""
+    return ordinal(rows, [key, "rule_ord", "item_ord"])
