@@ -12,7 +12,7 @@ pattern; a file that asks for anything else is refused.
 3. A piece with a pair that fails is merged exactly, lowest rank first, leftmost first.
 
 Equal chunks between white space are encoded once while a task remembers them: it keeps the
-``KEEP`` chunks it met last, at most twice as many, so memory does not follow the input.
+``KEEP`` chunks it met last, at most twice as many, and as many pieces of chunks, so memory does not follow the input.
 
 Defined cases: a null text counts as empty; empty texts have no tokens and decode to the
 empty string; special tokens in a text are their own ids; equal ranks are merged leftmost
@@ -22,6 +22,7 @@ empty table gives an empty result; other columns are ignored, whatever their nam
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import unicodedata
@@ -115,6 +116,7 @@ class Encoder:
         self._edges()
         self.known: dict[str, tuple[str, str, int]] = {}
         self.older: dict[str, tuple[str, str, int]] = {}
+        self.pieces: dict[str, list[int]] = {}
 
     def _edges(self) -> None:
         """Right and left edges of each token: the nested tokens there and the rank that closes each."""
@@ -264,8 +266,11 @@ class Encoder:
     def learn(self, chunks: list[str]) -> None:
         """Encode chunks (normalised, without white space) that are not known."""
         cut = [(_ASCII_PIECE if c.isascii() else _PIECE).findall(c) for c in chunks]
-        pieces = list({p for c in cut for p in c})
-        of = dict(zip(pieces, self.encode_pieces(pieces), strict=True)) if pieces else {}
+        of = self.pieces
+        fresh = [p for p in {p for c in cut for p in c} if p not in of]
+        if len(of) + len(fresh) > 2 * KEEP:  # chunks of this call still need theirs
+            of = self.pieces = {p: of[p] for c in cut for p in c if p in of}
+        of.update(zip(fresh, self.encode_pieces(fresh) if fresh else [], strict=True))
         text = self.text
         for chunk, parts in zip(chunks, cut, strict=True):
             ids = of[parts[0]] if len(parts) == 1 else [i for p in parts for i in of[p]]
@@ -313,10 +318,12 @@ def content(path: str) -> str:
 
 
 def encoder(path: str, text: Callable[[], str] | None = None) -> Encoder:
-    """One encoder a Python process; ``text`` gives the file's content where the file is not."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(text() if text else content(path))
-    return _encoders[path]
+    """One encoder a Python process and content; ``text`` gives the file's content where the file is not."""
+    spec = text() if text else content(path)
+    key = hashlib.sha256(spec.encode()).hexdigest()
+    if key not in _encoders:
+        _encoders[key] = Encoder(spec)
+    return _encoders[key]
 
 
 def _groups(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
