@@ -10,7 +10,8 @@ of a private key, with its version, algorithm and key fields (PKCS #8 plain or e
 DSA, elliptic curves), or an OpenSSH private key with its magic and length-prefixed fields.
 Public keys and certificates have other fields and are not reported. A bare candidate is any
 base64 or hexadecimal run that begins like one of these; the length that it states says how
-far it goes, over line breaks too. A PEM block with encryption headers must name a cipher and
+far it goes, over line breaks too, up to 64 KB (``MOST``); it is decoded whole only if the heads
+of its parts fill that length, so a text of nothing but candidates takes time in proportion. A PEM block with encryption headers must name a cipher and
 hold whole cipher blocks. A dotted token (``token``) must have a header that is a JSON object
 with a signing algorithm and a payload that is a JSON object.
 
@@ -25,9 +26,10 @@ from __future__ import annotations
 import base64
 import binascii
 import bisect
+import functools
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,6 +56,8 @@ _TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])(e[w-z0-9_-][A-Za-z0-9_-]{8,})\.([A-Za-
 _OPENSSH = b"openssh-key-v1\x00"
 #: The shortest key encoding, and the longest that is looked for, in bytes.
 LEAST, MOST = 32, 1 << 16
+#: Most parts of a key's outer sequence: nine of an RSA key, and one with further primes.
+_ITEMS = 16
 
 # DER tags and object identifiers (fixed values)
 _INTEGER, _BITS, _OCTETS, _OID, _SEQUENCE = 0x02, 0x03, 0x04, 0x06, 0x30
@@ -129,8 +133,9 @@ def private_key_holds(data: bytes) -> bool:
             held = der_items(inner)
             return bool(held) and len(held) == 1 and _integers(held)
         return name is not None and bool(inner)
-    if _integers(found):  # RSA: nine numbers, more with further primes; DSA: six
-        return found[0][1] == b"\x00" and len(found) in (6, 9) or found[0][1] == b"\x01" and len(found) > 9
+    if _integers(found):  # RSA: nine numbers, more with further primes; DSA: six, of 512 and 160 bits at least
+        large = len(found[1][1]) >= 64  # 512 bits
+        return found[0][1] == b"\x00" and large and (len(found) == 9 or len(found) == 6 and len(found[2][1]) >= 20) or found[0][1] == b"\x01" and len(found) > 9
     # elliptic curves: a number of one of the usual sizes, then tagged fields
     return found[0][1] == b"\x01" and tags[1] == _OCTETS and 20 <= len(found[1][1]) <= 72 and all(t in (0xA0, 0xA1) and der_items(b) for t, b in found[2:])
 
@@ -190,37 +195,97 @@ def _pem_blocks(text: str) -> Iterator[tuple[int, int]]:
             yield start, end + len(label) + 14
 
 
-def _gathered(text: str, start: int, need: int) -> tuple[str, int]:
-    """``need`` base64 characters from ``start`` on, over line breaks, and where they end."""
-    got, size, at = [], 0, start
-    while size < need and (m := _PART.match(text, at)):
-        if m[1]:
-            got.append(m[1][: need - size])
-            size += len(got[-1])
-            at += len(got[-1])
-        else:
+class _Run:
+    """Base64 characters from a place on, over line breaks, gathered once for all keys that may begin in them."""
+
+    def __init__(self, text: str, start: int):
+        parts, self.places, self.firsts, size, at = [], [], [], 0, start
+        while m := _PART.match(text, at):
+            if m[1]:
+                parts.append(m[1])
+                self.places.append(at)
+                self.firsts.append(size)
+                size += len(m[1])
             at = m.end()
-    return "".join(got), at
+        self.chars, self.end = "".join(parts), at
+
+    def index(self, place: int) -> int:
+        k = bisect.bisect(self.places, place) - 1
+        return self.firsts[k] + place - self.places[k]
+
+    def after(self, index: int) -> int:
+        """The place behind the character before ``index``."""
+        k = bisect.bisect(self.firsts, index - 1) - 1
+        return self.places[k] + index - self.firsts[k]
+
+    def bytes(self, index: int, at: int, n: int) -> bytes:
+        """``n`` bytes from byte ``at`` on of what the characters from ``index`` on encode, fewer at the end."""
+        first, last = at // 3 * 4, -(-(at + n) // 3) * 4
+        part = self.chars[index + first : index + last]
+        raw = _from_base64(part[: len(part) - (len(part) % 4 == 1)]) or b""
+        return raw[at - at // 3 * 3 :][:n]
+
+
+def _der_extent(read: Callable[[int, int], bytes], size: int) -> bool:
+    """Whether the items of a sequence of ``size`` bytes begin as a private key's do and fill it, by their heads alone."""
+    head = read(0, 6)
+    if len(head) < 6 or head[0] != _SEQUENCE:
+        return False
+    at = 2 if head[1] < 0x80 else 2 + (head[1] & 0x7F)
+    for k in range(_ITEMS):
+        head = read(at, 6)
+        item = der_size(head)
+        if not item or k == 0 and not (head[0] == _SEQUENCE or head[:2] == b"\x02\x01" and head[2] <= 1):
+            return False
+        at += item
+        if at >= size:
+            return at == size and k > 0
+    return False
+
+
+def _openssh_extent(read: Callable[[int, int], bytes]) -> int:
+    """Bytes of the OpenSSH key that the fields' lengths tell of; 0 if one is longer than any key's."""
+    at = len(_OPENSSH)
+    fields = 3
+    count = None
+    while fields:
+        raw = read(at, 4)
+        size = int.from_bytes(raw, "big")
+        if len(raw) < 4 or size > MOST:
+            return 0
+        at, fields = at + 4 + size, fields - 1
+        if not fields and count is None:
+            count = int.from_bytes(read(at, 4), "big")
+            if not 1 <= count <= 8:
+                return 0
+            at, fields = at + 4, count + 1
+    return at
 
 
 def _bare_keys(text: str) -> Iterator[tuple[int, int]]:
-    """Places of key encodings in base64 outside of blocks; their own lengths say where they end."""
+    """Places of key encodings in base64 outside of blocks; their own lengths say where they end.
+
+    A candidate is decoded whole only when the heads of its parts, a few bytes each, fill the
+    length that it states.
+    """
+    run = None
     for m in _RUN.finditer(text):
         at = m.start()
+        if run is None or at >= run.end:
+            run = _Run(text, at)
+        i = run.index(at)
+        read = functools.partial(run.bytes, i)
         if text.startswith("b3Blbn", at):
-            need = len(_gathered(text, at, 2 * MOST)[0])
-            need -= need % 4 == 1  # no base64 text has such a length
+            size = _openssh_extent(read)
         else:
-            head = _from_base64(_gathered(text, at, 8)[0])
-            size = der_size(head) if head else 0
-            need = -(-size * 4 // 3) if LEAST <= size <= MOST else 0
-        if not need:
+            size = der_size(read(0, 6))
+            size = size if LEAST <= size <= MOST and _der_extent(read, size) else 0
+        need = -(-size * 4 // 3)
+        if not LEAST <= size <= MOST or i + need > len(run.chars):
             continue
-        got, end = _gathered(text, at, need)
-        raw = _from_base64(got) if len(got) == need else None
-        size = key_size(raw) if raw else 0
-        if size and -(-size * 4 // 3) <= need:
-            got, end = _gathered(text, at, -(-size * 4 // 3))
+        raw = _from_base64(run.chars[i : i + need])
+        if raw and key_size(raw) == size:
+            end = run.after(i + need)
             while end < len(text) and text[end] == "=":
                 end += 1
             if end == len(text) or not (text[end].isascii() and (text[end].isalnum() or text[end] in "+/")):

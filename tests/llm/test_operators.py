@@ -8,6 +8,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -562,6 +563,24 @@ def keys_of(rng):
     return private, other
 
 
+def test_keys_among_very_many_candidates():
+    rng = random.Random(9)
+    key = lambda n: bytes([0x02, len(n)]) + n if len(n) < 128 else b"\x02\x81" + bytes([len(n)]) + n
+    number = lambda k: bytes([1]) + rng.randbytes(k - 1)
+    seq = lambda body: b"\x30\x82" + len(body).to_bytes(2, "big") + body
+    rsa = seq(b"\x02\x01\x00" + b"".join(map(key, (number(128), b"\x01\x00\x01", number(120), *(number(64) for _ in range(5))))))
+    dsa = lambda p, q: seq(b"\x02\x01\x00" + b"".join(map(key, (number(p), number(q), *(number(64) for _ in range(3))))))
+    b64 = lambda x: base64.b64encode(x).decode()
+    for line in ("MIL/8A\n", "MIICCgIBAAKC\n", "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAAB\n"):
+        many = line * (1_000_000 // len(line))
+        text = many + "x: " + b64(rsa) + " y " + many
+        began = time.process_time()
+        assert [s for s in secrets.scan(text) if s[0] == "key"] == [("key", len(many) + 3, len(many) + 3 + len(b64(rsa)))]
+        assert time.process_time() - began < 30  # minutes and more where each candidate gathers all that follows
+    found = lambda x: [k for k, *_ in secrets.scan("k " + b64(x) + " ;")]
+    assert found(dsa(64, 20)) == ["key"] and found(dsa(63, 20)) == found(dsa(64, 19)) == []  # six small numbers are no key
+
+
 def test_key_encodings():
     rng = random.Random(7)
     b64, lines = (lambda x: base64.b64encode(x).decode()), (lambda x: base64.encodebytes(x).decode().strip())
