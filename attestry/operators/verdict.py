@@ -64,19 +64,11 @@ def knowledge(sources: DataFrame) -> DataFrame:
     """Per assertion: when all of it was known, how fresh it is, its number of sources, and how
     fresh each register's share of it is."""
     fresh = freshness(F.col("source_as_of"), F.col("retrieved_at"))
-    found = sources.groupBy("assertion_id").agg(
-        F.max("retrieved_at").alias("knowledge_time"),
-        F.max(fresh).alias("fresh_at"),
-        F.count("*").alias("n_sources"),
-        F.collect_set(F.struct(F.col("register_id").alias("register"), fresh.alias("fresh"))).alias("seen"),
+    dealt = sources.select("assertion_id", "register_id", "retrieved_at", fresh.alias("fresh")).repartition("assertion_id")  # both groupings need no further exchange
+    shares = dealt.groupBy("assertion_id", "register_id").agg(F.max("retrieved_at").alias("last"), F.max("fresh").alias("fresh"), F.count("*").alias("n"))
+    return shares.groupBy("assertion_id").agg(
+        F.max("last").alias("knowledge_time"), F.max("fresh").alias("fresh_at"), F.sum("n").alias("n_sources"), F.sort_array(F.collect_list(F.struct(F.col("register_id").alias("register"), "fresh"))).alias("registers")
     )
-    names = F.array_sort(F.array_distinct(F.transform("seen", lambda s: s["register"])))
-
-    def newest(name: Column) -> Column:
-        own = F.filter("seen", lambda s: s["register"] == name)
-        return F.struct(name.alias("register"), F.array_max(F.transform(own, lambda s: s["fresh"])).alias("fresh"))
-
-    return found.withColumn("registers", F.transform(names, newest)).drop("seen")
 
 
 def bucket(knowledge_time: Column, known_at: Column) -> Column:
