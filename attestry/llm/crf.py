@@ -115,39 +115,49 @@ def train(table: list[list[tuple[str, bool, str]]], labels: list[str], rounds: i
         fs = features([(p, g) for p, g, _ in sequence])
         rows.append([[index.setdefault(f, len(index)) for f in x] for x in fs])
         gold.append([known[y] for _, _, y in sequence])
-    n, steps, k = len(rows), max(map(len, rows)), len(labels)
-    none = len(index)  # a feature of weight zero fills the rows up
-    x = np.full((n, steps, max(len(f) for fs in rows for f in fs)), none)
-    y, live = np.zeros((n, steps), np.int64), np.zeros((n, steps), bool)
+    # places by time, longest sequences first, so that those of one time are a block and none is padding
+    order = sorted(range(len(rows)), key=lambda i: -len(rows[i]))
+    rows, gold = [rows[i] for i in order], [gold[i] for i in order]
+    k, none = len(labels), len(index)  # a feature of weight zero fills places up
+    count = np.bincount([len(r) for r in rows])[::-1].cumsum()[::-1][1:]  # sequences of more than t places
+    first = np.append(0, count.cumsum())
+    block = [slice(first[t], first[t + 1]) for t in range(len(count))]
+    flat = np.full((first[-1], max(len(f) for fs in rows for f in fs)), none)
+    y = np.zeros(first[-1], np.int64)
     for i, (fs, ys) in enumerate(zip(rows, gold, strict=True)):
         for t, (f, c) in enumerate(zip(fs, ys, strict=True)):
-            x[i, t, : len(f)], y[i, t], live[i, t] = f, c, True
-    flat = x.reshape(n * steps, -1)
+            flat[first[t] + i, : len(f)], y[first[t] + i] = f, c
+    by = np.argsort(flat, axis=None, kind="stable")
+    by = by[flat.ravel()[by] < none]  # places by feature; every feature has some
+    starts, place = np.flatnonzero(np.diff(flat.ravel()[by], prepend=-1)), by // flat.shape[1]
 
     def by_feature(values: np.ndarray) -> np.ndarray:
         """Sums of [place, label] values over the places that have each feature."""
-        out = [np.bincount(flat.ravel(), np.repeat(values[:, c], flat.shape[1]), none + 1)[:none] for c in range(k)]
-        return np.stack(out, 1)
+        return np.add.reduceat(values[place], starts)
 
-    onehot = np.eye(k)[y] * live[:, :, None]
-    want_emit = by_feature(onehot.reshape(-1, k))
-    want_move = np.einsum("ntj,ntk->jk", onehot[:, :-1], onehot[:, 1:])
+    pairs = [(slice(first[t], first[t] + count[t + 1]), block[t + 1]) for t in range(len(count) - 1)]
+    onehot = np.eye(k)[y]
+    want_emit = by_feature(onehot)
+    want_move = sum((onehot[a].T @ onehot[b] for a, b in pairs), np.zeros((k, k)))
     emit, move = np.zeros((len(index), k)), np.zeros((k, k))
     speed = [np.zeros_like(emit), np.zeros_like(move)]
     for r in range(rounds):
-        score = np.vstack((emit, np.zeros(k)))[flat].sum(1).reshape(n, steps, k)
-        alpha, beta = np.zeros((n, steps, k)), np.zeros((n, steps, k))
-        alpha[:, 0] = score[:, 0]
-        for t in range(1, steps):
-            step = np.logaddexp.reduce(alpha[:, t - 1, :, None] + move[None], 1) + score[:, t]
-            alpha[:, t] = np.where(live[:, t, None], step, alpha[:, t - 1])
-        for t in range(steps - 2, -1, -1):
-            step = np.logaddexp.reduce(move[None] + (score[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
-            beta[:, t] = np.where(live[:, t + 1, None], step, 0)
-        total = np.logaddexp.reduce(alpha[:, -1], 1)[:, None, None]
-        node = np.exp(alpha + beta - total) * live[:, :, None]
-        pair = np.exp(alpha[:, :-1, :, None] + move + (score[:, 1:] + beta[:, 1:])[:, :, None] - total[..., None]) * live[:, 1:, None, None]
-        grads = [want_emit - by_feature(node.reshape(-1, k)) - ridge * emit, want_move - pair.sum((0, 1)) - ridge * move]
+        weights, score = np.vstack((emit, np.zeros(k))), np.zeros((len(flat), k))
+        for f in flat.T:
+            score += weights[f]
+        likely, step = np.exp(score - score.max(1, keepdims=True)), np.exp(move)
+        alpha, beta = np.empty_like(score), np.ones_like(score)  # each place's sum to one, by the scale kept in ``likely``
+        for t, at in enumerate(block):
+            part = likely[at] if not t else (alpha[pairs[t - 1][0]] @ step) * likely[at]
+            scale = part.sum(1, keepdims=True)
+            alpha[at] = part / scale
+            likely[at] /= scale
+        expected = np.zeros((k, k))
+        for a, b in reversed(pairs):
+            ahead = likely[b] * beta[b]
+            beta[a] = ahead @ step.T
+            expected += alpha[a].T @ ahead
+        grads = [want_emit - by_feature(alpha * beta) - ridge * emit, want_move - expected * step - ridge * move]
         for w, g, v in zip((emit, move), grads, speed, strict=True):
             v[:] = 0.9 * v + 0.1 * g * g
             w += 0.1 * (0.98**r) * g / (np.sqrt(v) + 1e-6)
