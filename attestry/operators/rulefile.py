@@ -365,8 +365,7 @@ def findings(found: DataFrame, every: DataFrame, rules: RuleSet) -> DataFrame:
     for k, rule in enumerate(rules.derived):
         before = every.where((F.col("pass") <= k))  # what stood when the rule ran
         candidates = before.where(F.col("entity_class") == rule["base"]["entity_class"]).select("entity_id").distinct().withColumn("rule_id", F.lit(rule["rule_id"]))
-        started = _starts(before, rule).select(F.lit(rule["rule_id"]).alias("rule_id")).distinct()  # one row at most
-        idle = candidates.join(F.broadcast(started), "rule_id", "left_anti")
+        idle = candidates.where(_starts(before, rule).limit(1).agg(F.count("*")).scalar() == 0)
         spec = rule["untriggered_finding"]
         row = {"source": F.lit(None).cast("string"), "classification": F.lit(spec["classification"]), "detail": F.lit(spec["detail"])}
         out = out.union(idle.select(*_ordered(k + 1), F.col("entity_id").alias("who"), *((row[c] if c in row else F.col(c)).alias(c) for c in columns)))
