@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from attestry.functions.scalars import upper_alone
+
 
 def row_digest(*columns: str) -> Column:
     """SHA-256 of the columns' canonical text, NULLs marked."""
@@ -73,10 +75,9 @@ def name_mentions(notices: DataFrame, entities: DataFrame) -> DataFrame:
     the five-character grams of the notices' words that some token begins with, and ``contains``
     confirms.
     """
-    token = F.upper(F.substring_index(F.substring_index("legal_name", ",", 1), " ", 1))
+    token = upper_alone(F.substring_index(F.substring_index("legal_name", ",", 1), " ", 1))
     tokens = entities.select("entity_id", token.alias("token")).where(F.length("token") >= GRAM).withColumn("gram", F.substring("token", 1, GRAM))
-    words = notices.select("notice_id", F.upper("text").alias("text")).where(~F.contains("text", F.lit(CLONE_MARK)))
-    words = words.select("notice_id", F.explode(F.array_distinct(F.split("text", " "))).alias("word")).where(F.length("word") >= GRAM)
+    words = notices.where(~F.col("text").rlike(rf"(?i)\Q{CLONE_MARK}\E")).select("notice_id", F.explode(F.array_distinct(F.split(upper_alone(F.col("text")), " "))).alias("word")).where(F.length("word") >= GRAM)
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("word") - GRAM + 1), lambda i: F.substring(F.col("word"), i, F.lit(GRAM))))
     found = words.select("notice_id", "word", F.explode(grams).alias("gram")).join(tokens, "gram").where(F.contains("word", "token"))
     return found.select("notice_id", "entity_id").distinct()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import uuid
 import zipfile
 from datetime import date
@@ -266,3 +267,13 @@ def test_verdicts_without_routes(judged):
     assert two_said[20] == "reported_facts:" + str(next(r.used_ids or 8 for r in judged[2] if r.entity_id == 20)) and one_said[20] == ""
     assert one[19] == "NO_ASSERTIONS_IN_SCOPE" and two[19] == "AGENT_DELEGATED_ROUTE_NO_INDEPENDENT_ENTITLEMENT" and two[20] == "WITHDRAWAL_SEMANTICS_DEFERRED"
     assert one[21] == "UNINTERPRETABLE_EVIDENCE" and two[21] == "TERRITORIAL_ENTITLEMENT_UNRESOLVED" and two[22] == "UNINTERPRETABLE_EVIDENCE"
+
+
+def test_upper_case_does_not_grow(spark):
+    from attestry.functions.scalars import upper_alone
+    from attestry.operators.projection import name_mentions
+
+    rows = spark.createDataFrame([("a\u00dfb\u00df", "A\u1e9eB\u1e9e"), ("x\ufb01y\u1fb3", "X\ufb01Y\u1fbc"), ("\u00e9\n", "\u00c9\n"), ("", ""), (None, None)], "text string, said string")
+    assert all(r.got == r.said for r in rows.select(upper_alone(F.col("text")).alias("got"), "said").collect())
+    notices = spark.createDataFrame([(1, "die \u00dfcher hier"), (2, "die Scher hier")], "notice_id long, text string")
+    assert [r.notice_id for r in name_mentions(notices, spark.createDataFrame([(9, "scher, S.A.")], "entity_id long, legal_name string")).collect()] == [2]
