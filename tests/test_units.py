@@ -277,3 +277,18 @@ def test_upper_case_does_not_grow(spark):
     assert all(r.got == r.said for r in rows.select(upper_alone(F.col("text")).alias("got"), "said").collect())
     notices = spark.createDataFrame([(1, "die \u00dfcher hier"), (2, "die Scher hier")], "notice_id long, text string")
     assert [r.notice_id for r in name_mentions(notices, spark.createDataFrame([(9, "scher, S.A.")], "entity_id long, legal_name string")).collect()] == [2]
+
+
+def test_questions_are_never_broadcast(spark):
+    import re
+
+    from attestry.operators import verdict as V
+    from attestry.plans import lens as L
+
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        pytest.skip("no test tables here")
+    q = L.questions(spark, d)
+    for pairs, key in ((V.matched(q, L.assertions(spark, d), L.sources(spark, d)), r"entity_id#\d+L, activity"), (V.facts_asked(q, L.facts(spark, d), L.contracts(spark, d)), r"entity_id#\d+L\]")):
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"SortMergeJoin \[" + key, plan) and not re.search(r"BroadcastHashJoin \[" + key, plan)
