@@ -292,3 +292,21 @@ def test_questions_are_never_broadcast(spark):
     for pairs, key in ((V.matched(q, L.assertions(spark, d), L.sources(spark, d)), r"entity_id#\d+L, activity"), (V.facts_asked(q, L.facts(spark, d), L.contracts(spark, d)), r"entity_id#\d+L\]")):
         plan = pairs._jdf.queryExecution().executedPlan().toString()
         assert re.search(r"SortMergeJoin \[" + key, plan) and not re.search(r"BroadcastHashJoin \[" + key, plan)
+
+
+def test_records_without_a_parent_are_spread(spark):
+    from attestry.operators import registers as G
+
+    rows = [(k, G.EBA if k % 9 == 0 else G.PAYMENTS, "PSD_PI", f"C{k}", "PSD_PI" if k % 9 == 0 else None, "C9" if k % 9 == 0 else None, "ACTIVE", "d") for k in range(900)]
+    records = spark.createDataFrame(rows, "group_ord long, source string, entity_type string, entity_code string, parent_type string, parent_code string, eba_ent_aut_status string, eba_ent_aut_last_auth string")
+    held = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = G.with_parents(records).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        for c, v in held.items():
+            spark.conf.set(c, v)
+    assert len(found) == 900 and {(r.eba_parent_status, r.parent_ord) for r in found} == {("ACTIVE", 9), (None, None)}
+    sizes = [sum(r.part == p for r in found) for p in {r.part for r in found}]
+    assert max(sizes) < 500  # 800 have no parent
