@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestry.operators.verdict import ENTITLED, QUESTION
+from attestry.operators.tables import kept
+from attestry.operators.verdict import ENTITLED, QUESTION, many
 
 LAYERS = ("fetch", "parse", "identity", "semantics")
 PARSED, FAILED, NOT_RUN = "PARSE_OK", "PARSE_ERROR", "NOT_RUN"
@@ -57,6 +58,12 @@ def attempt_summary(attempts: DataFrame) -> DataFrame:
     return sets.where("counter is not null").select("counter", F.coalesce("value", F.lit("*")).alias("value"), "n", "unexpected")
 
 
+def _found(cases: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Cases with their verdict, reason and used evidence; cases, of which there are as many as questions, are not broadcast."""
+    said = verdicts.select(*(F.col(c).alias(f"_{c}") for c in QUESTION), "verdict", "reason", "used_ids")
+    return many(cases).join(said, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in QUESTION], "left").drop(*(f"_{c}" for c in QUESTION))
+
+
 def case_results(cases: DataFrame, verdicts: DataFrame, assertions: DataFrame) -> DataFrame:
     """Each case with what was found and how it meets what was expected, loosely and strictly.
 
@@ -67,8 +74,7 @@ def case_results(cases: DataFrame, verdicts: DataFrame, assertions: DataFrame) -
     asked. Strictly both sets are equal to what was expected; nothing expected is an empty set of
     mechanisms, and no expectation of bases is never met.
     """
-    said = verdicts.select(*(F.col(c).alias(f"_{c}") for c in QUESTION), "verdict", "reason", "used_ids")
-    met = cases.join(said, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in QUESTION], "left").drop(*(f"_{c}" for c in QUESTION))
+    met = kept(_found(cases, verdicts))  # read twice, and a verdict is costly
     used = met.where("used_ids <> ''").select("case_id", F.explode(F.split("used_ids", ",")).alias("id"))
     told = assertions.select(F.col("assertion_id").cast("string").alias("id"), "legal_effect", "territorial_basis", "entry_mechanism")
     sets = used.join(told, "id").groupBy("case_id").agg(

@@ -310,3 +310,17 @@ def test_records_without_a_parent_are_spread(spark):
     assert len(found) == 900 and {(r.eba_parent_status, r.parent_ord) for r in found} == {("ACTIVE", 9), (None, None)}
     sizes = [sum(r.part == p for r in found) for p in {r.part for r in found}]
     assert max(sizes) < 500  # 800 have no parent
+
+
+def test_cases_are_never_broadcast(spark):
+    from attestry.operators import runs as R
+    from attestry.operators import verdict as V
+    from attestry.plans import lens as L
+
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        pytest.skip("no test tables here")
+    q = L.questions(spark, d)
+    verdicts = q.groupBy(*V.QUESTION).agg(F.lit("v").alias("verdict"), F.lit("r").alias("reason"), F.max("identity_state").alias("used_ids"))
+    plan = R._found(q.withColumn("case_id", F.concat_ws("/", *V.QUESTION)), verdicts).where("used_ids <> ''")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
