@@ -77,6 +77,11 @@ def derived(raw: Column, rule: Column) -> Column:
     )
 
 
+def _once(records: DataFrame) -> DataFrame:
+    """Records with the hash that all their claims share, made before they meet the traces."""
+    return records.withColumn("_hash", F.sha2(F.to_json("raw_record"), 256))
+
+
 def claims(attempts: DataFrame, traces: DataFrame, manifest: DataFrame) -> DataFrame:
     """A claim for every traced field of every record that parsed, with its provenance.
 
@@ -86,13 +91,13 @@ def claims(attempts: DataFrame, traces: DataFrame, manifest: DataFrame) -> DataF
     of the claims finds; a source date that is not declared is UNAVAILABLE, never made up.
     """
     parsed = attempts.where("parse_status = 'PARSE_OK'").join(manifest.select("snapshot_file", "sha256", "source_url", "retrieved_at", "source_as_of"), "snapshot_file", "left")
-    rows = parsed.join(F.broadcast(traces), "source")
-    observed = F.try_element_at(F.try_variant_get("observed", "$", "map<string,variant>"), F.col("field"))
+    rows = _once(parsed).withColumn("_seen", F.try_variant_get("observed", "$", "map<string,variant>")).join(F.broadcast(traces), "source")
+    observed = F.try_element_at(F.col("_seen"), F.col("field"))
     version = F.when(F.col("rule") == "LEI_DIAGNOSTIC_V2", "LEI_DIAGNOSTIC_V2").otherwise(F.col("run_version"))
     return rows.select(
         F.concat_ws("|", "corpus_id", "source", "field").alias("claim_id"), "corpus_id", "source", "field", "rule", "ref", version.alias("rule_version"), "parser", F.col("run_version").alias("extractor_version"), "record_key", "snapshot_file",
         F.col("sha256").alias("snapshot_sha256"), "source_url", "retrieved_at", "source_as_of", F.when(F.col("source_as_of").isNotNull(), "TRUSTED").otherwise("UNAVAILABLE").alias("source_date_reliability"),
-        F.sha2(F.to_json("raw_record"), 256).alias("raw_record_sha256"), _raw(F.col("raw_record"), F.col("rule"), F.col("ref")).alias("raw_value"), _text(observed).alias("normalized_value"),
+        F.col("_hash").alias("raw_record_sha256"), _raw(F.col("raw_record"), F.col("rule"), F.col("ref")).alias("raw_value"), _text(observed).alias("normalized_value"),
     )
 
 
@@ -108,7 +113,7 @@ def verified(ledger: DataFrame, attempts: DataFrame) -> DataFrame:
     NO_ATTEMPT where no record of the source was parsed, RAW_MISMATCH, NORMALIZED_MISMATCH,
     RAW_HASH_MISMATCH. A text extract holds if it is a text that the record has somewhere.
     """
-    read = attempts.where("parse_status = 'PARSE_OK'").select("corpus_id", "source", "raw_record", F.lit(True).alias("tried"))
+    read = _once(attempts.where("parse_status = 'PARSE_OK'")).select("corpus_id", "source", "raw_record", "_hash", F.lit(True).alias("tried"))
     rows = ledger.join(read, ["corpus_id", "source"], "left")
     again = _raw(F.col("raw_record"), F.col("rule"), F.col("ref"))
     rows = rows.withColumn("again", again)
@@ -117,6 +122,6 @@ def verified(ledger: DataFrame, attempts: DataFrame) -> DataFrame:
     same = F.when(F.col("rule") == "TEXT_EXTRACT", extract).otherwise(F.col("normalized_value").eqNullSafe(derived(F.col("again"), F.col("rule"))))
     state = (
         F.when(F.col("tried").isNull(), "NO_ATTEMPT").when(~F.col("raw_value").eqNullSafe(F.col("again")), "RAW_MISMATCH").when(~same, "NORMALIZED_MISMATCH")
-        .when(~F.col("raw_record_sha256").eqNullSafe(F.sha2(F.to_json("raw_record"), 256)), "RAW_HASH_MISMATCH").otherwise("VERIFIED")
+        .when(~F.col("raw_record_sha256").eqNullSafe(F.col("_hash")), "RAW_HASH_MISMATCH").otherwise("VERIFIED")
     )
     return rows.select("claim_id", state.alias("state"))
