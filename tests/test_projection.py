@@ -55,3 +55,28 @@ def test_faults_of_a_projection(spark, tables):
     twice["comparisons"] = twice["comparisons"].where("comparison_id = 'cmp'")
     twice["assertions"] = twice["assertions"].where("assertion_id <> 'a1'")
     assert sorted((r.fault, r.key) for r in P.broken(twice).collect()) == [("assertions: key twice", "a2"), ("change_candidates: no comparisons", "slice@sha256:99"), ("source_assertions: no owner", "assertion/a1")]
+
+
+def test_a_set_in_parts_is_the_same_set(spark, tables):
+    parts = [{"assertions": SET["assertions"][:1], "reported_facts": SET["reported_facts"], "note": "n"}, {"assertions": SET["assertions"][1:], "note": "n"}]
+    rows = [("s/set.one.json", P.EVIDENCE, k, json.dumps(d, ensure_ascii=False)) for k, d in enumerate(parts)] + [("s/bad.json", P.EVIDENCE, 0, "{"), ("s/bad.json", P.EVIDENCE, 1, '{"assertions":[{"assertion_id":"x"}]}')]
+    cut = P.built(spark.createDataFrame(rows, "path string, kind string, part long, content string").repartition(3), once=True)
+    by_path = {r.path: r for r in cut["artifacts"].collect()}
+    assert len(by_path) == 2 == cut["artifacts"].count() and by_path["s/bad.json"].payload_json is None and json.loads(by_path["s/set.one.json"].payload_json) == {"note": "n"}
+    for name in ("assertions", "reported_facts", "source_assertions"):
+        plain = [c for c in tables[name].columns if c not in ("evidence_set_id", "source_artifact_id")]
+        assert sorted(map(str, cut[name].select(*plain).collect())) == sorted(map(str, tables[name].select(*plain).collect()))
+    assert {r.source_artifact_id for r in cut["assertions"].collect()} == {by_path["s/set.one.json"].artifact_id}
+
+
+def test_no_part_of_a_set_grows_with_the_table(spark, tmp_path):
+    from attestry.plans import projection_queries as Q
+
+    n = 3 * Q.PART
+    orders = spark.range(0, n, 500).selectExpr("id as o_orderkey", "id % 2 as o_custkey", "'F' as o_orderstatus", "timestamp'1998-01-02' as o_orderdate", "'5-LOW' as o_orderpriority")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    spark.sql("select id as c_custkey, 0 as c_nationkey from range(2)").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.sql("select id as s_suppkey, 0 as s_nationkey, 'S' as s_name from range(2)").write.parquet(str(tmp_path / "supplier.parquet"))
+    sizes = [len(json.loads(r.content)["assertions"]) for r in Q.artifacts(spark, str(tmp_path)).where("kind = 'evidence-set'").collect()]
+    assert len(sizes) == 3 and max(sizes) <= Q.PART / 500
+    assert {r["name"]: r["rows"] for r in Q.projection_manifest(spark, str(tmp_path)).collect()}["artifacts"] == 3
