@@ -324,3 +324,17 @@ def test_cases_are_never_broadcast(spark):
     verdicts = q.groupBy(*V.QUESTION).agg(F.lit("v").alias("verdict"), F.lit("r").alias("reason"), F.max("identity_state").alias("used_ids"))
     plan = R._found(q.withColumn("case_id", F.concat_ws("/", *V.QUESTION)), verdicts).where("used_ids <> ''")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_parts_of_a_numbering_do_not_grow(spark, monkeypatch):
+    from attestry.operators import tables as T
+
+    monkeypatch.setattr(T, "PART_ROWS", 50)
+    made = []
+    keep = T.kept
+    monkeypatch.setattr(T, "kept", lambda df: made.append(keep(df)) or made[-1])
+    rows = spark.range(5000).select((-F.col("id")).alias("k"))
+    assert sorted((r.k, r.seq) for r in T.ordinal(rows, ["k"]).collect()) == [(k, k + 5000) for k in range(-4999, 1)]
+    sizes = [r["count"] for r in made[-1].groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 250 and len(sizes) > 50
+    assert T.ordinal(rows.where("k > 0"), ["k"]).count() == 0
