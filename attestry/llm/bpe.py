@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 
 #: Chunks whose encodings a task keeps.
 KEEP = 250_000
+#: Characters that a longest match is looked up by.
+HEAD = 4
 #: Longest text that is worked on with others, in bytes of a group.
 GROUP = 2 << 20
 
@@ -55,6 +57,7 @@ _NEWER = (
 # lower case that Python's tables do not have (fixed values)
 _LOWER = {0x03A3: 0x03C3, 0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B}
 _LOWER |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+_LOWER_KEYS = regex.compile("[" + "".join(map(chr, _LOWER)) + "]")  # few texts have one, and a table of all characters is slow
 _NOT = "".join("\\U{:0>8}-\\U{:0>8}".format(*r.split("-")) for r in _NEWER.split())
 
 _ASCII_PIECE = regex.compile(rf"{_ENDINGS}|[a-z]+|[0-9]|[^\s0-9a-z]+")
@@ -109,14 +112,15 @@ class Encoder:
         for r, p in enumerate(pairs):
             self.rank.setdefault(p, r)
         self.byte = byte_characters()
-        self.longest: dict[str, int] = {}  # by a token's first two characters
+        self.longest: dict[str, int] = {}  # by a token's first ``HEAD`` characters; shorter tokens are not in it
         for token in self.ids:
-            self.longest[token[:2]] = max(self.longest.get(token[:2], 0), len(token))
+            if len(token) >= HEAD:
+                self.longest[token[:HEAD]] = max(self.longest.get(token[:HEAD], 0), len(token))
         self._special_split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._edges()
         self.known: dict[str, tuple[str, str, int]] = {}
         self.older: dict[str, tuple[str, str, int]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, tuple[str, str, int]] = {}
 
     def _edges(self) -> None:
         """Right and left edges of each token: the nested tokens there and the rank that closes each."""
@@ -229,7 +233,7 @@ class Encoder:
         word, out, at, ids, longest = "".join(symbols), [], 0, self.ids, self.longest
         end, stem = len(word), len(word) - len(self.suffix)
         while at < end:
-            most = at + longest.get(word[at : at + 2], 1)
+            most = at + longest.get(word[at : at + HEAD], HEAD - 1)
             if most >= end and (i := ids.get(word[at:])) is not None:
                 out.append(i)
                 return out
@@ -270,11 +274,11 @@ class Encoder:
         fresh = [p for p in {p for c in cut for p in c} if p not in of]
         if len(of) + len(fresh) > 2 * KEEP:  # chunks of this call still need theirs
             of = self.pieces = {p: of[p] for c in cut for p in c if p in of}
-        of.update(zip(fresh, self.encode_pieces(fresh) if fresh else [], strict=True))
         text = self.text
+        for piece, ids in zip(fresh, self.encode_pieces(fresh) if fresh else [], strict=True):
+            of[piece] = " ".join(map(str, ids)), " ".join([text[i] for i in ids]), len(ids)
         for chunk, parts in zip(chunks, cut, strict=True):
-            ids = of[parts[0]] if len(parts) == 1 else [i for p in parts for i in of[p]]
-            self.known[chunk] = " ".join(map(str, ids)), " ".join([text[i] for i in ids]), len(ids)
+            self.known[chunk] = of[parts[0]] if len(parts) == 1 else _joined([of[p] for p in parts])
 
     def chunks(self, text: str) -> list[str]:
         """The text's parts between white space, normalised; special tokens stand alone."""
@@ -285,7 +289,8 @@ class Encoder:
                 out.append(" " + part)  # no other chunk begins with a space
                 continue
             if not part.isascii():
-                part = unicodedata.normalize("NFC", part).translate(_LOWER)
+                part = unicodedata.normalize("NFC", part)
+                part = part.translate(_LOWER) if _LOWER_KEYS.search(part) else part
             part = part.lower()
             out += [c for c in _SPLIT.split(part) if c] if _ODD_SPACE.search(part) else part.split()
         return out
@@ -300,13 +305,16 @@ class Encoder:
         new = distinct.difference(self.known)
         self.known |= {c: self.older[c] for c in new if c in self.older}
         self.learn([c for c in new if c not in self.older])
-        known, out = self.known.__getitem__, []
-        for c in cut:
-            ids, decoded, n = zip(*map(known, c), strict=True) if c else ((), (), ())
-            if 0 in n:  # a chunk of which the pattern keeps nothing
-                ids, decoded = filter(None, ids), filter(None, decoded)
-            out.append((" ".join(ids), " ".join(decoded), sum(n)))
-        return out
+        known = self.known.__getitem__
+        return [_joined(list(map(known, c))) for c in cut]
+
+
+def _joined(parts: list[tuple[str, str, int]]) -> tuple[str, str, int]:
+    """(ids, decoded text, number of ids) of parts that follow each other."""
+    ids, decoded, n = zip(*parts, strict=True) if parts else ((), (), ())
+    if 0 in n:  # a part of which the pattern or the vocabulary keeps nothing
+        ids, decoded = filter(None, ids), filter(None, decoded)
+    return " ".join(ids), " ".join(decoded), sum(n)
 
 
 _encoders: dict[str, Encoder] = {}

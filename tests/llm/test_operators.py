@@ -642,3 +642,34 @@ def test_secrets(spark):
         assert [s for s in secrets.scan(x) if s[0] in secrets.BASE_KINDS] == sorted(want, key=lambda s: (s[1], secrets.KINDS.index(s[0])))
     rows = secrets.found(spark.createDataFrame([(1, None), (2, ""), (None, token)], "doc_id long, text string")).collect()
     assert [len(r.spans) for r in rows] == [0, 0, 1]
+
+
+def test_bpe_remembers_pieces_as_texts_and_looks_few_lengths_up():
+    """What makes a chunk is put together from texts of its pieces, and a longest match tries only lengths that some token has (the seconds a GB of op3_bpe)."""
+    public = pytest.importorskip("public_tokenizers")
+    enc = bpe.Encoder(bpe.content(public.path("word_bpe_49k.json")))
+    rng = random.Random(5)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 14))) for _ in range(300)]
+    exact = {w: enc.merged([*w[:-1], w[-1] + enc.suffix]) for w in words}
+    found = enc.encode([" ".join(words), "", "İΣÉ x" * 3, "a,b,,c"])
+    assert found[0][0] == " ".join(str(i) for w in words for i in exact[w])
+    assert found[1] == ("", "", 0)
+    for w in words:
+        assert enc.pieces[w] == (" ".join(map(str, exact[w])), " ".join(enc.text[i] for i in exact[w]), len(exact[w]))
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+    everything, enc.ids = enc.ids, Counted(enc.ids)
+    greedy = [enc.proposed([*w[:-1], w[-1] + enc.suffix]) for w in words]
+    for w, got in zip(words, greedy, strict=True):  # the same as trying every length
+        word, at, want = w + enc.suffix, 0, []
+        while at < len(word):
+            to = next((t for t in (len(word), *range(len(w), at, -1)) if word[at:t] in everything), None)
+            want, at = (None, len(word)) if to is None else ([*want, everything[word[at:to]]], to)
+        assert got == want
+    assert Counted.asked < 3 * sum(map(len, filter(None, greedy)))
