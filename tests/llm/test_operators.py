@@ -673,3 +673,27 @@ def test_bpe_remembers_pieces_as_texts_and_looks_few_lengths_up():
             want, at = (None, len(word)) if to is None else ([*want, everything[word[at:to]]], to)
         assert got == want
     assert Counted.asked < 3 * sum(map(len, filter(None, greedy)))
+
+
+def test_a_block_of_words_takes_little_memory_and_changes_no_feature(corpus):
+    """A worker's arrays follow the block (the pipeline's memory), and what they say does not."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from attestry.llm import words as W
+
+    own = [row[1] or "" for row in corpus]
+    texts = pa.array(own * (1 + (2 << 20) // sum(map(len, own))))
+    joined = {}
+    for limit in (W.BLOCK, 1 << 22):
+        found = [quality.features(words) for _, _, words in W.blocks(texts, limit)]
+        joined[limit] = {f: np.concatenate([x[f] for x in found]) for f in quality.FEATURES}
+    for f in quality.FEATURES:
+        assert (joined[W.BLOCK][f] == joined[1 << 22][f]).all()
+    tracemalloc.start()
+    for _, _, words in W.blocks(texts):
+        quality.features(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20, peak
