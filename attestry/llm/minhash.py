@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestry.llm import words as W
-from attestry.llm.spark import cut, few_ids, hinted, hot_keys, map_batches, split_join, stored
+from attestry.llm.spark import few_ids, hinted, hot_keys, map_batches, packed, split_join, stored
 
 BANDS, ROWS = 28, 4
 REGISTERS = BANDS * ROWS
@@ -53,6 +53,8 @@ BLOCK_SHINGLES = 500_000
 SMALL = 12
 #: Classes of one side of a block in which those of a large bucket are compared.
 BLOCK_CLASSES = 1000
+#: Nodes of a graph up to which labels are broadcast in the rounds of ``components``.
+FEW_NODES = 50_000
 #: Five standard errors of a Jaccard estimate at 0.8 from REGISTERS registers.
 MARGIN = 5 * (0.8 * 0.2 / REGISTERS) ** 0.5
 
@@ -198,9 +200,9 @@ def _overlaps(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int)
     nodes' hashes, a set to the blocks in which it has a pair, so a group holds the sets of two
     hash classes of about BLOCK_SHINGLES shingles each.
     """
-    pairs = cut(pairs)
+    pairs = packed(pairs)
     some = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = cut(map_batches(_held(some, nodes, texts), _as_set(width), "node long, members binary"))
+    sets = packed(map_batches(_held(some, nodes, texts), _as_set(width), "node long, members binary"))
     total = sets.agg(F.sum(F.octet_length("members"))).first()[0] or 0
     parts = 1 + total // (8 * BLOCK_SHINGLES)
     cell = [F.pmod(F.xxhash64(c), F.lit(parts)).alias(f"cell_{c}") for c in ("a", "b")]
@@ -218,13 +220,13 @@ def _linked(overlaps: DataFrame, percent: int) -> DataFrame:
 
 def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The linked ones of candidate pairs: estimate first, then the full sets."""
-    pairs = cut(pairs)
+    pairs = packed(pairs)
     sketch = nodes.select("node", "n", "sketch")
     both = split_join(pairs, sketch.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), ["a"])
     other = sketch.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     both = split_join(both, other, ["b"], counts=pairs.groupBy("b").count()).select("a", "b", "na", "nb", "sa", "sb")
     likely = map_batches(both, _likely(percent), "a long, b long")
-    return cut(_linked(_overlaps(likely, nodes, texts, width), percent))
+    return packed(_linked(_overlaps(likely, nodes, texts, width), percent))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -235,22 +237,37 @@ def components(edges: DataFrame) -> DataFrame:
     """
     pairs = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     labels = stored(pairs.groupBy("a").agg(F.min("b").alias("l")).select(F.col("a").alias("node"), F.least("a", "l").alias("root")))
-    hubs = cut(pairs.groupBy("b").count())
-    hot = hot_keys(hubs, ["b"])
+    few = few_ids(labels, FEW_NODES)
+    hot = None if few else hot_keys(packed(pairs.groupBy("b").count()), ["b"])
     while True:
-        near = split_join(pairs, labels.select(F.col("node").alias("b"), "root"), ["b"], hot=hot).groupBy("a").agg(F.min("root").alias("near"))
-        step = cut(labels.join(near, labels.node == near.a).select("node", "root", F.least("root", "near").alias("new")))
-        # labels of labels; only of those that change, which are few in all but huge graphs
-        jump = labels.where("root < node").select(F.col("node").alias("new"), F.col("root").alias("far"))
-        far = cut(step.select("new").distinct().join(jump, "new"))
-        step = step.join(F.broadcast(far), "new", "left") if few_ids(far) else split_join(step, far, ["new"], "left")
-        step = stored(step.select("node", "root", F.least("new", "far").alias("new")))
+        step = stored(_near_labels(pairs, labels) if few else _far_labels(pairs, labels, hot))
         changed = step.where("new < root").limit(1).count()
         labels = step.select("node", F.col("new").alias("root"))
         if not changed:
             return labels
 
 
+def _near_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """A round of few nodes (node, root, new), in as many tasks as there are cores."""
+    known = F.broadcast(labels)
+    near = pairs.join(known.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
+    step = near.join(known, near.a == known.node).select("node", "root", F.least("root", "near").alias("new"))
+    jump = F.broadcast(labels.where("root < node").select(F.col("node").alias("new"), F.col("root").alias("far")))
+    step = step.join(jump, "new", "left").select("node", "root", F.least("new", "far").alias("new"))
+    return step.coalesce(pairs.sparkSession.sparkContext.defaultParallelism)
+
+
+def _far_labels(pairs: DataFrame, labels: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """A round of any number of nodes (node, root, new)."""
+    near = split_join(pairs, labels.select(F.col("node").alias("b"), "root"), ["b"], hot=hot).groupBy("a").agg(F.min("root").alias("near"))
+    step = packed(labels.join(near, labels.node == near.a).select("node", "root", F.least("root", "near").alias("new")))
+    # labels of labels; only of those that change, which are few in all but huge graphs
+    jump = labels.where("root < node").select(F.col("node").alias("new"), F.col("root").alias("far"))
+    far = packed(step.select("new").distinct().join(jump, "new"))
+    step = step.join(F.broadcast(far), "new", "left") if few_ids(far) else split_join(step, far, ["new"], "left")
+    return step.select("node", "root", F.least("new", "far").alias("new"))
+
+
 def _shingles(width: int):
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for at, to, words in W.blocks(batch.column(1)):
@@ -266,33 +283,33 @@ def _finish(members: DataFrame, labels: DataFrame, nodes: DataFrame, texts: Data
     large = members.where(F.col("size") > SMALL).select("key", "node", "n")
 
     def unresolved(rows: DataFrame, labels: DataFrame) -> DataFrame:
-        rows = cut(rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")))
+        rows = packed(rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")))
         several = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least")).where("lo < hi")
-        return split_join(rows, cut(several.select("key", "least")), ["key"])
+        return split_join(rows, packed(several.select("key", "least")), ["key"])
 
-    open_ = cut(unresolved(large, labels))
+    open_ = packed(unresolved(large, labels))
     if not open_.limit(1).count():
         return labels
     grams = map_batches(_held(open_.select("node").distinct(), nodes, texts), _shingles(width), "shingle long, node long")
     # of a class's shingles, those that another class of these buckets has too
     alone = grams.groupBy("shingle").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
-    alone = cut(alone.groupBy("node").agg(F.count("*").alias("alone")))
+    alone = packed(alone.groupBy("node").agg(F.count("*").alias("alone")))
     bound = open_.join(alone, "node", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0)))
     # a link needs (100 + p) * overlap >= p * (n + m), the overlap is at most ``shared``, m at least ``least``
     fits = (100 + percent) * F.col("shared") >= percent * (F.col("n") + F.col("least"))
-    bound = cut(bound.where(fits & (100 * F.col("shared") >= percent * F.col("n"))).select("key", "node", "n", "root", "shared"))
+    bound = packed(bound.where(fits & (100 * F.col("shared") >= percent * F.col("n"))).select("key", "node", "n", "root", "shared"))
     centre = bound.groupBy("key").agg(F.max(F.struct(F.col("shared") / F.col("n"), -F.col("node"), F.col("n").alias("m"))).alias("c"))
     centre = centre.select("key", (-F.col("c.col2")).alias("centre"), F.col("c.m").alias("m"))
-    bound = cut(split_join(bound, centre, ["key"]))
+    bound = packed(split_join(bound, centre, ["key"]))
     star = bound.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    star = cut(_overlaps(star, nodes, texts, width))
+    star = packed(_overlaps(star, nodes, texts, width))
     links = links.union(_linked(star, percent))
     labels = components(links)
     rest = unresolved(bound.where("node != centre").drop("root", "least"), labels)
-    rest = cut(rest.join(star.select(F.col("a").alias("centre"), F.col("b").alias("node"), "both", "bits"), ["centre", "node"]))
+    rest = packed(rest.join(star.select(F.col("a").alias("centre"), F.col("b").alias("node"), "both", "bits"), ["centre", "node"]))
     rest = rest.withColumn("apart", F.col("shared") - F.col("both"))
     rest = split_join(rest, rest.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_CLASSES).cast("int").alias("blocks")), ["key"])
-    rest = cut(rest.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")))
+    rest = packed(rest.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")))
     # a block meets itself and each later one once
     left = rest.withColumn("lo", F.col("own")).withColumn("hi", F.explode(F.sequence("own", F.col("blocks") - 1)))
     other = rest.withColumn("hi", F.col("own")).withColumn("lo", F.explode(F.sequence(F.lit(0), "own")))
@@ -311,26 +328,26 @@ def _ties(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Edges between the classes of each id that has several."""
     sets = rows.where("n > 0 and id is not null").select("id", "set_a", "set_b")
     pair = F.struct("set_a", "set_b")
-    several = cut(sets.groupBy("id").agg(F.min(pair).alias("lo"), F.max(pair).alias("hi")).where("lo < hi").select("id", "lo"))
+    several = packed(sets.groupBy("id").agg(F.min(pair).alias("lo"), F.max(pair).alias("hi")).where("lo < hi").select("id", "lo"))
     found = split_join(sets, several, ["id"]).distinct().where(pair != F.col("lo"))
     node = classes.select("set_a", "set_b", "node")
-    found = cut(found.join(node.withColumnRenamed("node", "b"), ["set_a", "set_b"]).select("lo.set_a", "lo.set_b", "b"))
+    found = packed(found.join(node.withColumnRenamed("node", "b"), ["set_a", "set_b"]).select("lo.set_a", "lo.set_b", "b"))
     found = split_join(found, node.withColumnRenamed("node", "a"), ["set_a", "set_b"])
-    return cut(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return packed(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """``id_col``, n_shingles, component_id, kept for every row of ``docs``."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.withColumn("tag", F.xxhash64("text"))  # tells apart rows that share an id
-    rows = cut(map_batches(texts.select("id", "text", "tag"), _sketch(width), "id long, tag long, n long, set_a long, set_b long, sketch binary"))
+    rows = packed(map_batches(texts.select("id", "text", "tag"), _sketch(width), "id long, tag long, n long, set_a long, set_b long, sketch binary"))
     classes = rows.where("n > 0 and id is not null").groupBy("set_a", "set_b").agg(F.min(F.struct("id", "tag", "n", "sketch")).alias("c"))
-    classes = cut(classes.select("set_a", "set_b", "c.*", F.monotonically_increasing_id().alias("node")))
+    classes = packed(classes.select("set_a", "set_b", "c.*", F.monotonically_increasing_id().alias("node")))
     nodes = classes.select("node", "id", "tag", "n", "sketch")
     banded = map_batches(nodes.select("node", "n", "sketch"), _bands, "key long, node long, n long")
     buckets = banded.groupBy("key").agg(F.min(F.struct("node", F.col("n").alias("m"))).alias("c"), F.count("*").alias("size")).where("size > 1")
-    buckets = cut(buckets.select("key", F.col("c.node").alias("pivot"), F.col("c.m").alias("m"), "size"))
-    members = cut(split_join(banded, buckets, ["key"], counts=buckets.select("key", F.col("size").alias("count"))).select("key", "node", "n", "pivot", "m", "size"))
+    buckets = packed(buckets.select("key", F.col("c.node").alias("pivot"), F.col("c.m").alias("m"), "size"))
+    members = packed(split_join(banded, buckets, ["key"], counts=buckets.select("key", F.col("size").alias("count"))).select("key", "node", "n", "pivot", "m", "size"))
     star = members.where((F.col("size") > SMALL) & (F.col("node") > F.col("pivot")) & _sizes_fit(F.col("n"), F.col("m"), percent))
     small = members.where(F.col("size") <= SMALL).select("key", "node", "n")
     other = small.select("key", F.col("node").alias("node_"), F.col("n").alias("n_"))
@@ -339,7 +356,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = _links(pairs, nodes, texts, width, percent).union(_ties(rows, classes))
     labels = components(links)
     labels = _finish(members, labels, nodes, texts, links, width, percent)
-    labels = cut(labels.join(classes.select("node", "id"), "node"))
+    labels = packed(labels.join(classes.select("node", "id"), "node"))
     labels = split_join(labels, labels.groupBy("root").agg(F.min("id").alias("least")), ["root"]).select("node", "least")
     roots = classes.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("least", "id").alias("root"))
     found = split_join(rows.drop("sketch", "tag"), roots, ["set_a", "set_b"], "left")

@@ -7,13 +7,15 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Most ids that are broadcast (about 16 MB as a hash table); more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 #: Rows of one key that one task joins before the key is split.
 HOT = 1000
+#: Rows of a ``packed`` table that a partition holds at least, where there are more partitions than cores.
+PACKED_ROWS = 10_000
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -22,6 +24,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """``cut`` for tables between many small steps: one of few rows is read in few partitions.
+
+    A session may deal every shuffle to hundreds of partitions; steps on small tables would then
+    be mostly empty tasks, each with files and records of its own. Rows are counted as they are
+    written.
+    """
+    shared_folder(df.sparkSession)
+    seen = Observation()
+    held = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    few = max(df.sparkSession.sparkContext.defaultParallelism, (seen.get["rows"] or 0) // PACKED_ROWS)
+    return held.coalesce(few) if 2 * few <= held.rdd.getNumPartitions() else held
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared folder and read again.
 
@@ -70,7 +86,7 @@ def hot_keys(counts: DataFrame, keys: list[str]) -> DataFrame | None:
     limit = max(HOT, (rows or 0) // BROADCAST_IDS)
     if (most or 0) <= limit:
         return None
-    return cut(counts.where(F.col("count") > limit).select(*keys, F.ceil(F.col("count") / limit).cast("int").alias("_parts")))
+    return packed(counts.where(F.col("count") > limit).select(*keys, F.ceil(F.col("count") / limit).cast("int").alias("_parts")))
 
 
 def split_join(many: DataFrame, few: DataFrame, keys: list[str], how: str = "inner", counts: DataFrame | None = None, hot: DataFrame | None | bool = True) -> DataFrame:
