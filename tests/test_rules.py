@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from attestry.functions import scalars as S
 from attestry.operators import registers as G
 from attestry.operators import rulefile as R
+from attestry.operators import tables as T
 from attestry.operators.tables import ordinal
 from attestry.plans import payment_rules
+from attestry.plans import register_queries as Q
 from attestry.sources.artifacts import strict_object
 
 GROUP = "group_ord long, entity_id string, source string, register_id string, texts map<string,string>, lists map<string,array<string>>, claim_ids array<string>, source_assertions array<struct<url:string>>"
@@ -184,3 +187,64 @@ def test_texts_of_registers(spark):
         S.territorial_route(F.lit("PSC (España)")).alias("route"), S.territorial_route(F.lit("PSC en régimen de LP")).alias("lp"), S.ended(F.lit(" ")).alias("ended"), S.template("{a}{B}{c d}", {"a": F.lit("x")}).alias("t"),
     ).first()
     assert tuple(row) == (["PS_1", "PS_2", "PS_3"], "PT_BP!8", "BE", None, "BRANCH", None, "DOMESTIC", "LP", "ACTIVE", "x{B}{c d}")
+
+
+def test_assertions_numbered_by_ranges(spark, tables):
+    groups, rules, whole = tables
+    for at in ([], [2], [1, 2, 5, 40]):
+        got = R.numbered_assertions(groups, lambda rows: rows, rules, "2002-02-02", "dv", at, "assertion_id", "p-asm").orderBy("assertion_id").collect()
+        assert [r.asDict() for r in got] == [r.asDict() for r in whole["assertions"]]
+        got = R.numbered_facts(groups, lambda rows: rows, rules, "2002-02-02", at, "fact_id", "p-fact").orderBy("fact_id").collect()
+        assert [r.asDict() for r in got] == [r.asDict() for r in whole["facts"]]
+
+
+def test_sequence_over_ranges(spark, monkeypatch):
+    monkeypatch.setattr(T, "FEW_ROWS", 500)
+    rows = spark.range(3000).select((F.col("id") * 7 % 3001).alias("k")).repartition(5)
+    at = T.cuts(rows, "k")
+    assert len(at) == 3 and sorted({r.p for r in rows.select(T.part_of(F.col("k"), [10, 20, 2000]).alias("p")).collect()}) == [0, 1, 2, 3]
+    held = T.ranged(rows, "k", [10, 20, 2000])
+    one = (lambda in_order: held.sortWithinPartitions("k") if in_order else held, T.part_of(F.col("k"), [10, 20, 2000]))
+    got = [r.seq for r in T.in_sequence([one, one]).orderBy("k", "seq").collect()]
+    assert got == [x for k in range(1, 3001) for x in (k, k + 3000)]
+
+
+def written_by(spark, monkeypatch, query) -> tuple[int, int]:
+    """Exchanges of chosen partitions that the query wrote, and those that it read again; it must write nothing else between steps."""
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        pytest.skip("no test tables here")
+
+    def refused(df):
+        raise AssertionError("rows between steps are written")
+
+    for module in (T, R, Q):
+        monkeypatch.setattr(module, "kept", refused)
+    df = query(spark, d)
+    assert df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    found = [line for line in plan.splitlines() if "Exchange " in line and "REPARTITION_BY_NUM" in line]
+    again = sum("ReusedExchange" in line for line in found)
+    return len(found) - again, again
+
+
+def test_assertions_write_no_copies(spark, monkeypatch):
+    wrote, again = written_by(spark, monkeypatch, Q.ruleset_assertions)
+    assert wrote == 3 and again >= 3  # records by entity, their groups by range, derived rows by range
+
+
+def test_facts_write_no_copies(spark, monkeypatch):
+    assert written_by(spark, monkeypatch, Q.ruleset_facts)[0] == 2
+
+
+def test_records_of_no_entity_say_nothing_of_each_other(spark):
+    rows = [
+        (None, G.EBA, {"entity_type": "PSD_BR", "entity_code": "B", "parent_type": "PSD_PI", "parent_code": "P"}), (None, G.PAYMENTS, {"fecha_alta": "01/01/2000", "codigo_be": "7", "tipo_entidad": "Sucursal"}),
+        ("e", G.EBA, {"entity_type": "PSD_PI", "entity_code": "P", "ent_aut_text": "2000-01-01"}),
+    ]
+    r = {x.group_ord: x for x in G.derived(records(spark, rows)).collect()}
+    assert len(r) == 3 and (r[0].bde_branch_registered, r[0].eba_parent_status, r[0].corroborating) == (None, "ACTIVE", [2]) and r[1].root_key == "BDE|BRANCH|7"
+
+
+def test_fields_that_rules_read():
+    assert R.fields(R.load(R.dumps("v1", RULES, DERIVED))) == {"codes", "law_id", "own", "type", "law", "start", "end", "list", "state", "why", R.INTERVALS_FIELD}
