@@ -237,6 +237,20 @@ def test_facts_write_no_copies(spark, monkeypatch):
     assert written_by(spark, monkeypatch, Q.ruleset_facts)[0] == 2
 
 
+def test_header_writes_no_copies(spark, monkeypatch):
+    assert written_by(spark, monkeypatch, Q.ruleset_header) == (1, 1)
+
+
+def test_header_counts_derived_rules_by_entity(spark, tables):
+    groups, _, _ = tables
+    rules = R.load(R.dumps("v1", RULES, [DERIVED[0], DERIVED[2]]))  # no chain: one grouping by entity
+    found = R.outcomes(groups, rules, "2002-02-02")
+    one = R.header(groups, found, rules, "a1", "dv").first()
+    every = R.assertions(found, rules, "dv")
+    assert (one.assertions_emitted, one.findings_emitted, one.reported_facts_emitted) == (every.count(), R.findings(found, every, rules).count(), R.facts(found).count()) == (4, 7, 3)
+    assert one.claims_sha256 and R.header(groups, found, rules, "a1", "dv", pinned=False).first().claims_sha256 is None
+
+
 def test_records_of_no_entity_say_nothing_of_each_other(spark):
     rows = [
         (None, G.EBA, {"entity_type": "PSD_BR", "entity_code": "B", "parent_type": "PSD_PI", "parent_code": "P"}), (None, G.PAYMENTS, {"fecha_alta": "01/01/2000", "codigo_be": "7", "tipo_entidad": "Sucursal"}),
